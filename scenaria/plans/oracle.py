@@ -69,3 +69,54 @@ select s.event_id, s.scenario_id,
        round(case when st.ml > 0 and st.t1 - st.t0 > 0
              then 1 - least(greatest((mt.tm - s.Time) / (st.t1 - st.t0), 0), 1) end, 6) as A_time_to_failure
 from series s join st using (scenario_id) join mt using (scenario_id)""")
+
+
+FILLS = """fills as (select *,
+    last_value(case when f1 is not null then rn end ignore nulls) over (partition by scenario_id order by rn
+        rows between unbounded preceding and current row) as prn,
+    last_value(f1 ignore nulls) over (partition by scenario_id order by rn
+        rows between unbounded preceding and current row) as pv,
+    first_value(case when f1 is not null then rn end ignore nulls) over (partition by scenario_id order by rn
+        rows between current row and unbounded following) as nrn,
+    first_value(f1 ignore nulls) over (partition by scenario_id order by rn
+        rows between current row and unbounded following) as nv
+  from pos)"""
+
+register("interpolate", with_(SERIES, POSITIONED, FILLS) + """
+select event_id, scenario_id,
+       round(case when f1 is not null then f1
+                  when prn is not null and nrn is not null then pv + (nv - pv) * (rn - prn) / (nrn - prn)
+                  when prn is not null then pv end, 6) as f1
+from fills""")
+
+register("ffill_bfill", with_(SERIES, POSITIONED, FILLS) + """
+select event_id, scenario_id,
+       round(case when f1 is not null then f1
+                  when prn is not null and nrn is not null then pv + (nv - pv) * (rn - prn) / (nrn - prn)
+                  when prn is not null then pv else nv end, 6) as f1
+from fills""")
+
+register("mode_fill", with_(SERIES) + """,
+s as (select event_id, case when event_id % 17 <> 0 then A_label end as A_label from series),
+m as (select A_label as v from s where A_label is not null group by A_label order by count(*) desc, A_label limit 1)
+select event_id, cast(coalesce(A_label, (select v from m)) as int) as A_label from s""")
+
+register("mean_fill", with_(SERIES) + """
+select event_id, round(coalesce(f1, (select avg(f1) from series)), 6) as f1 from series""")
+
+register("nonfinite_to_zero", with_(SERIES) + """,
+x as (select event_id, case when f1 is null then cast('NaN' as double)
+                            when event_id % 7 = 0 then cast('Infinity' as double)
+                            when event_id % 11 = 0 then cast('-Infinity' as double)
+                            else f1 / ln(f2 + 2) end as x from series)
+select event_id, round(case when isnan(x) or isinf(x) then 0 else x end, 6) as x from x""")
+
+register("null_audit", with_(SERIES) + """
+select 'scenario_id' as column_name, cast(count(*) - count(scenario_id) as bigint) as null_count from series
+union all select 'event_id', count(*) - count(event_id) from series
+union all select 'Time', count(*) - count(Time) from series
+union all select 'f1', count(*) - count(f1) from series
+union all select 'f2', count(*) - count(f2) from series
+union all select 'A_label', count(*) - count(A_label) from series
+union all select 'B_label', count(*) - count(B_label) from series
+union all select 'C_label', count(*) - count(C_label) from series""")

@@ -73,3 +73,50 @@ def flagship(spark, sf_dir):
     cols = [c for c in out.columns if c not in ("scenario_id", "event_id")]
     return out.select("scenario_id", "event_id", *[r6(c).alias(c) if c not in SERIES_ROLES.labels else c
                                                    for c in cols])
+
+
+# ---- cleaning -------------------------------------------------------------------------------
+from scenaria.operators import clean  # noqa: E402
+
+
+@query
+def q_interpolate(spark, sf_dir):
+    out = clean.interpolate(views.series(spark, sf_dir), SERIES_ROLES, ["f1"])
+    return out.select("event_id", "scenario_id", r6("f1").alias("f1"))
+
+
+@query
+def q_ffill_bfill(spark, sf_dir):
+    out = clean.interpolate(views.series(spark, sf_dir), SERIES_ROLES, ["f1"], back_fill=True)
+    return out.select("event_id", "scenario_id", r6("f1").alias("f1"))
+
+
+@query
+def q_mode_fill(spark, sf_dir):
+    s = views.series(spark, sf_dir)
+    s = s.withColumn("A_label", F.when(F.col("event_id") % 17 != 0, F.col("A_label")))
+    return clean.mode_fill(s, ["A_label"]).select("event_id", "A_label")
+
+
+@query
+def q_mean_fill(spark, sf_dir):
+    return clean.mean_fill(views.series(spark, sf_dir), ["f1"]).select("event_id", r6("f1").alias("f1"))
+
+
+def nonfinite_input(spark, sf_dir):
+    s = views.series(spark, sf_dir)
+    e = F.col("event_id")
+    x = (F.when(F.col("f1").isNull(), F.lit(float("nan")))
+         .when(e % 7 == 0, F.lit(float("inf"))).when(e % 11 == 0, F.lit(float("-inf")))
+         .otherwise(F.col("f1") / F.log(F.col("f2") + 2)))
+    return s.select("event_id", x.alias("x"))
+
+
+@query
+def q_nonfinite_to_zero(spark, sf_dir):
+    return clean.nonfinite_to_zero(nonfinite_input(spark, sf_dir), ["x"]).select("event_id", r6("x").alias("x"))
+
+
+@query
+def q_null_audit(spark, sf_dir):
+    return clean.null_audit(views.series(spark, sf_dir))
