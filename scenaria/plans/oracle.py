@@ -120,3 +120,61 @@ union all select 'f2', count(*) - count(f2) from series
 union all select 'A_label', count(*) - count(A_label) from series
 union all select 'B_label', count(*) - count(B_label) from series
 union all select 'C_label', count(*) - count(C_label) from series""")
+
+
+LONG_LABELS = """lng as (select scenario_id, event_id, 'A_label' as label, A_label as class from series
+  union all select scenario_id, event_id, 'B_label', B_label from series
+  union all select scenario_id, event_id, 'C_label', C_label from series)"""
+
+MODES = LONG_LABELS + """,
+mc as (select scenario_id, label, class, count(*) as n from lng group by all),
+mr as (select *, row_number() over (partition by scenario_id, label order by n desc, class) as rk from mc),
+modes as (select scenario_id, cast(max(case when label='A_label' then class end) as int) as A_label,
+                 cast(max(case when label='B_label' then class end) as int) as B_label,
+                 cast(max(case when label='C_label' then class end) as int) as C_label
+          from mr where rk = 1 group by scenario_id)"""
+
+register("scenario_modes", with_(SERIES, MODES) + "select * from modes")
+
+register("class_counts", with_(SERIES, LONG_LABELS) + """
+select label, cast(class as int) as class, count(*) as n from lng group by all""")
+
+COMBO = "concat_ws(',', cast(A_label as varchar), cast(B_label as varchar), cast(C_label as varchar))"
+
+register("combo_counts", with_(SERIES) + f"select {COMBO} as combo, count(*) as n from series group by all")
+
+register("top_combos", with_(SERIES) + f"""
+select {COMBO} as combo, count(*) as n from series group by all order by n desc, combo limit 10""")
+
+register("diversity", with_(SERIES, LONG_LABELS) + """
+select label, count(distinct class) as n_classes, count(distinct class) > 1 as diverse from lng group by label""")
+
+SPLIT = MODES + """,
+sr as (select scenario_id, C_label as cls,
+              row_number() over (partition by C_label order by md5(concat('42', cast(scenario_id as varchar))), scenario_id) as rank,
+              count(*) over (partition by C_label) as n from modes),
+s1 as (select *, cast(greatest(floor(n * 0.7::double), 1) as bigint) as ntr from sr),
+s2 as (select *, case when n - ntr > 1 then cast(greatest(floor((n - ntr) * 0.5::double), 1) as bigint) else 0 end as nv0 from s1),
+s3 as (select *, case when n - ntr - nv0 = 0 and nv0 > 1 then nv0 - 1 else nv0 end as nv from s2),
+split as (select scenario_id, case when rank <= ntr then 'train' when rank <= ntr + nv then 'val' else 'test' end as split,
+                 cls, rank from s3)"""
+
+register("split_scenarios", with_(SERIES, SPLIT) + "select * from split")
+
+register("split_report", with_(SERIES, SPLIT) + """
+select p.split, l.label, cast(l.class as int) as class, count(*) as n
+from lng l join split p using (scenario_id) group by all""")
+
+register("split_missing_classes", with_(SERIES, SPLIT) + """,
+present as (select distinct p.split, l.label, cast(l.class as int) as class from lng l join split p using (scenario_id)),
+allc as (select distinct label, class from present),
+grid as (select * from allc cross join (select unnest(['train','val','test']) as split) s)
+select g.label, g.class, g.split from grid g anti join present p using (split, label, class)""")
+
+register("row_split", with_(SERIES) + """,
+r as (select event_id,
+             row_number() over (partition by A_label, B_label, C_label order by md5(concat('42', cast(event_id as varchar))), event_id) as rk,
+             count(*) over (partition by A_label, B_label, C_label) as n from series),
+c as (select *, cast(floor(n * 0.7::double) as bigint) as ntr from r),
+d as (select *, cast(floor((n - ntr) * 0.5::double) as bigint) as nv from c)
+select event_id, case when rk <= ntr then 'train' when rk <= ntr + nv then 'val' else 'test' end as split from d""")

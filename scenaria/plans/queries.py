@@ -120,3 +120,70 @@ def q_nonfinite_to_zero(spark, sf_dir):
 @query
 def q_null_audit(spark, sf_dir):
     return clean.null_audit(views.series(spark, sf_dir))
+
+
+# ---- label statistics and splits ----------------------------------------------------------
+from scenaria.operators import split as splitting  # noqa: E402
+from scenaria.operators import stats  # noqa: E402
+
+LABELS = list(SERIES_ROLES.labels)
+
+
+@query
+def q_scenario_modes(spark, sf_dir):
+    return stats.scenario_modes(views.series(spark, sf_dir), "scenario_id", LABELS)
+
+
+@query
+def q_class_counts(spark, sf_dir):
+    return stats.class_counts(views.series(spark, sf_dir), LABELS)
+
+
+@query
+def q_combo_counts(spark, sf_dir):
+    return stats.combo_counts(views.series(spark, sf_dir), LABELS)
+
+
+@query
+def q_top_combos(spark, sf_dir):
+    return stats.top_combos(views.series(spark, sf_dir), LABELS, 10)
+
+
+@query
+def q_diversity(spark, sf_dir):
+    return stats.diversity(views.series(spark, sf_dir), LABELS)
+
+
+def series_split(spark, sf_dir):
+    s = views.series(spark, sf_dir)
+    return s, splitting.scenario_split(s, "scenario_id", "C_label")
+
+
+@query
+def q_split_scenarios(spark, sf_dir):
+    return series_split(spark, sf_dir)[1]
+
+
+@query
+def q_split_rebalance(spark, sf_dir):
+    s, sp = series_split(spark, sf_dir)
+    modes = stats.scenario_modes(s, "scenario_id", LABELS)
+    out, _moves = splitting.rebalance(sp, modes, "scenario_id", LABELS, "C_label")
+    return out
+
+
+@query
+def q_split_report(spark, sf_dir):
+    s, sp = series_split(spark, sf_dir)
+    return splitting.split_report(s, sp, "scenario_id", LABELS)
+
+
+@query
+def q_split_missing_classes(spark, sf_dir):
+    s, sp = series_split(spark, sf_dir)
+    return splitting.missing_classes(s, sp, "scenario_id", LABELS)
+
+
+@query
+def q_row_split(spark, sf_dir):
+    return splitting.row_split(views.series(spark, sf_dir), LABELS, "event_id")
