@@ -178,3 +178,34 @@ r as (select event_id,
 c as (select *, cast(floor(n * 0.7::double) as bigint) as ntr from r),
 d as (select *, cast(floor((n - ntr) * 0.5::double) as bigint) as nv from c)
 select event_id, case when rk <= ntr then 'train' when rk <= ntr + nv then 'val' else 'test' end as split from d""")
+
+
+LENGTHS = """lens as (select scenario_id, count(*) as n from series group by scenario_id)"""
+
+STRIDED = LENGTHS + """,
+sq as (select scenario_id, unnest(range(0, (n - 20) // 15 + 1)) as seq_id from lens where n >= 20),
+strided as (select p.scenario_id, s.seq_id, p.rn - 1 - s.seq_id * 15 as step, p.event_id, p.f2,
+                   p.A_label, p.B_label, p.C_label, p.f1
+            from sq s join pos p on p.scenario_id = s.scenario_id
+             and p.rn - 1 between s.seq_id * 15 and s.seq_id * 15 + 19)"""
+
+register("sequences_strided", with_(SERIES, POSITIONED, STRIDED) + """
+select scenario_id, seq_id, step, event_id, round(f2, 6) as f2 from strided""")
+
+register("last_step", with_(SERIES, POSITIONED, STRIDED) + """
+select scenario_id, seq_id, event_id, A_label, B_label, C_label from strided where step = 19""")
+
+register("sequences_even", with_(SERIES, POSITIONED, LENGTHS) + """,
+st as (select scenario_id, n - 19 as m, least(n - 19, 10) as k from lens where n >= 20),
+ks as (select scenario_id, m, k, unnest(range(0, k)) as seq_id from st),
+starts as (select scenario_id, seq_id, case when k = 1 then 0 when seq_id = k - 1 then m - 1
+                  else cast(floor(seq_id * ((m - 1)::double / (k - 1)::double)) as bigint) end as s from ks)
+select p.scenario_id, t.seq_id, p.rn - 1 - t.s as step, p.event_id, round(p.f2, 6) as f2
+from starts t join pos p on p.scenario_id = t.scenario_id and p.rn - 1 between t.s and t.s + 19""")
+
+register("sequences_random", with_(SERIES, POSITIONED, LENGTHS) + """,
+pick as (select scenario_id, n from lens order by md5(concat('42', cast(scenario_id as varchar))), scenario_id limit 50),
+st as (select scenario_id, ('0x' || substr(md5(concat('42s', cast(scenario_id as varchar))), 1, 8))::bigint % (n - 19) as s
+       from pick where n >= 20)
+select p.scenario_id, cast(0 as bigint) as seq_id, p.rn - 1 - t.s as step, p.event_id, round(p.f2, 6) as f2
+from st t join pos p on p.scenario_id = t.scenario_id and p.rn - 1 between t.s and t.s + 19""")

@@ -187,3 +187,33 @@ def q_split_missing_classes(spark, sf_dir):
 @query
 def q_row_split(spark, sf_dir):
     return splitting.row_split(views.series(spark, sf_dir), LABELS, "event_id")
+
+
+# ---- sequences -------------------------------------------------------------------------------
+from scenaria.operators import sequences  # noqa: E402
+
+SEQ_COLS = ["scenario_id", "seq_id", "step", "event_id"]
+
+
+@query
+def q_sequences_strided(spark, sf_dir):
+    out = sequences.strided(views.series(spark, sf_dir), SERIES_ROLES, 20, 15)
+    return out.select(*SEQ_COLS, r6("f2").alias("f2"))
+
+
+@query
+def q_sequences_even(spark, sf_dir):
+    out = sequences.even(views.series(spark, sf_dir), SERIES_ROLES, 20, 10)
+    return out.select(*SEQ_COLS, r6("f2").alias("f2"))
+
+
+@query
+def q_sequences_random(spark, sf_dir):
+    out = sequences.random_subset(views.series(spark, sf_dir), SERIES_ROLES, 20, 50, 42)
+    return out.select(*SEQ_COLS, r6("f2").alias("f2"))
+
+
+@query
+def q_last_step(spark, sf_dir):
+    out = sequences.last_step(sequences.strided(views.series(spark, sf_dir), SERIES_ROLES, 20, 15), 20)
+    return out.select("scenario_id", "seq_id", "event_id", *LABELS)
