@@ -209,3 +209,145 @@ st as (select scenario_id, ('0x' || substr(md5(concat('42s', cast(scenario_id as
        from pick where n >= 20)
 select p.scenario_id, cast(0 as bigint) as seq_id, p.rn - 1 - t.s as step, p.event_id, round(p.f2, 6) as f2
 from st t join pos p on p.scenario_id = t.scenario_id and p.rn - 1 between t.s and t.s + 19""")
+
+
+register("feature_stats", with_(SERIES, POSITIONED, STRIDED) + """
+select 'f1' as feature, round(avg(f1), 6) as mean, round(stddev_pop(f1) + 1e-8, 6) as std from strided
+union all select 'f2', round(avg(f2), 6), round(stddev_pop(f2) + 1e-8, 6) from strided""")
+
+register("standardize", with_(SERIES, POSITIONED, STRIDED) + """,
+st as (select avg(f1) as m1, stddev_pop(f1) + 1e-8 as s1, avg(f2) as m2, stddev_pop(f2) + 1e-8 as s2 from strided)
+select scenario_id, seq_id, step, round(coalesce((f1 - m1) / s1, 0), 6) as f1, round(coalesce((f2 - m2) / s2, 0), 6) as f2
+from strided cross join st""")
+
+register("one_hot", with_(SERIES, POSITIONED, STRIDED) + """
+select scenario_id, seq_id, cast(k.c as int) as class, cast(C_label = k.c as int) as hot
+from strided cross join (select unnest(range(0, 6)) as c) k where step = 19""")
+
+PRED = """am as (select *, row_number() over (partition by event_id order by round(pt, 9) desc, c) as rt,
+                 row_number() over (partition by event_id order by round(ps, 9) desc, c) as rs from probs),
+pred as (select 'tree' as model, 'C_label' as label, event_id as row_id, y as y_true, cast(c as int) as y_pred from am where rt = 1
+  union all select 'seq', 'C_label', event_id, y, cast(c as int) from am where rs = 1
+  union all select 'tree', 'quality', doc_id, quality, toxic from labels),
+cnt as (select model, label, y_true, y_pred, count(*) as n from pred group by all),
+acc as (select model, label, count(*) as n, sum(case when y_true = y_pred then 1 else 0 end)::bigint as correct,
+               sum(case when y_true = y_pred then 1 else 0 end)::double / count(*) as accuracy from pred group by all)"""
+
+register("accuracy", with_(SERIES, PROBS, PRED) + """
+select model, label, n, correct, round(accuracy, 6) as accuracy from acc""")
+
+register("pooled_accuracy", with_(SERIES, PROBS, PRED) + """
+select model, round(sum(correct)::double / sum(n), 6) as accuracy from acc group by model""")
+
+register("macro_accuracy", with_(SERIES, PROBS, PRED) + """
+select model, round(avg(accuracy), 6) as accuracy from acc group by model""")
+
+register("class_recall", with_(SERIES, PROBS, PRED) + """
+select model, label, y_true as class, count(*) as n,
+       round(sum(case when y_true = y_pred then 1 else 0 end)::double / count(*), 6) as recall
+from pred group by all""")
+
+register("confusion_truth", with_(SERIES, PROBS, PRED) + """,
+cls as (select distinct model, label, y_true as c from cnt),
+grid as (select a.model, a.label, a.c as y_true, b.c as y_pred from cls a join cls b using (model, label))
+select g.model, g.label, g.y_true, g.y_pred, coalesce(n, 0)::bigint as n
+from grid g left join cnt using (model, label, y_true, y_pred)""")
+
+register("confusion_union", with_(SERIES, PROBS, PRED) + """,
+cls as (select distinct model, label, y_true as c from cnt union select distinct model, label, y_pred from cnt),
+grid as (select a.model, a.label, a.c as y_true, b.c as y_pred from cls a join cls b using (model, label))
+select g.model, g.label, g.y_true, g.y_pred, coalesce(n, 0)::bigint as n
+from grid g left join cnt using (model, label, y_true, y_pred)""")
+
+register("class_report", with_(SERIES, PROBS, PRED) + """,
+cls as (select distinct model, label, y_true as c from cnt union select distinct model, label, y_pred from cnt),
+tp as (select model, label, y_true as c, sum(n) as tp from cnt where y_true = y_pred group by all),
+sup as (select model, label, y_true as c, sum(n) as support from cnt group by all),
+np as (select model, label, y_pred as c, sum(n) as npred from cnt group by all),
+per as (select model, label, c, coalesce(tp, 0) as tp, coalesce(support, 0) as support, coalesce(npred, 0) as npred
+        from cls left join tp using (model, label, c) left join sup using (model, label, c) left join np using (model, label, c)),
+m as (select *, case when npred > 0 then tp::double / npred else 0 end as precision,
+                case when support > 0 then tp::double / support else 0 end as recall from per),
+m2 as (select *, case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0 end as f1_score from m)
+select model, label, cast(c as varchar) as cls, round(precision, 6) as precision, round(recall, 6) as recall,
+       round(f1_score, 6) as f1_score, round(support::double, 6) as support from m2
+union all select model, label, 'accuracy', round(accuracy, 6), round(accuracy, 6), round(accuracy, 6), round(accuracy, 6) from acc
+union all select model, label, 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1_score), 6),
+                 round(sum(support)::double, 6) from m2 group by all
+union all select model, label, 'weighted avg', round(sum(precision * support) / sum(support), 6),
+                 round(sum(recall * support) / sum(support), 6), round(sum(f1_score * support) / sum(support), 6),
+                 round(sum(support)::double, 6) from m2 group by all""")
+
+BLEND50 = """bl as (select event_id, y, c, 0.5::double * pt + (1.0::double - 0.5::double) * ps as pb from probs),
+bla as (select *, row_number() over (partition by event_id order by round(pb, 9) desc, c) as rb from bl)"""
+
+register("blend", with_(SERIES, PROBS, BLEND50) + """
+select event_id, y as y_true, cast(c as int) as y_pred from bla where rb = 1""")
+
+register("blend_truncated", with_(SERIES, PROBS) + """,
+tr as (select event_id, y, c, pt / sum(pt) over (partition by event_id) as qt, ps / sum(ps) over (partition by event_id) as qs
+       from probs where c < 5),
+bl as (select *, 0.5::double * qt + (1.0::double - 0.5::double) * qs as pb from tr),
+bla as (select *, row_number() over (partition by event_id order by round(pb, 9) desc, c) as rb from bl)
+select event_id, y as y_true, cast(c as int) as y_pred from bla where rb = 1""")
+
+register("blend_mismatch", with_(SERIES, PROBS, PRED, BLEND50) + """,
+t as (select row_id as event_id, y_true, y_pred from pred where model = 'tree' and label = 'C_label'),
+s as (select row_id as event_id, y_true, y_pred from pred where model = 'seq' and label = 'C_label' and row_id % 10 <> 0),
+b as (select event_id, y, c from bla where rb = 1 and event_id % 10 <> 0)
+select 'C_label' as label, (select count(*) from t) as n_first, (select count(*) from s) as n_second,
+       (select count(*) from t join s using (event_id)) as n_aligned,
+       (select count(*) from t) <> (select count(*) from s) as mismatch, 'first' as chosen,
+       round((select sum(case when y_true = y_pred then 1 else 0 end)::double / count(*) from t), 6) as acc_chosen,
+       round((select sum(case when y = c then 1 else 0 end)::double / count(*) from b), 6) as acc_aligned""")
+
+
+def curve(n: int, name: str = "cv") -> str:
+    return f"""{name}_w as (select i::double / {n}.0::double as w from range(0, {n + 1}) t(i)),
+{name}_b as (select p.event_id, p.y, p.c, q.w, q.w * p.pt + (1.0::double - q.w) * p.ps as pb from probs p cross join {name}_w q),
+{name}_a as (select *, row_number() over (partition by event_id, w order by round(pb, 9) desc, c) as r from {name}_b),
+{name} as (select 'C_label' as label, w as weight, sum(case when c = y then 1 else 0 end)::double / count(*) as accuracy
+           from {name}_a where r = 1 group by w),
+{name}_best as (select label, case when max(accuracy) > 0 then min(weight) filter (where accuracy = mx) else 0.5 end as weight,
+                case when max(accuracy) > 0 then max(accuracy) else 0.0 end as accuracy
+                from (select *, max(accuracy) over () as mx from {name}) group by label)"""
+
+
+register("weight_curve", with_(SERIES, PROBS, curve(20)) + """
+select label, round(weight, 6) as weight, round(accuracy, 6) as accuracy from cv""")
+
+register("best_weight", with_(SERIES, PROBS, curve(20)) + """
+select label, round(weight, 6) as weight, round(accuracy, 6) as accuracy from cv_best""")
+
+ACCS = """accs as (select 'C_label' as label,
+   (select sum(case when y_true = y_pred then 1 else 0 end)::double / count(*) from pred where model = 'tree' and label = 'C_label') as tree,
+   (select sum(case when y_true = y_pred then 1 else 0 end)::double / count(*) from pred where model = 'seq' and label = 'C_label') as seq,
+   (select sum(case when y = c then 1 else 0 end)::double / count(*) from bla where rb = 1) as blend_50,
+   (select sum(case when c = y then 1 else 0 end)::double / count(*) from
+      (select p.event_id, p.y, p.c, row_number() over (partition by p.event_id
+              order by round(o.weight * p.pt + (1.0::double - o.weight) * p.ps, 9) desc, p.c) as r
+       from probs p cross join cv_best o) where r = 1) as blend_opt,
+   (select weight from c10_best) as weight_orig, (select weight from cv_best) as weight_opt)"""
+
+register("blend_gain", with_(SERIES, PROBS, PRED, BLEND50, curve(20), curve(10, "c10"), ACCS) + """
+select label, round(blend_50, 6) as acc_default, round(blend_opt, 6) as acc_opt, round(blend_opt - blend_50, 6) as improvement
+from accs""")
+
+register("best_model", with_(SERIES, PROBS, PRED, BLEND50, curve(20), curve(10, "c10"), ACCS) + """
+select label, round(tree, 6) as tree, round(seq, 6) as seq, round(blend_50, 6) as blend,
+       case when tree is null or seq is null or blend_50 is null then 'N/A'
+            when tree >= seq and tree >= blend_50 then 'tree' when seq >= blend_50 then 'seq' else 'blend' end as best_model,
+       blend_50 > greatest(tree, seq) as blend_improves
+from accs""")
+
+register("model_comparison", with_(SERIES, PROBS, PRED) + """
+select label, round(max(case when model = 'tree' then accuracy end), 6) as tree,
+       round(max(case when model = 'seq' then accuracy end), 6) as seq from acc group by label
+union all select 'overall', round(sum(correct) filter (where model = 'tree')::double / sum(n) filter (where model = 'tree'), 6),
+                 round(sum(correct) filter (where model = 'seq')::double / sum(n) filter (where model = 'seq'), 6) from acc""")
+
+register("before_after", with_(SERIES, PROBS, PRED, BLEND50, curve(20), curve(10, "c10"), ACCS) + """
+select label, round(tree, 6) as tree, round(seq, 6) as seq, round(blend_50, 6) as blend_50, round(blend_opt, 6) as blend_opt,
+       round(weight_orig, 6) as weight_orig, round(weight_opt, 6) as weight_opt from accs
+union all select 'overall', round(avg(tree), 6), round(avg(seq), 6), round(avg(blend_50), 6), round(avg(blend_opt), 6),
+                 cast(null as double), cast(null as double) from accs""")

@@ -217,3 +217,163 @@ def q_sequences_random(spark, sf_dir):
 def q_last_step(spark, sf_dir):
     out = sequences.last_step(sequences.strided(views.series(spark, sf_dir), SERIES_ROLES, 20, 15), 20)
     return out.select("scenario_id", "seq_id", "event_id", *LABELS)
+
+
+# ---- normalisation ---------------------------------------------------------------------------
+from scenaria.operators import scale  # noqa: E402
+
+SEQ_FEATURES = ["f1", "f2"]
+
+
+def _train_sequences(spark, sf_dir):
+    return sequences.strided(views.series(spark, sf_dir), SERIES_ROLES, 20, 15)
+
+
+@query
+def q_feature_stats(spark, sf_dir):
+    t = scale.scaler_table(scale.fit_scaler(_train_sequences(spark, sf_dir), SEQ_FEATURES), SEQ_FEATURES)
+    return t.select("feature", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
+@query
+def q_standardize(spark, sf_dir):
+    seqs = _train_sequences(spark, sf_dir)
+    out = scale.standardize(seqs, SEQ_FEATURES, scale.fit_scaler(seqs, SEQ_FEATURES))
+    return out.select("scenario_id", "seq_id", "step", r6("f1").alias("f1"), r6("f2").alias("f2"))
+
+
+@query
+def q_one_hot(spark, sf_dir):
+    last = sequences.last_step(_train_sequences(spark, sf_dir), 20)
+    return scale.one_hot_long(last, "C_label", 6, ["scenario_id", "seq_id"])
+
+
+# ---- metrics ---------------------------------------------------------------------------------
+from scenaria.operators import ensemble, metrics  # noqa: E402
+
+
+@query
+def q_accuracy(spark, sf_dir):
+    return metrics.accuracy(views.predictions(spark, sf_dir)).withColumn("accuracy", r6("accuracy"))
+
+
+@query
+def q_pooled_accuracy(spark, sf_dir):
+    return metrics.pooled_accuracy(views.predictions(spark, sf_dir)).withColumn("accuracy", r6("accuracy"))
+
+
+@query
+def q_macro_accuracy(spark, sf_dir):
+    return metrics.macro_accuracy(views.predictions(spark, sf_dir)).withColumn("accuracy", r6("accuracy"))
+
+
+@query
+def q_class_recall(spark, sf_dir):
+    return metrics.class_recall(views.predictions(spark, sf_dir)).withColumn("recall", r6("recall"))
+
+
+@query
+def q_confusion_truth(spark, sf_dir):
+    return metrics.confusion(views.predictions(spark, sf_dir), union=False)
+
+
+@query
+def q_confusion_union(spark, sf_dir):
+    return metrics.confusion(views.predictions(spark, sf_dir), union=True)
+
+
+@query
+def q_class_report(spark, sf_dir):
+    r = metrics.class_report(views.predictions(spark, sf_dir))
+    return r.select("model", "label", "cls", *[r6(c).alias(c) for c in ("precision", "recall", "f1_score", "support")])
+
+
+# ---- blending --------------------------------------------------------------------------------
+
+def _aligned(spark, sf_dir, drop_second=False):
+    tree, seq = views.model_probs(spark, sf_dir)
+    if drop_second:
+        seq = seq.where(F.col("event_id") % 10 != 0)
+    return tree, seq, ensemble.align(tree, seq, ["event_id", "label"])
+
+
+@query
+def q_blend(spark, sf_dir):
+    j = _aligned(spark, sf_dir)[2]
+    return ensemble.blended(j, 0.5).select("event_id", "y_true", "y_pred")
+
+
+@query
+def q_blend_truncated(spark, sf_dir):
+    tree, seq = views.model_probs(spark, sf_dir)
+    seq = seq.withColumn("p", F.slice("p", 1, 5))          # second model knows five classes
+    j = ensemble.truncate_common(ensemble.align(tree, seq, ["event_id", "label"]))
+    return ensemble.blended(j, 0.5).select("event_id", "y_true", "y_pred")
+
+
+@query
+def q_blend_mismatch(spark, sf_dir):
+    tree, seq, _ = _aligned(spark, sf_dir, drop_second=True)
+    out = ensemble.mismatch(tree, seq, ["event_id", "label"])
+    return out.select("label", "n_first", "n_second", "n_aligned", "mismatch", "chosen",
+                      r6("acc_chosen").alias("acc_chosen"), r6("acc_aligned").alias("acc_aligned"))
+
+
+def _curve(spark, sf_dir, n_steps=20):
+    return ensemble.weight_curve(_aligned(spark, sf_dir)[2], n_steps)
+
+
+@query
+def q_weight_curve(spark, sf_dir):
+    return _curve(spark, sf_dir).select("label", r6("weight").alias("weight"), r6("accuracy").alias("accuracy"))
+
+
+@query
+def q_best_weight(spark, sf_dir):
+    b = ensemble.best_weight(_curve(spark, sf_dir))
+    return b.select("label", r6("weight").alias("weight"), r6("accuracy").alias("accuracy"))
+
+
+def _accuracies(spark, sf_dir):
+    """(label, tree, seq, blend_50, blend_opt, weight_orig, weight_opt) over the aligned rows."""
+    j = _aligned(spark, sf_dir)[2]
+    single = j.groupBy("label").agg(
+        F.avg((ensemble.predict(F.col("p1")) == F.col("y_true")).cast("double")).alias("tree"),
+        F.avg((ensemble.predict(F.col("p2")) == F.col("y_true")).cast("double")).alias("seq"))
+    orig = ensemble.best_weight(ensemble.weight_curve(j, 10)).select("label", F.col("weight").alias("weight_orig"))
+    opt = ensemble.best_weight(ensemble.weight_curve(j, 20)).select("label", F.col("weight").alias("weight_opt"))
+    half = ensemble.accuracy_at(j, orig.select("label", F.lit(0.5).alias("weight"))).withColumnRenamed("accuracy", "blend_50")
+    tuned = ensemble.accuracy_at(j, opt.withColumnRenamed("weight_opt", "weight")).withColumnRenamed("accuracy", "blend_opt")
+    return single.join(half, "label").join(tuned, "label").join(orig, "label").join(opt, "label")
+
+
+@query
+def q_blend_gain(spark, sf_dir):
+    a = _accuracies(spark, sf_dir)
+    return a.select("label", r6("blend_50").alias("acc_default"), r6("blend_opt").alias("acc_opt"),
+                    r6(F.col("blend_opt") - F.col("blend_50")).alias("improvement"))
+
+
+@query
+def q_best_model(spark, sf_dir):
+    a = _accuracies(spark, sf_dir).select("label", "tree", "seq", F.col("blend_50").alias("blend"))
+    t = ensemble.blend_improves(ensemble.best_model(a, ["tree", "seq", "blend"]), "tree", "seq", "blend")
+    return t.select("label", *[r6(c).alias(c) for c in ("tree", "seq", "blend")], "best_model", "blend_improves")
+
+
+@query
+def q_model_comparison(spark, sf_dir):
+    pred = views.predictions(spark, sf_dir)
+    t = ensemble.comparison(metrics.accuracy(pred), ["tree", "seq"], metrics.pooled_accuracy(pred))
+    return t.select("label", r6("tree").alias("tree"), r6("seq").alias("seq"))
+
+
+@query
+def q_before_after(spark, sf_dir):
+    a = _accuracies(spark, sf_dir)
+    cols = ["tree", "seq", "blend_50", "blend_opt"]
+    overall = a.agg(*[F.avg(c).alias(c) for c in cols]).select(
+        F.lit("overall").alias("label"), *cols, F.lit(None).cast("double").alias("weight_orig"),
+        F.lit(None).cast("double").alias("weight_opt"))
+    t = a.select("label", *cols, "weight_orig", "weight_opt").unionByName(overall)
+    return t.select("label", *[r6(c).alias(c) for c in cols + ["weight_orig", "weight_opt"]])

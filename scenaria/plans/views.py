@@ -55,3 +55,23 @@ def probs_rows(spark: SparkSession, sf_dir: str, label: str = "C_label") -> Data
     b = F.transform(cls, lambda c: ((e * 5 + c * 3) % 11 + 1 + F.when((c == y) & (e % 3 == 1), 6).otherwise(0)).cast("double"))
     norm = lambda arr: F.transform(arr, lambda x: x / F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v))
     return s.select("event_id", "y", norm(a).alias("p_tree"), norm(b).alias("p_seq"))
+
+
+def model_probs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two models as probability tables (event_id, label, y_true, p)."""
+    r = probs_rows(spark, sf_dir)
+    base = [F.col("event_id"), F.lit("C_label").alias("label"), F.col("y").alias("y_true")]
+    return (r.select(*base, F.col("p_tree").alias("p")), r.select(*base, F.col("p_seq").alias("p")))
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long prediction table (model, label, row_id, y_true, y_pred): both models on C_label, and the
+    ``labels`` table read as truth ``quality`` vs prediction ``toxic``."""
+    from scenaria.operators.ensemble import predict
+    tree, seq = model_probs(spark, sf_dir)
+    out = [m.select(F.lit(name).alias("model"), "label", F.col("event_id").alias("row_id"), "y_true",
+                    predict(F.col("p")).alias("y_pred")) for name, m in (("tree", tree), ("seq", seq))]
+    lab = table(spark, sf_dir, "labels").select(F.lit("tree").alias("model"), F.lit("quality").alias("label"),
+                                                F.col("doc_id").alias("row_id"), F.col("quality").cast("int").alias("y_true"),
+                                                F.col("toxic").cast("int").alias("y_pred"))
+    return out[0].unionByName(out[1]).unionByName(lab)
