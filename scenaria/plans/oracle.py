@@ -351,3 +351,20 @@ select label, round(tree, 6) as tree, round(seq, 6) as seq, round(blend_50, 6) a
        round(weight_orig, 6) as weight_orig, round(weight_opt, 6) as weight_opt from accs
 union all select 'overall', round(avg(tree), 6), round(avg(seq), 6), round(avg(blend_50), 6), round(avg(blend_opt), 6),
                  cast(null as double), cast(null as double) from accs""")
+
+
+register("knn_in_class", """
+with e as (select vec_id, label, embedding from embeddings),
+d as (select a.vec_id, b.vec_id as nbr_id,
+             list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (z[1]::double - z[2]::double) * (z[1]::double - z[2]::double))) as d2
+      from e a join e b on a.label = b.label and a.vec_id <> b.vec_id),
+r as (select *, row_number() over (partition by vec_id order by d2, nbr_id) as rank from d)
+select vec_id, rank, nbr_id, round(d2, 6) as d2 from r where rank <= 5""")
+
+register("smote_counts", """
+with c as (select label as class, count(*) as n from embeddings group by label)
+select class, case when (select min(n) from c) < 100 then (select max(n) from c) else n end as n from c""")
+
+register("smote_combo_counts", """
+with t as (select quality, toxic, count(*) as n from labels l join documents d using (doc_id) group by all)
+select quality, toxic, case when (select min(n) from t) >= 5 then (select max(n) from t) else n end as n from t""")

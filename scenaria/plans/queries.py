@@ -377,3 +377,35 @@ def q_before_after(spark, sf_dir):
         F.lit(None).cast("double").alias("weight_opt"))
     t = a.select("label", *cols, "weight_orig", "weight_opt").unionByName(overall)
     return t.select("label", *[r6(c).alias(c) for c in cols + ["weight_orig", "weight_opt"]])
+
+
+# ---- balancing -------------------------------------------------------------------------------
+from scenaria.operators import balance  # noqa: E402
+
+
+@query
+def q_knn_in_class(spark, sf_dir):
+    e = views.table(spark, sf_dir, "embeddings")
+    return balance.knn_in_class(e, "vec_id", "embedding", "label", k=5).select(
+        "vec_id", "rank", "nbr_id", r6("d2").alias("d2"))
+
+
+@query
+def q_smote_counts(spark, sf_dir):
+    e = views.table(spark, sf_dir, "embeddings")
+    out, _plan = balance.smote_if_rare(e, "vec_id", "embedding", "label", 100, k=5)
+    return out.groupBy(F.col("label").alias("class")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def q_smote_combo_counts(spark, sf_dir):
+    lab = views.table(spark, sf_dir, "labels")
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", F.array(F.col("n_chars").cast("double")).alias("x"))
+    t = lab.join(docs, "doc_id").withColumn("combo", F.concat_ws(",", F.col("quality").cast("string"),
+                                                                  F.col("toxic").cast("string")))
+    mn = t.groupBy("combo").count().agg(F.min("count")).first()[0]
+    if mn is not None and mn >= 5:
+        t, _plan = balance.smote(t, "doc_id", "x", "combo", k=5)
+    q = F.split("combo", ",")
+    return t.groupBy(q.getItem(0).cast("int").alias("quality"), q.getItem(1).cast("int").alias("toxic")) \
+        .agg(F.count(F.lit(1)).alias("n"))
