@@ -409,3 +409,70 @@ def q_smote_combo_counts(spark, sf_dir):
     q = F.split("combo", ",")
     return t.groupBy(q.getItem(0).cast("int").alias("quality"), q.getItem(1).cast("int").alias("toxic")) \
         .agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- sources ---------------------------------------------------------------------------------
+from scenaria.sources import io  # noqa: E402
+
+
+@query
+def q_read_roles(spark, sf_dir):
+    """The series written as one CSV per scenario group (``a.csv``, ``b.v2.csv``) into the shared
+    scratch folder, read back in one scan with header-derived types and file-name keys."""
+    s = views.series(spark, sf_dir).drop("event_id", "scenario_id")
+    s = s.select("Time", "f1", "f2", *LABELS, (F.col("Time") * 1e6).cast("long").alias("_t"))
+    folder = io.shared_scratch(spark, "read_roles")
+    parts = {"a": F.col("_t") % 2 == 0, "b.v2": F.col("_t") % 2 == 1}
+    for name, cond in parts.items():
+        s.where(cond).drop("_t").write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
+    df, _roles = io.read_scenarios(spark, folder)
+    return df
+
+
+# ---- models ----------------------------------------------------------------------------------
+from scenaria.operators import model  # noqa: E402
+
+
+def _emb_split(spark, sf_dir):
+    e = views.table(spark, sf_dir, "embeddings")
+    sp = splitting.row_split(e, ["label"], "vec_id")
+    return e.join(sp, "vec_id")
+
+
+@query
+def q_tree_fit(spark, sf_dir):
+    e = _emb_split(spark, sf_dir)
+    models = model.fit_per_label(e.where("split = 'train'"), ["embedding"], ["label"], max_depth=5, n_trees=100)
+    s = model.score(models, e, ["embedding"], "vec_id")
+    return s.select("row_id", "label", "y_true", "y_pred")
+
+
+@query
+def q_tree_cv(spark, sf_dir):
+    e = _emb_split(spark, sf_dir)
+    _best, table = model.cross_validate(e.where("split = 'train'"), ["embedding"], "label", n_trees=50)
+    return table
+
+
+@query
+def q_seq_fit(spark, sf_dir):
+    s = clean.interpolate(views.series(spark, sf_dir), SERIES_ROLES, ["f1"], back_fill=True)
+    train = model.flatten_sequences(sequences.strided(s, SERIES_ROLES, 20, 15), "scenario_id", SEQ_FEATURES, ["C_label"], 20)
+    test = model.flatten_sequences(sequences.even(s, SERIES_ROLES, 20, 10), "scenario_id", SEQ_FEATURES, ["C_label"], 20)
+    m = model.fit_sequence_model(train, ["C_label"], n_inputs=20 * len(SEQ_FEATURES), max_iter=50)
+    return model.score_sequences(m, test, "scenario_id").select("scenario_id", "seq_id", "label", "y_true", "y_pred")
+
+
+@query
+def q_importances(spark, sf_dir):
+    e = _emb_split(spark, sf_dir)
+    models = model.fit_per_label(e.where("split = 'train'"), ["embedding"], ["label"], max_depth=5, n_trees=100)
+    return model.importances(models, [f"e{i}" for i in range(64)], 20)
+
+
+@query
+def q_scoring_time(spark, sf_dir):
+    e = _emb_split(spark, sf_dir)
+    models = model.fit_per_label(e.where("split = 'train'"), ["embedding"], ["label"], max_depth=5, n_trees=100)
+    test = e.where("split = 'test'")
+    return model.scoring_time({"tree": model.score(models, test, ["embedding"], "vec_id")})

@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+LOCAL_CONF = {"spark.driver.memory": "16g"}  # local mode: the driver JVM is the only executor
 
 
 def get_spark(app: str = "scenaria", master: str | None = None,
@@ -26,7 +27,8 @@ def get_spark(app: str = "scenaria", master: str | None = None,
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
+    local = {} if not master or not master.startswith("local") else LOCAL_CONF
+    for k, v in {**DEFAULT_CONF, **local, **(conf or {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
