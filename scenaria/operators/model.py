@@ -34,22 +34,27 @@ def n_classes(df: DataFrame, label: str) -> int:
 
 
 def classifier(label: str, binary: bool, max_depth: int = 5, n_trees: int = 100, seed: int = 42,
-               learning_rate: float = 0.1, subsample: float = 0.8, max_bins: int = 256):
+               learning_rate: float = 0.1, subsample: float = 0.8, max_bins: int = 256, prefix: str | None = None):
+    """GBT for binary labels, random forest otherwise; output columns prefixed by ``prefix`` so the
+    models of several labels can score one pass over the rows."""
+    out = {}
+    if prefix:
+        out = dict(predictionCol=f"{prefix}_pred", probabilityCol=f"{prefix}_prob", rawPredictionCol=f"{prefix}_raw")
     if binary:
         return GBTClassifier(labelCol=label, featuresCol="features", maxDepth=max_depth, maxIter=n_trees,
                              stepSize=learning_rate, subsamplingRate=subsample, maxBins=max_bins, seed=seed,
-                             featureSubsetStrategy="0.8")
+                             featureSubsetStrategy="0.8", **out)
     return RandomForestClassifier(labelCol=label, featuresCol="features", maxDepth=max_depth, numTrees=n_trees,
                                   subsamplingRate=subsample, maxBins=max_bins, seed=seed,
-                                  featureSubsetStrategy="0.8")
+                                  featureSubsetStrategy="0.8", **out)
 
 
 def fit_per_label(train: DataFrame, features, labels, **kw) -> dict[str, PipelineModel]:
-    """M1: one fitted pipeline per label."""
+    """M1: one fitted pipeline per label (output columns ``<label>_pred`` / ``_prob`` / ``_raw``)."""
     x = features_vector(train, features)
     models = {}
     for lab in labels:
-        clf = classifier(lab, n_classes(train, lab) <= 2, **kw)
+        clf = classifier(lab, n_classes(train, lab) <= 2, prefix=lab, **kw)
         models[lab] = Pipeline(stages=[clf]).fit(x.withColumn(lab, F.col(lab).cast("double")))
     return models
 
@@ -72,16 +77,16 @@ def cross_validate(train: DataFrame, features, label: str, depths=(3, 5), folds:
 
 
 def score(models: dict, df: DataFrame, features, row_id: str, model_name: str = "tree") -> DataFrame:
-    """M3: long probability table (row_id, label, model, y_true, y_pred, p)."""
+    """M3: all label models applied in one pass over the rows, then unpivoted to the long probability
+    table (row_id, label, model, y_true, y_pred, p)."""
     x = features_vector(df, features)
-    out = None
-    for lab, m in models.items():
-        s = m.transform(x).select(F.col(row_id).alias("row_id"), F.lit(lab).alias("label"),
-                                  F.lit(model_name).alias("model"), F.col(lab).cast("int").alias("y_true"),
-                                  F.col("prediction").cast("int").alias("y_pred"),
-                                  vector_to_array("probability").alias("p"))
-        out = s if out is None else out.unionByName(s)
-    return out
+    for m in models.values():
+        x = m.transform(x)
+    parts = [F.struct(F.lit(lab).alias("label"), F.col(lab).cast("int").alias("y_true"),
+                      F.col(f"{lab}_pred").cast("int").alias("y_pred"),
+                      vector_to_array(f"{lab}_prob").alias("p")) for lab in models]
+    return x.select(F.col(row_id).alias("row_id"), F.explode(F.array(*parts)).alias("_t")) \
+        .select("row_id", "_t.label", F.lit(model_name).alias("model"), "_t.y_true", "_t.y_pred", "_t.p")
 
 
 def flatten_sequences(long_seqs: DataFrame, key: str, features, labels, seq_len: int) -> DataFrame:

@@ -476,3 +476,27 @@ def q_scoring_time(spark, sf_dir):
     models = model.fit_per_label(e.where("split = 'train'"), ["embedding"], ["label"], max_depth=5, n_trees=100)
     test = e.where("split = 'test'")
     return model.scoring_time({"tree": model.score(models, test, ["embedding"], "vec_id")})
+
+
+def tree_scoring(spark, sf_dir, n_trees: int = 20):
+    """Bench helper (the published scoring measurement): prepare the series, split by scenario and
+    snapshot train/test (as the preparation step writes them), fit one tree model per label on the
+    train rows, then time scoring of the test rows with all models.
+    Returns fit seconds and, for the test rows and for all rows, scoring seconds and row counts."""
+    import time as _t
+    from scenaria.session import cut_lineage
+    s = clean.preprocess(views.series(spark, sf_dir), SERIES_ROLES)
+    feats = windows.engineer_features(s, SERIES_ROLES, ttf_label=None)
+    sp = splitting.scenario_split(s, "scenario_id", "C_label")
+    table = cut_lineage(splitting.assign(feats, sp, "scenario_id"))
+    fcols = [c for c in feats.columns if c not in ("scenario_id", "event_id", *LABELS)]
+    train = table.where("split = 'train'")
+    test = cut_lineage(table.where("split = 'test'"))
+    t0 = _t.perf_counter()
+    models = model.fit_per_label(train, fcols, LABELS, max_depth=5, n_trees=n_trees)
+    fit = _t.perf_counter() - t0
+    t = model.scoring_time({"test": model.score(models, test, fcols, "event_id"),
+                            "all": model.score(models, table, fcols, "event_id")}).collect()
+    t = {r["model"]: r for r in t}
+    return {"fit_s": fit, "test_score_s": t["test"]["total_s"], "test_rows": t["test"]["rows"] // len(LABELS),
+            "all_score_s": t["all"]["total_s"], "all_rows": t["all"]["rows"] // len(LABELS)}
