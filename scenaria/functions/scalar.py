@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["clip01", "finite_or_zero", "argmax_first", "blend", "renormalize", "truncate_renormalize",
+__all__ = ["clip01", "finite_or_zero", "argmax_first", "argmax_rounded", "argmax_cols", "blend_cols", "blend", "renormalize", "truncate_renormalize",
            "one_hot", "combo_key", "combo_ints", "first_dot_key", "strip_csv", "ms_per_sample",
            "epoch_seconds", "even_starts", "nan_to_null"]
 
@@ -29,6 +29,31 @@ def argmax_first(p: Column) -> Column:
     return (F.array_position(p, F.array_max(p)) - 1).cast("int")
 
 
+def argmax_rounded(p: Column, digits: int = 9, n: int = 6) -> Column:
+    """0-based index of the largest of the first ``n`` elements of array ``p`` quantised to ``digits``
+    places, the first on ties (missing elements ignored).  See ``argmax_cols``."""
+    return argmax_cols([F.get(p, i) for i in range(n)], digits)
+
+
+def argmax_cols(cols, digits: int = 9) -> Column:
+    """0-based index of the largest value quantised to ``digits`` places (half up), the first on
+    ties.  Each value becomes one key floor(x * 10^digits + 0.5) * M + (M - 1 - i), an exact integer
+    in a double, so a single ``greatest`` yields both the maximum and the lowest index among equal
+    quantised values: a compact scalar expression that stays inside generated code."""
+    m = len(cols) + 1
+    scale = float(10 ** digits)
+    keys = [F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") * F.lit(float(m)) + F.lit(float(m - 1 - i))
+            for i, c in enumerate(cols)]
+    g = F.greatest(*keys) if len(keys) > 1 else keys[0]
+    return (F.lit(m - 1) - F.pmod(g, F.lit(float(m))).cast("int")).cast("int")
+
+
+def blend_cols(p1: Column, p2: Column, w, n: int = 6) -> list[Column]:
+    """Element-wise weight * p1 + (1 - weight) * p2 of the first ``n`` elements, as scalars."""
+    w = w if isinstance(w, Column) else F.lit(float(w))
+    return [w * F.get(p1, i) + (F.lit(1.0) - w) * F.get(p2, i) for i in range(n)]
+
+
 def blend(p1: Column, p2: Column, w) -> Column:
     w = w if isinstance(w, Column) else F.lit(float(w))
     return F.zip_with(p1, p2, lambda a, b: w * a + (F.lit(1.0) - w) * b)

@@ -10,12 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scenaria.functions import argmax_first, blend, truncate_renormalize
+from scenaria.functions import argmax_cols, argmax_rounded, blend, blend_cols, truncate_renormalize
 
+N_CLASSES = 6   # fixed class list per label (0-5)
 
-def predict(p: Column, digits: int = 9) -> Column:
-    """Class of a probability vector, lowest class on (rounded) ties."""
-    return argmax_first(F.transform(p, lambda x: F.round(x, digits)))
+
+def predict(p: Column, digits: int = 9, n: int = N_CLASSES) -> Column:
+    """Class of a probability vector (first ``n`` classes), lowest class on (rounded) ties."""
+    return argmax_rounded(p, digits, n)
+
+
+def predict_blend(p1: Column, p2: Column, w, n: int = N_CLASSES, digits: int = 9) -> Column:
+    """F13 + T7 as scalar expressions: class of weight * p1 + (1 - weight) * p2."""
+    return argmax_cols(blend_cols(p1, p2, w, n), digits)
 
 
 def align(p1: DataFrame, p2: DataFrame, keys, a: str = "p1", b: str = "p2") -> DataFrame:
@@ -29,12 +36,16 @@ def align(p1: DataFrame, p2: DataFrame, keys, a: str = "p1", b: str = "p2") -> D
 def truncate_common(j: DataFrame, a: str = "p1", b: str = "p2") -> DataFrame:
     """cut both vectors to the smaller class count and renormalise."""
     k = F.least(F.size(a), F.size(b))
-    return j.withColumn(a, truncate_renormalize(F.col(a), k)).withColumn(b, truncate_renormalize(F.col(b), k))
+    j = j.withColumn(a, F.slice(a, 1, k)).withColumn(b, F.slice(b, 1, k))
+    tot = {c: F.aggregate(F.col(c), F.lit(0.0), lambda acc, x: acc + x) for c in (a, b)}
+    j = j.withColumn("_ta", tot[a]).withColumn("_tb", tot[b])
+    return j.withColumn(a, F.transform(a, lambda x: x / F.col("_ta"))) \
+        .withColumn(b, F.transform(b, lambda x: x / F.col("_tb"))).drop("_ta", "_tb")
 
 
-def blended(j: DataFrame, weight, a: str = "p1", b: str = "p2") -> DataFrame:
+def blended(j: DataFrame, weight, a: str = "p1", b: str = "p2", n: int = N_CLASSES) -> DataFrame:
     """F13 + T7: weight * p1 + (1 - weight) * p2 and its class."""
-    return j.withColumn("y_pred", predict(blend(F.col(a), F.col(b), weight)))
+    return j.withColumn("y_pred", predict_blend(F.col(a), F.col(b), weight, n))
 
 
 def weight_grid(n_steps: int) -> list[float]:
@@ -42,14 +53,33 @@ def weight_grid(n_steps: int) -> list[float]:
     return [i / float(n_steps) for i in range(n_steps + 1)]
 
 
-def weight_curve(j: DataFrame, n_steps: int = 20, by=("label",), a: str = "p1", b: str = "p2") -> DataFrame:
-    """M6/M7: accuracy of the blend at each weight of the grid: (by..., weight, accuracy)."""
+def grid_counts(j: DataFrame, n_steps: int = 20, by=("label",), a: str = "p1", b: str = "p2",
+                n: int = N_CLASSES) -> DataFrame:
+    """One aggregate over the aligned rows: rows, hits of each model alone and hits of the blend at
+    every weight of the grid (``_c<i>`` for weight i / n_steps), all compact scalar expressions."""
     ws = weight_grid(n_steps)
-    hits = [(predict(blend(F.col(a), F.col(b), w)) == F.col("y_true")).cast("long") for w in ws]
-    agg = j.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(h).alias(f"_c{i}") for i, h in enumerate(hits)])
-    long = agg.select(*by, "_n", F.explode(F.array(*[F.struct(F.lit(w).alias("weight"), F.col(f"_c{i}").alias("c"))
-                                                     for i, w in enumerate(ws)])).alias("t"))
-    return long.select(*by, "t.weight", (F.col("t.c") / F.col("_n")).alias("accuracy"))
+    hits = [(predict_blend(F.col(a), F.col(b), w, n) == F.col("y_true")).cast("long") for w in ws]
+    return j.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum((predict(F.col(a), n=n) == F.col("y_true")).cast("long")).alias("_first"),
+        F.sum((predict(F.col(b), n=n) == F.col("y_true")).cast("long")).alias("_second"),
+        *[F.sum(h).alias(f"_c{i}") for i, h in enumerate(hits)])
+
+
+def curve_from_counts(g: DataFrame, n_steps: int, grid_steps: int = 20, by=("label",)) -> DataFrame:
+    """The accuracy curve of an ``n_steps`` grid read off a finer ``grid_steps`` count table
+    (``grid_steps`` must be a multiple of ``n_steps``: i / n == (i * r) / (n * r) exactly)."""
+    r = grid_steps // n_steps
+    ws = weight_grid(n_steps)
+    return g.select(*by, F.explode(F.array(*[F.struct(F.lit(w).alias("weight"), (F.col(f"_c{i * r}") / F.col("_n"))
+                                                      .alias("accuracy")) for i, w in enumerate(ws)])).alias("t")) \
+        .select(*by, "t.weight", "t.accuracy")
+
+
+def weight_curve(j: DataFrame, n_steps: int = 20, by=("label",), a: str = "p1", b: str = "p2",
+                 n: int = N_CLASSES) -> DataFrame:
+    """M6/M7: accuracy of the blend at each weight of the grid: (by..., weight, accuracy)."""
+    return curve_from_counts(grid_counts(j, n_steps, by, a, b, n), n_steps, n_steps, by)
 
 
 def best_weight(curve: DataFrame, by=("label",), default: float = 0.5) -> DataFrame:
@@ -70,7 +100,7 @@ def accuracy_at(j: DataFrame, weights: DataFrame, by=("label",), default: float
     """Accuracy of the blend with a per-label weight (J4: missing weight -> default)."""
     jw = j.join(F.broadcast(weights.select(*by, F.col("weight").alias("_w"))), list(by), "left")  # one row per label
     w = F.coalesce(F.col("_w"), F.lit(default))
-    ok = (predict(blend(F.col(a), F.col(b), w)) == F.col("y_true")).cast("double")
+    ok = (predict_blend(F.col(a), F.col(b), w) == F.col("y_true")).cast("double")
     return jw.groupBy(*by).agg(F.avg(ok).alias("accuracy"))
 
 
@@ -89,7 +119,7 @@ def mismatch(p1: DataFrame, p2: DataFrame, keys, weights: DataFrame | None = Non
         F.avg(F.when(F.col("y1").isNotNull(), (F.col("y1") == F.col("y_true")).cast("double"))).alias("acc_first"),
         F.avg(F.when(F.col("y2").isNotNull(), (F.col("y2") == F.col("y_true2")).cast("double"))).alias("acc_second"),
         F.avg(F.when(F.col("y1").isNotNull() & F.col("y2").isNotNull(),
-                     (predict(blend(F.col("p1"), F.col("p2"), default)) == F.col("y_true")).cast("double")))
+                     (predict_blend(F.col("p1"), F.col("p2"), default) == F.col("y_true")).cast("double")))
         .alias("acc_aligned"))
     if weights is not None:
         agg = agg.join(F.broadcast(weights.select(*by, F.col("weight").alias("_w"))), list(by), "left")  # per label

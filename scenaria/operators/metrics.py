@@ -62,31 +62,36 @@ def _safe_div(a, b):
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
+def per_class(cnt: DataFrame) -> DataFrame:
+    """tp, support and predicted count per class of truth U prediction, from the count table in one
+    aggregate: every count cell is read once as truth and once as prediction."""
+    roles = F.array(F.struct(F.col("y_true").alias("c"), F.lit(True).alias("truth")),
+                    F.struct(F.col("y_pred").alias("c"), F.lit(False).alias("truth")))
+    e = cnt.select(*G, "y_true", "y_pred", "n", F.explode(roles).alias("r"))
+    t = F.col("r.truth")
+    return e.groupBy(*G, F.col("r.c").alias("c")).agg(
+        F.sum(F.when(t & (F.col("y_true") == F.col("y_pred")), F.col("n")).otherwise(0)).alias("tp"),
+        F.sum(F.when(t, F.col("n")).otherwise(0)).alias("support"),
+        F.sum(F.when(~t, F.col("n")).otherwise(0)).alias("npred"))
+
+
 def class_report(pred: DataFrame) -> DataFrame:
     """Per class precision, recall, f1-score, support over truth U prediction (0 on zero division),
     then 'accuracy' (value in every column), 'macro avg' and 'weighted avg' rows."""
-    cnt = counts(pred)
-    tp = cnt.where(F.col("y_true") == F.col("y_pred")).groupBy(*G, F.col("y_true").alias("c")).agg(F.sum("n").alias("tp"))
-    sup = cnt.groupBy(*G, F.col("y_true").alias("c")).agg(F.sum("n").alias("support"))
-    pc = cnt.groupBy(*G, F.col("y_pred").alias("c")).agg(F.sum("n").alias("npred"))
-    cls = _classes(cnt, True).select(*G, F.explode("classes").alias("c"))
-    per = cls.join(tp, [*G, "c"], "left").join(sup, [*G, "c"], "left").join(pc, [*G, "c"], "left") \
-        .na.fill(0, ["tp", "support", "npred"])
+    per = per_class(counts(pred))
     p = _safe_div(F.col("tp"), F.col("npred"))
     r = _safe_div(F.col("tp"), F.col("support"))
-    per = per.select(*G, "c", p.alias("precision"), r.alias("recall"), "support")
+    per = per.select(*G, "c", "tp", p.alias("precision"), r.alias("recall"), "support")
     per = per.withColumn("f1_score", _safe_div(2 * F.col("precision") * F.col("recall"),
                                                F.col("precision") + F.col("recall")))
     classes = per.select(*G, F.col("c").cast("string").alias("cls"), "precision", "recall", "f1_score",
                          F.col("support").cast("double").alias("support"))
     tot = per.groupBy(*G).agg(
-        F.sum("support").alias("n"),
+        F.sum("support").alias("n"), (F.sum("tp") / F.sum("support")).alias("accuracy"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1_score").alias("mf"),
         (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
         (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
         (F.sum(F.col("f1_score") * F.col("support")) / F.sum("support")).alias("wf"))
-    acc = accuracy(pred).select(*G, "accuracy")
-    tot = tot.join(acc, G)
     rows = tot.select(*G, F.explode(F.array(
         F.struct(F.lit("accuracy").alias("cls"), F.col("accuracy").alias("precision"), F.col("accuracy").alias("recall"),
                  F.col("accuracy").alias("f1_score"), F.col("accuracy").alias("support")),

@@ -13,6 +13,9 @@ from scenaria.operators import keyed
 from scenaria.operators.keyed import CHUNK, HALO, POS
 from scenaria.roles import Roles
 
+EXP = "_e"
+EMA_CHUNK_ROWS = 2048   # (11/9)^(2048+183) ~ 1e194: running weights stay finite for |x| < 1e114
+
 
 def ema_lookback(span: int) -> int:
     """Number of lags after which (1-alpha)^lag drops below double precision (2^-53):
@@ -21,25 +24,24 @@ def ema_lookback(span: int) -> int:
     return int(math.ceil(53 * math.log(2) / -math.log(beta)))
 
 
-def ema_expr(col: str, frame, span: int) -> Column:
-    """Adjusted exponential mean (sum beta^i x_{t-i} / sum beta^i over non-null x, decaying
-    across gaps by position); null until the first non-null value."""
+def ema_expr(col: str, running, span: int) -> Column:
+    """Adjusted exponential mean sum beta^(t-j) x_j / sum beta^(t-j) over non-null x_j (decay by
+    position across gaps), null before the first value.  Computed as a ratio of two running sums
+    weighted beta^-e, e = position inside the chunk with its halo: the beta^t factors cancel, the
+    halo covers every lag whose weight is above double precision, and chunks of EMA_CHUNK_ROWS
+    keep beta^-e far from overflow.  O(1) per row."""
     beta = 1.0 - 2.0 / (span + 1.0)
-    xs = F.collect_list(F.coalesce(F.col(col).cast("double"), F.lit(float("nan")))).over(frame)
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))
-
-    def step(acc, x):
-        miss = F.isnan(x)
-        return F.struct((acc["s"] * beta + F.when(miss, 0.0).otherwise(x)).alias("s"),
-                        (acc["w"] * beta + F.when(miss, 0.0).otherwise(1.0)).alias("w"))
-
-    return F.aggregate(xs, zero, step, lambda acc: F.when(acc["w"] > 0, acc["s"] / acc["w"]))
+    x = F.col(col).cast("double")
+    wgt = F.pow(F.lit(beta), -F.col(EXP))
+    num = F.sum(F.when(x.isNotNull(), wgt * x)).over(running)
+    den = F.sum(F.when(x.isNotNull(), wgt)).over(running)
+    return F.when(den > 0, num / den)
 
 
 def feature_exprs(roles: Roles, w, window: int = 10, span: int = 10,
                   kinds=("rolling_mean", "rolling_std", "ema", "diff")) -> list[Column]:
     roll = w.rowsBetween(-(window - 1), 0)
-    ema_frame = w.rowsBetween(-ema_lookback(span), 0)
+    ema_frame = w.rowsBetween(Window.unboundedPreceding, 0)
     out = []
     for c in roles.features:
         x = F.col(c).cast("double")
@@ -73,7 +75,11 @@ def engineer_features(df: DataFrame, roles: Roles, window: int = 10, span: int =
     if roles.features and kinds:
         base = keyed.ensure_position(df, roles.key, roles.order)
         halo = max(window - 1, ema_lookback(span) if "ema" in kinds else 0, 1)
+        if "ema" in kinds:
+            chunk_rows = min(chunk_rows, EMA_CHUNK_ROWS)
         ch = keyed.chunked(base, POS, chunk_rows, halo)
+        # exponent base: position of the chunk's first halo row
+        ch = ch.withColumn(EXP, (F.col(POS) - (F.col(CHUNK) * chunk_rows - halo + 1)).cast("double"))
         feats = feature_exprs(roles, keyed.chunk_window(roles.key), window, span, kinds)
         out = ch.select(*base.columns, HALO, *feats).where(~F.col(HALO)).drop(HALO)
     else:

@@ -320,7 +320,7 @@ def q_blend_mismatch(spark, sf_dir):
 
 
 def _curve(spark, sf_dir, n_steps=20):
-    return ensemble.weight_curve(_aligned(spark, sf_dir)[2], n_steps)
+    return ensemble.weight_curve(views.aligned_probs(spark, sf_dir), n_steps)
 
 
 @query
@@ -335,16 +335,18 @@ def q_best_weight(spark, sf_dir):
 
 
 def _accuracies(spark, sf_dir):
-    """(label, tree, seq, blend_50, blend_opt, weight_orig, weight_opt) over the aligned rows."""
-    j = _aligned(spark, sf_dir)[2]
-    single = j.groupBy("label").agg(
-        F.avg((ensemble.predict(F.col("p1")) == F.col("y_true")).cast("double")).alias("tree"),
-        F.avg((ensemble.predict(F.col("p2")) == F.col("y_true")).cast("double")).alias("seq"))
-    orig = ensemble.best_weight(ensemble.weight_curve(j, 10)).select("label", F.col("weight").alias("weight_orig"))
-    opt = ensemble.best_weight(ensemble.weight_curve(j, 20)).select("label", F.col("weight").alias("weight_opt"))
-    half = ensemble.accuracy_at(j, orig.select("label", F.lit(0.5).alias("weight"))).withColumnRenamed("accuracy", "blend_50")
-    tuned = ensemble.accuracy_at(j, opt.withColumnRenamed("weight_opt", "weight")).withColumnRenamed("accuracy", "blend_opt")
-    return single.join(half, "label").join(tuned, "label").join(orig, "label").join(opt, "label")
+    """(label, tree, seq, blend_50, blend_opt, weight_orig, weight_opt) over the aligned rows, all read
+    off one aggregate: the 11-point grid and 0.5 lie on the 21-point grid."""
+    from scenaria.session import cut_lineage
+    g = cut_lineage(ensemble.grid_counts(views.aligned_probs(spark, sf_dir), 20))   # one small row per label
+    c21 = ensemble.curve_from_counts(g, 20)
+    orig = ensemble.best_weight(ensemble.curve_from_counts(g, 10)).select("label", F.col("weight").alias("weight_orig"))
+    opt = ensemble.best_weight(c21).select("label", F.col("weight").alias("weight_opt"))
+    at = lambda w, name: c21.where(F.col("weight") == w).select("label", F.col("accuracy").alias(name))
+    tuned = c21.join(opt, "label").where(F.col("weight") == F.col("weight_opt")).select(
+        "label", F.col("accuracy").alias("blend_opt"))
+    single = g.select("label", (F.col("_first") / F.col("_n")).alias("tree"), (F.col("_second") / F.col("_n")).alias("seq"))
+    return single.join(at(0.5, "blend_50"), "label").join(tuned, "label").join(orig, "label").join(opt, "label")
 
 
 @query

@@ -47,14 +47,30 @@ def probs_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def probs_rows(spark: SparkSession, sf_dir: str, label: str = "C_label") -> DataFrame:
-    """Array form without a shuffle: (event_id, y, p_tree array<double>, p_seq array<double>)."""
+    """Array form without a shuffle: (event_id, y, p_tree array<double>, p_seq array<double>); the
+    per-class scores are scalar expressions, normalised by their row sum."""
     s = series(spark, sf_dir).select("event_id", F.col("C_label").alias("y"))
     e, y = F.col("event_id"), F.col("y")
-    cls = F.sequence(F.lit(0), F.lit(N_CLASSES - 1))
-    a = F.transform(cls, lambda c: ((e * 7 + c * 11) % 13 + 1 + F.when((c == y) & (e % 3 == 0), 6).otherwise(0)).cast("double"))
-    b = F.transform(cls, lambda c: ((e * 5 + c * 3) % 11 + 1 + F.when((c == y) & (e % 3 == 1), 6).otherwise(0)).cast("double"))
-    norm = lambda arr: F.transform(arr, lambda x: x / F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v))
-    return s.select("event_id", "y", norm(a).alias("p_tree"), norm(b).alias("p_seq"))
+    a = [((e * 7 + c * 11) % 13 + 1 + F.when((F.lit(c) == y) & (e % 3 == 0), 6).otherwise(0)).cast("double")
+         for c in range(N_CLASSES)]
+    b = [((e * 5 + c * 3) % 11 + 1 + F.when((F.lit(c) == y) & (e % 3 == 1), 6).otherwise(0)).cast("double")
+         for c in range(N_CLASSES)]
+    s = s.select("event_id", "y", *[x.alias(f"_a{i}") for i, x in enumerate(a)],
+                 *[x.alias(f"_b{i}") for i, x in enumerate(b)])
+
+    def norm(prefix):
+        tot = sum((F.col(f"{prefix}{i}") for i in range(1, N_CLASSES)), F.col(f"{prefix}0"))
+        return F.array(*[F.col(f"{prefix}{i}") / tot for i in range(N_CLASSES)])
+
+    return s.select("event_id", "y", norm("_a").alias("p_tree"), norm("_b").alias("p_seq"))
+
+
+def aligned_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both models scored in one pass over the rows: already aligned (event_id, label, y_true, p1, p2),
+    so blending needs no join."""
+    r = probs_rows(spark, sf_dir)
+    return r.select("event_id", F.lit("C_label").alias("label"), F.col("y").alias("y_true"),
+                    F.col("p_tree").alias("p1"), F.col("p_seq").alias("p2"))
 
 
 def model_probs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
