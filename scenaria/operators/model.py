@@ -61,32 +61,35 @@ def fit_per_label(train: DataFrame, features, labels, **kw) -> dict[str, Pipelin
 
 def cross_validate(train: DataFrame, features, label: str, depths=(3, 5), folds: int = 3,
                    parallelism: int = 2, seed: int = 42, **kw):
-    """M2: grid search over tree depth with k-fold CV on accuracy.  Returns (best model, table of
-    (max_depth, accuracy))."""
+    """M2: grid search over tree depth with k-fold CV on accuracy.  Returns (best model refitted on
+    all training rows, as a one-stage pipeline; table of (max_depth, accuracy))."""
     x = features_vector(train, features).withColumn(label, F.col(label).cast("double"))
-    clf = classifier(label, n_classes(train, label) <= 2, **kw)
+    clf = classifier(label, n_classes(train, label) <= 2, prefix=label, **kw)
     grid = ParamGridBuilder().addGrid(clf.maxDepth, list(depths)).build()
-    ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
+    ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol=f"{label}_pred", metricName="accuracy")
     cv = CrossValidator(estimator=clf, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
                         parallelism=parallelism, seed=seed)
     m = cv.fit(x)
     spark = train.sparkSession
     table = spark.createDataFrame([(int(pm[clf.maxDepth]), float(a)) for pm, a in zip(grid, m.avgMetrics)],
                                   "max_depth int, accuracy double")
-    return m.bestModel, table
+    return PipelineModel(stages=[m.bestModel]), table
 
 
-def score(models: dict, df: DataFrame, features, row_id: str, model_name: str = "tree") -> DataFrame:
+def score(models: dict, df: DataFrame, features, row_id, model_name: str = "tree") -> DataFrame:
     """M3: all label models applied in one pass over the rows, then unpivoted to the long probability
-    table (row_id, label, model, y_true, y_pred, p)."""
+    table (row key..., label, model, y_true, y_pred, p); ``row_id`` is one column (renamed ``row_id``)
+    or a list of key columns kept as they are."""
     x = features_vector(df, features)
     for m in models.values():
         x = m.transform(x)
     parts = [F.struct(F.lit(lab).alias("label"), F.col(lab).cast("int").alias("y_true"),
                       F.col(f"{lab}_pred").cast("int").alias("y_pred"),
                       vector_to_array(f"{lab}_prob").alias("p")) for lab in models]
-    return x.select(F.col(row_id).alias("row_id"), F.explode(F.array(*parts)).alias("_t")) \
-        .select("row_id", "_t.label", F.lit(model_name).alias("model"), "_t.y_true", "_t.y_pred", "_t.p")
+    keys = [F.col(row_id).alias("row_id")] if isinstance(row_id, str) else [F.col(c) for c in row_id]
+    names = ["row_id"] if isinstance(row_id, str) else list(row_id)
+    return x.select(*keys, F.explode(F.array(*parts)).alias("_t")) \
+        .select(*names, "_t.label", F.lit(model_name).alias("model"), "_t.y_true", "_t.y_pred", "_t.p")
 
 
 def flatten_sequences(long_seqs: DataFrame, key: str, features, labels, seq_len: int) -> DataFrame:
