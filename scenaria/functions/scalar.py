@@ -95,9 +95,13 @@ def ms_per_sample(total_s: Column, n: Column) -> Column:
 
 
 def epoch_seconds(ts: Column, dtype: str) -> Column:
-    """Seconds since 1970 for TIMESTAMP (absolute) and TIMESTAMP_NTZ (wall clock, zone-free)."""
+    """Seconds since 1970 as double.  TIMESTAMP is absolute; TIMESTAMP_NTZ is read as wall clock
+    from its own fields (days, hours, minutes, exact decimal seconds), so no session time zone enters."""
     if dtype.startswith("timestamp_ntz"):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts._jc.toString()})") / 1e6
+        whole = (F.unix_date(F.to_date(ts)).cast("long") * 86400 + F.hour(ts).cast("long") * 3600
+                 + F.minute(ts).cast("long") * 60)
+        secs = F.expr(f"date_part('SECOND', {ts._jc.toString()})")       # decimal(8,6), exact micros
+        return (whole.cast("decimal(20,6)") + secs).cast("double")
     return F.unix_micros(ts).cast("double") / 1e6
 
 

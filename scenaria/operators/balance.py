@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scenaria.operators import keyed
+from scenaria.session import cut_lineage
 
 N_PROJ = 4
 
@@ -64,6 +65,8 @@ def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, see
     width = pb.where(~F.isnan("r") & (F.col("r") < float("inf"))).groupBy("cls") \
         .agg(F.greatest(F.percentile_approx("r", 0.5), F.lit(1e-9)).alias("width"))
     pb = pb.join(F.broadcast(width), "cls", "left").withColumn("width", F.coalesce("width", F.lit(1.0)))
+    # both sides of the band join read the same per-row table: write it once (and cut the lineage)
+    pb = cut_lineage(pb)
     bucket = F.floor((F.col("t0") - F.col("lo")) / F.col("width")).cast("long")
     lo_b = F.floor((F.greatest(F.col("t0") - F.col("r"), F.col("lo")) - F.col("lo")) / F.col("width")).cast("long")
     hi_b = F.floor((F.least(F.col("t0") + F.col("r"), F.col("hi")) - F.col("lo")) / F.col("width")).cast("long")
@@ -132,3 +135,22 @@ def smote_if_rare(df: DataFrame, id_col: str, vec: str, cls: str, min_required:
     if mn is None or mn >= min_required:
         return df.withColumn("synthetic", F.lit(False)), None
     return smote(df, id_col, vec, cls, **kw)
+
+
+def smote_combos(df: DataFrame, id_col: str, vec: str, labels, k: int = 5, seed: int = 42,
+                 min_rows: int = 5, sep: str = ","):
+    """SMOTE over the combined label key (F5), run only when the rarest combination has at least
+    ``min_rows`` rows; the key is split back into the labels (F7).  Returns (rows, ran)."""
+    from scenaria.functions import combo_ints, combo_key
+    labels = list(labels)
+    t = df.withColumn("_combo", combo_key(labels, sep))
+    mn = t.groupBy("_combo").count().agg(F.min("count")).first()[0]
+    if mn is None or mn < min_rows:
+        return df, False
+    base = t.drop("synthetic") if "synthetic" in t.columns else t
+    out, _plan = smote(base, id_col, vec, "_combo", k=k, seed=seed)
+    types = dict(df.dtypes)
+    parts = combo_ints(F.col("_combo"), len(labels), sep)
+    out = out.select(*[parts[labels.index(c)].cast(types[c]).alias(c) if c in labels else F.col(c)
+                       for c in out.columns if c != "_combo"])
+    return out, True

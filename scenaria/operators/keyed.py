@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scenaria.session import cut_lineage, shuffle_partitions
+from scenaria.session import cut_lineage
 
 POS = "_pos"
 CHUNK = "_chunk"
@@ -26,8 +26,10 @@ def with_position(df: DataFrame, key: str, order: list[str], pos: str = POS,
     """Add ``pos``: the row's 1-based rank inside its ``key`` by ``order`` (order must be unique
     inside a key).  One range shuffle; the per-(partition, key) offset table has at most
     partitions + keys rows and is joined back (AQE broadcasts it when its measured size allows)."""
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    s = (df.repartitionByRange(n, key, *order)
+    # without an explicit count AQE may coalesce adjacent ranges; ranges stay contiguous and sorted,
+    # so partition ids and ids below remain a valid order
+    r = df.repartitionByRange(num_partitions, key, *order) if num_partitions else df.repartitionByRange(key, *order)
+    s = (r
            .sortWithinPartitions(key, *order)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))

@@ -63,6 +63,9 @@ def prepare(df: DataFrame, roles: Roles, cfg: PrepareConfig = PrepareConfig(), o
                                           "_rid", "_x", lab, k=5, seed=cfg.seed)
                 vec = cut_lineage(vec.withColumn("_rid", F.coalesce("_rid", F.monotonically_increasing_id() + (1 << 40))))
                 plans.append(plan.withColumn("label", F.lit(lab)))
+        # stage 2: label combinations, when the rarest one has enough rows
+        vec, _ran = balance.smote_combos(vec.drop("synthetic") if "synthetic" in vec.columns else vec,
+                                         "_rid", "_x", list(roles.labels), k=5, seed=cfg.seed)
         balanced = vec
     seq_train = sequences.strided(train_rows, roles, cfg.seq_len, cfg.train_step)
     seq_val = sequences.even(table.where(F.col("split") == "val"), roles, cfg.seq_len, cfg.eval_starts)

@@ -403,14 +403,8 @@ def q_smote_counts(spark, sf_dir):
 def q_smote_combo_counts(spark, sf_dir):
     lab = views.table(spark, sf_dir, "labels")
     docs = views.table(spark, sf_dir, "documents").select("doc_id", F.array(F.col("n_chars").cast("double")).alias("x"))
-    t = lab.join(docs, "doc_id").withColumn("combo", F.concat_ws(",", F.col("quality").cast("string"),
-                                                                  F.col("toxic").cast("string")))
-    mn = t.groupBy("combo").count().agg(F.min("count")).first()[0]
-    if mn is not None and mn >= 5:
-        t, _plan = balance.smote(t, "doc_id", "x", "combo", k=5)
-    q = F.split("combo", ",")
-    return t.groupBy(q.getItem(0).cast("int").alias("quality"), q.getItem(1).cast("int").alias("toxic")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+    t, _ran = balance.smote_combos(lab.join(docs, "doc_id"), "doc_id", "x", ["quality", "toxic"], k=5)
+    return t.groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- sources ---------------------------------------------------------------------------------
