@@ -38,9 +38,9 @@ def sq_dist(a: Column, b: Column) -> Column:
 
 
 def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, seed: int = 42,
-                 dim: int | None = None) -> DataFrame:
-    """For every row its k nearest rows of the same class by squared Euclidean distance
-    (double), ties by id.  Returns (id, rank, nbr_id, d2)."""
+                 dim: int | None = None, query_ids: DataFrame | None = None) -> DataFrame:
+    """For every row (or only the rows in ``query_ids``) its k nearest rows of the same class by
+    squared Euclidean distance (double), ties by id.  Returns (id, rank, nbr_id, d2)."""
     if dim is None:
         dim = len(df.select(vec).where(F.col(vec).isNotNull()).first()[0])
     dirs = _directions(dim, seed)
@@ -50,7 +50,9 @@ def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, see
     # (1) upper bound from the 2k neighbours in projection order (equi-join on shifted positions)
     pos = keyed.with_position(pts, "cls", ["t0", "id"], pos="p")
     offs = F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])
-    q = pos.select("cls", "id", "p", "v", F.explode(offs).alias("o")).withColumn("pp", F.col("p") + F.col("o"))
+    qids = None if query_ids is None else query_ids.select(F.col(id_col).alias("id")).distinct()
+    qpos = pos if qids is None else pos.join(qids, "id", "left_semi")
+    q = qpos.select("cls", "id", "p", "v", F.explode(offs).alias("o")).withColumn("pp", F.col("p") + F.col("o"))
     c = pos.select("cls", F.col("p").alias("pp"), F.col("v").alias("w"))
     near = q.join(c, ["cls", "pp"]).select("cls", "id", sq_dist(F.col("v"), F.col("w")).alias("d2"))
     rk = Window.partitionBy("id").orderBy("d2")
@@ -72,7 +74,7 @@ def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, see
     hi_b = F.floor((F.least(F.col("t0") + F.col("r"), F.col("hi")) - F.col("lo")) / F.col("width")).cast("long")
     data = pb.select("cls", bucket.alias("bk"), F.col("id").alias("nbr_id"), F.col("v").alias("w"),
                      *[F.col(f"t{i}").alias(f"s{i}") for i in range(len(dirs))])
-    qry = pb.select("cls", "id", "v", "r", *[f"t{i}" for i in range(len(dirs))],
+    qry = (pb if qids is None else pb.join(qids, "id", "left_semi")).select("cls", "id", "v", "r", *[f"t{i}" for i in range(len(dirs))],
                     F.explode(F.sequence(lo_b, hi_b)).alias("bk"))
     cand = qry.join(data, ["cls", "bk"]).where(F.col("id") != F.col("nbr_id"))
     for i in range(len(dirs)):
@@ -115,9 +117,11 @@ def smote(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, seed: int
     spec = j.select(cls, "_j", (_pick(F.col("n"), sd, F.col(cls), F.col("_j")) + 1).alias("_bp"),
                     (_pick(F.col("k_used"), sd + 1, F.col(cls), F.col("_j")) + 1).alias("_nr"),
                     _u01(sd + 2, F.col(cls), F.col("_j")).alias("_u"))
-    base = keyed.with_position(df, cls, [id_col], pos="_bp")
-    knn = knn_in_class(df, id_col, vec, cls, k, seed)
+    # only classes that grow need neighbours, and only for the base rows actually drawn
+    grow = df.join(F.broadcast(todo.select(cls)), cls, "left_semi")   # one row per class to grow
+    base = keyed.with_position(grow, cls, [id_col], pos="_bp")
     b = spec.join(base, [cls, "_bp"])
+    knn = knn_in_class(grow, id_col, vec, cls, k, seed, query_ids=b.select(id_col))
     b = b.join(knn.select(F.col(id_col), F.col("rank").alias("_nr"), "nbr_id"), [id_col, "_nr"])
     nb = df.select(F.col(id_col).alias("nbr_id"), F.col(vec).alias("_nv"))
     b = b.join(nb, "nbr_id")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scenaria.operators import balance, clean, sequences, split as splitting, stats, windows
+from scenaria.operators import balance, clean, keyed, sequences, split as splitting, stats, windows
 from scenaria.roles import Roles
 from scenaria.session import cut_lineage
 from scenaria.sources import io
@@ -35,8 +35,11 @@ class PrepareConfig:
 def prepare(df: DataFrame, roles: Roles, cfg: PrepareConfig = PrepareConfig(), out: str | None = None) -> dict:
     """Returns the tables of the preparation (and writes them under ``out`` when given)."""
     key = roles.key
-    clean_df = clean.preprocess(df, roles)
-    feats = windows.engineer_features(clean_df, roles, ttf_label=roles.labels[0] if cfg.ttf else None)
+    # positions once (range partitioned, checkpointed); cleaning, features and sequences reuse them
+    base = keyed.with_position(df, key, roles.order)
+    clean_df = clean.preprocess(base, roles)
+    feats = windows.engineer_features(clean_df, roles, ttf_label=roles.labels[0] if cfg.ttf else None,
+                                      keep_pos=True)
     feats = cut_lineage(feats)                       # the wide table is reused by every split
     primary = cfg.primary or roles.labels[-1]
     modes = cut_lineage(stats.scenario_modes(feats, key, list(roles.labels)))
@@ -45,8 +48,8 @@ def prepare(df: DataFrame, roles: Roles, cfg: PrepareConfig = PrepareConfig(), o
     sp = cut_lineage(sp)
     table = splitting.assign(feats, sp, key)
     missing = splitting.missing_classes(feats, sp, key, list(roles.labels))
-    eng = [c for c in feats.columns
-           if c not in (key, roles.tie, *roles.labels) and not c.endswith("_time_to_failure")]
+    eng = [c for c in feats.columns if c not in (key, roles.tie, *roles.labels)
+           and not c.endswith("_time_to_failure") and not c.startswith("_")]
     x_roles = Roles(key=key, time=roles.time, features=tuple(eng), labels=roles.labels, tie=roles.tie)
     train_rows = table.where(F.col("split") == "train")
     # balancing on the training rows: one feature vector per row, per label, then label combinations

@@ -481,11 +481,13 @@ def tree_scoring(spark, sf_dir, n_trees: int = 20):
     Returns fit seconds and, for the test rows and for all rows, scoring seconds and row counts."""
     import time as _t
     from scenaria.session import cut_lineage
-    s = clean.preprocess(views.series(spark, sf_dir), SERIES_ROLES)
-    feats = windows.engineer_features(s, SERIES_ROLES, ttf_label=None)
+    from scenaria.operators import keyed
+    s = clean.preprocess(keyed.with_position(views.series(spark, sf_dir), "scenario_id", SERIES_ROLES.order),
+                         SERIES_ROLES)
+    feats = windows.engineer_features(s, SERIES_ROLES, ttf_label=None, keep_pos=True)
     sp = splitting.scenario_split(s, "scenario_id", "C_label")
     table = cut_lineage(splitting.assign(feats, sp, "scenario_id"))
-    fcols = [c for c in feats.columns if c not in ("scenario_id", "event_id", *LABELS)]
+    fcols = [c for c in feats.columns if c not in ("scenario_id", "event_id", *LABELS) and not c.startswith("_")]
     train = table.where("split = 'train'")
     test = cut_lineage(table.where("split = 'test'"))
     t0 = _t.perf_counter()
