@@ -49,14 +49,20 @@ def classifier(label: str, binary: bool, max_depth: int = 5, n_trees: int = 100,
                                   featureSubsetStrategy="0.8", **out)
 
 
-def fit_per_label(train: DataFrame, features, labels, **kw) -> dict[str, PipelineModel]:
-    """M1: one fitted pipeline per label (output columns ``<label>_pred`` / ``_prob`` / ``_raw``)."""
+def fit_per_label(train: DataFrame, features, labels, parallelism: int | None = None, **kw) -> dict[str, PipelineModel]:
+    """M1: one fitted pipeline per label (output columns ``<label>_pred`` / ``_prob`` / ``_raw``).
+    The label fits are independent Spark jobs submitted from ``parallelism`` driver threads, as
+    ``CrossValidator(parallelism=...)`` does."""
+    from concurrent.futures import ThreadPoolExecutor
     x = features_vector(train, features)
-    models = {}
-    for lab in labels:
+    labels = list(labels)
+
+    def fit(lab):
         clf = classifier(lab, n_classes(train, lab) <= 2, prefix=lab, **kw)
-        models[lab] = Pipeline(stages=[clf]).fit(x.withColumn(lab, F.col(lab).cast("double")))
-    return models
+        return lab, Pipeline(stages=[clf]).fit(x.withColumn(lab, F.col(lab).cast("double")))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism or len(labels))) as pool:
+        return dict(pool.map(fit, labels))
 
 
 def cross_validate(train: DataFrame, features, label: str, depths=(3, 5), folds: int = 3,
