@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scenaria.functions import even_starts
 from scenaria.operators import keyed
 from scenaria.operators.keyed import POS
 from scenaria.operators.split import seeded_order
@@ -39,16 +38,19 @@ def strided(df: DataFrame, roles: Roles, seq_len: int = 20, step: int = 15,
 
 def even(df: DataFrame, roles: Roles, seq_len: int = 20, n_starts: int = 10) -> DataFrame:
     """Up to ``n_starts`` evenly spaced starts trunc(linspace(0, m-1, min(m, n_starts))),
-    m = n - seq_len + 1 (a single start 0 when m = 1)."""
+    m = n - seq_len + 1 (a single start 0 when m = 1).  Each row explodes into the at most
+    ``n_starts`` candidate windows and keeps those that contain it; every start is a scalar
+    expression of (k, m), so the whole step stays in generated code."""
     b = _with_length(df, roles).where(F.col("_n") >= seq_len)
     i = F.col(POS) - 1
-    starts = even_starts(F.col("_n"), seq_len, n_starts)
-    hits = F.filter(F.transform(F.sequence(F.lit(0), F.size(starts) - 1),
-                                lambda k: F.struct(k.cast("long").alias("k"), starts[k].cast("long").alias("s"))),
-                    lambda t: (t["s"] <= i) & (i < t["s"] + seq_len))
-    out = b.withColumn("_h", F.explode(hits))
-    return out.select(*[c for c in b.columns if c != "_n"], F.col("_h.k").alias("seq_id"),
-                      (i - F.col("_h.s")).cast("long").alias("step"))
+    m = F.col("_n") - seq_len + 1
+    kn = F.least(m, F.lit(n_starts))
+    k = F.col("seq_id")
+    start = F.when(kn <= 1, F.lit(0)).when(k == kn - 1, m - 1) \
+        .otherwise(F.floor(k * ((m - 1).cast("double") / (kn - 1).cast("double")))).cast("long")
+    out = b.withColumn("seq_id", F.explode(F.sequence(F.lit(0).cast("long"), (kn - 1).cast("long"))))
+    out = out.withColumn("_s", start).where((F.col("_s") <= i) & (i < F.col("_s") + seq_len))
+    return out.select(*[c for c in b.columns if c != "_n"], "seq_id", (i - F.col("_s")).cast("long").alias("step"))
 
 
 def random_subset(df: DataFrame, roles: Roles, seq_len: int = 20, n_samples: int = 50,
