@@ -93,11 +93,21 @@ def carried_fill(df: DataFrame, key: str, cols: list[str], pos: str = POS,
                          .alias(f"_cp_{c}") for c in cols],
                        *[F.first(f"_lo_{c}", True).over(cw.rowsBetween(1, Window.unboundedFollowing))
                          .alias(f"_cn_{c}") for c in cols])
-    j = d.join(summ, d[key].eqNullSafe(summ["_k"]) & (d[CHUNK] == summ["_c"]), "left")
-    keep = [d[c] for c in df.columns]
-    return j.select(*keep,
-                    *[F.coalesce(d[f"_ip_{c}"], summ[f"_cp_{c}"]).alias(f"_prev_{c}") for c in cols],
-                    *[F.coalesce(d[f"_in_{c}"], summ[f"_cn_{c}"]).alias(f"_next_{c}") for c in cols])
+    # equi-join on exactly (key, chunk): the rows keep the window's partitioning, only the summary moves
+    summ = summ.withColumnRenamed("_k", key).withColumnRenamed("_c", CHUNK)
+    j = d.join(summ, [key, CHUNK], "left")
+    return j.select(*df.columns,
+                    *[F.coalesce(F.col(f"_ip_{c}"), F.col(f"_cp_{c}")).alias(f"_prev_{c}") for c in cols],
+                    *[F.coalesce(F.col(f"_in_{c}"), F.col(f"_cn_{c}")).alias(f"_next_{c}") for c in cols])
+
+
+def attach_chunk_stats(df: DataFrame, stats: DataFrame, key: str, count_col: str, chunk_rows: int) -> DataFrame:
+    """Join one-row-per-key statistics onto rows that carry ``_chunk`` and are partitioned by
+    (key, chunk) (the output of a chunked window): the statistics are copied to one row per chunk of
+    their key and joined on (key, chunk), so the rows are not shuffled again and no key is hot."""
+    n_chunks = F.ceil(F.col(count_col) / F.lit(chunk_rows)).cast("long")
+    per_chunk = stats.withColumn(CHUNK, F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)))
+    return df.join(per_chunk, [key, CHUNK], "left")
 
 
 def attach_key_stats(df: DataFrame, stats: DataFrame, key: str) -> DataFrame:

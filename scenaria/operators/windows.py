@@ -57,8 +57,8 @@ def feature_exprs(roles: Roles, w, window: int = 10, span: int = 10,
 
 
 def series_stats(df: DataFrame, roles: Roles, ttf_label: str | None) -> DataFrame:
-    """One row per series: min/max time and (max label, last time at it)."""
-    aggs = [F.min(roles.time).alias("_t0"), F.max(roles.time).alias("_t1")]
+    """One row per series: row count, min/max time and (max label, last time at it)."""
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.min(roles.time).alias("_t0"), F.max(roles.time).alias("_t1")]
     if ttf_label:
         lbl = F.col(ttf_label)
         aggs.append(F.max(F.when(lbl.isNotNull(), F.struct(lbl.alias("l"), F.col(roles.time).alias("t"))))
@@ -81,11 +81,15 @@ def engineer_features(df: DataFrame, roles: Roles, window: int = 10, span: int =
         # exponent base: position of the chunk's first halo row
         ch = ch.withColumn(EXP, (F.col(POS) - (F.col(CHUNK) * chunk_rows - halo + 1)).cast("double"))
         feats = feature_exprs(roles, keyed.chunk_window(roles.key), window, span, kinds)
-        out = ch.select(*base.columns, HALO, *feats).where(~F.col(HALO)).drop(HALO)
+        out = ch.select(*base.columns, CHUNK, HALO, *feats).where(~F.col(HALO)).drop(HALO)
     else:
         out = df
     if time_since_start or ttf_label:
-        out = keyed.attach_key_stats(out, series_stats(df, roles, ttf_label), roles.key)
+        st = series_stats(df, roles, ttf_label)
+        if CHUNK in out.columns:
+            out = keyed.attach_chunk_stats(out, st, roles.key, "_cnt", chunk_rows)
+        else:
+            out = keyed.attach_key_stats(out, st, roles.key)
         extra = []
         if time_since_start:
             extra.append((F.col(roles.time) - F.col("_t0")).alias("time_since_start"))
@@ -93,8 +97,10 @@ def engineer_features(df: DataFrame, roles: Roles, window: int = 10, span: int =
             extra.append(time_to_failure_expr(roles.time, ttf_label).alias(f"{Roles.component(ttf_label)}_time_to_failure"))
         keep = [c for c in out.columns if not c.startswith("_") or (keep_pos and c == POS)]
         out = out.select(*keep, *extra)
-    elif not keep_pos and POS in out.columns:
-        out = out.drop(POS)
+    else:
+        out = out.drop(*[c for c in (CHUNK, "_e") if c in out.columns])
+        if not keep_pos and POS in out.columns:
+            out = out.drop(POS)
     return out
 
 
