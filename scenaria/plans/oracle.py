@@ -368,3 +368,9 @@ select class, case when (select min(n) from c) < 100 then (select max(n) from c)
 register("smote_combo_counts", """
 with t as (select quality, toxic, count(*) as n from labels l join documents d using (doc_id) group by all)
 select quality, toxic, case when (select min(n) from t) >= 5 then (select max(n) from t) else n end as n from t""")
+
+register("read_roles", with_(SERIES) + """
+select Time, cast(f1 as float) as f1, cast(f2 as float) as f2, cast(A_label as tinyint) as A_label,
+       cast(B_label as tinyint) as B_label, cast(C_label as tinyint) as C_label,
+       case when cast(floor(Time * 1e6) as bigint) % 2 = 0 then 'a' else 'b.v2' end as scenario_id
+from series""")

@@ -416,7 +416,7 @@ def q_read_roles(spark, sf_dir):
     """The series written as one CSV per scenario group (``a.csv``, ``b.v2.csv``) into the shared
     scratch folder, read back in one scan with header-derived types and file-name keys."""
     s = views.series(spark, sf_dir).drop("event_id", "scenario_id")
-    s = s.select("Time", "f1", "f2", *LABELS, (F.col("Time") * 1e6).cast("long").alias("_t"))
+    s = s.select("Time", "f1", "f2", *LABELS, F.floor(F.col("Time") * 1e6).alias("_t"))
     folder = io.shared_scratch(spark, "read_roles")
     parts = {"a": F.col("_t") % 2 == 0, "b.v2": F.col("_t") % 2 == 1}
     for name, cond in parts.items():
