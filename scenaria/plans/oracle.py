@@ -359,7 +359,7 @@ d as (select a.vec_id, b.vec_id as nbr_id,
              list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (z[1]::double - z[2]::double) * (z[1]::double - z[2]::double))) as d2
       from e a join e b on a.label = b.label and a.vec_id <> b.vec_id),
 r as (select *, row_number() over (partition by vec_id order by d2, nbr_id) as rank from d)
-select vec_id, rank, nbr_id, round(d2, 6) as d2 from r where rank <= 5""")
+select vec_id, cast(rank as int) as rank, nbr_id, round(d2, 6) as d2 from r where rank <= 5""")
 
 register("smote_counts", """
 with c as (select label as class, count(*) as n from embeddings group by label)
