@@ -6,7 +6,10 @@ an upper bound r on each row's k-th neighbour distance, and (2) every true neigh
 within r on every projection.  Rows are bucketed on the first projection; each query row
 visits only the buckets its band [t - r, t + r] covers (an equi-join on (class, bucket)), the
 other projections prune further, and exact squared distances rank the survivors.  The result
-is exact; the work is the band, not the class squared.
+is exact; the work is the band, not the class squared, when the geometry lets a projection prune.
+In high dimensions with unclustered data a projection captures little of the distance and the band
+holds most same-class rows; that work is inherent to exact k-NN, and salted sub-buckets plus a
+two-level top-k keep every join task and every window group bounded.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ def sq_dist(a: Column, b: Column) -> Column:
 
 
 def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, seed: int = 42,
-                 dim: int | None = None, query_ids: DataFrame | None = None) -> DataFrame:
+                 dim: int | None = None, query_ids: DataFrame | None = None, salt_rows: int = 4096) -> DataFrame:
     """For every row (or only the rows in ``query_ids``) its k nearest rows of the same class by
     squared Euclidean distance (double), ties by id.  Returns (id, rank, nbr_id, d2)."""
     if dim is None:
@@ -72,14 +75,23 @@ def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, see
     bucket = F.floor((F.col("t0") - F.col("lo")) / F.col("width")).cast("long")
     lo_b = F.floor((F.greatest(F.col("t0") - F.col("r"), F.col("lo")) - F.col("lo")) / F.col("width")).cast("long")
     hi_b = F.floor((F.least(F.col("t0") + F.col("r"), F.col("hi")) - F.col("lo")) / F.col("width")).cast("long")
+    # (3) salting: a bucket of n rows is split into ceil(n / salt_rows) sub-buckets; a query row joins
+    # every sub-bucket of every bucket its band covers, so no join task holds a whole wide bucket
     data = pb.select("cls", bucket.alias("bk"), F.col("id").alias("nbr_id"), F.col("v").alias("w"),
                      *[F.col(f"t{i}").alias(f"s{i}") for i in range(len(dirs))])
-    qry = (pb if qids is None else pb.join(qids, "id", "left_semi")).select("cls", "id", "v", "r", *[f"t{i}" for i in range(len(dirs))],
-                    F.explode(F.sequence(lo_b, hi_b)).alias("bk"))
-    cand = qry.join(data, ["cls", "bk"]).where(F.col("id") != F.col("nbr_id"))
+    salts = data.groupBy("cls", "bk").agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_rows)).cast("long").alias("ns"))
+    data = data.join(salts, ["cls", "bk"]).withColumn("salt", F.pmod(F.xxhash64("nbr_id"), F.col("ns"))).drop("ns")
+    qry = (pb if qids is None else pb.join(qids, "id", "left_semi")).select(
+        "cls", "id", "v", "r", *[f"t{i}" for i in range(len(dirs))], F.explode(F.sequence(lo_b, hi_b)).alias("bk"))
+    qry = qry.join(salts, ["cls", "bk"]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ns") - 1))) \
+        .drop("ns")
+    cand = qry.join(data, ["cls", "bk", "salt"]).where(F.col("id") != F.col("nbr_id"))
     for i in range(len(dirs)):
         cand = cand.where(F.abs(F.col(f"t{i}") - F.col(f"s{i}")) <= F.col("r") * (1 + 1e-9) + 1e-12)
-    cand = cand.select("id", "nbr_id", sq_dist(F.col("v"), F.col("w")).alias("d2"))
+    cand = cand.select("id", "bk", "salt", "nbr_id", sq_dist(F.col("v"), F.col("w")).alias("d2"))
+    # (4) two-level top-k: per (query, bucket, salt) group, then per query over at most k x groups
+    part = Window.partitionBy("id", "bk", "salt").orderBy("d2", "nbr_id")
+    cand = cand.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= k)
     w = Window.partitionBy("id").orderBy("d2", "nbr_id")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
         .select(F.col("id").alias(id_col), "rank", F.col("nbr_id"), "d2")
