@@ -44,3 +44,19 @@ def test_row_split_stratified(spark):
     sp = splitting.row_split(df, ["a", "b"], "id")
     got = {(r.split): r["count"] for r in sp.groupBy("split").count().collect()}
     assert got == {"train": 140, "val": 30, "test": 30}
+
+
+def _sizes(n, test_size=0.3, val_size=0.5):
+    n_train = max(int(n * (1 - test_size)), 1)
+    rest = n - n_train
+    n_val = max(int(rest * val_size), 1) if rest > 1 else 0
+    if n - n_train - n_val == 0 and n_val > 1:
+        n_val -= 1
+    return n_train, n_val
+
+
+def test_split_sizes_sweep(spark):
+    df = spark.createDataFrame([(n,) for n in range(1, 301)], "n long")
+    tr, va = splitting.split_sizes(F.col("n"))
+    got = {r.n: (r.tr, r.va) for r in df.select("n", tr.alias("tr"), va.alias("va")).collect()}
+    assert all(got[n] == _sizes(n) for n in range(1, 301))
