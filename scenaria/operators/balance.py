@@ -114,10 +114,11 @@ def smote(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, seed: int
     Returns (balanced rows with ``synthetic`` flag, plan table (class, n, need, k_used, skipped)).
     A class of one row cannot interpolate and is reported as skipped (R27)."""
     counts = df.groupBy(F.col(cls).alias("_c")).agg(F.count(F.lit(1)).alias("n"))
-    mx = counts.agg(F.max("n").alias("mx"))
-    plan = counts.crossJoin(F.broadcast(mx)).select(  # one-row table
-        F.col("_c").alias(cls), "n", (F.col("mx") - F.col("n")).alias("need"),
-        F.least(F.lit(k), F.col("n") - 1).alias("k_used"), (F.col("n") < 2).alias("skipped"))
+    # one row per class: written once, so the counts are not recomputed by every branch below
+    counts = cut_lineage(counts)
+    mx = counts.agg(F.max("n")).first()[0] or 0
+    plan = counts.select(F.col("_c").alias(cls), "n", (F.lit(mx) - F.col("n")).alias("need"),
+                         F.least(F.lit(k), F.col("n") - 1).alias("k_used"), (F.col("n") < 2).alias("skipped"))
     todo = plan.where((F.col("need") > 0) & ~F.col("skipped"))
     # spread the synthetic rows: blocks first (one row per block), then rows inside a block
     blocks = todo.select(cls, "n", "need", "k_used",
@@ -132,7 +133,7 @@ def smote(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, seed: int
     # only classes that grow need neighbours, and only for the base rows actually drawn
     grow = df.join(F.broadcast(todo.select(cls)), cls, "left_semi")   # one row per class to grow
     base = keyed.with_position(grow, cls, [id_col], pos="_bp")
-    b = spec.join(base, [cls, "_bp"])
+    b = cut_lineage(spec.join(base, [cls, "_bp"]))        # the drawn rows: read by the k-NN and the join
     knn = knn_in_class(grow, id_col, vec, cls, k, seed, query_ids=b.select(id_col))
     b = b.join(knn.select(F.col(id_col), F.col("rank").alias("_nr"), "nbr_id"), [id_col, "_nr"])
     nb = df.select(F.col(id_col).alias("nbr_id"), F.col(vec).alias("_nv"))

@@ -57,24 +57,23 @@ def column_modes(df: DataFrame, cols) -> DataFrame:
 
 
 def mode_fill(df: DataFrame, cols) -> DataFrame:
-    """Nulls of each label take the column's mode (one-row table, broadcast)."""
+    """Nulls of each label take the column's mode.  The modes are one aggregate row, read to the
+    driver as fitted values (as Spark ML's Imputer does) and applied as literals."""
     cols = list(cols)
-    modes = column_modes(df, cols).select(*[F.col(c).alias(f"_m_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(modes))  # exactly one row
+    row = column_modes(df, cols).first()
     types = dict(df.dtypes)
-    return j.select(*[F.coalesce(F.col(c), F.col(f"_m_{c}").cast(types[c])).alias(c) if c in cols else F.col(c)
-                      for c in df.columns])
+    return df.select(*[F.coalesce(F.col(c), F.lit(row[c]).cast(types[c])).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
 
 
 def mean_fill(df: DataFrame, cols, stats: DataFrame | None = None) -> DataFrame:
     """Nulls (and NaN) of each feature take the column mean; ``stats`` (one row of ``_mean_<c>``)
-    lets a mean fitted on the training rows be applied to other rows."""
+    lets a mean fitted on the training rows be applied to other rows.  The fitted means are read to
+    the driver and applied as literals."""
     cols = list(cols)
-    if stats is None:
-        stats = mean_stats(df, cols)
-    j = df.crossJoin(F.broadcast(stats))  # exactly one row
-    return j.select(*[F.coalesce(F.when(~F.isnan(F.col(c)), F.col(c)), F.col(f"_mean_{c}")).alias(c)
-                      if c in cols else F.col(c) for c in df.columns])
+    row = (stats if stats is not None else mean_stats(df, cols)).first()
+    return df.select(*[F.coalesce(F.when(~F.isnan(F.col(c)), F.col(c)), F.lit(row[f"_mean_{c}"])).alias(c)
+                       if c in cols else F.col(c) for c in df.columns])
 
 
 def mean_stats(df: DataFrame, cols) -> DataFrame:

@@ -29,11 +29,18 @@ def scaler_table(scaler: DataFrame, features) -> DataFrame:
 
 
 def standardize(df: DataFrame, features, scaler: DataFrame) -> DataFrame:
-    """F11 + N5: (x - mean) / std, then NaN/Inf/null to 0.  The scaler is one row (broadcast)."""
+    """F11 + N5: (x - mean) / std, then NaN/Inf/null to 0.  The fitted scaler is one row, read to the
+    driver and applied as literals (as a fitted Spark ML scaler holds its statistics)."""
     feats = set(features)
-    j = df.crossJoin(F.broadcast(scaler))  # exactly one row
-    return j.select(*[finite_or_zero((F.col(c) - F.col(f"_mean_{c}")) / F.col(f"_std_{c}")).alias(c)
-                      if c in feats else F.col(c) for c in df.columns])
+    row = scaler.first()
+
+    def z(c):
+        m, sd = row[f"_mean_{c}"], row[f"_std_{c}"]
+        if m is None or sd is None:
+            return F.lit(0.0)
+        return finite_or_zero((F.col(c) - F.lit(m)) / F.lit(sd))
+
+    return df.select(*[z(c).alias(c) if c in feats else F.col(c) for c in df.columns])
 
 
 def one_hot_long(df: DataFrame, label: str, n_classes: int, keep=()) -> DataFrame:

@@ -118,13 +118,12 @@ def split_report(df: DataFrame, split: DataFrame, key: str, labels) -> DataFrame
 
 
 def missing_classes(df: DataFrame, split: DataFrame, key: str, labels) -> DataFrame:
-    """(label, class, split) where a class seen in some split is absent from this one."""
+    """(label, class, split) where a class seen in some split is absent from this one: one
+    aggregate collects the splits of each (label, class), ``array_except`` names the missing ones."""
     lng = stats.long_labels(assign(df, split, key), labels, ["split"]).where(F.col("class").isNotNull())
-    present = lng.select("split", "label", "class").distinct()
-    allc = present.select("label", "class").distinct()
-    splits = split.sparkSession.createDataFrame([(s,) for s in SPLITS], "split string")
-    grid = allc.crossJoin(F.broadcast(splits))  # three rows
-    return grid.join(present, ["split", "label", "class"], "left_anti").select("label", "class", "split")
+    seen = lng.groupBy("label", "class").agg(F.collect_set("split").alias("_in"))
+    allsp = F.array(*[F.lit(s) for s in SPLITS])
+    return seen.select("label", "class", F.explode(F.array_except(allsp, F.col("_in"))).alias("split"))
 
 
 def verify(df: DataFrame, split: DataFrame, key: str, labels) -> bool:
