@@ -39,11 +39,14 @@ def get_spark(app: str = "scenaria", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch one only if unset."""
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = sc.getCheckpointDir()
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``; a scratch folder is
+    set only when the setting is absent (local tests)."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+        return d or ""
+    d = d or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="scenaria-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
