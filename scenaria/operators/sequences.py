@@ -36,7 +36,8 @@ def strided(df: DataFrame, roles: Roles, seq_len: int = 20, step: int = 15,
     return cap_sequences(out, roles.key, max_sequences) if max_sequences else out
 
 
-def even(df: DataFrame, roles: Roles, seq_len: int = 20, n_starts: int = 10) -> DataFrame:
+def even(df: DataFrame, roles: Roles, seq_len: int = 20, n_starts: int = 10,
+         max_per_series: int | None = None) -> DataFrame:
     """Up to ``n_starts`` evenly spaced starts trunc(linspace(0, m-1, min(m, n_starts))),
     m = n - seq_len + 1 (a single start 0 when m = 1).  Each row explodes into the at most
     ``n_starts`` candidate windows and keeps those that contain it; every start is a scalar
@@ -48,7 +49,8 @@ def even(df: DataFrame, roles: Roles, seq_len: int = 20, n_starts: int = 10) ->
     k = F.col("seq_id")
     start = F.when(kn <= 1, F.lit(0)).when(k == kn - 1, m - 1) \
         .otherwise(F.floor(k * ((m - 1).cast("double") / (kn - 1).cast("double")))).cast("long")
-    out = b.withColumn("seq_id", F.explode(F.sequence(F.lit(0).cast("long"), (kn - 1).cast("long"))))
+    last_k = kn - 1 if max_per_series is None else F.least(kn, F.lit(max_per_series)) - 1   # W11 per series
+    out = b.withColumn("seq_id", F.explode(F.sequence(F.lit(0).cast("long"), last_k.cast("long"))))
     out = out.withColumn("_s", start).where((F.col("_s") <= i) & (i < F.col("_s") + seq_len))
     return out.select(*[c for c in b.columns if c != "_n"], "seq_id", (i - F.col("_s")).cast("long").alias("step"))
 

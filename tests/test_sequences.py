@@ -58,3 +58,8 @@ def test_cap_keeps_first_sequences(spark):
     out = sequences.strided(df, ROLES, 20, 15, max_sequences=4)
     ids = sorted({(r.sid, r.seq_id) for r in out.select("sid", "seq_id").collect()})
     assert ids == [("a", 0), ("a", 1), ("a", 2), ("b", 0)]
+
+
+def test_even_per_series_cap(spark):
+    out = sequences.even(series(spark, 100), ROLES, 20, 10, max_per_series=3)
+    assert sorted(r.seq_id for r in out.select("seq_id").distinct().collect()) == [0, 1, 2]
