@@ -18,6 +18,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scenaria import defaults as D
+
 from scenaria.operators import keyed
 from scenaria.session import cut_lineage
 
@@ -40,7 +42,7 @@ def sq_dist(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, seed: int = 42,
+def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = D.SMOTE_K, seed: int = D.SEED,
                  dim: int | None = None, query_ids: DataFrame | None = None, salt_rows: int = 4096) -> DataFrame:
     """For every row (or only the rows in ``query_ids``) its k nearest rows of the same class by
     squared Euclidean distance (double), ties by id.  Returns (id, rank, nbr_id, d2)."""
@@ -107,7 +109,7 @@ def _pick(n: Column, *parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), n).cast("long")
 
 
-def smote(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, seed: int = 42,
+def smote(df: DataFrame, id_col: str, vec: str, cls: str, k: int = D.SMOTE_K, seed: int = D.SEED,
           target: str = "max", block: int = 1 << 16) -> tuple[DataFrame, DataFrame]:
     """Raise every class below the largest to its size with rows x + u (nbr - x), x a seeded
     random row of the class, nbr one of its k nearest same-class rows, u in [0, 1).
@@ -146,7 +148,7 @@ def smote(df: DataFrame, id_col: str, vec: str, cls: str, k: int = 5, seed: int
     return df.withColumn("synthetic", F.lit(False)).unionByName(synth), plan
 
 
-def smote_if_rare(df: DataFrame, id_col: str, vec: str, cls: str, min_required: int = 100, **kw):
+def smote_if_rare(df: DataFrame, id_col: str, vec: str, cls: str, min_required: int = D.MIN_CLASS_ROWS, **kw):
     """Stage 1 rule: balance a label only if its smallest class has fewer than ``min_required`` rows."""
     mn = df.groupBy(cls).count().agg(F.min("count")).first()[0]
     if mn is None or mn >= min_required:
@@ -154,8 +156,8 @@ def smote_if_rare(df: DataFrame, id_col: str, vec: str, cls: str, min_required:
     return smote(df, id_col, vec, cls, **kw)
 
 
-def smote_combos(df: DataFrame, id_col: str, vec: str, labels, k: int = 5, seed: int = 42,
-                 min_rows: int = 5, sep: str = ","):
+def smote_combos(df: DataFrame, id_col: str, vec: str, labels, k: int = D.SMOTE_K, seed: int = D.SEED,
+                 min_rows: int = D.MIN_COMBO_ROWS, sep: str = ","):
     """SMOTE over the combined label key (F5), run only when the rarest combination has at least
     ``min_rows`` rows; the key is split back into the labels (F7).  Returns (rows, ran)."""
     from scenaria.functions import combo_ints, combo_key

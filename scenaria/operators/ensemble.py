@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scenaria import defaults as D
+
 from scenaria.functions import argmax_cols, argmax_rounded, blend, blend_cols, truncate_renormalize
 
-N_CLASSES = 6   # fixed class list per label (0-5)
+N_CLASSES = D.N_CLASSES
 
 
 def predict(p: Column, digits: int = 9, n: int = N_CLASSES) -> Column:
@@ -53,7 +55,7 @@ def weight_grid(n_steps: int) -> list[float]:
     return [i / float(n_steps) for i in range(n_steps + 1)]
 
 
-def grid_counts(j: DataFrame, n_steps: int = 20, by=("label",), a: str = "p1", b: str = "p2",
+def grid_counts(j: DataFrame, n_steps: int = D.WEIGHT_STEPS, by=("label",), a: str = "p1", b: str = "p2",
                 n: int = N_CLASSES) -> DataFrame:
     """One aggregate over the aligned rows: rows, hits of each model alone and hits of the blend at
     every weight of the grid (``_c<i>`` for weight i / n_steps), all compact scalar expressions."""
@@ -76,13 +78,13 @@ def curve_from_counts(g: DataFrame, n_steps: int, grid_steps: int = 20, by=("lab
         .select(*by, "t.weight", "t.accuracy")
 
 
-def weight_curve(j: DataFrame, n_steps: int = 20, by=("label",), a: str = "p1", b: str = "p2",
+def weight_curve(j: DataFrame, n_steps: int = D.WEIGHT_STEPS, by=("label",), a: str = "p1", b: str = "p2",
                  n: int = N_CLASSES) -> DataFrame:
     """M6/M7: accuracy of the blend at each weight of the grid: (by..., weight, accuracy)."""
     return curve_from_counts(grid_counts(j, n_steps, by, a, b, n), n_steps, n_steps, by)
 
 
-def best_weight(curve: DataFrame, by=("label",), default: float = 0.5) -> DataFrame:
+def best_weight(curve: DataFrame, by=("label",), default: float = D.DEFAULT_WEIGHT) -> DataFrame:
     """The lowest weight reaching the highest accuracy; ``default`` if nothing beats 0."""
     best = curve.groupBy(*by).agg(F.min(F.struct((-F.col("accuracy")).alias("na"), F.col("weight").alias("w"))).alias("b"))
     ok = -F.col("b.na") > 0
@@ -95,7 +97,7 @@ def single_class(j: DataFrame, by=("label",)) -> DataFrame:
     return j.groupBy(*by).agg((F.countDistinct("y_true") > 1).alias("reliable"))
 
 
-def accuracy_at(j: DataFrame, weights: DataFrame, by=("label",), default: float = 0.5,
+def accuracy_at(j: DataFrame, weights: DataFrame, by=("label",), default: float = D.DEFAULT_WEIGHT,
                 a: str = "p1", b: str = "p2") -> DataFrame:
     """Accuracy of the blend with a per-label weight (J4: missing weight -> default)."""
     jw = j.join(F.broadcast(weights.select(*by, F.col("weight").alias("_w"))), list(by), "left")  # one row per label
@@ -105,7 +107,7 @@ def accuracy_at(j: DataFrame, weights: DataFrame, by=("label",), default: float
 
 
 def mismatch(p1: DataFrame, p2: DataFrame, keys, weights: DataFrame | None = None, by=("label",),
-             default: float = 0.5) -> DataFrame:
+             default: float = D.DEFAULT_WEIGHT) -> DataFrame:
     """J7 + M9: row counts of both models, rows present in both, the model chosen per label when the
     rows do not align (weight >= 0.5 picks the first), that model's real accuracy, and the accuracy of
     the blend over the aligned rows."""

@@ -19,6 +19,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scenaria import defaults as D
+
 
 def features_vector(df: DataFrame, features, out: str = "features") -> DataFrame:
     """Numeric columns or one array column -> ML vector."""
@@ -33,8 +35,9 @@ def n_classes(df: DataFrame, label: str) -> int:
     return int(df.agg(F.countDistinct(label)).first()[0])
 
 
-def classifier(label: str, binary: bool, max_depth: int = 5, n_trees: int = 100, seed: int = 42,
-               learning_rate: float = 0.1, subsample: float = 0.8, max_bins: int = 256, prefix: str | None = None):
+def classifier(label: str, binary: bool, max_depth: int = max(D.CV_DEPTHS), n_trees: int = D.N_TREES,
+               seed: int = D.SEED, learning_rate: float = D.LEARNING_RATE, subsample: float = D.SUBSAMPLE,
+               max_bins: int = D.MAX_BINS, prefix: str | None = None):
     """GBT for binary labels, random forest otherwise; output columns prefixed by ``prefix`` so the
     models of several labels can score one pass over the rows."""
     out = {}
@@ -43,10 +46,10 @@ def classifier(label: str, binary: bool, max_depth: int = 5, n_trees: int = 100,
     if binary:
         return GBTClassifier(labelCol=label, featuresCol="features", maxDepth=max_depth, maxIter=n_trees,
                              stepSize=learning_rate, subsamplingRate=subsample, maxBins=max_bins, seed=seed,
-                             featureSubsetStrategy="0.8", **out)
+                             featureSubsetStrategy=str(D.COLSAMPLE), **out)
     return RandomForestClassifier(labelCol=label, featuresCol="features", maxDepth=max_depth, numTrees=n_trees,
                                   subsamplingRate=subsample, maxBins=max_bins, seed=seed,
-                                  featureSubsetStrategy="0.8", **out)
+                                  featureSubsetStrategy=str(D.COLSAMPLE), **out)
 
 
 def fit_per_label(train: DataFrame, features, labels, parallelism: int | None = None, **kw) -> dict[str, PipelineModel]:
@@ -65,8 +68,8 @@ def fit_per_label(train: DataFrame, features, labels, parallelism: int | None =
         return dict(pool.map(fit, labels))
 
 
-def cross_validate(train: DataFrame, features, label: str, depths=(3, 5), folds: int = 3,
-                   parallelism: int = 2, seed: int = 42, **kw):
+def cross_validate(train: DataFrame, features, label: str, depths=D.CV_DEPTHS, folds: int = D.CV_FOLDS,
+                   parallelism: int = D.CV_PARALLELISM, seed: int = D.SEED, **kw):
     """M2: grid search over tree depth with k-fold CV on accuracy.  Returns (best model refitted on
     all training rows, as a one-stage pipeline; table of (max_depth, accuracy))."""
     x = features_vector(train, features).withColumn(label, F.col(label).cast("double"))
@@ -109,7 +112,7 @@ def flatten_sequences(long_seqs: DataFrame, key: str, features, labels, seq_len:
 
 
 def fit_sequence_model(seqs: DataFrame, labels, n_inputs: int, n_classes_fixed: int = 6, hidden: int = 32,
-                       max_iter: int = 100, seed: int = 42) -> dict[str, PipelineModel]:
+                       max_iter: int = 100, seed: int = D.SEED) -> dict[str, PipelineModel]:
     """M4 (re-aimed): standardised flattened windows -> one multilayer perceptron per label with a
     fixed class count."""
     x = seqs.withColumn("raw", array_to_vector("seq"))
@@ -133,7 +136,7 @@ def score_sequences(models: dict, seqs: DataFrame, key: str, model_name: str = "
     return out
 
 
-def importances(models: dict, feature_names, top: int = 20) -> DataFrame:
+def importances(models: dict, feature_names, top: int = D.TOP_IMPORTANCES) -> DataFrame:
     """Top feature importances per label (the vectors are feature-count sized, fitted metadata)."""
     rows = []
     for lab, m in models.items():

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scenaria import defaults as D
+
 from scenaria.functions import finite_or_zero, one_hot
 
-EPS = 1e-8
+EPS = D.STD_EPS
 
 
 def fit_scaler(long_seqs: DataFrame, features) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scenaria import defaults as D
+
 from scenaria.operators import keyed
 from scenaria.operators.keyed import POS
 from scenaria.operators.split import seeded_order
@@ -23,7 +25,7 @@ def _with_length(df: DataFrame, roles: Roles) -> DataFrame:
     return keyed.attach_key_stats(base, n, roles.key)
 
 
-def strided(df: DataFrame, roles: Roles, seq_len: int = 20, step: int = 15,
+def strided(df: DataFrame, roles: Roles, seq_len: int = D.SEQ_LEN, step: int = D.TRAIN_STEP,
             max_sequences: int | None = None) -> DataFrame:
     """Windows starting at 0, step, 2*step, ... that fit entirely; label = last step.
     Series shorter than ``seq_len`` give none (P9)."""
@@ -36,7 +38,7 @@ def strided(df: DataFrame, roles: Roles, seq_len: int = 20, step: int = 15,
     return cap_sequences(out, roles.key, max_sequences) if max_sequences else out
 
 
-def even(df: DataFrame, roles: Roles, seq_len: int = 20, n_starts: int = 10,
+def even(df: DataFrame, roles: Roles, seq_len: int = D.SEQ_LEN, n_starts: int = D.EVAL_STARTS,
          max_per_series: int | None = None) -> DataFrame:
     """Up to ``n_starts`` evenly spaced starts trunc(linspace(0, m-1, min(m, n_starts))),
     m = n - seq_len + 1 (a single start 0 when m = 1).  Each row explodes into the at most
@@ -55,8 +57,8 @@ def even(df: DataFrame, roles: Roles, seq_len: int = 20, n_starts: int = 10,
     return out.select(*[c for c in b.columns if c != "_n"], "seq_id", (i - F.col("_s")).cast("long").alias("step"))
 
 
-def random_subset(df: DataFrame, roles: Roles, seq_len: int = 20, n_samples: int = 50,
-                  seed: int = 42) -> DataFrame:
+def random_subset(df: DataFrame, roles: Roles, seq_len: int = D.SEQ_LEN, n_samples: int = D.RANDOM_SEQUENCES,
+                  seed: int = D.SEED) -> DataFrame:
     """``n_samples`` series drawn without replacement by a seeded hash, one window each at a
     seeded start in [0, n - seq_len]; series shorter than ``seq_len`` are skipped after the draw."""
     n = df.groupBy(roles.key).agg(F.count(F.lit(1)).alias("_n"))
@@ -71,7 +73,7 @@ def random_subset(df: DataFrame, roles: Roles, seq_len: int = 20, n_samples: int
     return out.select(*base.columns, F.lit(0).cast("long").alias("seq_id"), (i - F.col("_s")).cast("long").alias("step"))
 
 
-def last_step(seqs: DataFrame, seq_len: int = 20) -> DataFrame:
+def last_step(seqs: DataFrame, seq_len: int = D.SEQ_LEN) -> DataFrame:
     """The last row of every sequence (its labels are the sequence's labels)."""
     return seqs.where(F.col("step") == seq_len - 1)
 
@@ -93,7 +95,7 @@ def to_arrays(seqs: DataFrame, key: str, features, labels, seq_len: int) -> Data
                     *[F.element_at("_s", -1)[l].alias(l) for l in labels])
 
 
-def keyless(df: DataFrame, order: list[str], seq_len: int = 20, step: int = 15) -> DataFrame:
+def keyless(df: DataFrame, order: list[str], seq_len: int = D.SEQ_LEN, step: int = D.TRAIN_STEP) -> DataFrame:
     """Strided windows over the whole table in ``order`` (one global series)."""
     d = df.withColumn("_all", F.lit(0))
     r = Roles(key="_all", time=order[0], tie=order[1] if len(order) > 1 else None)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scenaria import defaults as D
+
 from scenaria.operators import keyed, stats
 from scenaria.operators.keyed import POS
 from scenaria.roles import Roles
@@ -12,12 +14,12 @@ from scenaria.roles import Roles
 SPLITS = ("train", "val", "test")
 
 
-def seeded_order(key: Column, seed: int = 42) -> Column:
+def seeded_order(key: Column, seed: int = D.SEED) -> Column:
     """Deterministic pseudo-random order key, identical in Spark and SQL engines."""
     return F.md5(F.concat(F.lit(str(seed)), key.cast("string")))
 
 
-def split_sizes(n: Column, test_size: float = 0.3, val_size: float = 0.5):
+def split_sizes(n: Column, test_size: float = D.TEST_SIZE, val_size: float = D.VAL_SIZE):
     """Per-class sizes: train = max(int(n*(1-test)), 1); val = max(int(rest*val), 1) if rest > 1 else 0;
     if no test remains and val > 1, one val goes to test."""
     train_frac = 1.0 - test_size
@@ -29,8 +31,8 @@ def split_sizes(n: Column, test_size: float = 0.3, val_size: float = 0.5):
     return n_train, n_val
 
 
-def scenario_split(df: DataFrame, key: str, primary: str, test_size: float = 0.3, val_size: float = 0.5,
-                   seed: int = 42, modes: DataFrame | None = None) -> DataFrame:
+def scenario_split(df: DataFrame, key: str, primary: str, test_size: float = D.TEST_SIZE,
+                   val_size: float = D.VAL_SIZE, seed: int = D.SEED, modes: DataFrame | None = None) -> DataFrame:
     """X1 stage 1: scenarios grouped by the modal class of ``primary``, shuffled by a seeded hash,
     cut into train/val/test per class.  Returns (key, split, cls, rank)."""
     if modes is None:
@@ -45,7 +47,7 @@ def scenario_split(df: DataFrame, key: str, primary: str, test_size: float = 0.3
 
 
 def rebalance(split: DataFrame, modes: DataFrame, key: str, labels, primary: str,
-              n_classes: int = 6, per_cell: int = 25) -> tuple[DataFrame, list[dict]]:
+              n_classes: int = D.N_CLASSES, per_cell: int = 25) -> tuple[DataFrame, list[dict]]:
     """For each secondary label and class 0..n-1 missing from a split, move one scenario
     (train<-val,test; val<-train,test; test<-train,val; donor needs > 1; one move per (label, class)).
     Moves are decided by a fold over a bounded table on the driver: per (split, label, class)
@@ -131,8 +133,8 @@ def verify(df: DataFrame, split: DataFrame, key: str, labels) -> bool:
     return missing_classes(df, split, key, labels).isEmpty()
 
 
-def row_split(df: DataFrame, labels, id_col: str, test_size: float = 0.3, val_size: float = 0.5,
-              seed: int = 42) -> DataFrame:
+def row_split(df: DataFrame, labels, id_col: str, test_size: float = D.TEST_SIZE, val_size: float = D.VAL_SIZE,
+              seed: int = D.SEED) -> DataFrame:
     """Row-level split stratified by the combined label key, seeded hash order inside a stratum.
     Ranks come from range-partitioned positions, so a dominant stratum is not one task."""
     from scenaria.functions import combo_key

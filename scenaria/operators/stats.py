@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scenaria import defaults as D
+
 from scenaria.functions import combo_key
 
 
@@ -34,7 +36,7 @@ def combo_counts(df: DataFrame, labels, sep: str = ",") -> DataFrame:
     return df.groupBy(combo_key(labels, sep).alias("combo")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_combos(df: DataFrame, labels, k: int = 10) -> DataFrame:
+def top_combos(df: DataFrame, labels, k: int = D.TOP_COMBOS) -> DataFrame:
     """T4: the k most frequent label combinations (key ascending on ties)."""
     return combo_counts(df, labels).orderBy(F.desc("n"), "combo").limit(k)
 

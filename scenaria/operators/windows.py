@@ -8,6 +8,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scenaria import defaults as D
+
 from scenaria.functions import clip01
 from scenaria.operators import keyed
 from scenaria.operators.keyed import CHUNK, HALO, POS
@@ -38,7 +40,7 @@ def ema_expr(col: str, running, span: int) -> Column:
     return F.when(den > 0, num / den)
 
 
-def feature_exprs(roles: Roles, w, window: int = 10, span: int = 10,
+def feature_exprs(roles: Roles, w, window: int = D.WINDOW, span: int = D.EMA_SPAN,
                   kinds=("rolling_mean", "rolling_std", "ema", "diff")) -> list[Column]:
     roll = w.rowsBetween(-(window - 1), 0)
     ema_frame = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -66,7 +68,7 @@ def series_stats(df: DataFrame, roles: Roles, ttf_label: str | None) -> DataFram
     return df.groupBy(roles.key).agg(*aggs)
 
 
-def engineer_features(df: DataFrame, roles: Roles, window: int = 10, span: int = 10,
+def engineer_features(df: DataFrame, roles: Roles, window: int = D.WINDOW, span: int = D.EMA_SPAN,
                       time_since_start: bool = True, ttf_label: str | None = None,
                       kinds=("rolling_mean", "rolling_std", "ema", "diff"),
                       chunk_rows: int = keyed.DEFAULT_CHUNK_ROWS, keep_pos: bool = False) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scenaria.operators import balance, clean, keyed, sequences, split as splitting, stats, windows
+from scenaria import defaults as D
 from scenaria.roles import Roles
 from scenaria.session import cut_lineage
 from scenaria.sources import io
@@ -21,13 +22,13 @@ from scenaria.sources import io
 @dataclass
 class PrepareConfig:
     primary: str | None = None        # label that stratifies the split (R16: a parameter)
-    seq_len: int = 20
-    train_step: int = 15
-    eval_starts: int = 10
-    test_size: float = 0.3
-    val_size: float = 0.5
-    seed: int = 42
-    min_class_rows: int = 100         # balance a label only below this class size
+    seq_len: int = D.SEQ_LEN
+    train_step: int = D.TRAIN_STEP
+    eval_starts: int = D.EVAL_STARTS
+    test_size: float = D.TEST_SIZE
+    val_size: float = D.VAL_SIZE
+    seed: int = D.SEED
+    min_class_rows: int = D.MIN_CLASS_ROWS   # balance a label only below this class size
     balance_vectors: bool = True
     ttf: bool = True                  # <component>_time_to_failure of the first label (kept out of X)
 
@@ -63,12 +64,12 @@ def prepare(df: DataFrame, roles: Roles, cfg: PrepareConfig = PrepareConfig(), o
             mn = vec.groupBy(lab).count().agg(F.min("count")).first()[0]
             if mn is not None and mn < cfg.min_class_rows:
                 vec, plan = balance.smote(vec.drop("synthetic") if "synthetic" in vec.columns else vec,
-                                          "_rid", "_x", lab, k=5, seed=cfg.seed)
+                                          "_rid", "_x", lab, k=D.SMOTE_K, seed=cfg.seed)
                 vec = cut_lineage(vec.withColumn("_rid", F.coalesce("_rid", F.monotonically_increasing_id() + (1 << 40))))
                 plans.append(plan.withColumn("label", F.lit(lab)))
         # stage 2: label combinations, when the rarest one has enough rows
         vec, _ran = balance.smote_combos(vec.drop("synthetic") if "synthetic" in vec.columns else vec,
-                                         "_rid", "_x", list(roles.labels), k=5, seed=cfg.seed)
+                                         "_rid", "_x", list(roles.labels), k=D.SMOTE_K, seed=cfg.seed)
         balanced = vec
     seq_train = sequences.strided(train_rows, roles, cfg.seq_len, cfg.train_step)
     seq_val = sequences.even(table.where(F.col("split") == "val"), roles, cfg.seq_len, cfg.eval_starts)
