@@ -31,6 +31,7 @@ class PrepareConfig:
     min_class_rows: int = D.MIN_CLASS_ROWS   # balance a label only below this class size
     balance_vectors: bool = True
     ttf: bool = True                  # <component>_time_to_failure of the first label (kept out of X)
+    narrow: bool = True               # engineered columns stored as float (P2)
 
 
 def prepare(df: DataFrame, roles: Roles, cfg: PrepareConfig = PrepareConfig(), out: str | None = None) -> dict:
@@ -40,7 +41,7 @@ def prepare(df: DataFrame, roles: Roles, cfg: PrepareConfig = PrepareConfig(), o
     base = keyed.with_position(df, key, roles.order)
     clean_df = clean.preprocess(base, roles)
     feats = windows.engineer_features(clean_df, roles, ttf_label=roles.labels[0] if cfg.ttf else None,
-                                      keep_pos=True)
+                                      keep_pos=True, narrow=cfg.narrow)
     feats = cut_lineage(feats)                       # the wide table is reused by every split
     primary = cfg.primary or roles.labels[-1]
     modes = cut_lineage(stats.scenario_modes(feats, key, list(roles.labels)))
