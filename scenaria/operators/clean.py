@@ -107,10 +107,18 @@ def null_total(df: DataFrame, cols=None) -> DataFrame:
 
 
 def preprocess(df: DataFrame, roles: Roles, chunk_rows: int = keyed.DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Reference preprocessing: features interpolated then forward/backward filled per series,
-    labels mode-filled; NaN normalised to null at the boundary."""
+    """Reference preprocessing: NaN normalised to null at the boundary; features with a missing value
+    interpolated, then forward/backward filled per series; labels with a missing value mode-filled.
+    One aggregate pass finds which columns have gaps (as the reference checks each column first), so
+    complete columns cost nothing."""
     types = dict(df.dtypes)
     df = df.select(*[F.when(~F.isnan(F.col(c)), F.col(c)).alias(c) if types[c] in ("double", "float") else F.col(c)
                      for c in df.columns])
-    out = interpolate(df, roles, roles.features, back_fill=True, chunk_rows=chunk_rows) if roles.features else df
-    return mode_fill(out, roles.labels) if roles.labels else out
+    cols = list(roles.features) + list(roles.labels)
+    if not cols:
+        return df
+    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    feats = [c for c in roles.features if gaps[c]]
+    labels = [c for c in roles.labels if gaps[c]]
+    out = interpolate(df, roles, feats, back_fill=True, chunk_rows=chunk_rows) if feats else df
+    return mode_fill(out, labels) if labels else out
