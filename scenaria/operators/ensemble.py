@@ -57,15 +57,24 @@ def weight_grid(n_steps: int) -> list[float]:
 
 def grid_counts(j: DataFrame, n_steps: int = D.WEIGHT_STEPS, by=("label",), a: str = "p1", b: str = "p2",
                 n: int = N_CLASSES) -> DataFrame:
-    """One aggregate over the aligned rows: rows, hits of each model alone and hits of the blend at
-    every weight of the grid (``_c<i>`` for weight i / n_steps), all compact scalar expressions."""
+    """One row per label: rows (``_n``), hits of each model alone (``_first``, ``_second``) and hits of
+    the blend at every weight of the grid (``_c<i>`` for weight i / n_steps).  Each aligned row is
+    exploded into the grid's weights (a generator inside generated code), one small blend expression
+    is evaluated per (row, weight), and partial aggregation by (label, weight) collapses the copies
+    map-side."""
     ws = weight_grid(n_steps)
-    hits = [(predict_blend(F.col(a), F.col(b), w, n) == F.col("y_true")).cast("long") for w in ws]
-    return j.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum((predict(F.col(a), n=n) == F.col("y_true")).cast("long")).alias("_first"),
-        F.sum((predict(F.col(b), n=n) == F.col("y_true")).cast("long")).alias("_second"),
-        *[F.sum(h).alias(f"_c{i}") for i, h in enumerate(hits)])
+    x = j.select(*by, "y_true", a, b, F.posexplode(F.array(*[F.lit(w) for w in ws])).alias("_i", "_w"))
+    first_row = F.col("_i") == 0
+    hit = (predict_blend(F.col(a), F.col(b), F.col("_w"), n) == F.col("y_true")).cast("long")
+    h1 = F.when(first_row, (predict(F.col(a), n=n) == F.col("y_true")).cast("long"))
+    h2 = F.when(first_row, (predict(F.col(b), n=n) == F.col("y_true")).cast("long"))
+    long = x.groupBy(*by, "_i").agg(F.count(F.lit(1)).alias("_n"), F.sum(hit).alias("_h"),
+                                    F.sum(h1).alias("_f"), F.sum(h2).alias("_s"))
+    return long.groupBy(*by).agg(
+        F.max(F.when(F.col("_i") == 0, F.col("_n"))).alias("_n"),
+        F.max(F.when(F.col("_i") == 0, F.col("_f"))).alias("_first"),
+        F.max(F.when(F.col("_i") == 0, F.col("_s"))).alias("_second"),
+        *[F.max(F.when(F.col("_i") == i, F.col("_h"))).alias(f"_c{i}") for i in range(len(ws))])
 
 
 def curve_from_counts(g: DataFrame, n_steps: int, grid_steps: int = 20, by=("label",)) -> DataFrame:
