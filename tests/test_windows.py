@@ -72,3 +72,24 @@ def test_one_row_series(spark):
     r = windows.engineer_features(df, ROLES, ttf_label="lab_label").first()
     assert r["x_rolling_std_10"] == 0.0 and r["x_diff"] == 0.0 and r["time_since_start"] == 0.0
     assert r["lab_time_to_failure"] is None
+
+
+def test_features_with_gaps_match_pandas(spark):
+    rng = np.random.default_rng(5)
+    n = 300
+    x = rng.normal(size=n)
+    x[rng.random(n) < 0.3] = np.nan
+    x[:4] = np.nan
+    pdf = pd.DataFrame({"sid": "a", "rid": np.arange(n), "Time": np.arange(n, dtype=float), "x": x,
+                        "lab_label": 0})
+    df = spark.createDataFrame(pdf.astype({"x": object}).where(pdf.notna(), None),
+                               "sid string, rid long, Time double, x double, lab_label long")
+    got = windows.engineer_features(df, ROLES, chunk_rows=50).toPandas().set_index("rid").sort_index()
+    s = pdf.x
+    exp = {"x_rolling_mean_10": s.rolling(10, min_periods=1).mean(),
+           "x_rolling_std_10": s.rolling(10, min_periods=1).std().fillna(0),
+           "x_ema_10": s.ewm(span=10, min_periods=1).mean(),
+           "x_diff": s.diff().fillna(0)}
+    for c, e in exp.items():
+        np.testing.assert_allclose(got[c].astype(float).values, e.values, rtol=1e-9, atol=1e-12, equal_nan=True,
+                                   err_msg=c)
