@@ -374,3 +374,17 @@ select Time, cast(f1 as float) as f1, cast(f2 as float) as f2, cast(A_label as t
        cast(B_label as tinyint) as B_label, cast(C_label as tinyint) as C_label,
        case when cast(floor(Time * 1e6) as bigint) % 2 = 0 then 'a' else 'b.v2' end as scenario_id
 from series""")
+
+register("min_class_count", with_(SERIES, LONG_LABELS) + """
+select label, min(n) as min_n from (select label, class, count(*) as n from lng group by all) group by label""")
+
+register("null_total", with_(SERIES) + """
+select cast((count(*) - count(scenario_id)) + (count(*) - count(event_id)) + (count(*) - count(Time))
+     + (count(*) - count(f1)) + (count(*) - count(f2)) + (count(*) - count(A_label))
+     + (count(*) - count(B_label)) + (count(*) - count(C_label)) as bigint) as null_total from series""")
+
+register("sequences_keyless", with_(SERIES) + """,
+g as (select event_id, f2, row_number() over (order by Time, event_id) as rn, count(*) over () as n from series),
+sq as (select unnest(range(0, (max(n) - 20) // 15 + 1)) as seq_id from g)
+select s.seq_id, g.rn - 1 - s.seq_id * 15 as step, g.event_id, round(g.f2, 6) as f2
+from sq s join g on g.rn - 1 between s.seq_id * 15 and s.seq_id * 15 + 19""")

@@ -520,3 +520,25 @@ def sequence_scoring(spark, sf_dir, seq_len: int = 20):
     fit = _t.perf_counter() - t0
     t = model.scoring_time({"seq": model.score_sequences(models, test, "scenario_id")}).first()
     return {"fit_s": fit, "score_s": t["total_s"], "sequences": t["rows"] // len(LABELS)}
+
+
+# ---- further inventory operators ---------------------------------------------------------------
+
+@query
+def q_min_class_count(spark, sf_dir):
+    """Per label the smallest class count (decides whether a label is balanced)."""
+    return stats.min_class_count(views.series(spark, sf_dir), LABELS)
+
+
+@query
+def q_null_total(spark, sf_dir):
+    """Frame-wide count of missing cells."""
+    return clean.null_total(views.series(spark, sf_dir))
+
+
+@query
+def q_sequences_keyless(spark, sf_dir):
+    """Strided windows over the whole table as one series, in (Time, event_id) order."""
+    s = views.series(spark, sf_dir).select("event_id", "Time", "f2")
+    out = sequences.keyless(s, ["Time", "event_id"], 20, 15)
+    return out.select("seq_id", "step", "event_id", r6("f2").alias("f2"))
