@@ -486,10 +486,14 @@ def tree_scoring(spark, sf_dir, n_trees: int = 20):
                          SERIES_ROLES)
     feats = windows.engineer_features(s, SERIES_ROLES, ttf_label=None, keep_pos=True)
     sp = splitting.scenario_split(s, "scenario_id", "C_label")
-    table = cut_lineage(splitting.assign(feats, sp, "scenario_id"))
+    # the snapshot the scoring reads is spread over the configured shuffle partitions (at least one per
+    # core), as a written table is split into files, so scoring uses every core
+    par = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    joined = splitting.assign(feats, sp, "scenario_id")
+    table = cut_lineage(joined.repartition(par))
     fcols = [c for c in feats.columns if c not in ("scenario_id", "event_id", *LABELS) and not c.startswith("_")]
     train = table.where("split = 'train'")
-    test = cut_lineage(table.where("split = 'test'"))
+    test = cut_lineage(table.where("split = 'test'").repartition(par))
     t0 = _t.perf_counter()
     models = model.fit_per_label(train, fcols, LABELS, max_depth=5, n_trees=n_trees)
     fit = _t.perf_counter() - t0
