@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from scenaria import defaults as D
 
-from scenaria.functions import argmax_cols, argmax_rounded, blend, blend_cols, truncate_renormalize
+from scenaria.functions import argmax_cols, argmax_rounded, blend_cols
 
 N_CLASSES = D.N_CLASSES
 

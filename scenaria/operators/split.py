@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from scenaria import defaults as D
 
 from scenaria.operators import keyed, stats
-from scenaria.operators.keyed import POS
-from scenaria.roles import Roles
 
 SPLITS = ("train", "val", "test")
 
