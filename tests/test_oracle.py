@@ -46,3 +46,24 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "f2_ema_10" in df.columns
+
+
+ALT_CONF = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "3",
+            "spark.sql.session.timeZone": "Asia/Kolkata", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables absent")
+@pytest.mark.parametrize("name", ["ema", "ffill_bfill", "split_scenarios", "sequences_even", "knn_in_class",
+                                  "read_roles"])
+def test_results_do_not_depend_on_session_conf(spark, con, name):
+    old = {k: spark.conf.get(k, None) for k in ALT_CONF}
+    try:
+        for k, v in ALT_CONF.items():
+            spark.conf.set(k, v)
+        test_query_matches_oracle(spark, con, name)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
