@@ -19,17 +19,19 @@ from scenaria.operators.split import seeded_order
 from scenaria.roles import Roles
 
 
-def _with_length(df: DataFrame, roles: Roles) -> DataFrame:
+def _with_length(df: DataFrame, roles: Roles, one_series: bool = False) -> DataFrame:
     base = keyed.ensure_position(df, roles.key, roles.order)
     n = df.groupBy(roles.key).agg(F.count(F.lit(1)).alias("_n"))
+    if one_series:   # a single series: the length table is one row, broadcast by construction
+        return base.join(F.broadcast(n), roles.key, "left")
     return keyed.attach_key_stats(base, n, roles.key)
 
 
 def strided(df: DataFrame, roles: Roles, seq_len: int = D.SEQ_LEN, step: int = D.TRAIN_STEP,
-            max_sequences: int | None = None) -> DataFrame:
+            max_sequences: int | None = None, one_series: bool = False) -> DataFrame:
     """Windows starting at 0, step, 2*step, ... that fit entirely; label = last step.
     Series shorter than ``seq_len`` give none (P9)."""
-    b = _with_length(df, roles)
+    b = _with_length(df, roles, one_series)
     i = F.col(POS) - 1
     lo = F.greatest(F.ceil((i - seq_len + 1) / F.lit(step)), F.lit(0)).cast("long")
     hi = F.least(F.floor(i / F.lit(step)), F.floor((F.col("_n") - seq_len) / F.lit(step))).cast("long")
@@ -99,4 +101,4 @@ def keyless(df: DataFrame, order: list[str], seq_len: int = D.SEQ_LEN, step: int
     """Strided windows over the whole table in ``order`` (one global series)."""
     d = df.withColumn("_all", F.lit(0))
     r = Roles(key="_all", time=order[0], tie=order[1] if len(order) > 1 else None)
-    return strided(d, r, seq_len, step).drop("_all")
+    return strided(d, r, seq_len, step, one_series=True).drop("_all")
