@@ -24,6 +24,7 @@ from scenaria.operators import keyed
 from scenaria.session import cut_lineage
 
 N_PROJ = 4
+MAX_BROADCAST_ROWS = 1_000_000     # size bound for broadcasting a per-bucket table
 
 
 def _directions(dim: int, seed: int, n: int = N_PROJ) -> list[list[float]]:
@@ -82,6 +83,10 @@ def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = D.SMOT
     data = pb.select("cls", bucket.alias("bk"), F.col("id").alias("nbr_id"), F.col("v").alias("w"),
                      *[F.col(f"t{i}").alias(f"s{i}") for i in range(len(dirs))])
     salts = data.groupBy("cls", "bk").agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_rows)).cast("long").alias("ns"))
+    # one row per (class, bucket): broadcast behind a size check (a wide bucket must not meet it in one
+    # sort-merge task); beyond the bound a regular join, whose skewed side AQE splits
+    if salts.count() <= MAX_BROADCAST_ROWS:
+        salts = F.broadcast(salts)
     data = data.join(salts, ["cls", "bk"]).withColumn("salt", F.pmod(F.xxhash64("nbr_id"), F.col("ns"))).drop("ns")
     qry = (pb if qids is None else pb.join(qids, "id", "left_semi")).select(
         "cls", "id", "v", "r", *[f"t{i}" for i in range(len(dirs))], F.explode(F.sequence(lo_b, hi_b)).alias("bk"))
