@@ -65,7 +65,7 @@ def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = D.SMOT
     bound = near.withColumn("r", F.row_number().over(rk)).where(F.col("r") <= k) \
         .groupBy("id").agg(F.max("d2").alias("b2"), F.count(F.lit(1)).alias("nb"))
     sizes = pts.groupBy("cls").agg(F.count(F.lit(1)).alias("csize"), F.min("t0").alias("lo"), F.max("t0").alias("hi"))
-    pb = keyed.attach_key_stats(pts.join(bound, "id", "left"), sizes, "cls")
+    pb = pts.join(bound, "id", "left").join(F.broadcast(sizes), "cls", "left")   # one row per class
     # rows whose class has <= k other rows take every other row: unbounded band
     r = F.when(F.col("nb") >= F.least(F.lit(k), F.col("csize") - 1), F.sqrt("b2")).otherwise(F.lit(float("inf")))
     pb = pb.withColumn("r", r)
