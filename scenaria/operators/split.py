@@ -139,7 +139,7 @@ def row_split(df: DataFrame, labels, id_col: str, test_size: float = D.TEST_SIZE
     s = df.select(id_col, combo_key(labels, "_").alias("_stratum"), seeded_order(F.col(id_col), seed).alias("_h"))
     ranked = keyed.with_position(s, "_stratum", ["_h", id_col], pos="_rank")
     sizes = s.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_n"))
-    j = keyed.attach_key_stats(ranked, sizes, "_stratum")
+    j = ranked.join(F.broadcast(sizes), "_stratum", "left")   # one row per label combination: bounded
     n_train = F.floor(F.col("_n") * F.lit(1.0 - test_size)).cast("long")
     n_val = F.floor((F.col("_n") - n_train) * F.lit(val_size)).cast("long")
     split = F.when(F.col("_rank") <= n_train, "train").when(F.col("_rank") <= n_train + n_val, "val").otherwise("test")
