@@ -67,10 +67,14 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str = "byte_
 
 
 def pack_lengths(counts: dict[int, int], room: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths that share a sequence, how many such sequences) for a histogram of lengths.
+    """Patterns (lengths that share a sequence, how many such sequences) for a histogram of lengths: the
+    shortest of the packings whose exact complements have up to three, two, one or no parts."""
+    return min((_pack(counts, room, parts) for parts in (3, 2, 1, 0)), key=lambda p: sum(k for _, k in p))
 
-    From the longest length down, a gap is filled exactly by one, two or three further lengths while
-    their counts last; what has no exact complement is packed best-fit, longest first."""
+
+def _pack(counts: dict[int, int], room: int, parts: int) -> list[tuple[tuple[int, ...], int]]:
+    """From the longest length down, a gap is filled exactly by up to ``parts`` further lengths while their
+    counts last; what has no exact complement is packed best-fit, longest first."""
     left = np.zeros(room + 1, dtype=np.int64)
     for n, c in counts.items():
         left[n] = c
@@ -89,16 +93,16 @@ def pack_lengths(counts: dict[int, int], room: int) -> list[tuple[tuple[int, ...
         gap = room - first
         if gap == 0:
             return (first,)
-        if fits((first, gap)):
+        if parts and fits((first, gap)):
             return first, gap
         have = [int(n) for n in np.flatnonzero(left[:gap])[::-1]]
         for a in have:
-            if 2 * a < gap:
+            if parts < 2 or 2 * a < gap:
                 break
             if fits((first, a, gap - a)):
                 return first, a, gap - a
         for a in have:
-            if 3 * a < gap:
+            if parts < 3 or 3 * a < gap:
                 break
             for b in have:
                 c = gap - a - b
