@@ -9,6 +9,7 @@ from .common import read_table
 from .mixing import mix_sources, word_count
 from .packing import pack, pieces
 from .simhash import near_duplicates
+from .warc import round_trip
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +38,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces(read_table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "pages"), "page_id", "url", "html").drop("archive", "offset")
+
+
+ORACLE["op10_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+     f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT p.page_id, p.n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN f.first IS NULL OR p.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d
+"""
