@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+import os
 import uuid
+import zlib
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +20,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from the driver's folder, where they see it (a cluster that
+    ships the package with the job needs no more than that)."""
+    root = str(Path(__file__).resolve().parents[2])
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, path) if x)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,17 +47,59 @@ def written(df: DataFrame, name: str, partitions_like: int | None = None) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
-def label_rows(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str) -> DataFrame:
-    """(id, text, label) of the rows whose label may be learned: crc32 of the id as text, mod 4, is not
-    2, the label is 0 or 1 and the id and text are not null.  An id with several labels counts as 1
-    if any of them is 1."""
+def label_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str, per_label: int,
+                 chars: int) -> tuple[list[tuple[str, int]], dict[int, int]]:
+    """What a classifier may learn from: up to ``per_label`` (text, label) for either label, and the number of
+    usable labels of each kind.
+
+    A label is usable if crc32 of its id as text, mod 4, is not 2 and it is 0 or 1; an id with both counts as
+    1.  Ids are drawn by seeded hash, so at most 2 * per_label rows are broadcast and come to the driver, each
+    cut to ``chars`` characters.  Rows without a text are left out; an id's repeated rows count once."""
     lab = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
            .where("id is not null and label in (0, 1)").where(~held_out(F.col("id")))
            .groupBy("id").agg(F.max("label").alias("label")))
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    return d.join(lab, "id")
+    counts = {r[0]: r[1] for r in lab.groupBy("label").count().collect()}
+    drawn = None
+    for k in (0, 1):
+        some = lab.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(per_label)
+        drawn = some if drawn is None else drawn.unionByName(some)
+    rows = (docs.select(F.col(id_col).alias("id"), F.left(F.col(text_col), F.lit(chars)).alias("text")).where("text is not null")
+            .join(F.broadcast(drawn), "id").groupBy("id", "label").agg(F.min("text").alias("text")).collect())
+    rows.sort(key=lambda r: (zlib.crc32(str(r.id).encode()), r.id))
+    return [(r.text, r.label) for r in rows], counts
 
 
 def held_out(id_col):
     """True for ids whose labels are kept for testing; an id that is null counts as not held out."""
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Weights of a logistic model by Newton's method; the last column of ``x`` should be all ones."""
+    w = np.zeros(x.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weight * (p - y)) + ridge * w
+        bend = (x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(bend, slope)
+        w -= step * min(1.0, 4 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
+def scored(docs: DataFrame, id_col: str, text_col: str, score, threshold: float, more: str = "") -> DataFrame:
+    """(id, held_out, score, predicted, further columns) for every row; ``score(batches of texts)`` runs in the tasks and
+    yields a list of Arrow arrays for each batch, the scores first."""
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    names = ["id", "score", *[c.strip().split(" ")[0] for c in more.split(";") if c]]
+
+    def run(batches):
+        batches, ids = itertools.tee(batches)
+        for batch, cols in zip(ids, score(b.column(1) for b in batches), strict=True):
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=names)
+
+    schema = f"id {src.schema['id'].dataType.simpleString()}, score double" + "".join(f", {c.strip()}" for c in more.split(";") if c)
+    out = src.mapInArrow(run, schema)
+    return out.select("id", held_out(F.col("id")).alias("held_out"), "score",
+                      (F.col("score") >= threshold).cast("int").alias("predicted"), *names[2:])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from . import quality, toxicity
+from .common import find_package, read_table
 from .mixing import mix_sources, word_count
 from .packing import pack, pieces
 from .simhash import near_duplicates
@@ -16,8 +19,15 @@ ORACLE: dict[str, str] = {}
 
 
 def query(f):
-    QUERIES[f.__name__] = f
-    return f
+    """Register a query; its Python workers find this package where the driver found it."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        find_package(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 @query
@@ -28,6 +38,20 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.element_at("target", 1).alias("target"), "taken")
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.classify(docs, model).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = near_duplicates(read_table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3)
