@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, toxicity
+from . import fertility, quality, toxicity
 from .common import find_package, read_table
 from .mixing import mix_sources, word_count
 from .packing import pack, pieces
@@ -52,6 +52,13 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, model).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fertility.judge(read_table(spark, sf_dir, "documents"))
+    first = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return out.select(F.col("id").alias("doc_id"), *first, *[c for c in out.columns if c not in ("id", "lang", *first)])
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = near_duplicates(read_table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3)
