@@ -12,6 +12,7 @@ from .common import find_package, read_table
 from .mixing import mix_sources, word_count
 from .packing import pack, pieces
 from .simhash import near_duplicates
+from .topk import top_k
 from .warc import round_trip
 
 QUERIES: dict = {}
@@ -30,6 +31,23 @@ def query(f):
     return run
 
 
+@query
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 20 = 0"), "vec_id", "embedding")
+
+
+ORACLE["op1_exact_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(d.e AS DOUBLE[])) AS BIGINT) AS score
+           FROM v q JOIN v d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id),
+     r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 @query
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
