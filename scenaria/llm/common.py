@@ -10,13 +10,15 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scenaria.session import checkpoint_dir
 
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bits of a bit table, as a power of two.
+BIT_BITS = 20
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -103,3 +105,100 @@ def scored(docs: DataFrame, id_col: str, text_col: str, score, threshold: float,
     out = src.mapInArrow(run, schema)
     return out.select("id", held_out(F.col("id")).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"), *names[2:])
+
+
+def constant_longs(values: list[int]) -> Column:
+    """A constant array of longs."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def bit_table(keys: DataFrame, name: str):
+    """A test that is true for every key of ``keys``, and false for most others while they are few against
+    2**BIT_BITS.  Keys that are null are not in the table."""
+    slot = F.xxhash64(name).bitwiseAND(F.lit((1 << BIT_BITS) - 1))
+    rows = (keys.where(F.col(name).isNotNull()).select(slot.alias("s"))
+            .groupBy(F.shiftright("s", 6).cast("int").alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits")).collect())
+    table = [0] * (1 << (BIT_BITS - 6))
+    for r in rows:
+        table[r.word] = r.bits
+    lookup = constant_longs(table)
+
+    def test(col: Column) -> Column:
+        s = F.xxhash64(col).bitwiseAND(F.lit((1 << BIT_BITS) - 1))
+        return F.coalesce(F.getbit(F.element_at(lookup, (F.shiftright(s, 6) + 1).cast("int")), s.bitwiseAND(F.lit(63)).cast("int")) == 1,
+                          F.lit(False))
+    return test
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """64-bit hash of 64-bit numbers."""
+    h = (values ^ (values >> np.uint64(33))) * np.uint64(0x9E3779B97F4A7C15)
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+class BloomFilter:
+    """Bloom filter of 2**log_words 64-bit words, three bits a value in one word, for use inside Python tasks.
+
+    It is built by Spark: tasks hash the values, 32 tasks each own a range of the words, and the driver gets
+    the filter once, of a size that does not depend on the data.  What it lets through by chance must be
+    sorted out later; as it fills up, it lets through more and never loses a value."""
+
+    def __init__(self, spark: SparkSession, words: np.ndarray, log_words: int):
+        self.log_words, self.words = log_words, spark.sparkContext.broadcast(words.tobytes())
+
+    def __getstate__(self):
+        return {"log_words": self.log_words, "words": self.words}
+
+    @classmethod
+    def of(cls, rows: DataFrame, cols: str | tuple[str, ...], log_words: int, values=None) -> BloomFilter:
+        """Filter of the values (64-bit numbers) that ``values`` makes of the arrays of a batch's columns."""
+        if not 5 <= log_words <= 22:
+            raise ValueError("a filter has from 2**5 to 2**22 words")
+        own = log_words - 5
+        cols = (cols,) if isinstance(cols, str) else cols
+
+        def hashed(batches):
+            for b in batches:
+                arrays = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+                v = values(*arrays) if values else arrays[0].astype(np.int64).view(np.uint64)
+                h = np.unique(mixed(v.ravel()) >> np.uint64(64 - 15 - log_words))
+                cut = np.searchsorted(h, np.arange(33, dtype=np.uint64) << np.uint64(own + 15))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(32), pa.int32()),
+                     pa.array([h[x:y].astype("<u4").tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())],
+                    names=["part", "hashed"])
+
+        def fill(batches):
+            parts: dict[int, np.ndarray] = {}
+            for b in batches:
+                for part, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                    h = np.frombuffer(data.as_buffer(), dtype="<u4").astype(np.uint64) & np.uint64((1 << (own + 15)) - 1)
+                    if h.size:  # sorted: each word's bits lie together
+                        word = (h >> np.uint64(15)).astype(np.int64)
+                        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+                        parts.setdefault(part, np.zeros(1 << own, np.uint64))[word[first]] |= np.bitwise_or.reduceat(cls.bits(h), first)
+            for part, m in parts.items():
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([m.tobytes()], pa.binary())], names=["part", "words"])
+
+        out = np.zeros(1 << log_words, dtype=np.uint64)
+        dealt = rows.select(*cols).mapInArrow(hashed, "part int, hashed binary").repartition(32, "part")
+        for r in dealt.mapInArrow(fill, "part int, words binary").toLocalIterator():
+            out[r.part << own:(r.part + 1) << own] |= np.frombuffer(r.words, dtype="<u8")
+        return cls(rows.sparkSession, out, log_words)
+
+    @staticmethod
+    def bits(hashed: np.ndarray) -> np.ndarray:
+        one, low = np.uint64(1), np.uint64(31)
+        return (one << (hashed & low)) | (one << (np.uint64(16) + (hashed >> np.uint64(5) & low))) | \
+            (one << (np.uint64(32) + (hashed >> np.uint64(10) & low)))
+
+    def tester(self):
+        """A function from an array of 64-bit numbers to an array of booleans."""
+        words, shift = np.frombuffer(self.words.value, dtype="<u8"), np.uint64(64 - 15 - self.log_words)
+
+        def test(values: np.ndarray) -> np.ndarray:
+            h = mixed(values) >> shift
+            bits = self.bits(h)
+            return (words[h >> np.uint64(15)] & bits) == bits
+        return test

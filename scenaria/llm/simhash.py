@@ -6,7 +6,7 @@ variants (two flips), and a shuffle brings equal variants together.  Far variant
 half of the word only: of any three differing bits, two lie in the same half (32 bits each), those two
 make the far side and the third the near side.  That is 65 + 992 variants a fingerprint.
 
-A far variant matters only where some near variant meets it.  A bitmap of fixed size over the near
+A far variant matters only where some near variant meets it.  A Bloom filter of fixed size over the near
 variants drops most others before the shuffle; as it fills up it drops fewer, never a true one.
 
 At a variant, near members are within 2 bits of each other and far members within 3 of each near one, so
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import BloomFilter, written
 from .components import components
 
 HALF = 32
@@ -73,53 +73,14 @@ def masks() -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[np.uint64(0)], bit]), bit[a[same]] | bit[b[same]]
 
 
-def _slots(variants: np.ndarray, bits: int) -> np.ndarray:
-    return (variants * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
-
-
-def _bitmap(nodes: DataFrame, bits: int, parts: int) -> np.ndarray:
-    """Bitmap of 2**bits bits over all near variants.  Each of ``parts`` tasks owns a range of the slots, so
-    what reaches the driver is the bitmap once, of a size that does not grow with the data."""
-    low = bits - parts.bit_length() + 1
-
-    def near(batches):
-        for b in batches:
-            fp = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            slot = np.unique(_slots(fp[:, None] ^ masks()[0][None, :], bits).ravel())
-            cut = np.searchsorted(slot, np.arange(parts + 1, dtype=np.uint64) << np.uint64(low))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(parts), pa.int32()),
-                 pa.array([slot[x:y].astype("<u4").tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())],
-                names=["part", "slots"])
-
-    def fill(batches):
-        maps: dict[int, np.ndarray] = {}
-        for b in batches:
-            for part, slots in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                m = maps.setdefault(part, np.zeros(1 << low, dtype=bool))
-                m[np.frombuffer(slots.as_buffer(), dtype="<u4") & np.uint32((1 << low) - 1)] = True
-        for part, m in maps.items():
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array(
-                [np.packbits(m, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
-
-    out = np.zeros(1 << (bits - 3), dtype=np.uint8)
-    dealt = nodes.select("fp").mapInArrow(near, "part int, slots binary").repartition(parts, "part")
-    for r in dealt.mapInArrow(fill, "part int, bits binary").toLocalIterator():
-        at = r.part << (low - 3)
-        part = np.frombuffer(r.bits, dtype=np.uint8)
-        out[at:at + len(part)] |= part
-    return out
-
-
-def links(nodes: DataFrame, bits: int = 28) -> DataFrame:
+def links(nodes: DataFrame, words: int = 22) -> DataFrame:
     """(a, b): links between the ``node`` ids of distinct fingerprints ``fp`` within distance 3 that keep
     the components whole.  ``node`` is a long and neither it nor ``fp`` repeats."""
-    spark = nodes.sparkSession
-    bitmap = spark.sparkContext.broadcast(_bitmap(nodes, bits, 32).tobytes())  # 2**bits bits, whatever the data
+    bloom = BloomFilter.of(nodes, "fp", words, lambda fp: fp.view(np.uint64)[:, None] ^ masks()[0][None, :])
 
     def emit(batches):
         near, far = masks()
-        seen = np.frombuffer(bitmap.value, dtype=np.uint8)
+        test = bloom.tester()
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             ids = batch.column(1).to_numpy(zero_copy_only=False)
@@ -128,9 +89,7 @@ def links(nodes: DataFrame, bits: int = 28) -> DataFrame:
                 variant = fp[:, None] ^ near[None, :]
                 yield _rows(variant.ravel(), np.repeat(node, near.size), np.tile(np.arange(near.size), fp.size))
                 variant = fp[:, None] ^ far[None, :]
-                slot = _slots(variant, bits)
-                hit = (seen[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
-                i, k = np.nonzero(hit)
+                i, k = np.nonzero(test(variant))
                 yield _rows(variant[i, k], node[i], near.size + k)
 
     def meet(batches):
@@ -176,7 +135,7 @@ def _rows(variant: np.ndarray, node: np.ndarray, kind: np.ndarray) -> pa.RecordB
                                       names=["variant", "node", "kind"])
 
 
-def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3, bits: int = 28) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3, words: int = 22) -> DataFrame:
     """(id, fp, component): the fingerprint of every row and the smallest id that can be reached over links
     of at most 3 differing bits, itself included.
 
@@ -187,7 +146,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
     classes = written(fps.groupBy("fp").agg(F.min("id").alias("first")), "classes")
     # links run between fingerprints, so that classes whose ids are all null take part as well
     nodes = classes.select("fp", F.col("fp").alias("node"))
-    comp = components(links(nodes, bits), "a", "b")
+    comp = components(links(nodes, words), "a", "b")
     named = classes.join(comp, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root"))
     named = written(named, "named")

@@ -62,7 +62,7 @@ def test_documents_against_all_pairs(spark):
 
 def test_links_at_every_distance(spark):
     rng = random.Random(5)
-    for bits in (12, 28):  # a full bitmap drops nothing
+    for words in (5, 22):  # a full filter drops nothing
         fps = []
         for _ in range(60):
             f = rng.getrandbits(64)
@@ -74,7 +74,7 @@ def test_links_at_every_distance(spark):
                 fps.append(g)
         fps = list(dict.fromkeys(fps))
         rows = [(f - (1 << 64) if f >> 63 else f, i) for i, f in enumerate(fps)]
-        pairs = links(spark.createDataFrame(rows, "fp long, node long"), bits=bits)
+        pairs = links(spark.createDataFrame(rows, "fp long, node long"), words=words)
         for r in pairs.collect():
             assert (fps[r.a] ^ fps[r.b]).bit_count() <= 3
         got = {r.node: r.component for r in components(pairs, "a", "b").collect()}
