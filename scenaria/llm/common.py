@@ -40,13 +40,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/scenaria-llm-{uuid.uuid4().hex}/{name}"
 
 
-def written(df: DataFrame, name: str, partitions_like: int | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back: later steps read
     one fixed copy, and a lost executor re-reads files instead of re-running what came before."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    (df if partitions_like is None else df.repartition(partitions_like)).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def label_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str, per_label: int,

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from . import fertility, quality, toxicity
 from .common import find_package, read_table
+from .linededup import dedup_lines
 from .mixing import mix_sources, word_count
 from .packing import pack, pieces
 from .simhash import near_duplicates
+from .substrings import remove_repeats
 from .topk import top_k
 from .warc import round_trip
 
@@ -56,6 +58,35 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.element_at("target", 1).alias("target"), "taken")
 
 
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = dedup_lines(docs, "doc_id", "text", threshold=0.8)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE["op3_line_dedup"] = r"""
+WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+     l AS (SELECT doc_id, unnest(range(len(parts))) AS line, unnest(parts) AS x FROM cut),
+     t AS (SELECT doc_id, line, x, list_sort(list_distinct(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) AS w FROM l),
+     s AS (SELECT w, len(w) AS n, min((doc_id, line)) AS first, row_number() OVER (ORDER BY min((doc_id, line))) AS k
+           FROM t WHERE len(w) > 0 GROUP BY w),
+     tok AS (SELECT k, n, unnest(w) AS tok FROM s),
+     df AS (SELECT tok, count(*) AS df FROM tok GROUP BY tok),
+     ranked AS (SELECT k, n, tok, row_number() OVER (PARTITION BY k ORDER BY df, tok) AS r FROM tok JOIN df USING (tok)),
+     p AS (SELECT k, n, tok FROM ranked WHERE r <= n - ceil(0.8 * n - 1e-9) + 1),
+     c AS (SELECT DISTINCT a.k AS a, b.k AS b FROM p a JOIN p b ON a.tok = b.tok AND a.k < b.k AND a.n >= 0.8 * b.n - 1e-9 AND b.n >= 0.8 * a.n - 1e-9),
+     near AS (SELECT DISTINCT c.b AS k FROM c JOIN s x ON x.k = c.a JOIN s y ON y.k = c.b
+              WHERE len(list_intersect(x.w, y.w)) >= 0.8 * (x.n + y.n - len(list_intersect(x.w, y.w))) - 1e-9),
+     d AS (SELECT t.doc_id, t.line, t.x, len(t.w) > 0 AS has_word,
+                  coalesce(len(t.w) > 0 AND (near.k IS NOT NULL OR (t.doc_id, t.line) > s.first), false) AS gone
+           FROM t LEFT JOIN s ON t.w = s.w LEFT JOIN near ON near.k = s.k)
+SELECT documents.doc_id, coalesce(count(*) FILTER (has_word), 0) AS n_lines, coalesce(count(*) FILTER (gone), 0) AS n_removed,
+       sha256(coalesce(string_agg(x, chr(10) ORDER BY line) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents LEFT JOIN d USING (doc_id) GROUP BY documents.doc_id
+"""
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -70,6 +101,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, model).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(read_table(spark, sf_dir, "documents"), "doc_id", "text", window=50)
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fertility.judge(read_table(spark, sf_dir, "documents"))
