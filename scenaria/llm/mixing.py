@@ -123,23 +123,18 @@ def _flow(patterns, capacity, quota, most):
             for p in patterns}
 
 
-def mix_sources(docs: DataFrame, id_col: str, size, sources, weights: tuple[float, ...] = (5, 2, 1),
-                max_repeats: int = 3, seed: int = 42, max_patterns: int = 100_000) -> DataFrame:
-    """(id, sources, size, source_size, target, taken), one row per row of ``docs``.
-
-    ``size`` is an expression for a document's token count (null: 0), ``sources`` one for the array of
-    sources it belongs to; a null element is a source of its own, last in order, and a document of no
-    source is never taken.  ``source_size`` and ``target`` are arrays beside ``sources``.  ``taken`` is
-    size times the number of times the mix takes the document, at most ``max_repeats``.  Rows of equal id
-    and size share one fate.  An empty table gives an empty result; a source without words has the
-    target 0."""
-    spark = docs.sparkSession
+def _keyed(docs: DataFrame, id_col: str, size, sources, seed: int) -> DataFrame:
+    """``docs`` with __pattern (sorted distinct sources, null as ~), __size, __id and __h, its place in the order."""
     key = F.array_sort(F.array_distinct(F.transform(
         F.coalesce(sources, F.array().cast("array<string>")),
         lambda s: F.when(s.isNull(), F.lit("~")).otherwise(F.concat(F.lit("s"), s)))))
-    sized = written(docs.select(F.col(id_col).alias("id"), key.alias("pattern"),
-                                F.coalesce(size, F.lit(0)).cast("long").alias("size"))
-                    .withColumn("h", F.shiftrightunsigned(F.xxhash64(F.col("id"), F.lit(seed)), 1)), "sized")
+    return docs.withColumns({"__pattern": key, "__size": F.coalesce(size, F.lit(0)).cast("long"), "__id": F.col(id_col),
+                             "__h": F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 1)})
+
+
+def _plan(sized: DataFrame, weights, max_repeats: int, max_patterns: int) -> tuple[DataFrame, list[tuple[str, int, float]]]:
+    """What every pattern takes, one row each (at most ``max_patterns``), and (source, size, target) of each source."""
+    spark = sized.sparkSession
     rows = sized.groupBy("pattern").agg(F.sum("size").alias("size")).limit(max_patterns + 1).collect()
     if len(rows) > max_patterns:
         raise ValueError(f"more than {max_patterns} distinct sets of sources; raise max_patterns")
@@ -157,7 +152,7 @@ def mix_sources(docs: DataFrame, id_col: str, size, sources, weights: tuple[floa
     schema = "pattern array<string>, rounds int, rest long"
     plan_df = spark.createDataFrame(plan, schema) if plan else spark.createDataFrame([], schema)
     # where the seeded order reaches what is left over after whole rounds: first the bucket, then the row
-    some = sized.join(F.broadcast(plan_df.where("rest > 0")), "pattern")  # at most max_patterns rows
+    some = sized.join(F.broadcast(plan_df.where("rest > 0")), "pattern")
     bucket = F.shiftright(F.col("h"), 63 - BUCKET_BITS)
     sums = some.groupBy("pattern", "rest", bucket.alias("bucket")).agg(F.sum("size").alias("n"))
     upto = Window.partitionBy("pattern").orderBy("bucket")
@@ -171,22 +166,62 @@ def mix_sources(docs: DataFrame, id_col: str, size, sources, weights: tuple[floa
         "pattern", "bucket", "last", F.coalesce("upto", "before").alias("upto")), "cut")
     # one more document comes closest to the gap that the order leaves
     at = F.struct("h", "id")
-    past = (F.col("bucket") < bucket) | ((F.col("bucket") == bucket) & (F.col("last").isNull() | (at > F.col("last"))))
     gap = F.col("rest") - F.col("upto")
-    fill = (some.join(F.broadcast(cut), "pattern").where(past).where((F.col("size") > 0) & (F.col("size") < 2 * gap))
+    fill = (some.withColumn("b", bucket).join(F.broadcast(cut), "pattern").where(_past(F.col("b"), at))
+            .where((F.col("size") > 0) & (F.col("size") < 2 * gap))
             .groupBy("pattern").agg(F.min(F.struct(F.abs(F.col("size") - gap).alias("off"), "h", "id")).alias("f"))
             .select("pattern", F.struct("f.h", "f.id").alias("fill")))
-    decided = plan_df.join(cut, "pattern", "left").join(fill, "pattern", "left")
-    once = (F.col("rest") > 0) & (~past | (at == F.col("fill")))
-    facts = [(s, sizes[s], target[s]) for s in sorted(sizes)]
-    source_map = F.from_json(F.lit(_facts_json(facts)), "map<string, struct<n: bigint, t: double>>")
-    return (sized.join(F.broadcast(decided), "pattern", "left").select(
-        "id", F.transform("pattern", lambda s: F.when(s != "~", F.substr(s, F.lit(2)))).alias("sources"), "size",
-        F.transform("pattern", lambda s: F.element_at(source_map, s)["n"]).alias("source_size"),
-        F.transform("pattern", lambda s: F.element_at(source_map, s)["t"]).alias("target"),
-        (F.col("size") * (F.coalesce("rounds", F.lit(0)) + F.when(F.coalesce(once, F.lit(False)), 1).otherwise(0)))
-        .cast("long").alias("taken")))
-
-
-def _facts_json(facts):
-    return json.dumps({s: {"n": n, "t": t} for s, n, t in facts})
+    decided = written(plan_df.join(cut, "pattern", "left").join(fill, "pattern", "left"), "decided")
+    return decided, [(s, sizes[s], target[s]) for s in sorted(sizes)]
+
+
+def _past(bucket, at, prefix: str = ""):
+    """Is a row past the last one that the order takes?"""
+    edge, last = F.col(f"{prefix}bucket"), F.col(f"{prefix}last")
+    return (edge < bucket) | ((edge == bucket) & (last.isNull() | (at > last)))
+
+
+def _times(keyed: DataFrame, decided: DataFrame) -> DataFrame:
+    """``keyed`` with __times, how often the mix takes the row."""
+    at = F.struct("__h", "__id")
+    plan = decided.select([F.col(c).alias(f"__{c}") for c in decided.columns]).withColumnRenamed("__pattern", "__plan")
+    bucket = F.shiftright(F.col("__h"), 63 - BUCKET_BITS)
+    past = _past(bucket, at, "__")
+    once = (F.col("__rest") > 0) & (~past | (at == F.col("__fill")))
+    times = F.coalesce("__rounds", F.lit(0)) + F.when(F.coalesce(once, F.lit(False)), 1).otherwise(0)
+    # at most max_patterns rows, which _plan has checked
+    return keyed.join(F.broadcast(plan), F.col("__pattern") == F.col("__plan"), "left").withColumn("__times", times)
+
+
+def _sized(keyed: DataFrame) -> DataFrame:
+    return keyed.select(F.col("__id").alias("id"), F.col("__pattern").alias("pattern"), F.col("__size").alias("size"), F.col("__h").alias("h"))
+
+
+def mix_sources(docs: DataFrame, id_col: str, size, sources, weights: tuple[float, ...] = (5, 2, 1),
+                max_repeats: int = 3, seed: int = 42, max_patterns: int = 100_000) -> DataFrame:
+    """(id, sources, size, source_size, target, taken), one row per row of ``docs``.
+
+    ``size`` is an expression for a document's token count (null: 0), ``sources`` one for the array of
+    sources it belongs to; a null element is a source of its own, last in order, and a document of no
+    source is never taken.  ``source_size`` and ``target`` are arrays beside ``sources``.  ``taken`` is
+    size times the number of times the mix takes the document, at most ``max_repeats``.  Rows of equal id
+    and size share one fate.  An empty table gives an empty result; a source without words has the
+    target 0."""
+    sized = written(_sized(_keyed(docs, id_col, size, sources, seed)), "sized")
+    decided, facts = _plan(sized, weights, max_repeats, max_patterns)
+    keyed = sized.select(*[F.col(c).alias(f"__{c}") for c in sized.columns])
+    source_map = F.from_json(F.lit(json.dumps({s: {"n": n, "t": t} for s, n, t in facts})), "map<string, struct<n: bigint, t: double>>")
+    return _times(keyed, decided).select(
+        F.col("__id").alias("id"), F.transform("__pattern", lambda s: F.when(s != "~", F.substr(s, F.lit(2)))).alias("sources"),
+        F.col("__size").alias("size"), F.transform("__pattern", lambda s: F.element_at(source_map, s)["n"]).alias("source_size"),
+        F.transform("__pattern", lambda s: F.element_at(source_map, s)["t"]).alias("target"),
+        (F.col("__size") * F.col("__times")).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str, size, sources, weights: tuple[float, ...] = (5, 2, 1),
+                    max_repeats: int = 3, seed: int = 42, max_patterns: int = 100_000) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix of ``mix_sources`` takes it; whole rows are not shuffled."""
+    keyed = _keyed(docs, id_col, size, sources, seed)
+    decided, _ = _plan(written(_sized(keyed), "sized"), weights, max_repeats, max_patterns)
+    taken = _times(keyed, decided).where("__times > 0").select(*[F.col(f"`{c}`") for c in docs.columns], "__times")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).drop("__times", "__copy")

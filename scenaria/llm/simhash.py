@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import BloomFilter, written
 from .components import components
@@ -136,8 +137,8 @@ def _rows(variant: np.ndarray, node: np.ndarray, kind: np.ndarray) -> pa.RecordB
 
 
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3, words: int = 22) -> DataFrame:
-    """(id, fp, component): the fingerprint of every row and the smallest id that can be reached over links
-    of at most 3 differing bits, itself included.
+    """(id, fp, component, root): the fingerprint of every row, the smallest id that can be reached over links
+    of at most 3 differing bits, itself included, and a fingerprint that names the group.
 
     Ids must be longs.  A row whose id is null joins its group but is never its smallest; a group of null
     ids alone has a null component.  Equal texts share a fingerprint, so copies are never expanded into
@@ -151,5 +152,25 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
         "fp", "first", F.coalesce("component", "fp").alias("root"))
     named = written(named, "named")
     least = named.groupBy("root").agg(F.min("first").alias("component"))
-    label = named.join(least, "root").select(F.col("fp").alias("_fp"), "component")
-    return fps.join(label, F.col("fp") == F.col("_fp")).select("id", "fp", "component")
+    label = named.join(least, "root").select(F.col("fp").alias("_fp"), "component", "root")
+    return fps.join(label, F.col("fp") == F.col("_fp")).select("id", "fp", "component", "root")
+
+
+def keep_first(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
+    """One row of ``docs`` for each group of near duplicates: that of the smallest id.  Where the id repeats, or
+    all ids of a group are null, the row whose text has the smallest hash stays."""
+    near = written(near_duplicates(docs, id_col, text_col, shingle), "groups")
+    chosen = near.where("id = component").select(F.col("id").alias("__first")).distinct()
+    row = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col)))
+    out = (docs.join(chosen, F.col(id_col) == F.col("__first")).drop("__first").withColumn("__row", row).where("__row = 1").drop("__row"))
+    nameless = near.where("component is null").select("fp", "root").distinct()
+    if nameless.isEmpty():
+        return out
+    none = docs.where(F.col(id_col).isNull())
+    table = none.withColumn("__text", F.xxhash64(text_col))
+    prints = fingerprints(none.withColumn("__text", F.xxhash64(text_col)), "__text", text_col, shingle).distinct()
+    best = (prints.join(nameless, "fp").groupBy("root").agg(F.min("id").alias("id")).select(F.col("id").alias("__chosen")))
+    kept = table.join(best, F.col("__text") == F.col("__chosen"))
+    first = F.row_number().over(Window.partitionBy("__text").orderBy("__text"))
+    kept = kept.withColumn("__row", first).where("__row = 1").select(*docs.columns)
+    return out.unionByName(kept)

@@ -32,8 +32,8 @@ FOUND = "query_id long, vec_id long, score long"
 
 def whole(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 64) -> DataFrame:
     """(vec_id, dim, v): floor(scale * component) as little-endian numbers, 4 bytes each where they fit, else 8.
-    A row whose id or vector is null, or that holds a null or a value that is not finite, is left out; equal
-    rows count once.  Shorter vectors count as filled up with zeros."""
+    A row whose id or vector is null, or that holds a null or a value that is not finite, is left out; of rows
+    of equal id one counts, the shortest and then the first in byte order.  Shorter vectors count as filled up with zeros."""
     src = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where(
         "vec_id is not null and v is not null")
 
@@ -55,7 +55,8 @@ def whole(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 64) ->
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), pa.array(dims, pa.int32()),
                                               pa.array(out, pa.binary())], names=["vec_id", "dim", "v"])
 
-    return src.mapInArrow(run, "vec_id long, dim int, v binary").distinct()
+    rows = src.mapInArrow(run, "vec_id long, dim int, v binary")
+    return rows.groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("x")).select("vec_id", "x.dim", "x.v")
 
 
 def matrix(dims: list[int], vectors: list[bytes], width: int | None = None) -> np.ndarray:
@@ -83,9 +84,9 @@ def bounds(q: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return product(np.maximum(q, 0), high) + product(np.minimum(q, 0), low)
 
 
-def search(q, q_ids, d, d_ids, high, low, k, least):
-    """(query position, vec_id, score) of each query's k best in one shard that reach ``least``, ties to the
-    smaller id, without the query's own id."""
+def search(q, q_ids, d, d_ids, high, low, k, least, past):
+    """(query position, vec_id, score) of each query's k best in one shard that beat ``least``, or reach it with an
+    id below ``past``, ties to the smaller id, without the query's own id."""
     u = bounds(q, high, low)
     order = np.argsort(-u, axis=1, kind="stable")
     kth = least.copy()
@@ -103,7 +104,8 @@ def search(q, q_ids, d, d_ids, high, low, k, least):
         for part in np.split(by, np.flatnonzero(np.diff(b[by])) + 1):
             g, rows = qi[part], slice(b[part[0]] * BLOCK, (b[part[0]] + 1) * BLOCK)
             s = product(q[g], d[rows])
-            i, j = np.nonzero((s >= kth[g][:, None]) & (d_ids[rows][None, :] != q_ids[g][:, None]))
+            better = (s > least[g][:, None]) | (s == least[g][:, None]) & (d_ids[rows][None, :] < past[g][:, None])
+            i, j = np.nonzero((s >= kth[g][:, None]) & better & (d_ids[rows][None, :] != q_ids[g][:, None]))
             new.append((g[i], d_ids[rows][j], s[i, j]))
         found = tuple(np.concatenate(x) for x in zip(*new, strict=True))
         by = np.lexsort((found[1], -found[2], found[0]))
@@ -175,7 +177,7 @@ def _rows(data: bytes, dim: int, count: int) -> np.ndarray:
 
 
 def _visit(pairs: DataFrame, k: int) -> DataFrame:
-    """Search each row's shard for the row's queries: those at ``at`` of the batch, none below ``least``."""
+    """Search each row's shard for the row's queries, those at ``at`` of the batch."""
 
     def run(batches):
         for b in batches:
@@ -184,15 +186,15 @@ def _visit(pairs: DataFrame, k: int) -> DataFrame:
                 q = _rows(r["q_v"], r["q_dim"], len(q_ids))
                 at = np.frombuffer(r["at"], "<i4")
                 n = -(-len(d_ids) // BLOCK)
-                least = np.frombuffer(r["least"], "<f8")
+                least, past = np.frombuffer(r["least"], "<f8"), np.frombuffer(r["past"], "<i8")
                 i, vec, score = search(q[at], q_ids[at], _rows(r["v"], r["dim"], len(d_ids)), d_ids, _rows(r["high"], r["dim"], n),
-                                       _rows(r["low"], r["dim"], n), k, least)
+                                       _rows(r["low"], r["dim"], n), k, least, past)
                 if any(abs(int(s)) >= 2 ** 63 for s in (score.max(initial=0), score.min(initial=0))):
                     raise ValueError("a score is too large for a 64-bit number")
                 yield pa.RecordBatch.from_arrays([pa.array(q_ids[at][i]), pa.array(vec), pa.array(score.astype(np.int64))],
                                                  names=["query_id", "vec_id", "score"])
 
-    return pairs.select("at", "least", "q_ids", "q_dim", "q_v", "ids", "dim", "v", "high", "low").mapInArrow(run, FOUND)
+    return pairs.select("at", "least", "past", "q_ids", "q_dim", "q_v", "ids", "dim", "v", "high", "low").mapInArrow(run, FOUND)
 
 
 def _meet(which: DataFrame, queries: DataFrame, shards: DataFrame) -> DataFrame:
@@ -235,18 +237,19 @@ def _aims(grid: DataFrame, best: bool) -> DataFrame:
     return grid.mapInArrow(run, "batch long, shard long, at int, bound double")
 
 
-def _gather(aims: DataFrame, least: str) -> DataFrame:
-    """One row per (batch, shard): its queries' positions and least scores as numbers in bytes."""
+def _gather(aims: DataFrame) -> DataFrame:
+    """One row per (batch, shard): its queries' positions and what they must beat, as numbers in bytes."""
 
     def run(batches):
         for b in batches:
             at = [np.array(x, "<i4") for x in b.column(2).to_pylist()]
             low = [np.array([-np.inf if y is None else y for y in x], "<f8") for x in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x.tobytes() for x in at], pa.binary()),
-                                              pa.array([x.tobytes() for x in low], pa.binary())], names=["batch", "shard", "at", "least"])
+            ids = [np.array([0 if y is None else y for y in x], "<i8") for x in b.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([x.tobytes() for x in c], pa.binary()) for c in (at, low, ids))],
+                                             names=["batch", "shard", "at", "least", "past"])
 
-    got = aims.groupBy("batch", "shard").agg(F.collect_list(F.struct("at", F.col(least).alias("least"))).alias("x"))
-    return got.select("batch", "shard", "x.at", "x.least").mapInArrow(run, "batch long, shard long, at binary, least binary")
+    got = aims.groupBy("batch", "shard").agg(F.collect_list(F.struct("at", "least", "past")).alias("x"))
+    return got.select("batch", "shard", "x.at", "x.least", "x.past").mapInArrow(run, "batch long, shard long, at binary, least binary, past binary")
 
 
 def _positions(batches: DataFrame) -> DataFrame:
@@ -278,7 +281,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str,
     """(query_id, rank, vec_id, score): for each row of ``queries`` (columns as in ``vectors``) the k rows of
     ``vectors`` with another id and the highest inner product of floor(scale * component), ties to the smaller
     id; all of them if there are fewer.  Rows that cannot take part (see ``whole``) are left out on either
-    side; an id with several different vectors counts with its best.  Empty tables give an empty result."""
+    side.  Empty tables give an empty result."""
     spark = vectors.sparkSession
     data, ask = (written(whole(x, id_col, vector_col, scale), n) for x, n in ((vectors, "vectors"), (queries, "queries")))
     drawn = data.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PIVOTS).collect()
@@ -296,15 +299,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str,
     nothing = asked.withColumn("least", F.lit(None).cast("binary"))
     best = (_aims(_grid(nothing, packs, n_packs), True).groupBy("batch", "at")
             .agg(F.max(F.struct("bound", "shard")).alias("b")).select("batch", "at", F.col("b.shard").alias("shard"))
-            .withColumn("none", F.lit(None).cast("double")))
-    first = written(_visit(_meet(_gather(best, "none"), asked, shards), k), "first")
+            .withColumn("least", F.lit(None).cast("double")).withColumn("past", F.lit(None).cast("long")))
+    first = written(_visit(_meet(_gather(best), asked, shards), k), "first")
     kth = (first.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-           .where(F.col("r") == k).select("query_id", F.col("score").cast("double").alias("least")))
-    least = written(_positions(asked).join(kth, "query_id", "left").select("batch", "at", "least"), "least")
+           .where(F.col("r") == k).select("query_id", F.col("score").cast("double").alias("least"), F.col("vec_id").alias("past")))
+    least = written(_positions(asked).join(kth, "query_id", "left").select("batch", "at", "least", "past"), "least")
     known = asked.join(_flat(least), "no")
     seen = best.select("batch", "at", "shard")
     aims = _aims(_grid(known, packs, n_packs), False).join(seen, ["batch", "at", "shard"], "left_anti").join(least, ["batch", "at"])
-    more = _visit(_meet(_gather(aims, "least"), asked, shards), k)
-    every = first.unionByName(more).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    more = _visit(_meet(_gather(aims), asked, shards), k)
+    every = first.unionByName(more)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return every.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
