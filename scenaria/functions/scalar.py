@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["clip01", "finite_or_zero", "argmax_first", "argmax_rounded", "argmax_cols", "blend_cols", "blend", "renormalize", "truncate_renormalize",
+__all__ = ["clip01", "finite_or_zero", "argmax_first", "argmax_cols", "blend_cols", "blend", "renormalize", "truncate_renormalize",
            "one_hot", "combo_key", "combo_ints", "first_dot_key", "strip_csv", "ms_per_sample",
            "epoch_seconds", "even_starts", "nan_to_null"]
 
@@ -29,29 +29,21 @@ def argmax_first(p: Column) -> Column:
     return (F.array_position(p, F.array_max(p)) - 1).cast("int")
 
 
-def argmax_rounded(p: Column, digits: int = 9, n: int = 6) -> Column:
-    """0-based index of the largest of the first ``n`` elements of array ``p`` quantised to ``digits``
-    places, the first on ties (missing elements ignored).  See ``argmax_cols``."""
-    return argmax_cols([F.get(p, i) for i in range(n)], digits)
+def argmax_cols(cols) -> Column:
+    """0-based index of the largest of some scalar columns, the first one on ties; nulls are passed over, and
+    all null gives null."""
+    cols = list(cols)
+    top = F.greatest(*cols) if len(cols) > 1 else cols[0]
+    out = F.when(cols[0] == top, 0)
+    for i, c in enumerate(cols[1:], 1):
+        out = out.when(c == top, i)
+    return out.cast("int")
 
 
-def argmax_cols(cols, digits: int = 9) -> Column:
-    """0-based index of the largest value quantised to ``digits`` places (half up), the first on
-    ties.  Each value becomes one key floor(x * 10^digits + 0.5) * M + (M - 1 - i), an exact integer
-    in a double, so a single ``greatest`` yields both the maximum and the lowest index among equal
-    quantised values: a compact scalar expression that stays inside generated code."""
-    m = len(cols) + 1
-    scale = float(10 ** digits)
-    keys = [F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") * F.lit(float(m)) + F.lit(float(m - 1 - i))
-            for i, c in enumerate(cols)]
-    g = F.greatest(*keys) if len(keys) > 1 else keys[0]
-    return (F.lit(m - 1) - F.pmod(g, F.lit(float(m))).cast("int")).cast("int")
-
-
-def blend_cols(p1: Column, p2: Column, w, n: int = 6) -> list[Column]:
-    """Element-wise weight * p1 + (1 - weight) * p2 of the first ``n`` elements, as scalars."""
+def blend_cols(p1: Column, p2: Column, w, n: int) -> list[Column]:
+    """Element-wise weight * p1 + (1 - weight) * p2 of ``n`` elements, as scalars (null past a vector's end)."""
     w = w if isinstance(w, Column) else F.lit(float(w))
-    return [w * F.get(p1, i) + (F.lit(1.0) - w) * F.get(p2, i) for i in range(n)]
+    return [w * F.get(p1, F.lit(i)) + (F.lit(1.0) - w) * F.get(p2, F.lit(i)) for i in range(n)]
 
 
 def blend(p1: Column, p2: Column, w) -> Column:
@@ -60,8 +52,9 @@ def blend(p1: Column, p2: Column, w) -> Column:
 
 
 def renormalize(p: Column) -> Column:
+    """Divided by the sum; a vector without mass stays as it is."""
     total = F.aggregate(p, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(p, lambda x: x / total)
+    return F.transform(p, lambda x: F.coalesce(F.try_divide(x, total), x))
 
 
 def truncate_renormalize(p: Column, k) -> Column:
@@ -73,13 +66,17 @@ def one_hot(y: Column, n_classes: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(n_classes - 1)), lambda c: (c == y).cast("int"))
 
 
+NULL_MARK = "null"
+
+
 def combo_key(cols, sep: str = ",") -> Column:
-    return F.concat_ws(sep, *[F.col(c).cast("int").cast("string") for c in cols])
+    """Labels as one key; a null label keeps its place."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("int").cast("string"), F.lit(NULL_MARK)) for c in cols])
 
 
 def combo_ints(key: Column, n: int, sep: str = ",") -> list[Column]:
     parts = F.split(key, sep)
-    return [parts.getItem(i).cast("int") for i in range(n)]
+    return [F.nullif(parts.getItem(i), F.lit(NULL_MARK)).cast("int") for i in range(n)]
 
 
 def first_dot_key(name: Column) -> Column:

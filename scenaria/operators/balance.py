@@ -24,7 +24,6 @@ from scenaria.operators import keyed
 from scenaria.session import cut_lineage
 
 N_PROJ = 4
-MAX_BROADCAST_ROWS = 1_000_000     # size bound for broadcasting a per-bucket table
 
 
 def _directions(dim: int, seed: int, n: int = N_PROJ) -> list[list[float]]:
@@ -65,14 +64,15 @@ def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = D.SMOT
     bound = near.withColumn("r", F.row_number().over(rk)).where(F.col("r") <= k) \
         .groupBy("id").agg(F.max("d2").alias("b2"), F.count(F.lit(1)).alias("nb"))
     sizes = pts.groupBy("cls").agg(F.count(F.lit(1)).alias("csize"), F.min("t0").alias("lo"), F.max("t0").alias("hi"))
-    pb = pts.join(bound, "id", "left").join(F.broadcast(sizes), "cls", "left")   # one row per class
+    pb = pts.join(bound, "id", "left").join(sizes, "cls", "left")
     # rows whose class has <= k other rows take every other row: unbounded band
     r = F.when(F.col("nb") >= F.least(F.lit(k), F.col("csize") - 1), F.sqrt("b2")).otherwise(F.lit(float("inf")))
     pb = pb.withColumn("r", r)
-    # (2) bucket width: median band radius per class keeps a typical band to about three buckets
+    # (2) bucket width: median band radius per class keeps a typical band to about three buckets; where
+    # many rows are equal that radius is 0, and a class gets no more buckets than it has rows
     width = pb.where(~F.isnan("r") & (F.col("r") < float("inf"))).groupBy("cls") \
-        .agg(F.greatest(F.percentile_approx("r", 0.5), F.lit(1e-9)).alias("width"))
-    pb = pb.join(F.broadcast(width), "cls", "left").withColumn("width", F.coalesce("width", F.lit(1.0)))
+        .agg(F.greatest(F.percentile_approx("r", 0.5), F.max((F.col("hi") - F.col("lo")) / F.col("csize"))).alias("width"))
+    pb = pb.join(width, "cls", "left").withColumn("width", F.when(F.col("width") > 0, F.col("width")).otherwise(F.lit(1.0)))
     # both sides of the band join read the same per-row table: write it once (and cut the lineage)
     pb = cut_lineage(pb)
     bucket = F.floor((F.col("t0") - F.col("lo")) / F.col("width")).cast("long")
@@ -83,10 +83,6 @@ def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = D.SMOT
     data = pb.select("cls", bucket.alias("bk"), F.col("id").alias("nbr_id"), F.col("v").alias("w"),
                      *[F.col(f"t{i}").alias(f"s{i}") for i in range(len(dirs))])
     salts = data.groupBy("cls", "bk").agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_rows)).cast("long").alias("ns"))
-    # one row per (class, bucket): broadcast behind a size check (a wide bucket must not meet it in one
-    # sort-merge task); beyond the bound a regular join, whose skewed side AQE splits
-    if salts.count() <= MAX_BROADCAST_ROWS:
-        salts = F.broadcast(salts)
     data = data.join(salts, ["cls", "bk"]).withColumn("salt", F.pmod(F.xxhash64("nbr_id"), F.col("ns"))).drop("ns")
     qry = (pb if qids is None else pb.join(qids, "id", "left_semi")).select(
         "cls", "id", "v", "r", *[f"t{i}" for i in range(len(dirs))], F.explode(F.sequence(lo_b, hi_b)).alias("bk"))
@@ -138,7 +134,7 @@ def smote(df: DataFrame, id_col: str, vec: str, cls: str, k: int = D.SMOTE_K, se
                     (_pick(F.col("k_used"), sd + 1, F.col(cls), F.col("_j")) + 1).alias("_nr"),
                     _u01(sd + 2, F.col(cls), F.col("_j")).alias("_u"))
     # only classes that grow need neighbours, and only for the base rows actually drawn
-    grow = df.join(F.broadcast(todo.select(cls)), cls, "left_semi")   # one row per class to grow
+    grow = df.join(todo.select(cls), cls, "left_semi")
     base = keyed.with_position(grow, cls, [id_col], pos="_bp")
     b = cut_lineage(spec.join(base, [cls, "_bp"]))        # the drawn rows: read by the k-NN and the join
     knn = knn_in_class(grow, id_col, vec, cls, k, seed, query_ids=b.select(id_col))

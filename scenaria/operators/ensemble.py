@@ -12,19 +12,22 @@ from pyspark.sql import functions as F
 
 from scenaria import defaults as D
 
-from scenaria.functions import argmax_cols, argmax_rounded, blend_cols
+from scenaria.functions import argmax_cols, argmax_first, blend, blend_cols, renormalize
 
-N_CLASSES = D.N_CLASSES
 
+def predict(p: Column) -> Column:
+    """Class of a probability vector of any length, the lowest class on ties."""
+    return argmax_first(p)
 
-def predict(p: Column, digits: int = 9, n: int = N_CLASSES) -> Column:
-    """Class of a probability vector (first ``n`` classes), lowest class on (rounded) ties."""
-    return argmax_rounded(p, digits, n)
 
+def predict_blend(p1: Column, p2: Column, w) -> Column:
+    """F13 + T7: class of weight * p1 + (1 - weight) * p2, for vectors of any length."""
+    return argmax_first(blend(p1, p2, w))
 
-def predict_blend(p1: Column, p2: Column, w, n: int = N_CLASSES, digits: int = 9) -> Column:
-    """F13 + T7 as scalar expressions: class of weight * p1 + (1 - weight) * p2."""
-    return argmax_cols(blend_cols(p1, p2, w, n), digits)
+
+def n_classes(j: DataFrame, a: str = "p1", b: str = "p2") -> int:
+    """The longest vector of either model (one aggregate row)."""
+    return int(j.agg(F.max(F.greatest(F.size(a), F.size(b)))).first()[0] or 0)
 
 
 def align(p1: DataFrame, p2: DataFrame, keys, a: str = "p1", b: str = "p2") -> DataFrame:
@@ -36,18 +39,16 @@ def align(p1: DataFrame, p2: DataFrame, keys, a: str = "p1", b: str = "p2") -> D
 
 
 def truncate_common(j: DataFrame, a: str = "p1", b: str = "p2") -> DataFrame:
-    """cut both vectors to the smaller class count and renormalise."""
+    """cut both vectors to the smaller class count and renormalise; a vector whose mass lies wholly in
+    the cut classes stays all zero (its class is 0)."""
     k = F.least(F.size(a), F.size(b))
     j = j.withColumn(a, F.slice(a, 1, k)).withColumn(b, F.slice(b, 1, k))
-    tot = {c: F.aggregate(F.col(c), F.lit(0.0), lambda acc, x: acc + x) for c in (a, b)}
-    j = j.withColumn("_ta", tot[a]).withColumn("_tb", tot[b])
-    return j.withColumn(a, F.transform(a, lambda x: x / F.col("_ta"))) \
-        .withColumn(b, F.transform(b, lambda x: x / F.col("_tb"))).drop("_ta", "_tb")
+    return j.withColumn(a, renormalize(F.col(a))).withColumn(b, renormalize(F.col(b)))
 
 
-def blended(j: DataFrame, weight, a: str = "p1", b: str = "p2", n: int = N_CLASSES) -> DataFrame:
+def blended(j: DataFrame, weight, a: str = "p1", b: str = "p2") -> DataFrame:
     """F13 + T7: weight * p1 + (1 - weight) * p2 and its class."""
-    return j.withColumn("y_pred", predict_blend(F.col(a), F.col(b), weight, n))
+    return j.withColumn("y_pred", predict_blend(F.col(a), F.col(b), weight))
 
 
 def weight_grid(n_steps: int) -> list[float]:
@@ -56,18 +57,20 @@ def weight_grid(n_steps: int) -> list[float]:
 
 
 def grid_counts(j: DataFrame, n_steps: int = D.WEIGHT_STEPS, by=("label",), a: str = "p1", b: str = "p2",
-                n: int = N_CLASSES) -> DataFrame:
+                n: int | None = None) -> DataFrame:
     """One row per label: rows (``_n``), hits of each model alone (``_first``, ``_second``) and hits of
     the blend at every weight of the grid (``_c<i>`` for weight i / n_steps).  Each aligned row is
     exploded into the grid's weights (a generator inside generated code), one small blend expression
     is evaluated per (row, weight), and partial aggregation by (label, weight) collapses the copies
-    map-side."""
+    map-side.  The expression is unrolled over ``n`` classes, the longest vector if not given."""
     ws = weight_grid(n_steps)
+    n = max(1, n_classes(j, a, b) if n is None else n)
+    alone = lambda c: argmax_cols([F.get(c, F.lit(i)) for i in range(n)])
     x = j.select(*by, "y_true", a, b, F.posexplode(F.array(*[F.lit(w) for w in ws])).alias("_i", "_w"))
     first_row = F.col("_i") == 0
-    hit = (predict_blend(F.col(a), F.col(b), F.col("_w"), n) == F.col("y_true")).cast("long")
-    h1 = F.when(first_row, (predict(F.col(a), n=n) == F.col("y_true")).cast("long"))
-    h2 = F.when(first_row, (predict(F.col(b), n=n) == F.col("y_true")).cast("long"))
+    hit = (argmax_cols(blend_cols(F.col(a), F.col(b), F.col("_w"), n)) == F.col("y_true")).cast("long")
+    h1 = F.when(first_row, (alone(F.col(a)) == F.col("y_true")).cast("long"))
+    h2 = F.when(first_row, (alone(F.col(b)) == F.col("y_true")).cast("long"))
     long = x.groupBy(*by, "_i").agg(F.count(F.lit(1)).alias("_n"), F.sum(hit).alias("_h"),
                                     F.sum(h1).alias("_f"), F.sum(h2).alias("_s"))
     return long.groupBy(*by).agg(
@@ -88,7 +91,7 @@ def curve_from_counts(g: DataFrame, n_steps: int, grid_steps: int = 20, by=("lab
 
 
 def weight_curve(j: DataFrame, n_steps: int = D.WEIGHT_STEPS, by=("label",), a: str = "p1", b: str = "p2",
-                 n: int = N_CLASSES) -> DataFrame:
+                 n: int | None = None) -> DataFrame:
     """M6/M7: accuracy of the blend at each weight of the grid: (by..., weight, accuracy)."""
     return curve_from_counts(grid_counts(j, n_steps, by, a, b, n), n_steps, n_steps, by)
 
@@ -102,14 +105,35 @@ def best_weight(curve: DataFrame, by=("label",), default: float = D.DEFAULT_WEIG
 
 
 def single_class(j: DataFrame, by=("label",)) -> DataFrame:
-    """A13 for the search: labels whose truth has one class get the default weight (reliable=false)."""
+    """A13 for the search: is the truth of a label of more than one class?"""
     return j.groupBy(*by).agg((F.countDistinct("y_true") > 1).alias("reliable"))
 
 
+def tuned_weight(j: DataFrame, n_steps: int = D.WEIGHT_STEPS, by=("label",), default: float = D.DEFAULT_WEIGHT) -> DataFrame:
+    """M7: the best weight of the grid per label; ``default`` where the truth has a single class, for then the
+    search says nothing."""
+    best = best_weight(weight_curve(j, n_steps, by), by, default)
+    weight = F.when(F.col("reliable"), F.col("weight")).otherwise(F.lit(default))
+    return best.join(single_class(j, by), list(by)).select(*by, weight.alias("weight"), "accuracy")
+
+
+def before_after(earlier: DataFrame | None, now: DataFrame, by: str = "label") -> DataFrame:
+    """An earlier comparison's columns (as ``before_<model>``) beside the present ones, by label; without an
+    earlier report, or a label in it, they are null."""
+    models = [c for c in now.columns if c != by]
+    names = {m: f"before_{m}" for m in models}
+    if earlier is None:
+        old = now.select(by, *[F.lit(None).cast("double").alias(names[m]) for m in models])
+    else:
+        old = earlier.select(by, *[(F.col(m) if m in earlier.columns else F.lit(None)).cast("double").alias(names[m]) for m in models])
+    out = now.join(old, by, "left")
+    return out.select(by, *[c for m in models for c in (F.col(names[m]), F.col(m), (F.col(m) - F.col(names[m])).alias(f"gain_{m}"))])
+
+
 def accuracy_at(j: DataFrame, weights: DataFrame, by=("label",), default: float = D.DEFAULT_WEIGHT,
                 a: str = "p1", b: str = "p2") -> DataFrame:
     """Accuracy of the blend with a per-label weight (J4: missing weight -> default)."""
-    jw = j.join(F.broadcast(weights.select(*by, F.col("weight").alias("_w"))), list(by), "left")  # one row per label
+    jw = j.join(weights.select(*by, F.col("weight").alias("_w")), list(by), "left")
     w = F.coalesce(F.col("_w"), F.lit(default))
     ok = (predict_blend(F.col(a), F.col(b), w) == F.col("y_true")).cast("double")
     return jw.groupBy(*by).agg(F.avg(ok).alias("accuracy"))
@@ -133,7 +157,7 @@ def mismatch(p1: DataFrame, p2: DataFrame, keys, weights: DataFrame | None = Non
                      (predict_blend(F.col("p1"), F.col("p2"), default) == F.col("y_true")).cast("double")))
         .alias("acc_aligned"))
     if weights is not None:
-        agg = agg.join(F.broadcast(weights.select(*by, F.col("weight").alias("_w"))), list(by), "left")  # per label
+        agg = agg.join(weights.select(*by, F.col("weight").alias("_w")), list(by), "left")
         w = F.coalesce(F.col("_w"), F.lit(default))
     else:
         w = F.lit(default)

@@ -79,19 +79,21 @@ def carried_fill(df: DataFrame, key: str, cols: list[str], pos: str = POS,
     d = chunked(df, pos, chunk_rows, 0).drop(HALO)
     w = chunk_window(key, pos)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    after = w.rowsBetween(0, Window.unboundedFollowing)
+    # the next value is the last one seen from behind: a frame that grows is linear, one that shrinks is not
+    after = Window.partitionBy(key, CHUNK).orderBy(F.desc(pos)).rowsBetween(Window.unboundedPreceding, 0)
     pt = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(pos).alias("p"), F.col(c).alias("v"))) for c in cols}
     d = d.select("*", *[F.last(pt[c], True).over(upto).alias(f"_ip_{c}") for c in cols],
-                 *[F.first(pt[c], True).over(after).alias(f"_in_{c}") for c in cols])
+                 *[F.last(pt[c], True).over(after).alias(f"_in_{c}") for c in cols])
     summ = df.select(F.col(key).alias("_k"), chunk_of(pos, chunk_rows).alias("_c"),
                      *[pt[c].alias(f"_pt_{c}") for c in cols]) \
         .groupBy("_k", "_c").agg(*[F.max(f"_pt_{c}").alias(f"_hi_{c}") for c in cols],
                                   *[F.min(f"_pt_{c}").alias(f"_lo_{c}") for c in cols])
     cw = Window.partitionBy("_k").orderBy("_c")
+    behind = Window.partitionBy("_k").orderBy(F.desc("_c"))
     summ = summ.select("_k", "_c",
                        *[F.last(f"_hi_{c}", True).over(cw.rowsBetween(Window.unboundedPreceding, -1))
                          .alias(f"_cp_{c}") for c in cols],
-                       *[F.first(f"_lo_{c}", True).over(cw.rowsBetween(1, Window.unboundedFollowing))
+                       *[F.last(f"_lo_{c}", True).over(behind.rowsBetween(Window.unboundedPreceding, -1))
                          .alias(f"_cn_{c}") for c in cols])
     # equi-join on exactly (key, chunk): the rows keep the window's partitioning, only the summary moves
     summ = summ.withColumnRenamed("_k", key).withColumnRenamed("_c", CHUNK)

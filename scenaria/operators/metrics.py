@@ -13,13 +13,17 @@ G = ["model", "label"]
 
 
 def counts(pred: DataFrame) -> DataFrame:
+    """(model, label, y_true, y_pred, n); a table that has ``n`` is one already, so a plan can count once and
+    derive every metric from that."""
+    if "n" in pred.columns:
+        return pred
     return pred.groupBy(*G, "y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
 
 
 def accuracy(pred: DataFrame) -> DataFrame:
     """(model, label, n, correct, accuracy)."""
-    ok = (F.col("y_true") == F.col("y_pred")).cast("long")
-    return pred.groupBy(*G).agg(F.count(F.lit(1)).alias("n"), F.sum(ok).alias("correct")) \
+    right = F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(F.lit(0))
+    return counts(pred).groupBy(*G).agg(F.sum("n").alias("n"), F.sum(right).alias("correct")) \
         .withColumn("accuracy", F.col("correct") / F.col("n"))
 
 
@@ -35,27 +39,23 @@ def macro_accuracy(pred: DataFrame) -> DataFrame:
 
 def class_recall(pred: DataFrame) -> DataFrame:
     """A10: per true class, the share predicted correctly."""
-    ok = (F.col("y_true") == F.col("y_pred")).cast("long")
-    return pred.groupBy(*G, F.col("y_true").alias("class")).agg(
-        F.count(F.lit(1)).alias("n"), (F.sum(ok) / F.count(F.lit(1))).alias("recall"))
-
-
-def _classes(cnt: DataFrame, union: bool) -> DataFrame:
-    t = cnt.select(*G, F.col("y_true").alias("c"))
-    if union:
-        t = t.unionByName(cnt.select(*G, F.col("y_pred").alias("c")))
-    return t.groupBy(*G).agg(F.array_sort(F.collect_set("c")).alias("classes"))
+    right = F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(F.lit(0))
+    return counts(pred).groupBy(*G, F.col("y_true").alias("class")).agg(
+        F.sum("n").alias("n"), (F.sum(right) / F.sum("n")).alias("recall"))
 
 
 def confusion(pred: DataFrame, union: bool = False) -> DataFrame:
     """A11a (classes of the truth; predictions outside them are dropped) or A11b (truth U prediction):
-    long form (model, label, y_true, y_pred, n) with zero cells.  The grid is classes x classes of
-    one (model, label), built from its class set."""
-    cnt = counts(pred)
-    grid = _classes(cnt, union).select(*G, F.explode("classes").alias("y_true"), "classes") \
-        .select(*G, "y_true", F.explode("classes").alias("y_pred"))
-    return grid.join(cnt, [*G, "y_true", "y_pred"], "left").select(
-        *G, "y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    long form (model, label, y_true, y_pred, n) with zero cells.  The cells of one (model, label), at most
+    classes squared, are gathered once and its grid is looked up among them."""
+    seen = F.array("y_true", "y_pred") if union else F.array("y_true")
+    one = counts(pred).groupBy(*G).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(seen)))).alias("classes"),
+        F.map_from_entries(F.collect_list(F.struct(F.struct("y_true", "y_pred"), "n"))).alias("cells"))
+    grid = one.select(*G, "cells", "classes", F.explode("classes").alias("y_true")).select(
+        *G, "cells", "y_true", F.explode("classes").alias("y_pred"))
+    n = F.coalesce(F.try_element_at("cells", F.struct("y_true", "y_pred")), F.lit(0))
+    return grid.select(*G, "y_true", "y_pred", n.cast("long").alias("n"))
 
 
 def _safe_div(a, b):

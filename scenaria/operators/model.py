@@ -1,25 +1,30 @@
 """Per-label classifiers with Spark ML.
 
-One ``Pipeline(VectorAssembler, classifier)`` per label: gradient-boosted trees when the label is
-binary, a random forest (native multi-class probabilities) otherwise.  Scoring produces the long
-probability table every evaluation operator reads: (row_id, label, model, y_true, y_pred, p).
+One pipeline per label: gradient-boosted trees when the label has two classes, a random forest (native
+multi-class probabilities) otherwise.  Classes are indexed 0, 1, ... before the fit, whatever their
+values; the pipeline carries the list, so scoring returns class values and probabilities by class.
+Scoring produces the long probability table every evaluation operator reads: (row_id, label, model,
+y_true, y_pred, p).
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.ml import Pipeline, PipelineModel
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scenaria import defaults as D
+from scenaria.functions import finite_or_zero
 
 
 def features_vector(df: DataFrame, features, out: str = "features") -> DataFrame:
@@ -30,9 +35,32 @@ def features_vector(df: DataFrame, features, out: str = "features") -> DataFrame
     return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="keep").transform(df)
 
 
+def label_classes(df: DataFrame, labels) -> dict[str, list[int]]:
+    """The sorted classes of every label, in one aggregate pass."""
+    row = df.agg(*[F.sort_array(F.collect_set(F.col(lab).cast("int"))).alias(lab) for lab in labels]).first()
+    return {lab: list(row[lab]) for lab in labels}
+
+
 def n_classes(df: DataFrame, label: str) -> int:
-    """Distinct classes of a label (one aggregate row)."""
-    return int(df.agg(F.countDistinct(label)).first()[0])
+    return len(label_classes(df, [label])[label])
+
+
+def indexed(df: DataFrame, label: str, classes: list[int]) -> DataFrame:
+    """``label`` as its place in ``classes`` (double), as Spark ML wants it."""
+    return df.withColumn(label, (F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label).cast("int")) - 1).cast("double"))
+
+
+def with_classes(fitted, label: str, classes: list[int]) -> PipelineModel:
+    """The fitted stage followed by one that adds the classes as a column; it is stored with the model."""
+    known = ", ".join(map(str, classes))
+    return PipelineModel(stages=[fitted, SQLTransformer(statement=f"SELECT *, array({known}) AS `{label}_classes` FROM __THIS__")])
+
+
+def by_class(probability, classes) -> Column:
+    """Probabilities by place in ``classes`` -> by class value, 0 where the model knows no such class."""
+    at = lambda c: F.array_position(classes, c).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.array_max(classes)),
+                       lambda c: F.when(at(c) > 0, F.get(probability, at(c) - 1)).otherwise(F.lit(0.0)))
 
 
 def classifier(label: str, binary: bool, max_depth: int = max(D.CV_DEPTHS), n_trees: int = D.N_TREES,
@@ -40,16 +68,13 @@ def classifier(label: str, binary: bool, max_depth: int = max(D.CV_DEPTHS), n_tr
                max_bins: int = D.MAX_BINS, prefix: str | None = None):
     """GBT for binary labels, random forest otherwise; output columns prefixed by ``prefix`` so the
     models of several labels can score one pass over the rows."""
-    out = {}
+    common = dict(labelCol=label, featuresCol="features", maxDepth=max_depth, subsamplingRate=subsample, maxBins=max_bins,
+                  seed=seed, featureSubsetStrategy=str(D.COLSAMPLE))
+    clf = GBTClassifier(maxIter=n_trees, stepSize=learning_rate, **common) if binary else \
+        RandomForestClassifier(numTrees=n_trees, **common)
     if prefix:
-        out = dict(predictionCol=f"{prefix}_pred", probabilityCol=f"{prefix}_prob", rawPredictionCol=f"{prefix}_raw")
-    if binary:
-        return GBTClassifier(labelCol=label, featuresCol="features", maxDepth=max_depth, maxIter=n_trees,
-                             stepSize=learning_rate, subsamplingRate=subsample, maxBins=max_bins, seed=seed,
-                             featureSubsetStrategy=str(D.COLSAMPLE), **out)
-    return RandomForestClassifier(labelCol=label, featuresCol="features", maxDepth=max_depth, numTrees=n_trees,
-                                  subsamplingRate=subsample, maxBins=max_bins, seed=seed,
-                                  featureSubsetStrategy=str(D.COLSAMPLE), **out)
+        clf = clf.setPredictionCol(f"{prefix}_pred").setProbabilityCol(f"{prefix}_prob").setRawPredictionCol(f"{prefix}_raw")
+    return clf
 
 
 def fit_per_label(train: DataFrame, features, labels, parallelism: int | None = None, **kw) -> dict[str, PipelineModel]:
@@ -57,32 +82,39 @@ def fit_per_label(train: DataFrame, features, labels, parallelism: int | None =
     The label fits are independent Spark jobs submitted from ``parallelism`` driver threads, as
     ``CrossValidator(parallelism=...)`` does."""
     from concurrent.futures import ThreadPoolExecutor
-    x = features_vector(train, features)
     labels = list(labels)
+    classes = label_classes(train, labels)
+    x = features_vector(train, features).persist()  # read by every label's fit
 
     def fit(lab):
-        clf = classifier(lab, n_classes(train, lab) <= 2, prefix=lab, **kw)
-        return lab, Pipeline(stages=[clf]).fit(x.withColumn(lab, F.col(lab).cast("double")))
+        clf = classifier(lab, len(classes[lab]) <= 2, prefix=lab, **kw)
+        known = indexed(x.where(F.col(lab).isNotNull()), lab, classes[lab])
+        return lab, with_classes(clf.fit(known), lab, classes[lab])
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism or len(labels))) as pool:
-        return dict(pool.map(fit, labels))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism or len(labels))) as pool:
+            return dict(pool.map(fit, labels))
+    finally:
+        x.unpersist()
 
 
 def cross_validate(train: DataFrame, features, label: str, depths=D.CV_DEPTHS, folds: int = D.CV_FOLDS,
                    parallelism: int = D.CV_PARALLELISM, seed: int = D.SEED, **kw):
     """M2: grid search over tree depth with k-fold CV on accuracy.  Returns (best model refitted on
     all training rows, as a one-stage pipeline; table of (max_depth, accuracy))."""
-    x = features_vector(train, features).withColumn(label, F.col(label).cast("double"))
-    clf = classifier(label, n_classes(train, label) <= 2, prefix=label, **kw)
+    classes = label_classes(train, [label])[label]
+    x = indexed(features_vector(train, features).where(F.col(label).isNotNull()), label, classes).persist()
+    clf = classifier(label, len(classes) <= 2, prefix=label, **kw)
     grid = ParamGridBuilder().addGrid(clf.maxDepth, list(depths)).build()
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol=f"{label}_pred", metricName="accuracy")
     cv = CrossValidator(estimator=clf, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
                         parallelism=parallelism, seed=seed)
     m = cv.fit(x)
+    x.unpersist()
     spark = train.sparkSession
     table = spark.createDataFrame([(int(pm[clf.maxDepth]), float(a)) for pm, a in zip(grid, m.avgMetrics)],
                                   "max_depth int, accuracy double")
-    return PipelineModel(stages=[m.bestModel]), table
+    return with_classes(m.bestModel, label, classes), table
 
 
 def score(models: dict, df: DataFrame, features, row_id, model_name: str = "tree") -> DataFrame:
@@ -93,8 +125,8 @@ def score(models: dict, df: DataFrame, features, row_id, model_name: str = "tree
     for m in models.values():
         x = m.transform(x)
     parts = [F.struct(F.lit(lab).alias("label"), F.col(lab).cast("int").alias("y_true"),
-                      F.col(f"{lab}_pred").cast("int").alias("y_pred"),
-                      vector_to_array(f"{lab}_prob").alias("p")) for lab in models]
+                      F.get(F.col(f"{lab}_classes"), F.col(f"{lab}_pred").cast("int")).alias("y_pred"),
+                      by_class(vector_to_array(f"{lab}_prob"), F.col(f"{lab}_classes")).alias("p")) for lab in models]
     keys = [F.col(row_id).alias("row_id")] if isinstance(row_id, str) else [F.col(c) for c in row_id]
     names = ["row_id"] if isinstance(row_id, str) else list(row_id)
     return x.select(*keys, F.explode(F.array(*parts)).alias("_t")) \
@@ -111,36 +143,45 @@ def flatten_sequences(long_seqs: DataFrame, key: str, features, labels, seq_len:
                     *[F.element_at("_s", -1)[l].alias(l) for l in labels])
 
 
-def fit_sequence_model(seqs: DataFrame, labels, n_inputs: int, n_classes_fixed: int = 6, hidden: int = 32,
+def sequence_vector(seqs: DataFrame) -> DataFrame:
+    """``raw``: the window as a vector; a missing or non-finite value is 0."""
+    return seqs.withColumn("raw", array_to_vector(F.transform("seq", lambda x: finite_or_zero(x))))
+
+
+def fit_sequence_model(seqs: DataFrame, labels, n_inputs: int, n_classes_fixed: int = D.N_CLASSES, hidden: int = 32,
                        max_iter: int = 100, seed: int = D.SEED) -> dict[str, PipelineModel]:
     """M4 (re-aimed): standardised flattened windows -> one multilayer perceptron per label with a
-    fixed class count."""
-    x = seqs.withColumn("raw", array_to_vector("seq"))
+    fixed class count; the scaler is fitted once and shared.  Rows without a label are left out."""
+    x = sequence_vector(seqs)
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(x)
+    x = scaler.transform(x).persist()
     models = {}
     for lab in labels:
-        scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
         mlp = MultilayerPerceptronClassifier(labelCol=lab, featuresCol="features", layers=[n_inputs, hidden, n_classes_fixed],
-                                             maxIter=max_iter, seed=seed)
-        models[lab] = Pipeline(stages=[scaler, mlp]).fit(x.withColumn(lab, F.col(lab).cast("double")))
+                                             maxIter=max_iter, seed=seed, predictionCol=f"{lab}_pred",
+                                             probabilityCol=f"{lab}_prob", rawPredictionCol=f"{lab}_raw")
+        fitted = mlp.fit(x.where(F.col(lab).isNotNull()).withColumn(lab, F.col(lab).cast("double")))
+        models[lab] = PipelineModel(stages=[scaler, fitted])
+    x.unpersist()
     return models
 
 
 def score_sequences(models: dict, seqs: DataFrame, key: str, model_name: str = "seq") -> DataFrame:
-    x = seqs.withColumn("raw", array_to_vector("seq"))
-    out = None
-    for lab, m in models.items():
-        s = m.transform(x).select(F.col(key), "seq_id", F.lit(lab).alias("label"), F.lit(model_name).alias("model"),
-                                  F.col(lab).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
-                                  vector_to_array("probability").alias("p"))
-        out = s if out is None else out.unionByName(s)
-    return out
+    """M4 scoring: all label models in one pass over the windows, unpivoted once."""
+    x = sequence_vector(seqs)
+    for i, m in enumerate(models.values()):
+        x = (m if i == 0 else PipelineModel(stages=m.stages[1:])).transform(x)  # one scaler for all
+    parts = [F.struct(F.lit(lab).alias("label"), F.col(lab).cast("int").alias("y_true"), F.col(f"{lab}_pred").cast("int").alias("y_pred"),
+                      vector_to_array(f"{lab}_prob").alias("p")) for lab in models]
+    return x.select(F.col(key), "seq_id", F.explode(F.array(*parts)).alias("_t")) \
+        .select(key, "seq_id", "_t.label", F.lit(model_name).alias("model"), "_t.y_true", "_t.y_pred", "_t.p")
 
 
 def importances(models: dict, feature_names, top: int = D.TOP_IMPORTANCES) -> DataFrame:
     """Top feature importances per label (the vectors are feature-count sized, fitted metadata)."""
     rows = []
     for lab, m in models.items():
-        imp = m.stages[-1].featureImportances.toArray()
+        imp = next(x for x in m.stages if hasattr(x, "featureImportances")).featureImportances.toArray()
         rows += [(lab, str(feature_names[i]) if i < len(feature_names) else f"f{i}", float(v)) for i, v in enumerate(imp)]
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
@@ -173,11 +214,13 @@ def save(models: dict, path: str) -> None:
 
 
 def load(path: str, labels) -> dict:
-    """Load what exists; a missing label is absent from the result."""
+    """Load what exists; a label without a stored model is absent from the result, any other failure (a
+    corrupt store, no permission) is raised."""
     out = {}
     for lab in labels:
         try:
             out[lab] = PipelineModel.load(f"{path}/{lab}")
-        except Exception:  # noqa: BLE001 - absent store -> model missing
-            pass
+        except (AnalysisException, Py4JJavaError) as e:
+            if "does not exist" not in str(e) and "PATH_NOT_FOUND" not in str(e):
+                raise
     return out

@@ -69,7 +69,7 @@ def random_subset(df: DataFrame, roles: Roles, seq_len: int = D.SEQ_LEN, n_sampl
     pick = pick.where(F.col("_n") >= seq_len).select(
         roles.key, F.pmod(h.cast("long"), F.col("_n") - seq_len + 1).alias("_s"))
     base = keyed.ensure_position(df, roles.key, roles.order)
-    j = base.join(F.broadcast(pick), roles.key)  # at most n_samples rows
+    j = base.join(pick, roles.key)
     i = F.col(POS) - 1
     out = j.where((i >= F.col("_s")) & (i < F.col("_s") + seq_len))
     return out.select(*base.columns, F.lit(0).cast("long").alias("seq_id"), (i - F.col("_s")).cast("long").alias("step"))

@@ -38,27 +38,29 @@ def scenario_split(df: DataFrame, key: str, primary: str, test_size: float = D.T
     m = modes.select(key, F.col(primary).alias("cls"), seeded_order(F.col(key), seed).alias("_h"))
     ranked = keyed.with_position(m, "cls", ["_h", key], pos="rank")
     sizes = m.groupBy("cls").agg(F.count(F.lit(1)).alias("_n"))
-    j = ranked.join(F.broadcast(sizes), "cls")  # one row per class of a label: bounded
+    j = ranked.join(sizes, "cls")
     n_train, n_val = split_sizes(F.col("_n"), test_size, val_size)
     split = F.when(F.col("rank") <= n_train, "train").when(F.col("rank") <= n_train + n_val, "val").otherwise("test")
     return j.select(key, split.alias("split"), "cls", "rank")
 
 
 def rebalance(split: DataFrame, modes: DataFrame, key: str, labels, primary: str,
-              n_classes: int = D.N_CLASSES, per_cell: int = 25) -> tuple[DataFrame, list[dict]]:
+              n_classes: int = D.N_CLASSES) -> tuple[DataFrame, list[dict]]:
     """For each secondary label and class 0..n-1 missing from a split, move one scenario
     (train<-val,test; val<-train,test; test<-train,val; donor needs > 1; one move per (label, class)).
     Moves are decided by a fold over a bounded table on the driver: per (split, label, class)
-    the count and the first ``per_cell`` scenarios in list order; at most 5 x n_classes moves, so
-    that many candidates per cell always suffice.  Returns the new split table and the moves."""
+    the count and the first scenarios in list order.  Each (label, class) moves at most one scenario, so one
+    candidate more than there are (label, class) pairs suffices in every cell; labels outside 0..n-1 move
+    none and stay in Spark.  Returns the new split table and the moves."""
     secondary = [l for l in labels if l != primary]
+    per_cell = len(secondary) * n_classes + 1
     j = split.join(modes, key)
     lst = j.select(key, "split", "cls", "rank", *[F.col(l).cast("int").alias(l) for l in secondary])
     cnt = {(r["split"], r["label"], r["class"]): r["n"] for r in
            stats.long_labels(lst, secondary, ["split"]).groupBy("split", "label", "class").count()
-           .withColumnRenamed("count", "n").collect()}
+           .withColumnRenamed("count", "n").where(F.col("class").between(0, n_classes - 1)).collect()}
     from pyspark.sql import Window
-    cand = stats.long_labels(lst, secondary, [key, "split", "cls", "rank"])
+    cand = stats.long_labels(lst, secondary, [key, "split", "cls", "rank"]).where(F.col("class").between(0, n_classes - 1))
     w = Window.partitionBy("split", "label", "class").orderBy("cls", "rank")
     cand = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_cell)
     rows = cand.select(key).distinct().join(lst, key).collect()
@@ -97,9 +99,9 @@ def rebalance(split: DataFrame, modes: DataFrame, key: str, labels, primary: str
     spark = split.sparkSession
     if not moves:
         return split.select(key, "split"), moves
-    mv = spark.createDataFrame([(m[key], m["to"]) for m in moves], f"{key} {dict(split.dtypes)[key]}, _to string")
-    mv = mv.groupBy(key).agg(F.last("_to").alias("_to"))
-    out = split.join(F.broadcast(mv), key, "left")  # at most 5 x n_classes rows
+    last = {m[key]: m["to"] for m in moves}  # a scenario may move twice: its last place counts
+    mv = spark.createDataFrame(list(last.items()), f"{key} {dict(split.dtypes)[key]}, _to string")
+    out = split.join(mv, key, "left")
     return out.select(key, F.coalesce("_to", "split").alias("split")), moves
 
 
@@ -111,17 +113,29 @@ def assign(df: DataFrame, split: DataFrame, key: str, name: str | None = None) -
     return df.join(s, key)
 
 
+def _class_rows(df: DataFrame, split: DataFrame, key: str, labels) -> DataFrame:
+    """(split, label, class, n, key): rows are counted per (scenario, label, class) first, so only that small
+    table meets the split and a hot scenario costs nothing."""
+    counts = stats.long_labels(df, labels, [key]).groupBy(key, "label", "class").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(split.select(key, "split"), key)
+
+
 def split_report(df: DataFrame, split: DataFrame, key: str, labels) -> DataFrame:
-    """Rows and class counts per split."""
-    rows = assign(df, split, key)
-    return stats.class_counts(rows, labels, ["split"])
+    """Rows per class and split."""
+    return _class_rows(df, split, key, labels).groupBy("split", "label", "class").agg(F.sum("n").alias("n"))
+
+
+def scenario_split_counts(modes: DataFrame, split: DataFrame, key: str, labels) -> DataFrame:
+    """Scenarios per label, modal class and split."""
+    lng = stats.long_labels(modes.join(split.select(key, "split"), key), labels, ["split"])
+    return lng.where(F.col("class").isNotNull()).groupBy("label", "class", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
 def missing_classes(df: DataFrame, split: DataFrame, key: str, labels) -> DataFrame:
     """(label, class, split) where a class seen in some split is absent from this one: one
     aggregate collects the splits of each (label, class), ``array_except`` names the missing ones."""
-    lng = stats.long_labels(assign(df, split, key), labels, ["split"]).where(F.col("class").isNotNull())
-    seen = lng.groupBy("label", "class").agg(F.collect_set("split").alias("_in"))
+    seen = (_class_rows(df, split, key, labels).where(F.col("class").isNotNull())
+            .groupBy("label", "class").agg(F.collect_set("split").alias("_in")))
     allsp = F.array(*[F.lit(s) for s in SPLITS])
     return seen.select("label", "class", F.explode(F.array_except(allsp, F.col("_in"))).alias("split"))
 
@@ -139,7 +153,7 @@ def row_split(df: DataFrame, labels, id_col: str, test_size: float = D.TEST_SIZE
     s = df.select(id_col, combo_key(labels, "_").alias("_stratum"), seeded_order(F.col(id_col), seed).alias("_h"))
     ranked = keyed.with_position(s, "_stratum", ["_h", id_col], pos="_rank")
     sizes = s.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_n"))
-    j = ranked.join(F.broadcast(sizes), "_stratum", "left")   # one row per label combination: bounded
+    j = ranked.join(sizes, "_stratum", "left")
     n_train = F.floor(F.col("_n") * F.lit(1.0 - test_size)).cast("long")
     n_val = F.floor((F.col("_n") - n_train) * F.lit(val_size)).cast("long")
     split = F.when(F.col("_rank") <= n_train, "train").when(F.col("_rank") <= n_train + n_val, "val").otherwise("test")

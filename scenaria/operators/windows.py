@@ -19,25 +19,49 @@ EXP = "_e"
 EMA_CHUNK_ROWS = 2048   # (11/9)^(2048+183) ~ 1e194: running weights stay finite for |x| < 1e114
 
 
-def ema_lookback(span: int) -> int:
-    """Number of lags after which (1-alpha)^lag drops below double precision (2^-53):
-    the adjusted EMA over that bounded frame equals the unbounded one in doubles."""
+def ema_reach(span: int) -> int:
+    """Number of lags before a value after which another one weighs less than double precision (2^-53) beside it."""
     beta = 1.0 - 2.0 / (span + 1.0)
     return int(math.ceil(53 * math.log(2) / -math.log(beta)))
 
 
+def ema_carry(chunks: DataFrame, key: str, cols, span: int) -> DataFrame:
+    """(key, chunk, _ema_<c>): for each chunk of a series the state left by the last earlier one that has a value:
+    struct(p, v, w), the position of that value, the mean there and the weights' sum beside its own 1.
+
+    The mean is the same at any distance behind its last value, so a gap of any length carries it unchanged.
+    The state at that value needs the values within ``ema_reach`` before it: the halo of its chunk."""
+    beta = 1.0 - 2.0 / (span + 1.0)
+    wgt = F.pow(F.lit(beta), -F.col(EXP))
+    x = {c: F.col(c).cast("double") for c in cols}
+    aggs = []
+    for c in cols:
+        has = x[c].isNotNull()
+        aggs += [F.sum(F.when(has, wgt * x[c])).alias(f"_n_{c}"), F.sum(F.when(has, wgt)).alias(f"_d_{c}"),
+                 F.max(F.when(has & ~F.col(HALO), F.struct(F.col(POS).alias("p"), F.col(EXP).alias("e")))).alias(f"_l_{c}")]
+    ends = chunks.groupBy(key, CHUNK).agg(*aggs)
+    before = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    state = {c: F.when(F.col(f"_l_{c}").isNotNull(), F.struct(
+        F.col(f"_l_{c}.p").alias("p"), (F.col(f"_n_{c}") / F.col(f"_d_{c}")).alias("v"),
+        (F.col(f"_d_{c}") * F.pow(F.lit(beta), F.col(f"_l_{c}.e"))).alias("w"))) for c in cols}
+    return ends.select(key, CHUNK, *[F.last(state[c], True).over(before).alias(f"_ema_{c}") for c in cols])
+
+
 def ema_expr(col: str, running, span: int) -> Column:
-    """Adjusted exponential mean sum beta^(t-j) x_j / sum beta^(t-j) over non-null x_j (decay by
-    position across gaps), null before the first value.  Computed as a ratio of two running sums
-    weighted beta^-e, e = position inside the chunk with its halo: the beta^t factors cancel, the
-    halo covers every lag whose weight is above double precision, and chunks of EMA_CHUNK_ROWS
-    keep beta^-e far from overflow.  O(1) per row."""
+    """Adjusted exponential mean sum beta^(t-j) x_j / sum beta^(t-j) over non-null x_j (decay by position across
+    gaps), null before the first value.  Inside the chunk two running sums weighted beta^-e (e: the position
+    inside the chunk; the beta^t factors cancel) give it in O(1) per row; what lies before the chunk comes in
+    as the state carried from there."""
     beta = 1.0 - 2.0 / (span + 1.0)
-    x = F.col(col).cast("double")
+    x = F.when(~F.col(HALO), F.col(col).cast("double"))
     wgt = F.pow(F.lit(beta), -F.col(EXP))
-    num = F.sum(F.when(x.isNotNull(), wgt * x)).over(running)
-    den = F.sum(F.when(x.isNotNull(), wgt)).over(running)
-    return F.when(den > 0, num / den)
+    num = F.coalesce(F.sum(F.when(x.isNotNull(), wgt * x)).over(running), F.lit(0.0))
+    den = F.coalesce(F.sum(F.when(x.isNotNull(), wgt)).over(running), F.lit(0.0))
+    now = F.pow(F.lit(beta), F.col(EXP))
+    st = F.col(f"_ema_{col}")
+    old = F.coalesce(st["w"] * F.pow(F.lit(beta), F.col(POS) - st["p"]), F.lit(0.0))
+    both = (num * now + old * F.coalesce(st["v"], F.lit(0.0))) / (den * now + old)
+    return F.when(den > 0, both).otherwise(st["v"])
 
 
 def feature_exprs(roles: Roles, w, window: int = D.WINDOW, span: int = D.EMA_SPAN,
@@ -78,12 +102,14 @@ def engineer_features(df: DataFrame, roles: Roles, window: int = D.WINDOW, span:
     engineered columns as float (P2), halving their shuffle and snapshot bytes."""
     if roles.features and kinds:
         base = keyed.ensure_position(df, roles.key, roles.order)
-        halo = max(window - 1, ema_lookback(span) if "ema" in kinds else 0, 1)
+        halo = max(window - 1, ema_reach(span) if "ema" in kinds else 0, 1)
         if "ema" in kinds:
             chunk_rows = min(chunk_rows, EMA_CHUNK_ROWS)
         ch = keyed.chunked(base, POS, chunk_rows, halo)
         # exponent base: position of the chunk's first halo row
         ch = ch.withColumn(EXP, (F.col(POS) - (F.col(CHUNK) * chunk_rows - halo + 1)).cast("double"))
+        if "ema" in kinds:
+            ch = ch.join(ema_carry(ch, roles.key, roles.features, span), [roles.key, CHUNK], "left")
         feats = feature_exprs(roles, keyed.chunk_window(roles.key), window, span, kinds)
         out = ch.select(*base.columns, CHUNK, HALO, *feats).where(~F.col(HALO)).drop(HALO)
     else:

@@ -54,7 +54,7 @@ from series {W}""")
 register("ema", with_(SERIES, POSITIONED) + """
 select a.event_id, a.scenario_id,
        round(sum(b.f2 * power(9/11.0, a.rn - b.rn)) / sum(power(9/11.0, a.rn - b.rn)), 6) as f2_ema_10
-from pos a join pos b on a.scenario_id = b.scenario_id and b.rn between a.rn - 183 and a.rn
+from pos a join pos b on a.scenario_id = b.scenario_id and b.rn <= a.rn
 group by a.event_id, a.scenario_id""")
 
 register("time_since_start", with_(SERIES) + """
@@ -224,8 +224,8 @@ register("one_hot", with_(SERIES, POSITIONED, STRIDED) + """
 select scenario_id, seq_id, cast(k.c as int) as class, cast(C_label = k.c as int) as hot
 from strided cross join (select unnest(range(0, 6)) as c) k where step = 19""")
 
-PRED = """am as (select *, row_number() over (partition by event_id order by round(pt, 9) desc, c) as rt,
-                 row_number() over (partition by event_id order by round(ps, 9) desc, c) as rs from probs),
+PRED = """am as (select *, row_number() over (partition by event_id order by pt desc, c) as rt,
+                 row_number() over (partition by event_id order by ps desc, c) as rs from probs),
 pred as (select 'tree' as model, 'C_label' as label, event_id as row_id, y as y_true, cast(c as int) as y_pred from am where rt = 1
   union all select 'seq', 'C_label', event_id, y, cast(c as int) from am where rs = 1
   union all select 'tree', 'quality', doc_id, quality, toxic from labels),
@@ -279,16 +279,17 @@ union all select model, label, 'weighted avg', round(sum(precision * support) /
                  round(sum(support)::double, 6) from m2 group by all""")
 
 BLEND50 = """bl as (select event_id, y, c, 0.5::double * pt + (1.0::double - 0.5::double) * ps as pb from probs),
-bla as (select *, row_number() over (partition by event_id order by round(pb, 9) desc, c) as rb from bl)"""
+bla as (select *, row_number() over (partition by event_id order by pb desc, c) as rb from bl)"""
 
 register("blend", with_(SERIES, PROBS, BLEND50) + """
 select event_id, y as y_true, cast(c as int) as y_pred from bla where rb = 1""")
 
 register("blend_truncated", with_(SERIES, PROBS) + """,
-tr as (select event_id, y, c, pt / sum(pt) over (partition by event_id) as qt, ps / sum(ps) over (partition by event_id) as qs
-       from probs where c < 5),
+sums as (select event_id, list_reduce(list(pt order by c), lambda x, z: x + z) as st, list_reduce(list(ps order by c), lambda x, z: x + z) as ss
+         from probs where c < 5 group by event_id),
+tr as (select event_id, y, c, pt / st as qt, ps / ss as qs from probs join sums using (event_id) where c < 5),
 bl as (select *, 0.5::double * qt + (1.0::double - 0.5::double) * qs as pb from tr),
-bla as (select *, row_number() over (partition by event_id order by round(pb, 9) desc, c) as rb from bl)
+bla as (select *, row_number() over (partition by event_id order by pb desc, c) as rb from bl)
 select event_id, y as y_true, cast(c as int) as y_pred from bla where rb = 1""")
 
 register("blend_mismatch", with_(SERIES, PROBS, PRED, BLEND50) + """,
@@ -305,7 +306,7 @@ select 'C_label' as label, (select count(*) from t) as n_first, (select count(*)
 def curve(n: int, name: str = "cv") -> str:
     return f"""{name}_w as (select i::double / {n}.0::double as w from range(0, {n + 1}) t(i)),
 {name}_b as (select p.event_id, p.y, p.c, q.w, q.w * p.pt + (1.0::double - q.w) * p.ps as pb from probs p cross join {name}_w q),
-{name}_a as (select *, row_number() over (partition by event_id, w order by round(pb, 9) desc, c) as r from {name}_b),
+{name}_a as (select *, row_number() over (partition by event_id, w order by pb desc, c) as r from {name}_b),
 {name} as (select 'C_label' as label, w as weight, sum(case when c = y then 1 else 0 end)::double / count(*) as accuracy
            from {name}_a where r = 1 group by w),
 {name}_best as (select label, case when max(accuracy) > 0 then min(weight) filter (where accuracy = mx) else 0.5 end as weight,
@@ -325,7 +326,7 @@ ACCS = """accs as (select 'C_label' as label,
    (select sum(case when y = c then 1 else 0 end)::double / count(*) from bla where rb = 1) as blend_50,
    (select sum(case when c = y then 1 else 0 end)::double / count(*) from
       (select p.event_id, p.y, p.c, row_number() over (partition by p.event_id
-              order by round(o.weight * p.pt + (1.0::double - o.weight) * p.ps, 9) desc, p.c) as r
+              order by o.weight * p.pt + (1.0::double - o.weight) * p.ps desc, p.c) as r
        from probs p cross join cv_best o) where r = 1) as blend_opt,
    (select weight from c10_best) as weight_orig, (select weight from cv_best) as weight_opt)"""
 
@@ -388,3 +389,72 @@ g as (select event_id, f2, row_number() over (order by Time, event_id) as rn, co
 sq as (select unnest(range(0, (max(n) - 20) // 15 + 1)) as seq_id from g)
 select s.seq_id, g.rn - 1 - s.seq_id * 15 as step, g.event_id, round(g.f2, 6) as f2
 from sq s join g on g.rn - 1 between s.seq_id * 15 and s.seq_id * 15 + 19""")
+
+register("ffill_only", with_(SERIES, POSITIONED, FILLS) + """
+select event_id, scenario_id, round(coalesce(f1, pv, nv), 6) as f1 from fills""")
+
+# the weights are taken beside the last value's own, so no distance makes them vanish
+register("ema_gap", """
+with g as (select event_id, value, row_number() over (order by event_id) as rn, event_id % 7000 < 10 as has from events),
+l as (select event_id, rn, max(case when has then rn end) over (order by rn) as m from g),
+v as (select rn, value from g where has and value is not null),
+e as (select l.event_id, sum(v.value * power(9/11.0, l.m - v.rn)) / sum(power(9/11.0, l.m - v.rn)) as e
+      from l join v on v.rn <= l.m group by l.event_id)
+select l.event_id, round(e.e, 6) as x_ema_10 from l left join e using (event_id)""")
+
+register("blend_ten", """
+with raw as (select vec_id, label as y, c,
+   cast((vec_id*7+c*11)%13+1+case when c=label and vec_id%3=0 then 6 else 0 end as double) / 64 as a,
+   cast((vec_id*5+c*3)%11+1+case when c=label and vec_id%3=1 then 6 else 0 end as double) / 64 as b
+   from embeddings cross join (select unnest(range(0,10)) as c) k),
+r as (select *, row_number() over (partition by vec_id order by 0.5::double * a + (1.0::double - 0.5::double) * b desc, c) as rb,
+             row_number() over (partition by vec_id order by a desc, c) as ra from raw)
+select vec_id, max(y) as y_true, cast(max(case when rb = 1 then c end) as int) as y_pred, cast(max(case when ra = 1 then c end) as int) as y_first
+from r group by vec_id""")
+
+register("truncate_no_mass", """
+select doc_id, round(case when quality = 0 then 0.0::double else 0.25::double / 0.75 end, 6) as p1_0,
+       round(case when quality = 0 then 0.0::double else 0.5::double / 0.75 end, 6) as p1_1, 0.25::double as p2_0, 0.75::double as p2_1
+from labels""")
+
+register("combo_nulls", with_(SERIES) + """,
+s as (select case when event_id % 5 <> 0 then A_label end as A_label, case when event_id % 7 <> 0 then B_label end as B_label, C_label from series)
+select concat(coalesce(cast(A_label as varchar), 'null'), ',', coalesce(cast(B_label as varchar), 'null'), ',',
+              coalesce(cast(C_label as varchar), 'null')) as combo, count(*) as n, A_label, B_label, C_label
+from s group by A_label, B_label, C_label""")
+
+register("read_headers", with_(SERIES) + """
+select case when event_id % 2 = 0 then 'even' else 'odd' end as scenario_id, Time,
+       case when event_id % 2 = 0 then cast(f1 as float) end as f1, cast(f2 as float) as f2, cast(A_label as tinyint) as A_label,
+       case when event_id % 2 = 1 then cast(C_label as tinyint) end as C_label from series""")
+
+register("scenario_split_counts", with_(SERIES, SPLIT) + """,
+m as (select scenario_id, 'A_label' as label, A_label as class from modes union all select scenario_id, 'B_label', B_label from modes
+      union all select scenario_id, 'C_label', C_label from modes)
+select label, cast(class as int) as class, split, count(*) as n from m join split using (scenario_id) where class is not null group by all""")
+
+register("missing_in_splits", with_(SERIES, SPLIT) + """,
+own as (select scenario_id, case when scenario_id % 50 = 0 then cast(scenario_id as int) else A_label end as class from series),
+present as (select distinct split.split, class from own join split using (scenario_id) where class is not null),
+grid as (select * from (select distinct class from present) cross join (select unnest(['train','val','test']) as split) s)
+select 'A_label' as label, cast(g.class as int) as class, g.split from grid g anti join present p using (split, class)""")
+
+register("before_after_report", with_(SERIES, PROBS, PRED) + """,
+now as (select label, max(case when model = 'tree' then accuracy end) as tree, max(case when model = 'seq' then accuracy end) as seq
+        from acc group by label),
+b as (select *, case when label = 'C_label' then tree / 2 end as bt, case when label = 'C_label' then seq / 4 end as bs from now)
+select label, round(bt, 6) as before_tree, round(tree, 6) as tree, round(tree - bt, 6) as gain_tree,
+       round(bs, 6) as before_seq, round(seq, 6) as seq, round(seq - bs, 6) as gain_seq from b""")
+
+register("blend_report", ORACLE["class_report"].replace(
+    "pred as (", BLEND50 + """,
+pred as (select 'blend' as model, 'C_label' as label, event_id as row_id, y as y_true, cast(c as int) as y_pred from bla where rb = 1
+  union all """, 1))
+
+register("tree_fit_binary", """
+with r as (select doc_id, quality * 2 as y, row_number() over (partition by quality order by md5(concat('42', cast(doc_id as varchar))), doc_id) as rk,
+                  count(*) over (partition by quality) as n from labels join documents using (doc_id)),
+c as (select *, cast(floor(n * 0.7::double) as bigint) as ntr from r),
+d as (select *, cast(floor((n - ntr) * 0.5::double) as bigint) as nv from c)
+select case when rk <= ntr then 'train' when rk <= ntr + nv then 'val' else 'test' end as split, cast(y as int) as y_true, count(*) as n,
+       3::bigint as classes, 1.0::double as mass, true as known from d group by all""")

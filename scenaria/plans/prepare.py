@@ -71,7 +71,9 @@ def prepare(df: DataFrame, roles: Roles, cfg: PrepareConfig = PrepareConfig(), o
         # stage 2: label combinations, when the rarest one has enough rows
         vec, _ran = balance.smote_combos(vec.drop("synthetic") if "synthetic" in vec.columns else vec,
                                          "_rid", "_x", list(roles.labels), k=D.SMOTE_K, seed=cfg.seed)
-        balanced = vec
+        # the models learn from the vector: a synthetic row's features are there
+        balanced = vec.select(*[c for c in vec.columns if c not in (*eng, "_x", "_rid")],
+                              *[F.get("_x", F.lit(i)).alias(c) for i, c in enumerate(eng)])
     seq_train = sequences.strided(train_rows, roles, cfg.seq_len, cfg.train_step)
     seq_val = sequences.even(table.where(F.col("split") == "val"), roles, cfg.seq_len, cfg.eval_starts)
     seq_test = sequences.even(table.where(F.col("split") == "test"), roles, cfg.seq_len, cfg.eval_starts)

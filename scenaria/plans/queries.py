@@ -546,3 +546,107 @@ def q_sequences_keyless(spark, sf_dir):
     s = views.series(spark, sf_dir).select("event_id", "Time", "f2")
     out = sequences.keyless(s, ["Time", "event_id"], 20, 15)
     return out.select("seq_id", "step", "event_id", r6("f2").alias("f2"))
+
+
+# ---- edges: long gaps, many classes, headers, null labels, missing mass ---------------------------
+
+@query
+def q_ffill_only(spark, sf_dir):
+    """N2 alone."""
+    out = clean.fill_forward_backward(views.series(spark, sf_dir), SERIES_ROLES, ["f1"])
+    return out.select("event_id", "scenario_id", r6("f1").alias("f1"))
+
+
+@query
+def q_ema_gap(spark, sf_dir):
+    """W3 over the whole event table as one series whose values lie far apart: gaps of several chunks."""
+    s = views.gappy(spark, sf_dir)
+    out = windows.engineer_features(s, views.GAPPY_ROLES, kinds=("ema",), time_since_start=False)
+    return out.select("event_id", r6("x_ema_10").alias("x_ema_10"))
+
+
+@query
+def q_blend_ten(spark, sf_dir):
+    """F13/T7 with ten classes (the labels of ``embeddings``)."""
+    j = views.ten_class_probs(spark, sf_dir)
+    return ensemble.blended(j, 0.5).select("vec_id", "y_true", "y_pred", ensemble.predict(F.col("p1")).alias("y_first"))
+
+
+@query
+def q_truncate_no_mass(spark, sf_dir):
+    """F14 where the cut classes hold all the mass: the rest stays zero."""
+    lab = views.table(spark, sf_dir, "labels")
+    q = F.col("quality").cast("double")
+    j = lab.select("doc_id", F.array(q / 4, q * 0.5, F.lit(1.0) - q * 0.75).alias("p1"), F.array(F.lit(0.25), F.lit(0.75)).alias("p2"))
+    return ensemble.truncate_common(j).select("doc_id", *[r6(F.get(p, F.lit(i))).alias(f"{p}_{i}") for p in ("p1", "p2") for i in (0, 1)])
+
+
+@query
+def q_combo_nulls(spark, sf_dir):
+    """combined keys with missing labels, and back."""
+    s = views.series(spark, sf_dir)
+    e = F.col("event_id")
+    s = s.select(F.when(e % 5 != 0, F.col("A_label")).alias("A_label"), F.when(e % 7 != 0, F.col("B_label")).alias("B_label"), "C_label")
+    from scenaria.functions import combo_ints, combo_key
+    t = s.groupBy(combo_key(LABELS).alias("combo")).agg(F.count(F.lit(1)).alias("n"))
+    return t.select("combo", "n", *[c.alias(x) for x, c in zip(LABELS, combo_ints(F.col("combo"), 3), strict=True)])
+
+
+@query
+def q_read_headers(spark, sf_dir):
+    """Files whose headers differ in order and columns, united by name."""
+    s = views.series(spark, sf_dir)
+    folder = io.shared_scratch(spark, "read_headers")
+    s.where("event_id % 2 = 0").select("Time", "f1", "f2", "A_label").write.option("header", True).csv(f"{folder}/even.csv")
+    s.where("event_id % 2 = 1").select("A_label", "f2", "Time", "C_label").write.option("header", True).csv(f"{folder}/odd.csv")
+    df, _roles = io.read_scenarios(spark, folder)
+    return df.select("scenario_id", "Time", "f1", "f2", "A_label", "C_label")
+
+
+@query
+def q_scenario_split_counts(spark, sf_dir):
+    """Scenarios per label, modal class and split."""
+    s, sp = series_split(spark, sf_dir)
+    return splitting.scenario_split_counts(stats.scenario_modes(s, "scenario_id", LABELS), sp, "scenario_id", LABELS)
+
+
+@query
+def q_missing_in_splits(spark, sf_dir):
+    """X4 where classes are missing: the only scenario of a class can be in one split alone."""
+    s, sp = series_split(spark, sf_dir)
+    own = s.withColumn("A_label", F.when(F.col("scenario_id") % 50 == 0, F.col("scenario_id").cast("int")).otherwise(F.col("A_label")))
+    return splitting.missing_classes(own, sp, "scenario_id", ["A_label"])
+
+
+@query
+def q_before_after_report(spark, sf_dir):
+    """A comparison written before, read back and set beside the present one."""
+    pred = views.predictions(spark, sf_dir)
+    now = ensemble.comparison(metrics.accuracy(pred), ["tree", "seq"])
+    path = io.shared_scratch(spark, "before")
+    io.write_report(now.where("label = 'C_label'").select("label", (F.col("tree") / 2).alias("tree"), (F.col("seq") / 4).alias("seq")), path)
+    t = ensemble.before_after(io.read_report(spark, path, "label string, tree double, seq double"), now)
+    return t.select("label", *[r6(c).alias(c) for c in t.columns if c != "label"])
+
+
+@query
+def q_blend_report(spark, sf_dir):
+    """A12 with the blend as a third model."""
+    j = views.aligned_probs(spark, sf_dir)
+    blend = ensemble.blended(j, 0.5).select(F.lit("blend").alias("model"), "label", F.col("event_id").alias("row_id"), "y_true", "y_pred")
+    r = metrics.class_report(metrics.counts(views.predictions(spark, sf_dir).unionByName(blend)))
+    return r.select("model", "label", "cls", *[r6(c).alias(c) for c in ("precision", "recall", "f1_score", "support")])
+
+
+@query
+def q_tree_fit_binary(spark, sf_dir):
+    """M1/M3 on a binary label of classes 0 and 2: rows scored per split and class, predictions and probabilities."""
+    lab = views.table(spark, sf_dir, "labels").join(views.table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").cast("double")), "doc_id")
+    t = lab.select("doc_id", "n_chars", F.length(F.col("n_chars").cast("string")).cast("double").alias("digits"), (F.col("quality") * 2).alias("quality"))
+    t = t.join(splitting.row_split(t, ["quality"], "doc_id"), "doc_id")
+    models = model.fit_per_label(t.where("split = 'train'"), ["n_chars", "digits"], ["quality"], max_depth=3, n_trees=20)
+    s = model.score(models, t, ["n_chars", "digits"], ["doc_id", "split"])
+    total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    return s.groupBy("split", "y_true").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.size("p")).cast("long").alias("classes"), r6(F.avg(total)).alias("mass"),
+        F.bool_and(F.col("y_pred").isin(0, 2)).alias("known"))

@@ -6,16 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scenaria.operators import ensemble, model
+from scenaria.operators import ensemble, metrics, model
 from scenaria.roles import Roles
 
 
 def train(table: DataFrame, seqs: DataFrame, roles: Roles, seq_features, seq_len: int = 20,
-          n_trees: int = 100, depths=(3, 5), cv: bool = True, out: str | None = None) -> dict:
+          n_trees: int = 100, depths=(3, 5), cv: bool = True, out: str | None = None,
+          balanced: DataFrame | None = None) -> dict:
+    """``balanced``: the balanced training rows of the preparation (features, labels), which the trees learn from; the
+    plain training rows if not given.  Validation accuracies come with the models."""
     key = roles.key
     labels = list(roles.labels)
     feats = list(roles.features)
-    tr = table.where(F.col("split") == "train")
+    tr = table.where(F.col("split") == "train") if balanced is None else balanced
     if cv:
         trees, cv_tables = {}, {}
         for lab in labels:
@@ -34,9 +37,15 @@ def train(table: DataFrame, seqs: DataFrame, roles: Roles, seq_features, seq_len
     t_probs = model.score(trees, last, feats, [key, "seq_id"])
     s_probs = model.score_sequences(seq_models, val, key)
     j = ensemble.align(t_probs, s_probs, [key, "seq_id", "label"])
-    weights = ensemble.best_weight(ensemble.weight_curve(j, 10))
+    weights = ensemble.tuned_weight(j, 10)
+    optimised = ensemble.tuned_weight(j, 20)
+    v_rows = model.score(trees, table.where(F.col("split") == "val"), feats, roles.tie or roles.time)
+    accuracy = metrics.accuracy(v_rows.select("model", "label", "y_true", "y_pred").unionByName(
+        s_probs.select("model", "label", "y_true", "y_pred")))
     if out:
         model.save(trees, f"{out}/trees")
         model.save(seq_models, f"{out}/sequence")
         weights.write.mode("overwrite").parquet(f"{out}/weights")
-    return {"trees": trees, "sequence": seq_models, "weights": weights, "cv": cv_tables}
+        optimised.write.mode("overwrite").parquet(f"{out}/optimised_weights")
+    return {"trees": trees, "sequence": seq_models, "weights": weights, "optimised": optimised, "cv": cv_tables,
+            "validation": accuracy}

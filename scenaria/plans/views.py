@@ -91,3 +91,22 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 F.col("doc_id").alias("row_id"), F.col("quality").cast("int").alias("y_true"),
                                                 F.col("toxic").cast("int").alias("y_pred"))
     return out[0].unionByName(out[1]).unionByName(lab)
+
+
+GAPPY_ROLES = Roles(key="scenario_id", time="Time", features=("x",), labels=(), tie="event_id")
+
+
+def gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one series in event order; x is there for the first ten of every 7,000 events only."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.lit("all").alias("scenario_id"), "event_id", F.col("event_id").cast("double").alias("Time"),
+                     F.when(F.col("event_id") % 7000 < 10, F.col("value")).alias("x"))
+
+
+def ten_class_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, y_true, p1, p2): two synthetic models over the ten classes of ``embeddings``."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("y_true"))
+    v, y = F.col("vec_id"), F.col("y_true")
+    score = lambda a, b, m, k: F.array(*[((v * a + c * b) % m + 1 + F.when((F.lit(c) == y) & (v % 3 == k), 6).otherwise(0)).cast("double") / 64
+                                         for c in range(10)])
+    return e.select("vec_id", "y_true", score(7, 11, 13, 0).alias("p1"), score(5, 3, 11, 1).alias("p2"))

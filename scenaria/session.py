@@ -6,9 +6,9 @@ On a cluster the session comes from the platform; ``checkpoint_dir`` only reads
 
 from __future__ import annotations
 
-import os
 import tempfile
 
+from pyspark.errors import PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -39,15 +39,17 @@ def get_spark(app: str = "scenaria", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``; a scratch folder is
-    set only when the setting is absent (local tests)."""
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.  Where it is unset, a local
+    session (tests) gets a scratch folder; on a cluster that is an error, for executors could not see it."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+    except PySparkNotImplementedError:  # Spark Connect: the server owns the checkpoint folder
         return d or ""
     d = d or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="scenaria-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -63,8 +65,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def scratch(prefix: str = "scenaria-") -> str:
-    """Scratch folder for local tests only (never used on a cluster path)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("SCENARIA_SCRATCH"))

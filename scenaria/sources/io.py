@@ -1,14 +1,16 @@
 """Sources and sinks.
 
 Scenario folders hold one CSV per scenario (``<scenario>.csv``) with a header row; Spark-written
-folders (``<scenario>.csv/part-*.csv``) are accepted too.  The schema is built once from the
-header of one file by the role rule and applied to a single scan over all files.
+folders (``<scenario>.csv/part-*.csv``) are accepted too.  Each file is read by its own header: files of
+equal headers share a scan, typed by the role rule, and the scans are united by name, columns that a
+file lacks being null.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +34,22 @@ def schema_from_header(names, time: str = "Time") -> T.StructType:
     return T.StructType(fields)
 
 
+def headers_of(spark: SparkSession, path_glob: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header line: the first line of each file, found by Spark among the lines of its first
+    block.  The driver gets one row per file, as it does when Spark lists a folder."""
+    lines = (spark.read.text(path_glob).select(F.col("_metadata.file_path").alias("path"), "value",
+                                               F.col("_metadata.file_block_start").alias("at"))
+             .where("at = 0").withColumn("line", F.monotonically_increasing_id()))
+    first = lines.groupBy("path").agg(F.min(F.struct("line", "value")).alias("f")).select("path", "f.value")
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(first.collect(), key=lambda r: r.path):
+        out.setdefault(tuple(c.strip().strip('"') for c in r.value.split(",")), []).append(r.path)
+    return out
+
+
 def header_of(spark: SparkSession, path_glob: str) -> list[str]:
-    line = spark.read.text(path_glob).limit(1).first()[0]
-    return [c.strip().strip('"') for c in line.split(",")]
+    """All column names of a folder's files, in the order in which sorted files bring them."""
+    return list(dict.fromkeys(c for h in headers_of(spark, path_glob) for c in h))
 
 
 def scenario_key(first_dot: bool = False):
@@ -49,16 +64,18 @@ def scenario_key(first_dot: bool = False):
 
 def read_scenarios(spark: SparkSession, folder: str, time: str = "Time", key: str = "scenario_id",
                    first_dot: bool = False) -> tuple[DataFrame, Roles]:
-    """All CSVs of a folder in one scan, typed by the header rule, with the scenario key.
-    ``enforceSchema=false`` makes Spark check each file's header against the schema by name."""
-    paths = [f"{folder}/*.csv"]  # files, or Spark-written folders of part files
-    names = header_of(spark, paths[0])
-    schema = schema_from_header(names, time)
-    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-          .option("mode", "FAILFAST").csv(paths))
-    df = df.select(*names, scenario_key(first_dot).alias(key))
-    roles = Roles.infer(names, key=key, time=time)
-    return df, roles
+    """All CSVs of a folder, each by its own header, united by name, with the scenario key.  Column order
+    and missing columns differ from file to file as they like."""
+    groups = headers_of(spark, f"{folder}/*.csv")  # files, or Spark-written folders of part files
+    names = list(dict.fromkeys(c for h in groups for c in h))
+    df = None
+    for header, paths in groups.items():
+        one = (spark.read.schema(schema_from_header(header, time)).option("header", True).option("enforceSchema", False)
+               .option("mode", "FAILFAST").csv(paths)).select("*", scenario_key(first_dot).alias(key))
+        df = one if df is None else df.unionByName(one, allowMissingColumns=True)
+    if df is None:
+        raise FileNotFoundError(f"no CSV file with a header below {folder}")
+    return df.select(*names, key), Roles.infer(names, key=key, time=time)
 
 
 def roles_from_metadata(df: DataFrame, key: str = "scenario_id", time: str = "Time") -> Roles:
@@ -86,11 +103,13 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def read_report(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """An earlier report, or None when absent."""
+    """An earlier report, or None when there is none at the path; any other failure is raised."""
+    r = spark.read.option("header", True)
     try:
-        r = spark.read.option("header", True)
         return (r.schema(schema) if schema else r.option("inferSchema", True)).csv(path)
-    except Exception:  # noqa: BLE001 - absent report
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

@@ -32,9 +32,15 @@ def test_prepare_train_evaluate(spark, tmp_path):
     counts = p["balanced"].groupBy("A_label").count().collect()
     assert len({r["count"] for r in counts}) == 1          # every class raised to the majority
     x_roles = p["roles"]
-    m = train(t, p["sequences"], x_roles, ["f1", "f2"], seq_len=5, n_trees=5, cv=False, out=str(tmp_path / "models"))
+    m = train(t, p["sequences"], x_roles, ["f1", "f2"], seq_len=5, n_trees=5, cv=False, out=str(tmp_path / "models"),
+              balanced=p["balanced"])
     ev = evaluate(t, p["sequences"], x_roles, ["f1", "f2"], m["trees"], m["sequence"], m["weights"], seq_len=5,
-                  out=str(tmp_path / "reports"))
+                  out=str(tmp_path / "reports"), optimised=m["optimised"])
     comp = {r.label: r for r in ev["comparison"].collect()}
     assert "overall" in comp and comp["overall"].tree is not None
-    assert ev["reports"].where("cls = 'accuracy'").count() == 2 * 3
+    assert comp["overall"].blend is not None and comp["overall"].best_model != "N/A"
+    assert ev["reports"].where("cls = 'accuracy'").count() == 3 * 3
+    assert m["validation"].count() > 0
+    again = evaluate(t, p["sequences"], x_roles, ["f1", "f2"], m["trees"], m["sequence"], m["weights"], seq_len=5,
+                     earlier=io.read_report(spark, str(tmp_path / "reports" / "comparison")))
+    assert {r.before_tree == r.tree for r in again["change"].where("label = 'overall'").collect()} <= {True, False}

@@ -22,12 +22,21 @@ def test_read_two_scenarios_with_dotted_names(spark, tmp_path):
     assert {r.scenario_id for r in df2.collect()} == {"a", "b"}
 
 
-def test_header_order_is_checked(spark, tmp_path):
+def test_files_are_united_by_name(spark, tmp_path):
     write(tmp_path / "a.csv", "Time,f1,f2,A_label\n0,1,2,1\n")
-    write(tmp_path / "b.csv", "Time,f2,f1,A_label\n0,2,1,1\n")
-    df, _ = io.read_scenarios(spark, str(tmp_path))
+    write(tmp_path / "b.csv", "Time,f2,f1,A_label\n0,20,10,0\n")
+    write(tmp_path / "c.csv", "A_label,Time,f3\n2,5,30\n")
+    df, roles = io.read_scenarios(spark, str(tmp_path))
+    got = {r.scenario_id: (r.Time, r.f1, r.f2, r.A_label, r.f3) for r in df.collect()}
+    assert got == {"a": (0.0, 1.0, 2.0, 1, None), "b": (0.0, 10.0, 20.0, 0, None), "c": (5.0, None, None, 2, 30.0)}
+    assert roles.features == ("f1", "f2", "f3")
+
+
+def test_absent_and_broken_reports(spark, tmp_path):
+    assert io.read_report(spark, str(tmp_path / "none")) is None
+    (tmp_path / "dir").mkdir()
     with pytest.raises(Exception):
-        df.collect()
+        io.read_report(spark, str(tmp_path / "dir"))
 
 
 def test_roles_survive_parquet(spark, tmp_path):

@@ -62,8 +62,8 @@ def test_positions_exact_under_many_partitions(spark):
     assert len(m) == len(pdf) and (m["_pos"] == m["_pos_e"]).all()
 
 
-def test_ema_lookback_is_below_double_precision():
-    k = windows.ema_lookback(10)
+def test_ema_reach_is_below_double_precision():
+    k = windows.ema_reach(10)
     assert (9 / 11) ** k < 2 ** -53 <= (9 / 11) ** (k - 1)
 
 
