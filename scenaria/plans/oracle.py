@@ -458,3 +458,16 @@ c as (select *, cast(floor(n * 0.7::double) as bigint) as ntr from r),
 d as (select *, cast(floor((n - ntr) * 0.5::double) as bigint) as nv from c)
 select case when rk <= ntr then 'train' when rk <= ntr + nv then 'val' else 'test' end as split, cast(y as int) as y_true, count(*) as n,
        3::bigint as classes, 1.0::double as mass, true as known from d group by all""")
+
+register("tree_fit_rows", """
+with r as (select vec_id, label as y, row_number() over (partition by label order by md5(concat('42', cast(vec_id as varchar))), vec_id) as rk,
+                  count(*) over (partition by label) as n from embeddings),
+c as (select *, cast(floor(n * 0.7::double) as bigint) as ntr from r),
+d as (select *, cast(floor((n - ntr) * 0.5::double) as bigint) as nv from c)
+select case when rk <= ntr then 'train' when rk <= ntr + nv then 'val' else 'test' end as split, 'label' as label,
+       cast(y as int) as y_true, count(*) as n, 10::bigint as classes, 1.0::double as mass, true as known from d group by all""")
+
+register("seq_fit_rows", ORACLE["sequences_even"].replace(
+    "select p.scenario_id, t.seq_id, p.rn - 1 - t.s as step, p.event_id, round(p.f2, 6) as f2\nfrom starts t",
+    "select 'C_label' as label, p.C_label as y_true, count(*) as n, 6::bigint as classes, 1.0::double as mass, true as known\nfrom starts t").replace(
+    "between t.s and t.s + 19", "= t.s + 19 group by p.C_label"))

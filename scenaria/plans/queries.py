@@ -655,3 +655,28 @@ def q_tree_fit_binary(spark, sf_dir):
     return s.groupBy("split", "y_true").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.size("p")).cast("long").alias("classes"), r6(F.avg(total)).alias("mass"),
         F.bool_and(F.col("y_pred").isin(0, 2)).alias("known"))
+
+
+def _fit_rows(scored, by):
+    """What any fit must give: one prediction per row, of a known class, and probabilities that sum to 1."""
+    total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    return scored.groupBy(*by, "label", "y_true").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.size("p")).cast("long").alias("classes"), r6(F.avg(total)).alias("mass"),
+        F.bool_and(F.col("y_pred").between(0, F.size("p") - 1)).alias("known"))
+
+
+@query
+def q_tree_fit_rows(spark, sf_dir):
+    """M1/M3 on the ten classes of ``embeddings``: rows scored per split and class."""
+    e = _emb_split(spark, sf_dir)
+    models = model.fit_per_label(e.where("split = 'train'"), ["embedding"], ["label"], max_depth=5, n_trees=20)
+    return _fit_rows(model.score(models, e, ["embedding"], ["vec_id", "split"]), ["split"])
+
+
+@query
+def q_seq_fit_rows(spark, sf_dir):
+    """M4: evenly spaced windows scored per class of their last step."""
+    s = clean.interpolate(views.series(spark, sf_dir), SERIES_ROLES, ["f1"], back_fill=True)
+    flat = lambda x: model.flatten_sequences(x, "scenario_id", SEQ_FEATURES, ["C_label"], 20)
+    m = model.fit_sequence_model(flat(sequences.strided(s, SERIES_ROLES, 20, 15)), ["C_label"], n_inputs=40, max_iter=20)
+    return _fit_rows(model.score_sequences(m, flat(sequences.even(s, SERIES_ROLES, 20, 10)), "scenario_id"), [])
