@@ -111,20 +111,20 @@ def constant_longs(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def bit_table(keys: DataFrame, name: str):
+def bit_table(keys: DataFrame, name: str, log_bits: int = BIT_BITS):
     """A test that is true for every key of ``keys``, and false for most others while they are few against
-    2**BIT_BITS.  Keys that are null are not in the table."""
-    slot = F.xxhash64(name).bitwiseAND(F.lit((1 << BIT_BITS) - 1))
+    2**log_bits.  Keys that are null are not in the table, a constant of the plan of that many bits."""
+    slot = F.xxhash64(name).bitwiseAND(F.lit((1 << log_bits) - 1))
     rows = (keys.where(F.col(name).isNotNull()).select(slot.alias("s"))
             .groupBy(F.shiftright("s", 6).cast("int").alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits")).collect())
-    table = [0] * (1 << (BIT_BITS - 6))
+    table = [0] * (1 << (log_bits - 6))
     for r in rows:
         table[r.word] = r.bits
     lookup = constant_longs(table)
 
     def test(col: Column) -> Column:
-        s = F.xxhash64(col).bitwiseAND(F.lit((1 << BIT_BITS) - 1))
+        s = F.xxhash64(col).bitwiseAND(F.lit((1 << log_bits) - 1))
         return F.coalesce(F.getbit(F.element_at(lookup, (F.shiftright(s, 6) + 1).cast("int")), s.bitwiseAND(F.lit(63)).cast("int")) == 1,
                           F.lit(False))
     return test
