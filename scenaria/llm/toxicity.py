@@ -53,17 +53,26 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) >> (32 - BITS) for x in dict.fromkeys(names)]
 
 
-def lexicon(toxic: list[set[str]], clean: list[set[str]], most_clean: float = 0.02, least: int = 3, common: float = 0.02) -> set[str]:
+def text_keys(text: str) -> set[str]:
+    return {k for w in set(text.split()) for k in keys(w)}
+
+
+def lexicon(toxic: list[str], clean: list[str], most_clean: float = 0.02, least: int = 3, common: float = 0.02) -> set[str]:
     """Keys that clean documents hardly use: all in at least ``common`` of the toxic documents, then, one by
     one, the key in most of the toxic documents not yet explained.  The other words of a few copies of one
     toxic document cannot come in: once explained, its copies count no more."""
-    in_clean = Counter(k for d in clean for k in d)
+    rough = np.zeros(1 << 20, dtype=np.int32)  # counts by hash first: most keys are too rare to be kept apart
+    slot = lambda k: zlib.crc32(k.encode("utf-8", "surrogatepass")) >> 12
+    for t in toxic:
+        rough[[slot(k) for k in text_keys(t)]] += 1
+    in_toxic = Counter(k for t in toxic for k in text_keys(t) if rough[slot(k)] >= least)
+    in_toxic = Counter({k: n for k, n in in_toxic.items() if n >= least})
+    in_clean = Counter(k for t in clean for k in text_keys(t) if k in in_toxic)
     ratio = max(1e-9, len(toxic) / max(1, len(clean)))
-    in_toxic = Counter(k for d in toxic for k in d)
-    fine = {k for k, n in in_toxic.items() if n >= least and in_clean[k] * ratio <= most_clean * n}
+    fine = {k for k, n in in_toxic.items() if in_clean[k] * ratio <= most_clean * n}
     where = defaultdict(set)
-    for i, d in enumerate(toxic):
-        for k in d & fine:
+    for i, t in enumerate(toxic):
+        for k in text_keys(t) & fine:
             where[k].add(i)
     found = {k for k, v in where.items() if len(v) >= max(least, common * len(toxic))}
     left = set(range(len(toxic))) - {i for k in found for i in where[k]}
@@ -182,7 +191,7 @@ def summary(p: np.ndarray) -> list[float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text",
-        per_label: int = 4000, chars: int = 20_000, chains_per_label: int = 6000) -> Model:
+        per_label: int = 2500, chars: int = 20_000, chains_per_label: int = 6000) -> Model:
     """Learn from at most ``per_label`` texts of either label, the first ``chars`` characters of each (of the
     sample only), and at most ``chains_per_label`` sentences with and without a toxic word.  Without labels
     of both kinds, or without any word that tells them apart, the model is the share of toxic ones."""
@@ -190,29 +199,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.5
     rows = list(dict.fromkeys(rows))  # copies count once
-    by = {k: [t.split() for t, y in rows if y == k] for k in (0, 1)}
-    marks = {k: [{x for w in set(ws) for x in keys(w)} for ws in by[k]] for k in (0, 1)}
-    bad = lexicon(marks[1], marks[0])
+    by = {k: [t for t, y in rows if y == k] for k in (0, 1)}
+    bad = lexicon(by[1], by[0])
     if not bad or not by[0]:
         return Model({}, [0.0] * 5, None, prior)
-    del marks
     chains: dict[bool, list] = {True: [], False: []}
-    toxic_word: dict[str, bool] = {}
+    room = {True: chains_per_label, False: 2 * chains_per_label}
     for k in (1, 0):
-        for ws in by[k]:
-            tags = [k == 1 and toxic_word.setdefault(w, not bad.isdisjoint(keys(w))) for w in ws]
+        for t in by[k]:
+            if k == 0 and len(chains[False]) >= room[False]:
+                break
+            ws = t.split()
+            tags = [k == 1 and not bad.isdisjoint(keys(w)) for w in ws]
             at = 0
             for i, w in enumerate(ws):
                 if w[-1] in ".!?" or i - at == 39 or i == len(ws) - 1:
                     kind = any(tags[at:i + 1])
-                    if len(chains[kind]) < (1 if kind else 2) * chains_per_label:
+                    if len(chains[kind]) < room[kind]:
                         chains[kind].append((ws[at:i + 1], np.array(tags[at:i + 1])))
                     at = i + 1
     used = chains[True] + chains[False]
     emit, moves = train([c for c, _ in used], [t for _, t in used])
     model = Model(emit, moves, None, prior)
     memory = Odds(emit)
-    x = np.array([summary(p) for k in (0, 1) for p in marginals(by[k], model, memory)])
+    x = np.array([summary(p) for k in (0, 1) for t in by[k] for p in marginals([t.split()], model, memory)])
     y = np.repeat([0, 1], [len(by[0]), len(by[1])])
     share = np.where(y == 1, prior / max(1, (y == 1).sum()), (1 - prior) / max(1, (y == 0).sum())) * len(y)
     model.scale = logistic(x, y, share).tolist()
