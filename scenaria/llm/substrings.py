@@ -1,7 +1,7 @@
 """Passages that an earlier document has: FM-indexes over what documents may share.
 
 A window of 50 words is identified by its anchor, the least hash among its runs of 10 words; equal windows
-have equal anchors at the same place.  Windows that lie side by side and share an anchor form a segment of at
+have equal anchors.  Windows that lie side by side and share an anchor form a segment of at
 most 91 words, and only segments whose anchor occurs in two documents can hold a shared window.
 
  1. Anchors are counted per document; those of two documents or more go into a filter of fixed size.
@@ -32,7 +32,7 @@ from .common import BloomFilter, bit_table, written
 from .fmindex import FMIndex
 
 RUN = 10
-WIDE = 192
+WIDE = 512
 SHARD_WORDS = 300_000
 LAST = 2 ** 63 - 1
 _ODD = 0x9E3779B97F4A7C15
@@ -50,29 +50,57 @@ def powers(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def text_words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").split()
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def raw(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, 64-bit hash) of every word of a text, all at once."""
+    byte = np.frombuffer(data, dtype=np.uint8)
+    edge = np.diff(np.r_[True, _SPACE[byte], True].astype(np.int8))
+    start, end = np.flatnonzero(edge < 0), np.flatnonzero(edge > 0)
+    up, down = powers(len(byte) + 1)
+    sums = np.zeros(len(byte) + 1, np.uint64)
+    np.cumsum((byte.astype(np.uint64) + np.uint64(1)) * up[:len(byte)], out=sums[1:])
+    return start, end, _mix((sums[end] - sums[start]) * down[start])
+
+
+def least_of(values: np.ndarray, width: int) -> np.ndarray:
+    """The least value of every run of ``width`` values."""
+    n = len(values)
+    full = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, dtype=np.uint64)
+    full[:n] = values
+    blocks = full.reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
 
 
 def segments(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, word past the last, anchor) of every segment of a text."""
-    n = len(hashes)
+    """(first word, word past the last, anchor) of every segment of a text; one of more windows than an anchor
+    has places is cut."""
+    n, width = len(hashes), window - RUN + 1
     if n < window:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     up, down = powers(n + 1)
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:n], dtype=np.uint64)])
-        run = (sums[RUN:] - sums[:-RUN]) * down[:n - RUN + 1]
-        run = (run ^ (run >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    run ^= run >> np.uint64(29)
-    least = np.lib.stride_tricks.sliding_window_view(run, window - RUN + 1).argmin(axis=1) + np.arange(n - window + 1)
-    first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    past = np.r_[first[1:], len(least)] + window - 1
-    return first, past, run[least[first]]
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:n], dtype=np.uint64)])
+    anchor = least_of(_mix((sums[RUN:] - sums[:-RUN]) * down[:n - RUN + 1]), width)
+    first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+    size = np.diff(np.r_[first, len(anchor)])
+    pieces = -(-size // width)
+    again = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    first = np.repeat(first, pieces) + again * width
+    past = np.r_[first[1:], len(anchor)] + window - 1
+    return first, past, anchor[first]
 
 
 def two_longs(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -92,7 +120,7 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
         for b in batches:
             ids, found = b.column(0).to_numpy(zero_copy_only=False), []
             for t in b.column(1):
-                found.append(np.unique(segments(word_hashes(text_words(t.as_py())), window)[2]).view(np.int64))
+                found.append(np.unique(segments(hashed_words(raw(t.as_py()))[2], window)[2]).view(np.int64))
             sizes = [len(x) for x in found]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.zeros(0, np.int64)])), pa.array(np.repeat(ids, sizes))],
                                              names=["anchor", "doc"])
@@ -109,7 +137,7 @@ def _occurrences(docs: DataFrame, window: int, shared: BloomFilter) -> DataFrame
         for b in batches:
             out: list[list] = [[] for _ in range(5)]
             for i, t in enumerate(b.column(1)):
-                h = word_hashes(text_words(t.as_py()))
+                h = hashed_words(raw(t.as_py()))[2]
                 first, past, anchor = segments(h, window)
                 mine: dict[bytes, tuple[int, list[int]]] = {}
                 for k in np.flatnonzero(test(anchor)):
@@ -128,8 +156,7 @@ def _occurrences(docs: DataFrame, window: int, shared: BloomFilter) -> DataFrame
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return a.astype(np.int64).view(np.uint64) * np.uint64(_ODD) ^ b.astype(np.int64).view(np.uint64)
+    return a.astype(np.int64).view(np.uint64) * np.uint64(_ODD) ^ b.astype(np.int64).view(np.uint64)
 
 
 def _contents(docs: DataFrame, window: int, shared: BloomFilter, chosen: BloomFilter, wide: BloomFilter, shards: int) -> DataFrame:
@@ -142,8 +169,8 @@ def _contents(docs: DataFrame, window: int, shared: BloomFilter, chosen: BloomFi
             ids = b.column(0).to_numpy(zero_copy_only=False)
             rows: list[list] = [[] for _ in range(5)]
             for d, t in zip(ids, b.column(1), strict=True):
-                words = text_words(t.as_py())
-                h = word_hashes(words)
+                data = raw(t.as_py())
+                start, end, h = hashed_words(data)
                 first, past, anchor = segments(h, window)
                 some = np.flatnonzero(is_shared(anchor))
                 if not some.size:
@@ -157,7 +184,7 @@ def _contents(docs: DataFrame, window: int, shared: BloomFilter, chosen: BloomFi
                         seen.add(keys[j])
                         k = some[j]
                         for r, x in zip(rows, (bool(flag[j]), int(anchor[k] % np.uint64(shards)), keys[j], int(d),
-                                               b" ".join(words[first[k]:past[k]])), strict=True):
+                                               b" ".join(data[start[first[k]]:end[past[k] - 1]].split())), strict=True):
                             r.append(x)
             s1, s2 = two_longs(rows[2])
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.bool_()), pa.array(rows[1], pa.int32()), pa.array(s1), pa.array(s2),
@@ -217,7 +244,7 @@ def _by_hash(contents: DataFrame, window: int) -> DataFrame:
     def run(batches):
         for b in batches:
             for s1, s2, d, words in zip(*(b.column(c).to_pylist() for c in ("s1", "s2", "doc", "words")), strict=True):
-                h = word_hashes(words.split(b" "))
+                h = hashed_words(words)[2]
                 n = len(h) - window + 1
                 w1, w2 = two_longs([xxhash.xxh3_128_digest(h[i:i + window].tobytes()) for i in range(n)])
                 yield pa.RecordBatch.from_arrays([pa.array([x] * n, pa.int64()) for x in (s1, s2, d)] + [pa.array(range(n), pa.int32()), pa.array(w1), pa.array(w2)],
@@ -267,18 +294,18 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, window: int = 50
         raise ValueError(f"a window has more than {RUN} words")
     spark = docs.sparkSession
     src = _documents(docs, id_col, text_col)
-    shared = BloomFilter.of(written(_anchors(src, window), "anchors"), "anchor", 20)
+    shared = BloomFilter.of(_anchors(src, window), "anchor", 20)
     seen = written(_occurrences(src, window, shared), "occurrences")
     classes = written(seen.groupBy("anchor", "s1", "s2").agg(F.min("doc").alias("doc"), F.max("doc").alias("last")), "classes")
+    # without what the filter let through by chance
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("a"), F.max("last").alias("b")).where("a < b")
-    several = written(several, "several")  # without what the filter let through by chance
     wide = BloomFilter.of(several.where(F.col("n") > WIDE), "anchor", 16)
     chosen = BloomFilter.of(classes.join(several.select("anchor"), "anchor", "left_semi"), ("s1", "doc"), 20, _pair)
     size = several.agg(F.sum("n")).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size * 60 // SHARD_WORDS))
     contents = written(_contents(src, window, shared, chosen, wide, shards), "contents")
     found = _by_index(contents.where("not wide"), window).unionByName(_by_hash(contents.where("wide"), window))
-    ranges = written(_covered(seen, written(found, "found"), window), "ranges")
+    ranges = written(_covered(seen, found, window), "ranges")
     test = bit_table(ranges.select("hash"), "hash")
     every = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(id_col), F.lit(LAST)).alias("doc"),
                         F.xxhash64(text_col).alias("hash"))
@@ -290,7 +317,7 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, window: int = 50
         for b in batches:
             n, gone, kept = [], [], []
             for t, r in zip(b.column(1), b.column(2).to_pylist(), strict=True):
-                words = text_words(t.as_py())
+                words = raw(t.as_py()).split()
                 mark = np.zeros(len(words) + 1, dtype=np.int64)
                 if r:
                     spans = np.frombuffer(b"".join(r), "<i4").reshape(-1, 2)
