@@ -100,14 +100,18 @@ def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = D.SMOT
         .select(F.col("id").alias(id_col), "rank", F.col("nbr_id"), "d2")
 
 
+def _draw(*parts: Column) -> Column:
+    """Seeded whole number below 2^32 from an md5 of the parts: the same on every re-execution and in any engine."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 8), 16, 10).cast("long")
+
+
 def _u01(*parts: Column) -> Column:
-    """Seeded uniform in [0, 1) from a hash of the parts (identical on every re-execution)."""
-    h = F.xxhash64(*parts)
-    return F.pmod(h, F.lit(1 << 31)).cast("double") / float(1 << 31)
+    """Seeded uniform in [0, 1)."""
+    return _draw(*parts).cast("double") / float(1 << 32)
 
 
 def _pick(n: Column, *parts: Column) -> Column:
-    return F.pmod(F.xxhash64(*parts), n).cast("long")
+    return F.pmod(_draw(*parts), n).cast("long")
 
 
 def smote(df: DataFrame, id_col: str, vec: str, cls: str, k: int = D.SMOTE_K, seed: int = D.SEED,

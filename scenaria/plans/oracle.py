@@ -471,3 +471,22 @@ register("seq_fit_rows", ORACLE["sequences_even"].replace(
     "select p.scenario_id, t.seq_id, p.rn - 1 - t.s as step, p.event_id, round(p.f2, 6) as f2\nfrom starts t",
     "select 'C_label' as label, p.C_label as y_true, count(*) as n, 6::bigint as classes, 1.0::double as mass, true as known\nfrom starts t").replace(
     "between t.s and t.s + 19", "= t.s + 19 group by p.C_label"))
+
+SMOTE = """c as (select label, count(*) as n from e group by label),
+j as (select label, n, unnest(range(0, (select max(n) from c) - n)) as j from c where n > 1),
+spec as (select label, j, ('0x' || substr(md5(concat('42:', label, ':', j)), 1, 8))::bigint % n + 1 as bp,
+                ('0x' || substr(md5(concat('43:', label, ':', j)), 1, 8))::bigint % least(5, n - 1) + 1 as nr,
+                ('0x' || substr(md5(concat('44:', label, ':', j)), 1, 8))::bigint::double / 4294967296.0::double as u from j),
+base as (select *, row_number() over (partition by label order by vec_id) as bp from e),
+d as (select a.vec_id, b.vec_id as nbr_id,
+             list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (z[1]::double - z[2]::double) * (z[1]::double - z[2]::double))) as d2
+      from e a join e b on a.label = b.label and a.vec_id <> b.vec_id),
+k as (select *, row_number() over (partition by vec_id order by d2, nbr_id) as nr from d)
+select s.label, """ + ", ".join(
+    f"round(cast(cast(b.embedding[{i}] + s.u * (n.embedding[{i}] - b.embedding[{i}]) as float) as double), 4) as v{i - 1}" for i in range(1, 5)) + """
+from spec s join base b on b.label = s.label and b.bp = s.bp join k on k.vec_id = b.vec_id and k.nr = s.nr join e n on n.vec_id = k.nbr_id"""
+
+register("smote_rows", "with e as (select vec_id, label, embedding from embeddings),\n" + SMOTE)
+register("smote_equal_rows", """with e as (select vec_id, label, case when vec_id % 2 = 0
+  then list_transform(range(0, 64), lambda i: cast(label + i as float)) else embedding end as embedding from embeddings),
+""" + SMOTE)

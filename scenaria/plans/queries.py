@@ -680,3 +680,22 @@ def q_seq_fit_rows(spark, sf_dir):
     flat = lambda x: model.flatten_sequences(x, "scenario_id", SEQ_FEATURES, ["C_label"], 20)
     m = model.fit_sequence_model(flat(sequences.strided(s, SERIES_ROLES, 20, 15)), ["C_label"], n_inputs=40, max_iter=20)
     return _fit_rows(model.score_sequences(m, flat(sequences.even(s, SERIES_ROLES, 20, 10)), "scenario_id"), [])
+
+
+def _synthetic(out, by):
+    return out.where("synthetic").select(*by, *[F.round(F.element_at("embedding", i + 1).cast("double"), 4).alias(f"v{i}") for i in range(4)])
+
+
+@query
+def q_smote_rows(spark, sf_dir):
+    """The synthetic rows themselves."""
+    e = views.table(spark, sf_dir, "embeddings")
+    return _synthetic(balance.smote(e, "vec_id", "embedding", "label", k=5)[0], ["label"])
+
+
+@query
+def q_smote_equal_rows(spark, sf_dir):
+    """X5/X7 where half of each class are equal rows."""
+    e = views.table(spark, sf_dir, "embeddings").withColumn("embedding", F.when(F.col("vec_id") % 2 == 0, F.array(
+        *[(F.col("label") + i).cast("float") for i in range(64)])).otherwise(F.col("embedding")))
+    return _synthetic(balance.smote(e, "vec_id", "embedding", "label", k=5)[0], ["label"])
