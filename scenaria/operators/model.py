@@ -9,6 +9,7 @@ y_true, y_pred, p).
 
 from __future__ import annotations
 
+import re
 import time
 
 from py4j.protocol import Py4JJavaError
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scenaria import defaults as D
-from scenaria.functions import finite_or_zero
+from scenaria.functions import argmax_first, finite_or_zero, renormalize
 
 
 def features_vector(df: DataFrame, features, out: str = "features") -> DataFrame:
@@ -77,8 +78,30 @@ def classifier(label: str, binary: bool, max_depth: int = max(D.CV_DEPTHS), n_tr
     return clf
 
 
-def fit_per_label(train: DataFrame, features, labels, parallelism: int | None = None, **kw) -> dict[str, PipelineModel]:
+def boost_each_class(known: DataFrame, label: str, classes: list[int], **kw) -> PipelineModel:
+    """One booster per class, that class against the others; scoring normalises their probabilities.  A class
+    costs as much as a binary label, so this is for few classes or few trees."""
+    stages = []
+    for i in range(len(classes)):
+        one = known.withColumn(label, (F.col(label) == i).cast("double"))
+        stages.append(classifier(label, True, prefix=f"{label}_{i}", **kw).fit(one))
+    return PipelineModel(stages=[*stages, SQLTransformer(
+        statement=f"SELECT *, array({', '.join(map(str, classes))}) AS `{label}_classes` FROM __THIS__")])
+
+
+def _scored(x: DataFrame, label: str) -> tuple[Column, Column]:
+    """(predicted class, probabilities by class) of a label whose model has been applied."""
+    classes = F.col(f"{label}_classes")
+    if f"{label}_prob" in x.columns:
+        return F.get(classes, F.col(f"{label}_pred").cast("int")), by_class(vector_to_array(f"{label}_prob"), classes)
+    n = sum(1 for c in x.columns if re.fullmatch(re.escape(label) + r"_\d+_prob", c))
+    p = renormalize(F.array(*[F.get(vector_to_array(f"{label}_{i}_prob"), F.lit(1)) for i in range(n)]))
+    return F.get(classes, argmax_first(p)), by_class(p, classes)
+
+
+def fit_per_label(train: DataFrame, features, labels, parallelism: int | None = None, boosted: bool = False, **kw) -> dict[str, PipelineModel]:
     """M1: one fitted pipeline per label (output columns ``<label>_pred`` / ``_prob`` / ``_raw``).
+    ``boosted`` fits one booster per class of a multi-class label instead of a random forest.
     The label fits are independent Spark jobs submitted from ``parallelism`` driver threads, as
     ``CrossValidator(parallelism=...)`` does."""
     from concurrent.futures import ThreadPoolExecutor
@@ -87,8 +110,10 @@ def fit_per_label(train: DataFrame, features, labels, parallelism: int | None =
     x = features_vector(train, features).persist()  # read by every label's fit
 
     def fit(lab):
-        clf = classifier(lab, len(classes[lab]) <= 2, prefix=lab, **kw)
         known = indexed(x.where(F.col(lab).isNotNull()), lab, classes[lab])
+        if boosted and len(classes[lab]) > 2:
+            return lab, boost_each_class(known, lab, classes[lab], **kw)
+        clf = classifier(lab, len(classes[lab]) <= 2, prefix=lab, **kw)
         return lab, with_classes(clf.fit(known), lab, classes[lab])
 
     try:
@@ -124,9 +149,9 @@ def score(models: dict, df: DataFrame, features, row_id, model_name: str = "tree
     x = features_vector(df, features)
     for m in models.values():
         x = m.transform(x)
-    parts = [F.struct(F.lit(lab).alias("label"), F.col(lab).cast("int").alias("y_true"),
-                      F.get(F.col(f"{lab}_classes"), F.col(f"{lab}_pred").cast("int")).alias("y_pred"),
-                      by_class(vector_to_array(f"{lab}_prob"), F.col(f"{lab}_classes")).alias("p")) for lab in models]
+    out = {lab: _scored(x, lab) for lab in models}
+    parts = [F.struct(F.lit(lab).alias("label"), F.col(lab).cast("int").alias("y_true"), y.alias("y_pred"), p.alias("p"))
+             for lab, (y, p) in out.items()]
     keys = [F.col(row_id).alias("row_id")] if isinstance(row_id, str) else [F.col(c) for c in row_id]
     names = ["row_id"] if isinstance(row_id, str) else list(row_id)
     return x.select(*keys, F.explode(F.array(*parts)).alias("_t")) \
@@ -181,7 +206,8 @@ def importances(models: dict, feature_names, top: int = D.TOP_IMPORTANCES) -> Da
     """Top feature importances per label (the vectors are feature-count sized, fitted metadata)."""
     rows = []
     for lab, m in models.items():
-        imp = next(x for x in m.stages if hasattr(x, "featureImportances")).featureImportances.toArray()
+        each = [x.featureImportances.toArray() for x in m.stages if hasattr(x, "featureImportances")]
+        imp = sum(each) / len(each)  # one model, or the mean over the boosters of a label's classes
         rows += [(lab, str(feature_names[i]) if i < len(feature_names) else f"f{i}", float(v)) for i, v in enumerate(imp)]
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()

@@ -48,6 +48,17 @@ def test_binary_label_of_any_values(spark, tmp_path):
         assert all(r.p[1] == 0 and (r.p[2] > r.p[0]) == (r.y_pred == 2) for r in out)
 
 
+def test_one_booster_per_class(spark, tmp_path):
+    rng = random.Random(2)
+    df = spark.createDataFrame([(i, i % 3 + 0.2 * rng.random(), (i % 3) * 2) for i in range(240)], "id long, x double, lab int")
+    m = model.fit_per_label(df, ["x"], ["lab"], max_depth=2, n_trees=2, boosted=True)
+    model.save(m, str(tmp_path / "m"))
+    out = model.score(model.load(str(tmp_path / "m"), ["lab"]), df, ["x"], "id").collect()
+    assert np.mean([r.y_pred == r.y_true for r in out]) > 0.95
+    assert all(len(r.p) == 5 and abs(sum(r.p) - 1) < 1e-9 and r.p[1] == r.p[3] == 0 for r in out)
+    assert model.importances(m, ["x"], 5).first().importance == pytest.approx(1.0)
+
+
 def test_corrupt_store_is_an_error(spark, tmp_path):
     (tmp_path / "lab" / "metadata").mkdir(parents=True)
     (tmp_path / "lab" / "metadata" / "part-00000").write_text("not json")
