@@ -19,7 +19,6 @@ from scenaria.session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bits of a bit table, as a power of two.
 BIT_BITS = 20
-SPACE = r"[\x20\x09-\x0D]+"
 
 
 def find_package(spark: SparkSession) -> None:
@@ -40,12 +39,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/scenaria-llm-{uuid.uuid4().hex}/{name}"
 
 
+#: While a scratch table is written: its shuffle files go when the write has ended, rather than when the driver
+#: happens to collect its garbage, and plans that hold constant tables are not spelled out in full.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxPlanStringLength": "10000"}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back: later steps read
     one fixed copy, and a lost executor re-reads files instead of re-running what came before."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = {k: spark.conf.get(k) for k in WRITING}
+    try:
+        for k, v in WRITING.items():
+            spark.conf.set(k, v)
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def label_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str, per_label: int,

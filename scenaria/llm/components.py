@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+FILE_ROWS = 50_000
+
+
 def _pointed(both: DataFrame) -> DataFrame:
     """(node, least): the smallest of each node's neighbours and itself."""
     return both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -25,7 +28,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = (links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
              .where(f"{a} is not null and {b} is not null").where("u <> v").distinct())
     edges = written(edges, "links")
-    before = None
+    before, parts = None, None
     while True:
         # large star: every larger neighbour points to the node's least neighbour
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -37,9 +40,10 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = (down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        edges = written(small, "links")
+        edges = written(small if parts is None else small.coalesce(parts), "links")
         state = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
         if tuple(state) == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")) \
                 .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         before = tuple(state)
+        parts = 1 + state[0] // FILE_ROWS  # about as many as before: few links need few files

@@ -10,8 +10,8 @@ the words, so words that share a count do no harm.  The table, and the bit table
 matter at all, are constants of the plan, of a size that no corpus changes.
 
 Long posting lists are not compared pair by pair.  A line is removed if any earlier one is similar, so lists
-of more than ``LIST`` lines first meet the earliest line of the list, then the earliest ones of 16 parts of
-it; only lines that found none of these meet the whole list.
+of more than ``LIST`` lines first meet the earliest line of the list and the earliest ones of 16 parts of
+it; only lines that found none of these similar meet the whole list.
 """
 
 from __future__ import annotations
@@ -21,46 +21,65 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, bit_table, constant_longs, written
+from .common import bit_table, constant_longs, written
 
+SPACES = " \t\n\x0b\x0c\r"
 COUNT_BITS = 17
 LIST = 64
 SPREAD = 16
 
 
-def words(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE), lambda w: w != "")
+def words(text: Column) -> Column:
+    """The words of a text; white space becomes blanks first, as Spark splits at a single plain character
+    without a regular expression.  Few texts have any but line feeds and blanks."""
+    plain = F.replace(text, F.lit("\n"), F.lit(" "))
+    other = plain
+    for c in "\t\x0b\x0c\r":
+        other = F.replace(other, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(F.when(text.rlike(r"[\t\x0B\x0C\r]"), other).otherwise(plain), " "), "")
 
 
 def rarity(docs: DataFrame, text_col: str) -> Column:
-    """Constant table: by the low bits of a word's hash, four times the logarithm of the count (0 to 127)."""
+    """Constant table: by the low bits of a word's hash, four times the logarithm of the count, -64 to 63."""
     slot = F.xxhash64("word").bitwiseAND(F.lit((1 << COUNT_BITS) - 1)).cast("int")
-    rows = docs.select(F.explode(F.split(F.col(text_col), SPACE)).alias("word")).groupBy(slot.alias("slot")).count().collect()
-    table = [0] * (1 << COUNT_BITS)
+    rows = docs.select(F.explode(words(F.col(text_col))).alias("word")).groupBy(slot.alias("slot")).count().collect()
+    table = [-64] * (1 << COUNT_BITS)
     for r in rows:
-        table[r[0]] = min(127, int(4 * math.log2(r[1])))
+        table[r[0]] = min(127, int(4 * math.log2(r[1]))) - 64
     return constant_longs(table)
 
 
-def lines_of(docs: DataFrame, table: Column) -> DataFrame:
-    """(id, text_hash, line, n, set1, set2, sketch, keys) of every line that has a word; ``keys`` are the distinct
-    words as numbers whose order is by rarity: 7 bits of rarity above 57 bits of the word's hash."""
+def lines_of(lines: DataFrame, table: Column) -> DataFrame:
+    """(id, text_hash, line, n, set1, set2, x, y, keys) of each line; ``keys`` are its distinct words as numbers
+    whose order is by rarity: 7 bits of rarity above 57 bits of the word's hash; x and y are a parity sketch."""
     mask = F.lit((1 << COUNT_BITS) - 1)
 
-    def key(w):
-        h = F.xxhash64(w)
-        rare = F.element_at(table, (h.bitwiseAND(mask) + 1).cast("int")) - 64
+    def key(h):
+        rare = F.coalesce(F.get(table, h.bitwiseAND(mask).cast("int")), F.lit(0).cast("bigint"))  # never null: sorts as plain longs
         return F.shiftleft(rare, 57).bitwiseOR(F.shiftrightunsigned(h, 7))
 
-    def flip(bits, k):
-        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(F.lit(63)).cast("int")))
-
-    lines = docs.select("id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    return (lines.select("id", "text_hash", "line", F.sort_array(F.array_distinct(F.transform(words(F.col("text")), key))).alias("keys"))
-            .where("size(keys) > 0")
+    hashes = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
+    return (lines.select("id", "text_hash", "line", F.sort_array(F.array_distinct(F.transform(hashes, key))).alias("keys"))
             .select("id", "text_hash", "line", F.size("keys").alias("n"), F.xxhash64("keys").alias("set1"),
                     F.xxhash64("keys", F.lit(1)).alias("set2"),
-                    F.aggregate("keys", F.lit(0).cast("bigint"), flip).alias("sketch"), "keys"))
+                    parity("keys", 0, 1).alias("x"), parity("keys", 1, 1).alias("y"), "keys"))
+
+
+def parity(keys, word: int, bits: int) -> Column:
+    """One 64-bit word of a parity sketch of 2**bits words: every key flips one bit of one word, so the sketches of
+    two sets differ in no more bits than the sets in keys."""
+    def flip(sketch, k):
+        mine = F.shiftright(k, 6).bitwiseAND(F.lit((1 << bits) - 1)) == word
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(F.lit(63)).cast("int"))
+        return F.when(mine, sketch.bitwiseXOR(bit)).otherwise(sketch)
+    return F.aggregate(keys, F.lit(0).cast("bigint"), flip)
+
+
+def with_words(docs: DataFrame) -> DataFrame:
+    """(id, text_hash, line, text) of every line that has a word."""
+    hashed = docs.select("id", F.xxhash64("text").alias("text_hash"), F.col("text").alias("whole"))  # once a text, not once a line
+    lines = hashed.select("id", "text_hash", F.posexplode(F.split("whole", "\n")).alias("line", "text"))
+    return lines.where(F.length(F.btrim("text", F.lit(SPACES))) > 0)
 
 
 def _doc(id_col: Column) -> Column:
@@ -72,7 +91,7 @@ def _close(t: float) -> Column:
     """Can rows a and b of a posting list be similar?  Sizes, places in the list of words, parity sketches."""
     need = F.ceil(F.lit(t / (1 + t)) * (F.col("a.n") + F.col("b.n")) - 1e-9)
     tail = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
-    apart = F.bit_count(F.col("a.sketch").bitwiseXOR(F.col("b.sketch")))
+    apart = sum((F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in "xy"), F.lit(0))
     return ((F.col("a.n") >= F.lit(t) * F.col("b.n") - 1e-9) & (F.col("b.n") >= F.lit(t) * F.col("a.n") - 1e-9)
             & (tail >= need) & (apart <= F.col("a.n") + F.col("b.n") - 2 * need))
 
@@ -84,20 +103,28 @@ def _candidates(a: DataFrame, b: DataFrame, t: float) -> DataFrame:
 
 
 def _whole_sets(rids: DataFrame, sets: DataFrame, docs: DataFrame, table: Column) -> DataFrame:
-    """(rid, keys) of the given sets, from the texts they first occur in."""
+    """(rid, n, keys, wide) of the given sets, from the lines they first occur in; ``wide`` is a parity sketch of
+    256 bits."""
     doc = F.floor(F.col("place") / F.lit(4294967296))
-    ends = written(sets.join(rids.distinct(), "rid", "left_semi").withColumn("doc", doc.cast("decimal(20,0)")).select(
-        "rid", "set1", "set2", "doc", (F.col("place") - F.col("doc") * F.lit(4294967296)).cast("int").alias("line")), "ends")
-    past = F.col("doc") == F.lit("1" + "0" * 19).cast("decimal(20,0)")
-    test = bit_table(ends.where(~past).select(F.col("doc").cast("bigint").alias("doc")), "doc")
-    some = lines_of(docs.where(F.col("id").isNull() | test(F.col("id").cast("bigint"))), table)
-    some = some.select(_doc(F.col("id")).alias("doc"), "line", "set1", "set2", "keys")
-    return written(ends.join(some, ["doc", "line", "set1", "set2"]).dropDuplicates(["rid"]).select("rid", "keys"), "whole-sets")
+    ends = sets.join(rids.distinct(), "rid", "left_semi").withColumn("doc", doc.cast("decimal(20,0)")).select(
+        "rid", "set1", "set2", "doc", (F.col("place") - F.col("doc") * F.lit(4294967296)).cast("int").alias("line"))
+    at = F.xxhash64("doc", "line")
+    test = bit_table(ends.select(at.alias("at")), "at")
+    some = with_words(docs).withColumn("doc", _doc(F.col("id"))).where(test(at)).drop("doc")
+    some = lines_of(some, table).select(_doc(F.col("id")).alias("doc"), "line", "set1", "set2", "keys")
+    full = ends.join(some, ["doc", "line", "set1", "set2"]).dropDuplicates(["rid"])
+    return written(full.select("rid", F.size("keys").alias("n"), "keys", *[parity("keys", w, 2).alias(f"w{w}") for w in range(4)]), "whole-sets")
 
 
-def _similar(pairs: DataFrame, whole: DataFrame, t: float) -> DataFrame:
+def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, table: Column, t: float) -> DataFrame:
     """(rid): lines b of the pairs whose line a is similar.  Each first meets its earliest partner; only those
     that are not similar to it meet the others."""
+    whole = _whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("rid")), sets, docs, table)
+    sketch = ["n", "w0", "w1", "w2", "w3"]
+    side = lambda x: whole.select(F.col("rid").alias(x), F.struct(*sketch).alias(f"s{x}"))
+    need = F.ceil(F.lit(t / (1 + t)) * (F.col("sa.n") + F.col("sb.n")) - 1e-9)
+    apart = sum((F.bit_count(F.col(f"sa.{w}").bitwiseXOR(F.col(f"sb.{w}"))) for w in sketch[2:]), F.bit_count(F.col("sa.w0").bitwiseXOR(F.col("sb.w0"))))
+    pairs = written(pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= F.col("sa.n") + F.col("sb.n") - 2 * need).select("a", "b"), "close-pairs")
     a, b = whole.select(F.col("rid").alias("a"), F.col("keys").alias("x")), whole.select(F.col("rid").alias("b"), F.col("keys").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
 
@@ -107,32 +134,30 @@ def _similar(pairs: DataFrame, whole: DataFrame, t: float) -> DataFrame:
     first = pairs.groupBy("b").agg(F.min("a").alias("a"))
     one = written(found(first), "similar")
     rest = pairs.join(one, "b", "left_anti").join(first, ["a", "b"], "left_anti")
-    return one.unionByName(written(found(rest), "similar")).select(F.col("b").alias("rid"))
+    return one.unionByName(found(rest)).select(F.col("b").alias("rid"))
 
 
 def similar_lines(lines: DataFrame, docs: DataFrame, table: Column, t: float) -> tuple[DataFrame, DataFrame]:
     """(rid, set1, set2, place, copies) of the distinct sets, and (rid) of those with an earlier similar one."""
     spark = lines.sparkSession
-    sets = lines.groupBy("set1", "set2", "n", "sketch", "prefix").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("copies"))
+    sets = lines.groupBy("set1", "set2", "n", "x", "y", "prefix").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("copies"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = sets.repartitionByRange(parts, "place", "set1").sortWithinPartitions("place", "set1")
     sets = written(ordered.withColumn("rid", F.monotonically_increasing_id()), "sets")  # ascends with the place
-    posts = sets.select("rid", "n", "sketch", F.posexplode("prefix").alias("i", "tok"))
+    posts = sets.select("rid", "n", "x", "y", F.posexplode("prefix").alias("i", "tok"))
     heavy = written(posts.groupBy("tok").count().where(F.col("count") > LIST).select("tok"), "heavy")
     light = posts.join(heavy, "tok", "left_anti")
-    pairs = written(_candidates(light, light, t), "pairs")
     long = written(posts.join(heavy, "tok", "left_semi"), "long-lists")
-    rids = pairs.select(F.explode(F.array("a", "b")).alias("rid")).unionByName(long.select("rid"))
-    whole = _whole_sets(rids, sets, docs, table)
-    near = _similar(pairs, whole, t)
+    met = _candidates(light, light, t)
+    for split in (1, SPREAD):
+        lead = (long.groupBy("tok", F.pmod(F.xxhash64("rid"), F.lit(split)).alias("part"))
+                .agg(F.min(F.struct("rid", "n", "x", "y", "i")).alias("r")).select("tok", "r.*"))
+        met = met.unionByName(_candidates(lead, long, t))
+    near = written(_similar(written(met.distinct(), "pairs"), sets, docs, table, t), "near")
     if not long.isEmpty():
-        for split in (1, SPREAD, None):
-            row = F.struct("rid", "n", "sketch", "i")
-            lead = long if split is None else (
-                long.groupBy("tok", F.pmod(F.xxhash64("rid"), F.lit(split)).alias("part")).agg(F.min(row).alias("r")).select("tok", "r.*"))
-            pairs = written(_candidates(lead, long.join(near, "rid", "left_anti"), t), "pairs")
-            near = near.unionByName(_similar(pairs, whole, t))
-    return sets, near.distinct()
+        rest = written(_candidates(long, long.join(near, "rid", "left_anti"), t), "pairs")
+        near = written(near.unionByName(_similar(rest, sets, docs, table, t)), "near")
+    return sets, near
 
 
 def dedup_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float = 0.8) -> DataFrame:
@@ -151,7 +176,7 @@ def dedup_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float =
     first = F.greatest(F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1, F.lit(1)).cast("int")
     least = math.ceil(threshold / (1 - threshold) - 1e-9)  # smaller sets are similar only if equal
     prefix = F.when(F.col("n") >= least, F.transform(F.slice("keys", F.lit(1), first), lambda k: F.xxhash64(k).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")))
-    lines = written(lines_of(src, table).select("id", "text_hash", "line", "n", "set1", "set2", "sketch", prefix.alias("prefix"),
+    lines = written(lines_of(with_words(src), table).select("id", "text_hash", "line", "n", "set1", "set2", "x", "y", prefix.alias("prefix"),
                                                 (_doc(F.col("id")) * 4294967296 + F.col("line")).alias("place")), "lines")
     sets, near = similar_lines(lines, src, table, threshold)
     drop = (sets.where("copies > 1").select("set1", "set2", "place", "rid").join(near, "rid", "left_anti")
@@ -167,7 +192,7 @@ def dedup_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float =
     test = bit_table(gone.select("text_hash"), "text_hash")
     every = docs.withColumn("__ld_hash", F.xxhash64(F.col(text_col)))
     split = F.split(F.col(text_col), "\n")
-    has_word = lambda x: F.length(F.btrim(x, F.lit(" \t\n\x0b\x0c\r"))) > 0
+    has_word = lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0
     out = every.withColumn("n_lines", F.coalesce(F.size(F.filter(split, has_word)), F.lit(0)).cast("long"))
     hit = F.col(text_col).isNotNull() & test(F.col("__ld_hash"))
     same = out.where(~hit).withColumn("n_removed", F.lit(0).cast("long"))

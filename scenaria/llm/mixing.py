@@ -24,7 +24,7 @@ BUCKET_BITS = 12
 
 
 def word_count(text):
-    return F.coalesce(F.expr(f"regexp_count({text}, '{WORD}')").cast("long"), F.lit(0).cast("long"))
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
 def share(sizes: dict[str, int], weights: tuple[float, ...], total: float, most: float) -> dict[str, float]:

@@ -20,8 +20,6 @@ let through by chance is sorted out by exact keys later.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash

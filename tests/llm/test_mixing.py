@@ -42,6 +42,13 @@ def test_whole_mix_against_targets(spark):
     assert again == {i: r.taken for i, r in out.items()}
 
 
+def test_sizes(spark):
+    texts = ["a b\tc\nd", "x20 x09-x0D", "", None, " \x0b\x0c\r ", "é\x1cü \u00a0", "9 w x y z 0", "one"]
+    df = docs_frame(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    got = {r.doc_id: r.n for r in df.select("doc_id", word_count("text").alias("n")).collect()}
+    assert got == {i: words(t) for i, t in enumerate(texts)}
+
+
 def test_empty_and_repeated_rows(spark):
     assert mix_sources(docs_frame(spark, []), "doc_id", word_count("text"), F.array("source")).count() == 0
     out = mix_sources(docs_frame(spark, [(1, "a b", "s")] * 3 + [(None, "c", "t")]), "doc_id", word_count("text"), F.array("source")).collect()

@@ -2,7 +2,6 @@ import random
 import re
 
 import xxhash
-from pyspark.sql import functions as F
 
 from conftest_llm import docs_frame
 from scenaria.llm.components import components

@@ -1,8 +1,6 @@
-import hashlib
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from conftest_llm import docs_frame
 from scenaria.llm import substrings
