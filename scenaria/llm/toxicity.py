@@ -57,14 +57,23 @@ def text_keys(text: str) -> set[str]:
     return {k for w in set(text.split()) for k in keys(w)}
 
 
+def one_of_copies(texts: list[str]) -> list[str]:
+    """One text of most groups of near copies: those with the same least word hash."""
+    return list({min((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in set(t.split())), default=0): t for t in texts}.values())
+
+
 def lexicon(toxic: list[str], clean: list[str], most_clean: float = 0.02, least: int = 3, common: float = 0.02) -> set[str]:
     """Keys that clean documents hardly use: all in at least ``common`` of the toxic documents, then, one by
-    one, the key in most of the toxic documents not yet explained.  The other words of a few copies of one
-    toxic document cannot come in: once explained, its copies count no more."""
+    one, the key in most of the toxic documents not yet explained.  The other words of copies of one toxic
+    document cannot come in: copies count once, and once explained no more."""
+    toxic = one_of_copies(toxic)
     rough = np.zeros(1 << 20, dtype=np.int32)  # counts by hash first: most keys are too rare to be kept apart
     slot = lambda k: zlib.crc32(k.encode("utf-8", "surrogatepass")) >> 12
     for t in toxic:
         rough[[slot(k) for k in text_keys(t)]] += 1
+    # so many documents that less than one key is expected to be in as many toxic ones, and no others, by chance
+    share = min(0.9, max(0.01, len(toxic) / max(1, len(toxic) + len(clean))))
+    least = max(least, math.ceil(math.log(0.5 / max(1, np.count_nonzero(rough))) / math.log(share)))
     in_toxic = Counter(k for t in toxic for k in text_keys(t) if rough[slot(k)] >= least)
     in_toxic = Counter({k: n for k, n in in_toxic.items() if n >= least})
     in_clean = Counter(k for t in clean for k in text_keys(t) if k in in_toxic)
