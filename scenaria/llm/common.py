@@ -18,7 +18,7 @@ from scenaria.session import checkpoint_dir
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bits of a bit table, as a power of two.
-BIT_BITS = 20
+BIT_BITS = 18
 
 
 def find_package(spark: SparkSession) -> None:

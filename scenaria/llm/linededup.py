@@ -10,7 +10,7 @@ the words, so words that share a count do no harm.  The table, and the bit table
 matter at all, are constants of the plan, of a size that no corpus changes.
 
 Long posting lists are not compared pair by pair.  A line is removed if any earlier one is similar, so lists
-of more than ``LIST`` lines first meet the earliest line of the list and the earliest ones of 16 parts of
+of more than ``LIST`` lines (more in a large corpus) first meet the earliest line of the list and the earliest ones of 16 parts of
 it; only lines that found none of these similar meet the whole list.
 """
 
@@ -26,6 +26,7 @@ from .common import bit_table, constant_longs, written
 SPACES = " \t\n\x0b\x0c\r"
 COUNT_BITS = 17
 LIST = 64
+LIST_SHARE = 6000
 SPREAD = 16
 
 
@@ -42,10 +43,12 @@ def words(text: Column) -> Column:
 def rarity(docs: DataFrame, text_col: str) -> Column:
     """Constant table: by the low bits of a word's hash, four times the logarithm of the count, -64 to 63."""
     slot = F.xxhash64("word").bitwiseAND(F.lit((1 << COUNT_BITS) - 1)).cast("int")
-    rows = docs.select(F.explode(words(F.col(text_col))).alias("word")).groupBy(slot.alias("slot")).count().collect()
+    counts = docs.select(F.explode(words(F.col(text_col))).alias("word")).groupBy(slot.alias("slot")).count()
+    line = counts.agg(F.concat_ws(",", F.collect_list(F.concat_ws(":", "slot", "count")))).first()[0]  # at most 2**COUNT_BITS
     table = [-64] * (1 << COUNT_BITS)
-    for r in rows:
-        table[r[0]] = min(127, int(4 * math.log2(r[1]))) - 64
+    for pair in line.split(",") if line else []:
+        slot, count = pair.split(":")
+        table[int(slot)] = min(127, int(4 * math.log2(int(count)))) - 64
     return constant_longs(table)
 
 
@@ -145,7 +148,9 @@ def similar_lines(lines: DataFrame, docs: DataFrame, table: Column, t: float) ->
     ordered = sets.repartitionByRange(parts, "place", "set1").sortWithinPartitions("place", "set1")
     sets = written(ordered.withColumn("rid", F.monotonically_increasing_id()), "sets")  # ascends with the place
     posts = sets.select("rid", "n", "x", "y", F.posexplode("prefix").alias("i", "tok"))
-    heavy = written(posts.groupBy("tok").count().where(F.col("count") > LIST).select("tok"), "heavy")
+    # posting lists grow with the number of sets, and so does what counts as a long one, up to a bound
+    most = max(LIST, min(64 * LIST, sets.count() // LIST_SHARE))
+    heavy = written(posts.groupBy("tok").count().where(F.col("count") > most).select("tok"), "heavy")
     light = posts.join(heavy, "tok", "left_anti")
     long = written(posts.join(heavy, "tok", "left_semi"), "long-lists")
     met = _candidates(light, light, t)
