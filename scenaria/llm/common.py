@@ -117,27 +117,30 @@ def scored(docs: DataFrame, id_col: str, text_col: str, score, threshold: float,
                       (F.col("score") >= threshold).cast("int").alias("predicted"), *names[2:])
 
 
-def constant_longs(values: list[int]) -> Column:
-    """A constant array of longs."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+def small_number(table: Column, at: Column) -> Column:
+    """The byte (0 to 127) at a place, from 0, of a binary constant."""
+    return F.ascii(F.substring(table, at + 1, F.lit(1)).cast("string"))
 
 
 def bit_table(keys: DataFrame, name: str, log_bits: int = BIT_BITS):
     """A test that is true for every key of ``keys``, and false for most others while they are few against
-    2**log_bits.  Keys that are null are not in the table, a constant of the plan of that many bits."""
-    slot = F.xxhash64(name).bitwiseAND(F.lit((1 << log_bits) - 1))
-    rows = (keys.where(F.col(name).isNotNull()).select(slot.alias("s"))
-            .groupBy(F.shiftright("s", 6).cast("int").alias("word"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits")).collect())
-    table = [0] * (1 << (log_bits - 6))
-    for r in rows:
-        table[r.word] = r.bits
-    lookup = constant_longs(table)
+    2**log_bits.  Keys that are null are not in the table, a constant of the plan, seven bits a byte."""
+    slots = 1 << log_bits
+    place = lambda c: F.xxhash64(c).bitwiseAND(F.lit(slots - 1)).cast("int")
+    rows = (keys.where(F.col(name).isNotNull()).select(place(F.col(name)).alias("s"))
+            .groupBy(F.floor(F.col("s") / 7).cast("int").alias("byte"))
+            .agg(F.bit_or(F.expr("shiftleft(1, s % 7)")).alias("bits"))
+            .agg(F.concat_ws(",", F.collect_list(F.concat_ws(":", "byte", "bits")))).first()[0])
+    table = bytearray(slots // 7 + 1)
+    for pair in rows.split(",") if rows else []:
+        byte, bits = pair.split(":")
+        table[int(byte)] = int(bits)
+    constant = F.lit(bytes(table))
 
     def test(col: Column) -> Column:
-        s = F.xxhash64(col).bitwiseAND(F.lit((1 << log_bits) - 1))
-        return F.coalesce(F.getbit(F.element_at(lookup, (F.shiftright(s, 6) + 1).cast("int")), s.bitwiseAND(F.lit(63)).cast("int")) == 1,
-                          F.lit(False))
+        s = place(col)
+        byte = small_number(constant, F.floor(s / 7).cast("int"))
+        return F.coalesce(F.getbit(byte, s % 7) == 1, F.lit(False))
     return test
 
 

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_table, constant_longs, written
+from .common import bit_table, small_number, written
 
 SPACES = " \t\n\x0b\x0c\r"
 COUNT_BITS = 17
@@ -41,15 +41,15 @@ def words(text: Column) -> Column:
 
 
 def rarity(docs: DataFrame, text_col: str) -> Column:
-    """Constant table: by the low bits of a word's hash, four times the logarithm of the count, -64 to 63."""
+    """Constant table: by the low bits of a word's hash, four times the logarithm of the count, a byte from 0 to 127."""
     slot = F.xxhash64("word").bitwiseAND(F.lit((1 << COUNT_BITS) - 1)).cast("int")
     counts = docs.select(F.explode(words(F.col(text_col))).alias("word")).groupBy(slot.alias("slot")).count()
     line = counts.agg(F.concat_ws(",", F.collect_list(F.concat_ws(":", "slot", "count")))).first()[0]  # at most 2**COUNT_BITS
-    table = [-64] * (1 << COUNT_BITS)
+    table = bytearray(1 << COUNT_BITS)
     for pair in line.split(",") if line else []:
         slot, count = pair.split(":")
-        table[int(slot)] = min(127, int(4 * math.log2(int(count)))) - 64
-    return constant_longs(table)
+        table[int(slot)] = min(127, int(4 * math.log2(int(count))))
+    return F.lit(bytes(table))
 
 
 def lines_of(lines: DataFrame, table: Column) -> DataFrame:
@@ -58,7 +58,7 @@ def lines_of(lines: DataFrame, table: Column) -> DataFrame:
     mask = F.lit((1 << COUNT_BITS) - 1)
 
     def key(h):
-        rare = F.coalesce(F.get(table, h.bitwiseAND(mask).cast("int")), F.lit(0).cast("bigint"))  # never null: sorts as plain longs
+        rare = small_number(table, h.bitwiseAND(mask).cast("int")).cast("bigint") - 64
         return F.shiftleft(rare, 57).bitwiseOR(F.shiftrightunsigned(h, 7))
 
     hashes = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
