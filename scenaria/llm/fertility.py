@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .packing import encoder
+from .packing import encode, encoder
 
 VOCABULARIES = ("byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken")
 SPACES = " \t\n\x0b\x0c\r"
@@ -71,7 +71,7 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 def token_measures(text: str, vocabulary: str) -> tuple[int, float, float, float]:
     """Number of tokens, characters per token, fallback share, entropy share (0, 0, 0, 1 for an empty text)."""
-    ids = np.array(encoder(vocabulary).encode_ordinary(text), dtype=np.int64)
+    ids = np.array(encode(text, vocabulary), dtype=np.int64)
     n = len(ids)
     if not n:
         return 0, 0.0, 0.0, 1.0

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import zlib
 from collections import Counter
 
@@ -26,16 +27,33 @@ BUCKET_ROWS = 256
 PIECES = "doc_id {id_type}, piece int, start long, length long, ids_crc32 long"
 
 
-@functools.lru_cache(maxsize=4)
-def encoder(vocabulary: str):
-    """The byte-level BPE of ``vocabulary`` (a rank file of public_tokenizers); the same ids as the
-    tokenizers library gives for the JSON file of the same name, which the tests hold it against."""
+#: White space as the pattern's \s has it (Python's own takes in \x1c to \x1f as well).  A run of this length or
+#: more is cut out before the pattern sees it: tiktoken's matcher stacks every character of a run.
+LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
+
+@functools.lru_cache(maxsize=8)
+def encoder(vocabulary: str, pattern: str | None = None):
+    """The byte-level BPE of ``vocabulary`` (a rank file of public_tokenizers), text being split by ``pattern``
+    (none: the pattern of the rank files)."""
     import public_tokenizers
     import tiktoken
 
     with open(public_tokenizers.path(vocabulary.replace(".json", ".tiktoken")), "rb") as f:
         ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
-    return tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(vocabulary, pat_str=pattern or public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def encode(text: str, vocabulary: str) -> list[int]:
+    """The ids of ``text``, white space of any length included.  The pattern takes a run of white space as one
+    piece, but for its last character where other text follows."""
+    enc, ids, at = encoder(vocabulary), [], 0
+    for run in LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += enc.encode_ordinary(text[at:run.start()])
+        ids += encoder(vocabulary, r"\s+").encode_ordinary(text[run.start():end])
+        at = end
+    return ids + enc.encode_ordinary(text[at:])
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str = "byte_bpe_50k.json", end_id: int = 2,
@@ -46,12 +64,11 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str = "byte_
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches):
-        enc = encoder(vocabulary)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             take, start, length, crc, no = [], [], [], [], []
             for i in range(batch.num_rows):
-                tokens = np.array(enc.encode_ordinary(texts[i].as_py() or "") + [end_id], dtype="<u4")
+                tokens = np.array(encode(texts[i].as_py() or "", vocabulary) + [end_id], dtype="<u4")
                 n, k, at = len(tokens), 0, 0
                 while at < n:
                     end = at + ((n - at - 1) % room + 1 if k == 0 else room)

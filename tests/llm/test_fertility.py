@@ -53,3 +53,10 @@ def test_verdicts(spark):
     assert not got[1000].kept and not got[1000].base_failed
     assert all(got[i].base_failed and not got[i].kept for i in (1001, 1002, 1003, 1004)) and got[None].kept
     assert judge(docs_frame(spark, [])).count() == 0
+
+
+def test_white_space_of_any_length():
+    text = "a" + " " * 1_200_000 + "b" + "\n" * 1_500_000 + "c"
+    for v in ("byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"):
+        n, chars, _, _ = token_measures(text, v)
+        assert n > 2 and chars == len(text) / n

@@ -5,7 +5,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from conftest_llm import docs_frame
-from scenaria.llm.packing import pack, pack_lengths, pieces, places
+from scenaria.llm.packing import encode, pack, pack_lengths, pieces, places
 
 
 def test_patterns_fill_and_use_every_piece():
@@ -62,3 +62,20 @@ def test_pieces_and_sequences(spark):
 
 def test_empty_table(spark):
     assert pack(pieces(docs_frame(spark, []), "doc_id", "text")).count() == 0
+
+
+def test_white_space_of_any_length():
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    spaces = "\t\n\x0b\x0c\r \x85\xa0                　"
+    texts = [" " * 1_200_000 + "a", "a" + "\n" * 1_500_000 + "b", " \n" * 600_000, "x \r\n" + spaces * 400 + "\n!" + "\t" * 5000]
+    texts += [a + c * n + b for c in spaces + "\x1c​﻿" for n in (4095, 4096, 4097, 5001) for a in ("", "é's") for b in ("", "y", "\x1c9", "'s")]
+    for t in texts:
+        assert encode(t, "byte_bpe_50k.json") == tok.encode(t, add_special_tokens=False).ids, (t[:5], t[-5:], len(t))
+
+
+def test_a_very_long_run_fails_no_task(spark):
+    rows = [(1, "a" + " " * 1_100_000 + "b", "s"), (2, "\n" * 1_500_000 + "b", "s"), (3, "one", "s")]
+    got = {r.doc_id: r.n for r in pieces(docs_frame(spark, rows), "doc_id", "text").groupBy("doc_id").agg({"length": "sum"})
+           .withColumnRenamed("sum(length)", "n").collect()}
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert got == {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t, _ in rows}
