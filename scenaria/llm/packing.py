@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import re
 import zlib
 from collections import Counter
@@ -45,7 +46,7 @@ def encoder(vocabulary: str, pattern: str | None = None):
 
 
 def encode(text: str, vocabulary: str) -> list[int]:
-    """The ids of ``text``, white space of any length included.  The pattern takes a run of white space as one
+    """The ids of ``text`` without added tokens, white space of any length included.  The pattern takes a run of white space as one
     piece, but for its last character where other text follows."""
     enc, ids, at = encoder(vocabulary), [], 0
     for run in LONG_RUN.finditer(text):
@@ -56,6 +57,34 @@ def encode(text: str, vocabulary: str) -> list[int]:
     return ids + enc.encode_ordinary(text[at:])
 
 
+@functools.lru_cache(maxsize=4)
+def added_tokens(vocabulary: str) -> tuple[re.Pattern | None, dict[str, int]]:
+    """The tokens that a JSON vocabulary adds to its merges, with a pattern that finds them in text; the longest
+    of those that start at a place wins.  A rank file has none."""
+    import public_tokenizers
+
+    if not vocabulary.endswith(".json"):
+        return None, {}
+    with open(public_tokenizers.path(vocabulary), encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+        raise ValueError(f"{vocabulary} has added tokens that look at the text around them")
+    ids = {t["content"]: t["id"] for t in added}
+    return (re.compile("|".join(map(re.escape, sorted(ids, key=len, reverse=True)))) if ids else None), ids
+
+
+def encode_added(text: str, vocabulary: str) -> list[int]:
+    """The ids that the tokenizers library gives with add_special_tokens=False: an added token in the text is one
+    id, and the text on either side is encoded by itself."""
+    found, ids_of = added_tokens(vocabulary)
+    ids, at = [], 0
+    for m in found.finditer(text) if found else ():
+        ids += encode(text[at:m.start()], vocabulary)
+        ids.append(ids_of[m.group()])
+        at = m.end()
+    return ids + encode(text[at:], vocabulary)
+
+
 def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str = "byte_bpe_50k.json", end_id: int = 2,
            room: int = 1024) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): a document's ids and ``end_id``, whole if at most
@@ -68,7 +97,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str = "byte_
             ids, texts = batch.column(0), batch.column(1)
             take, start, length, crc, no = [], [], [], [], []
             for i in range(batch.num_rows):
-                tokens = np.array(encode(texts[i].as_py() or "", vocabulary) + [end_id], dtype="<u4")
+                tokens = np.array(encode_added(texts[i].as_py() or "", vocabulary) + [end_id], dtype="<u4")
                 n, k, at = len(tokens), 0, 0
                 while at < n:
                     end = at + ((n - at - 1) % room + 1 if k == 0 else room)

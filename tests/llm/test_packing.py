@@ -5,7 +5,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from conftest_llm import docs_frame
-from scenaria.llm.packing import encode, pack, pack_lengths, pieces, places
+from scenaria.llm.packing import encode, encode_added, pack, pack_lengths, pieces, places
 
 
 def test_patterns_fill_and_use_every_piece():
@@ -79,3 +79,19 @@ def test_a_very_long_run_fails_no_task(spark):
            .withColumnRenamed("sum(length)", "n").collect()}
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     assert got == {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t, _ in rows}
+
+
+def test_added_tokens_in_text(spark):
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"end {end} start", end, f"{end}{end} {end}", f"a  {end}\n\n{end}  b", f"<|endoftext|{end}|>", "<|endoftext", end.upper(),
+             f"it{end}'s", " " * 5000 + end + "\n" * 5000 + "x", f"é {end} ü " * 3000]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(want[0]) == 4 and want[1] == [50256]
+    assert [encode_added(t, "byte_bpe_50k.json") for t in texts] == want
+    got = pieces(docs_frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), "doc_id", "text").collect()
+    for i, ids in enumerate(want):
+        ids = np.array(ids + [2], dtype="<u4")
+        mine = [r for r in got if r.doc_id == i]
+        assert sum(r.length for r in mine) == len(ids)
+        assert all(r.ids_crc32 == zlib.crc32(ids[r.start:r.start + r.length].tobytes()) for r in mine)
