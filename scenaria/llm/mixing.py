@@ -5,7 +5,7 @@ each pattern to the quotas of its sources; every further repetition of a pattern
 one before, so repetitions are spread as evenly as the quotas allow.  The pattern table alone goes to the
 driver (one row per distinct membership set; more than ``max_patterns`` is an error, never a cut).  Inside
 a pattern, every document is taken as often as whole rounds fit, and a seeded order decides which ones
-are taken once more.
+are taken once more, passing over those that no longer fit.
 """
 
 from __future__ import annotations
@@ -151,43 +151,88 @@ def _plan(sized: DataFrame, weights, max_repeats: int, max_patterns: int) -> tup
         plan.append((list(p), rounds, rest))
     schema = "pattern array<string>, rounds int, rest long"
     plan_df = spark.createDataFrame(plan, schema) if plan else spark.createDataFrame([], schema)
-    # where the seeded order reaches what is left over after whole rounds: first the bucket, then the row
-    some = sized.join(F.broadcast(plan_df.where("rest > 0")), "pattern")
-    bucket = F.shiftright(F.col("h"), 63 - BUCKET_BITS)
-    sums = some.groupBy("pattern", "rest", bucket.alias("bucket")).agg(F.sum("size").alias("n"))
-    upto = Window.partitionBy("pattern").orderBy("bucket")
-    edge = (sums.withColumn("upto", F.sum("n").over(upto)).where("upto > rest and upto - n <= rest")
-            .select("pattern", "bucket", (F.col("upto") - F.col("n")).alias("before")))
-    inside = (some.withColumn("bucket", bucket).join(edge, ["pattern", "bucket"])
-              .withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("pattern").orderBy("h", "id"))))
-    last = inside.where("upto <= rest").groupBy("pattern").agg(
-        F.max(F.struct("h", "id")).alias("last"), F.max("upto").alias("upto"))
-    cut = written(edge.join(last, "pattern", "left").select(
-        "pattern", "bucket", "last", F.coalesce("upto", "before").alias("upto")), "cut")
-    # one more document comes closest to the gap that the order leaves
-    at = F.struct("h", "id")
-    gap = F.col("rest") - F.col("upto")
-    fill = (some.withColumn("b", bucket).join(F.broadcast(cut), "pattern").where(_past(F.col("b"), at))
-            .where((F.col("size") > 0) & (F.col("size") < 2 * gap))
-            .groupBy("pattern").agg(F.min(F.struct(F.abs(F.col("size") - gap).alias("off"), "h", "id")).alias("f"))
-            .select("pattern", F.struct("f.h", "f.id").alias("fill")))
-    decided = written(plan_df.join(cut, "pattern", "left").join(fill, "pattern", "left"), "decided")
+    decided = written(_decide(sized, plan_df), "decided")
     return decided, [(s, sizes[s], target[s]) for s in sorted(sizes)]
 
 
-def _past(bucket, at, prefix: str = ""):
-    """Is a row past the last one that the order takes?"""
-    edge, last = F.col(f"{prefix}bucket"), F.col(f"{prefix}last")
-    return (edge < bucket) | ((edge == bucket) & (last.isNull() | (at > last)))
+def _decide(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """``plan`` with what its rest takes: the rows inside ``steps`` but not inside ``drops``, and the rows at ``fill``
+    and ``add``.
+
+    The seeded order goes first.  Of what it leaves out, the longest unit that fits the gap is filled in.  Where a gap
+    stays, every unit left is longer than it; the shortest of them is added and rows that the order took are dropped
+    for it, if that comes closer."""
+    some = sized.join(F.broadcast(plan.where("rest > 0")), "pattern").where("size > 0")
+    at = F.struct("h", "id", "size")
+    # rows of equal id and size share one fate
+    units = written(some.groupBy("pattern", "h", "id", "size").agg(F.sum("size").alias("total"))
+                    .select("pattern", at.alias("at"), "size", "total"), "units")
+    picked = _pick(units, plan.where("rest > 0").select("pattern", F.col("rest").alias("gap")))
+    left = units.join(F.broadcast(picked.where("gap > 0")), "pattern").where(~_inside("steps", F.col("at"), F.col("size")))
+    fill = (left.where("total <= gap").groupBy("pattern").agg(F.min(F.struct((-F.col("total")).alias("less"), "at")).alias("f"))
+            .select("pattern", F.col("f.at").alias("fill"), F.col("f.less").alias("less")))
+    filled = written(picked.join(fill, "pattern", "left").withColumn("gap", F.col("gap") + F.coalesce("less", F.lit(0)))
+                     .drop("less"), "filled")
+    others = units.join(F.broadcast(filled.where("gap > 0")), "pattern")
+    taken = _inside("steps", F.col("at"), F.col("size"))
+    add = (others.where(~taken & (F.col("total") > F.col("gap")) & (F.col("fill").isNull() | (F.col("at") != F.col("fill"))))
+           .groupBy("pattern").agg(F.min(F.struct((F.col("total") - F.col("gap")).alias("over"), "at")).alias("a"))
+           .select("pattern", F.col("a.over").alias("over"), F.col("a.at").alias("add")))
+    add = written(add, "add")
+    dropped = _pick(others.where(taken).select(*units.columns), add.select("pattern", F.col("over").alias("gap")))
+    dropped = dropped.select("pattern", F.col("gap").alias("over"), F.col("steps").alias("drops"))
+    better = (filled.join(dropped, "pattern").where("over < gap").join(add.select("pattern", "add"), "pattern")
+              .select("pattern", "add", "drops"))
+    return plan.join(filled.drop("gap"), "pattern", "left").join(better, "pattern", "left")
+
+
+def _pick(units: DataFrame, gaps: DataFrame) -> DataFrame:
+    """(pattern, gap, steps): the units inside ``steps`` make up each pattern's gap but for what ``gap`` then says.
+
+    A step follows the seeded order over the units of at most ``cap`` up to one that overshoots.  That one is left
+    out, and the next step goes on behind it under half the cap or half the gap left: a longer unit fits once at
+    most.  So there are as many steps as the gap has bits, at most."""
+    place = units.schema["at"].dataType.simpleString()
+    state = written(gaps.select("pattern", "gap", F.col("gap").alias("cap"), F.lit(None).cast(place).alias("from"),
+                                F.array().cast(f"array<struct<cap: bigint, from: {place}, to: {place}>>").alias("steps"),
+                                (F.col("gap") > 0).alias("open")), "state")
+    while not state.where("open").isEmpty():
+        now = state.where("open").select("pattern", "gap", "cap", "from")
+        live = (units.join(F.broadcast(now), "pattern")
+                .where((F.col("size") <= F.col("cap")) & (F.col("from").isNull() | (F.col("at") > F.col("from"))))
+                .withColumn("bucket", F.shiftright(F.col("at.h"), 63 - BUCKET_BITS)))
+        # where the order overshoots: first the bucket, then the unit
+        sums = live.groupBy("pattern", "gap", "bucket").agg(F.sum("total").alias("n"))
+        sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("pattern").orderBy("bucket")))
+        sums = written(sums.withColumn("before", F.col("upto") - F.col("n")), "sums")
+        edge = sums.where("upto > gap and before <= gap").select("pattern", "bucket", "before")
+        upto = F.col("before") + F.sum("total").over(Window.partitionBy("pattern").orderBy("at"))
+        stop = (live.join(F.broadcast(edge), ["pattern", "bucket"]).withColumn("upto", upto).where("upto > gap")
+                .groupBy("pattern").agg(F.min(F.struct("at", (F.col("upto") - F.col("total")).alias("n"))).alias("stop")))
+        every = sums.groupBy("pattern").agg(F.max("upto").alias("every"))
+        gap = F.col("gap") - F.coalesce("stop.n", "every", F.lit(0))
+        step = F.array(F.struct("cap", F.col("from"), F.col("stop.at").alias("to")))
+        half = F.when(F.col("cap") > 1, F.greatest(F.lit(1), F.expr("least(cap, left) div 2"))).otherwise(0)
+        after = (state.join(stop, "pattern", "left").join(every, "pattern", "left")
+                 .withColumn("left", F.when(F.col("open"), gap).otherwise(F.col("gap"))).withColumn("half", half.cast("long")))
+        state = written(after.select(
+            "pattern", F.col("left").alias("gap"), F.col("half").alias("cap"), F.col("stop.at").alias("from"),
+            F.when(F.col("open"), F.concat("steps", step)).otherwise(F.col("steps")).alias("steps"),
+            (F.col("open") & F.col("stop").isNotNull() & (F.col("left") > 0) & (F.col("half") > 0)).alias("open")), "state")
+    return state.select("pattern", "gap", "steps")
+
+
+def _inside(steps: str, at, size):
+    """Does a step take the row of this place in the order and this size?"""
+    return F.exists(steps, lambda s: (size <= s["cap"]) & (s["from"].isNull() | (at > s["from"])) & (s["to"].isNull() | (at < s["to"])))
 
 
 def _times(keyed: DataFrame, decided: DataFrame) -> DataFrame:
     """``keyed`` with __times, how often the mix takes the row."""
-    at = F.struct("__h", "__id")
+    at = F.struct(F.col("__h").alias("h"), F.col("__id").alias("id"), F.col("__size").alias("size"))
     plan = decided.select([F.col(c).alias(f"__{c}") for c in decided.columns]).withColumnRenamed("__pattern", "__plan")
-    bucket = F.shiftright(F.col("__h"), 63 - BUCKET_BITS)
-    past = _past(bucket, at, "__")
-    once = (F.col("__rest") > 0) & (~past | (at == F.col("__fill")))
+    kept = _inside("__steps", at, F.col("__size")) & ~F.coalesce(_inside("__drops", at, F.col("__size")), F.lit(False))
+    once = (F.col("__rest") > 0) & (kept | F.coalesce((at == F.col("__fill")) | (at == F.col("__add")), F.lit(False)))
     times = F.coalesce("__rounds", F.lit(0)) + F.when(F.coalesce(once, F.lit(False)), 1).otherwise(0)
     # at most max_patterns rows, which _plan has checked
     return keyed.join(F.broadcast(plan), F.col("__pattern") == F.col("__plan"), "left").withColumn("__times", times)

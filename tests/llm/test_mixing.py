@@ -53,3 +53,28 @@ def test_empty_and_repeated_rows(spark):
     assert mix_sources(docs_frame(spark, []), "doc_id", word_count("text"), F.array("source")).count() == 0
     out = mix_sources(docs_frame(spark, [(1, "a b", "s")] * 3 + [(None, "c", "t")]), "doc_id", word_count("text"), F.array("source")).collect()
     assert len(out) == 4 and len({r.taken for r in out if r.id == 1}) == 1
+
+
+def test_a_source_that_one_document_dominates(spark):
+    # the rest after whole rounds is 35 % and 70 % of a source of one document of 1,200 words and 400 of 1 to 8
+    sizes = [1200] + [1 + i * 5 % 8 for i in range(400)]
+    rows = [(i, "w " * n, "a") for i, n in enumerate(sizes)] + [(1000 + i, "x " * 10, "b") for i in range(600)]
+    df = docs_frame(spark, rows, extra=True).repartition(2).cache()
+    for part, seeds in ((0.35, (1, 2, 3)), (0.7, (1, 2, 3)), (1.35, (4,))):
+        for seed in seeds:
+            first = part * sum(sizes)
+            out = mix_sources(df, "doc_id", word_count("text"), F.array("source"), (first, sum(sizes) + 6000 - first), seed=seed).collect()
+            mine = [r for r in out if r.sources == ["a"]]
+            assert abs(mine[0].target[0] - first) < 1
+            assert abs(sum(r.taken for r in mine) - first) <= 2, (part, seed)
+            assert all(r.taken in (int(part) * r.size, (int(part) + 1) * r.size) for r in mine)
+
+
+def test_long_documents_alone_and_repeated_ids(spark):
+    rows = [(i, "w " * 600, "a") for i in range(3)] + [(7, "w " * 5, "b")] * 40 + [(None, "x", "b")] * 30 + [(8, "w " * 90, "b"), (9, None, "b")]
+    out = mix_sources(docs_frame(spark, rows), "doc_id", word_count("text"), F.array("source"), (1000, 1120)).collect()
+    a, b = ([r for r in out if r.sources == [s]] for s in "ab")
+    assert len(a) == 3 and len(b) == 72
+    assert abs(sum(r.taken for r in a) - a[0].target[0]) <= 300
+    assert len({r.taken for r in b if r.id == 7}) == 1 and all(r.taken <= 3 * r.size for r in out)
+    assert abs(sum(r.taken for r in b) - b[0].target[0]) <= 100
