@@ -1,6 +1,6 @@
 """Training-data pipeline over ``documents``: each stage works on all that the one before it kept.
 
-    quality      documents that the compression classifier rejects go
+    quality      documents that the compression classifier rejects go (none where the labels allow no model)
     lines        lines that an earlier line is similar to go (a document may be left without lines)
     near copies  of each group of SimHash near-duplicates the document of the smallest id stays
     mixing       documents repeat, or go, as the source weights ask

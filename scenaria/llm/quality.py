@@ -99,17 +99,17 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` whose text scores ``threshold`` or more, with all their columns."""
+    """The rows of ``docs`` whose text scores ``threshold`` or more, with all their columns; every row where no
+    model could be fitted, for the labels' share says nothing about a text."""
+    if not model.weights:
+        return docs
     at = docs.columns.index(text_col)
 
     def run(batches):
-        tools = compressors(model) if model.weights else None
+        tools = compressors(model)
         for b in batches:
-            if tools is None:
-                good = np.full(b.num_rows, model.prior >= threshold)
-            else:
-                x = np.array([features(t.as_py(), *tools) for t in b.column(at)]).reshape(-1, 4)
-                good = 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))) >= threshold
+            x = np.array([features(t.as_py(), *tools) for t in b.column(at)]).reshape(-1, 4)
+            good = 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))) >= threshold
             yield b.filter(pa.array(good))
 
     return docs.mapInArrow(run, docs.schema)

@@ -75,6 +75,13 @@ def test_no_labels_and_empty_tables(spark):
         assert m.classify(docs, m.fit(docs, one)).count() == len(odd_rows())
 
 
+def test_filter_without_a_model_keeps_every_row(spark):
+    docs = docs_frame(spark, odd_rows(), extra=True)
+    for labels in ([], [(10_001, 0, 0, "", "", ""), (10_000, 0, 0, "", "", "")]):
+        kept = quality.keep_good(docs, quality.fit(docs, spark.createDataFrame(labels, LABELS)))
+        assert kept.columns == docs.columns and kept.count() == len(odd_rows())
+
+
 def test_held_out_labels_have_no_influence(spark):
     rows, labels = corpus(400)
     docs = docs_frame(spark, rows)
