@@ -23,7 +23,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import BloomFilter, written
 from .components import components
@@ -158,19 +157,25 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
 
 def keep_first(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
     """One row of ``docs`` for each group of near duplicates: that of the smallest id.  Where the id repeats, or
-    all ids of a group are null, the row whose text has the smallest hash stays."""
+    all ids of a group are null, the row of the group whose fingerprint, then text hash, is the smallest stays."""
     near = written(near_duplicates(docs, id_col, text_col, shingle), "groups")
-    chosen = near.where("id = component").select(F.col("id").alias("__first")).distinct()
-    row = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col)))
-    out = (docs.join(chosen, F.col(id_col) == F.col("__first")).drop("__first").withColumn("__row", row).where("__row = 1").drop("__row"))
-    nameless = near.where("component is null").select("fp", "root").distinct()
-    if nameless.isEmpty():
+    first = near.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("f"))
+    often = near.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 or id is null").select(F.col("id").alias("_id"))
+    chosen = written(first.select("f.id", "f.fp").join(often, F.col("id").eqNullSafe(F.col("_id")), "left")
+                     .withColumn("again", F.col("id").isNull() | F.col("_id").isNotNull()).drop("_id"), "chosen")
+    once = chosen.where("not again").select(F.col("id").alias("__first"))
+    out = docs.join(once, F.col(id_col) == F.col("__first")).drop("__first")
+    again = chosen.where("again").select(F.col("id").alias("__first"), F.col("fp").alias("__fp"))
+    if again.isEmpty():
         return out
-    none = docs.where(F.col(id_col).isNull())
-    table = none.withColumn("__text", F.xxhash64(text_col))
-    prints = fingerprints(none.withColumn("__text", F.xxhash64(text_col)), "__text", text_col, shingle).distinct()
-    best = (prints.join(nameless, "fp").groupBy("root").agg(F.min("id").alias("id")).select(F.col("id").alias("__chosen")))
-    kept = table.join(best, F.col("__text") == F.col("__chosen"))
-    first = F.row_number().over(Window.partitionBy("__text").orderBy("__text"))
-    kept = kept.withColumn("__row", first).where("__row = 1").select(*docs.columns)
-    return out.unionByName(kept)
+    # rows of these ids are told apart by their texts
+    ids = again.select("__first").distinct()
+    rows = docs.join(ids, F.col(id_col).eqNullSafe(F.col("__first"))).withColumn("__text", F.xxhash64(text_col))
+    prints = fingerprints(rows.withColumn("__key", F.struct("__first", "__text")), "__key", text_col, shingle)
+    texts = (prints.select(F.col("id.__first").alias("__id"), "id.__text", "fp")
+             .join(again, F.col("__id").eqNullSafe(F.col("__first")) & (F.col("fp") == F.col("__fp")))
+             .groupBy("__id", "__fp").agg(F.min("__text").alias("__least")).drop("__fp"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = (rows.join(texts, F.col("__first").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__least")))
+            .groupBy("__first", "__text").agg(F.min(whole).alias("__row")))
+    return out.unionByName(kept.select("__row.*"))

@@ -5,7 +5,7 @@ import xxhash
 
 from conftest_llm import docs_frame
 from scenaria.llm.components import components
-from scenaria.llm.simhash import links, near_duplicates
+from scenaria.llm.simhash import keep_first, links, near_duplicates
 
 
 def slow_fingerprint(t):
@@ -92,3 +92,13 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long"), "a", "b").collect()}
     assert got == {**{i: 0 for i in range(201)}, **{k: 1000 for k in range(1000, 1400)}}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_one_row_of_each_group_stays_where_ids_repeat(spark):
+    texts = [" ".join(f"w{k}x{j}" for j in range(30)) for k in range(6)]
+    rows = [(1, texts[0], "s"), (1, texts[1], "s"), (2, texts[1], "s"), (3, texts[0], "s"), (3, texts[2], "s"), (3, texts[2], "t"),
+            (3, texts[3], "s"), (None, texts[4], "s"), (None, texts[4], "s"), (None, texts[3], "s"), (None, None, "s"), (9, "", "s"),
+            (None, texts[5], "s"), (4, "alone", "s")]
+    out = keep_first(docs_frame(spark, rows, extra=True), "doc_id", "text").collect()
+    got = sorted((r.doc_id or 0, r.text) for r in out)
+    assert got == sorted([(1, texts[0]), (1, texts[1]), (3, texts[2]), (3, texts[3]), (0, texts[4]), (9, ""), (0, texts[5]), (4, "alone")])
