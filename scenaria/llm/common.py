@@ -59,6 +59,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(taken, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column has, whatever the case."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def ranked(rows: DataFrame, order: list[Column], place: str) -> DataFrame:
+    """``rows`` with ``place``, their number from 1 on by ``order``: rows are cut into ranges, which are written
+    once, numbered, and moved on by the sizes of the ranges before (one number a partition)."""
+    at, part = free_names([*rows.columns, place], "at", "part")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
+    cut = written(cut, "ranked").withColumn(part, F.shiftright(at, 33).cast("int"))
+    shift, total = [], 0
+    for p, n in sorted((r[0], r[1]) for r in cut.groupBy(part).count().collect()):
+        shift.append((p, total - (p << 33) + 1))
+        total += n
+    shifts = rows.sparkSession.createDataFrame(shift, f"`{part}` int, `{place}` long")
+    return cut.join(F.broadcast(shifts), part).withColumn(place, F.col(at) + F.col(place)).drop(at, part)
+
+
 def label_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str, per_label: int,
                  chars: int) -> tuple[list[tuple[str, int]], dict[int, int]]:
     """What a classifier may learn from: up to ``per_label`` (text, label) for either label, and the number of
