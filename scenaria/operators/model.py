@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from scenaria import defaults as D
 from scenaria.functions import argmax_first, finite_or_zero, renormalize
+from scenaria.operators import forest
 
 
 def features_vector(df: DataFrame, features, out: str = "features") -> DataFrame:
@@ -142,14 +143,22 @@ def cross_validate(train: DataFrame, features, label: str, depths=D.CV_DEPTHS, f
     return with_classes(m.bestModel, label, classes), table
 
 
-def score(models: dict, df: DataFrame, features, row_id, model_name: str = "tree") -> DataFrame:
+def score(models: dict, df: DataFrame, features, row_id, model_name: str = "tree", flat: bool = True) -> DataFrame:
     """M3: all label models applied in one pass over the rows, then unpivoted to the long probability
     table (row key..., label, model, y_true, y_pred, p); ``row_id`` is one column (renamed ``row_id``)
-    or a list of key columns kept as they are."""
-    x = features_vector(df, features)
-    for m in models.values():
-        x = m.transform(x)
-    out = {lab: _scored(x, lab) for lab in models}
+    or a list of key columns kept as they are.
+
+    Tree ensembles are scored from flat arrays (see ``forest``); with ``flat=False``, and for other models, each
+    model's ``transform`` is used.  Both give the same rows."""
+    quick = forest.flatten(df.sparkSession, models) if flat else None
+    if quick:
+        x = df.withColumn("_scored", quick.column(df.sparkSession, forest.feature_columns(df, features)))
+        out = {lab: (F.col(f"_scored.l{i}.y"), F.col(f"_scored.l{i}.p")) for i, lab in enumerate(models)}
+    else:
+        x = features_vector(df, features)
+        for m in models.values():
+            x = m.transform(x)
+        out = {lab: _scored(x, lab) for lab in models}
     parts = [F.struct(F.lit(lab).alias("label"), F.col(lab).cast("int").alias("y_true"), y.alias("y_pred"), p.alias("p"))
              for lab, (y, p) in out.items()]
     keys = [F.col(row_id).alias("row_id")] if isinstance(row_id, str) else [F.col(c) for c in row_id]

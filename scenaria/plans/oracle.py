@@ -490,3 +490,6 @@ register("smote_rows", "with e as (select vec_id, label, embedding from embeddin
 register("smote_equal_rows", """with e as (select vec_id, label, case when vec_id % 2 = 0
   then list_transform(range(0, 64), lambda i: cast(label + i as float)) else embedding end as embedding from embeddings),
 """ + SMOTE)
+
+register("tree_flat", """
+select unnest(['label', 'odd']) as label, (select count(*) from embeddings) as n, 0::bigint as differing""")

@@ -699,3 +699,17 @@ def q_smote_equal_rows(spark, sf_dir):
     e = views.table(spark, sf_dir, "embeddings").withColumn("embedding", F.when(F.col("vec_id") % 2 == 0, F.array(
         *[(F.col("label") + i).cast("float") for i in range(64)])).otherwise(F.col("embedding")))
     return _synthetic(balance.smote(e, "vec_id", "embedding", "label", k=5)[0], ["label"])
+
+
+@query
+def q_tree_flat(spark, sf_dir):
+    """M3: flat scoring beside ``transform``, on every row, of a forest over the ten classes and of a binary booster:
+    rows, and those whose class or any probability differs."""
+    e = _emb_split(spark, sf_dir).withColumn("odd", F.col("vec_id") % 2)
+    models = model.fit_per_label(e.where("split = 'train'"), ["embedding"], ["label", "odd"], max_depth=5, n_trees=20)
+    flat, slow = (model.score(models, e, ["embedding"], "vec_id", flat=x) for x in (True, False))
+    slow = slow.select("row_id", "label", F.col("y_pred").alias("y2"), F.col("p").alias("p2"))
+    far = F.array_max(F.transform(F.arrays_zip("p", "p2"), lambda z: F.abs(z["p"] - z["p2"]))) > 1e-12
+    differ = (~F.col("y_pred").eqNullSafe(F.col("y2"))) | (F.size("p") != F.size("p2")) | F.coalesce(far, F.lit(True))
+    return flat.join(slow, ["row_id", "label"], "full").groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(differ.cast("long")).alias("differing"))
