@@ -1,9 +1,9 @@
 """Skew-safe building blocks for per-series work.
 
 A series (scenario) may hold a third of all rows, so nothing here partitions by the
-series key alone.  Rows get an exact 1-based position inside their series from a
-range partitioning (a hot series spreads over many range partitions) plus per-partition
-offsets; bounded look-back windows then run over fixed-size chunks of a series with
+series key alone.  Rows get an exact 1-based position inside their series from explicit
+ranges of (key, order) (a hot series lies in many of them) plus the sizes of the ranges
+before; bounded look-back windows then run over fixed-size chunks of a series with
 a copied halo of preceding rows, and unbounded scans (fills) run as a two-level
 prefix scan: inside a chunk, then a carry across the small per-chunk summary.
 """
@@ -12,39 +12,85 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, MapType, StructField, StructType, VariantType
 
-from scenaria.session import cut_lineage
+from scenaria.session import shuffle_partitions
 
 POS = "_pos"
+RANGE = "_range"
 CHUNK = "_chunk"
 HALO = "_halo"
 DEFAULT_CHUNK_ROWS = 1 << 20
 
 
+def splitters(df: DataFrame, cols: list[str], parts: int, per_range: int = 20) -> list:
+    """At most ``parts - 1`` rows that cut ``df``, ordered by ``cols``, into ranges of about equal size: quantiles of a
+    sample by hash, of about ``per_range`` rows a range (all rows, if there are fewer).  A row's hash decides
+    whether it is in, so the sample is the same however the table is dealt.  Small samples are the rows of the
+    least hashes, found in one job; a large one, for thousands of ranges, takes the rows below a bound."""
+    want, some, h = per_range * parts, df.select(*cols), F.xxhash64(*cols)
+    if want <= 1 << 14:
+        some = some.orderBy(h).limit(want)
+    else:
+        total = df.count()
+        if total > want:
+            some = some.where(h < F.lit(int((2 * want / total - 1) * 2 ** 63)))
+    rows = some.orderBy(*cols).collect()
+    cuts = [rows[i * len(rows) // parts] for i in range(1, parts)] if rows else []
+    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
+
+
+def range_number(df: DataFrame, cols: list[str], cuts: list) -> Column:
+    """How many of ``cuts`` (ascending) are at most the row's ``cols``.  Up to 512 are compared in generated code,
+    halving each time; more are searched in an array."""
+    types = [df.schema[c].dataType for c in cols]
+    names = [f"c{i}" for i in range(len(cols))]
+    row = F.struct(*[F.col(c).alias(n) for c, n in zip(cols, names, strict=True)])
+
+    def value(cut) -> Column:
+        return F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(cut, types, names, strict=True)])
+
+    def below(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(row < value(cuts[mid]), below(lo, mid)).otherwise(below(mid + 1, hi))
+
+    if len(cuts) <= 512:
+        return below(0, len(cuts))
+    known = F.array(*[value(c) for c in cuts])
+    steps = F.array(*[F.lit(1 << i) for i in range(len(cuts).bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(cuts)) & (F.get(known, at + step - 1) <= row), at + step).otherwise(at))
+
+
 def with_position(df: DataFrame, key: str, order: list[str], pos: str = POS,
                   num_partitions: int | None = None) -> DataFrame:
-    """Add ``pos``: the row's 1-based rank inside its ``key`` by ``order`` (order must be unique
-    inside a key).  One range shuffle; the per-(partition, key) offset table has at most
-    partitions + keys rows and is joined back (AQE broadcasts it when its measured size allows)."""
-    # without an explicit count AQE may coalesce adjacent ranges; ranges stay contiguous and sorted,
-    # so partition ids and ids below remain a valid order
-    r = df.repartitionByRange(num_partitions, key, *order) if num_partitions else df.repartitionByRange(key, *order)
-    s = (r
-           .sortWithinPartitions(key, *order)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()))
-    # Range bounds are sampled with a seed tied to the RDD, so two plans over the same input
-    # may cut differently; a reliable checkpoint fixes bounds and ids once for both the row
-    # side and the run table, and a lost executor re-reads them instead of re-sampling.
-    s = cut_lineage(s)
-    runs = s.groupBy("_pid", F.col(key).alias("_k")).agg(
-        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("_pid", "_k", "_first",
-                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    j = s.join(runs, (s["_pid"] == runs["_pid"]) & s[key].eqNullSafe(runs["_k"]))
-    return j.select(*[s[c] for c in df.columns],
-                    (s["_mid"] - runs["_first"] + runs["_before"] + 1).alias(pos))
+    """Add ``pos``: the row's 1-based rank inside its ``key`` by ``order``, rows of equal order by a hash of the rest.
+
+    Rows get the number of their range, cut by explicit ``splitters`` of (key, order), and their rank inside (key,
+    range) from one shuffle by both: a hot key lies in as many ranges as it fills.  Only keys that a splitter
+    belongs to lie in several ranges; those are counted by range, and what lies before is joined to them, at
+    most one row a range.  Nothing is written: ``df`` is read for its size, for the sample, for the counts (few
+    columns each) and for the rows, so it should be cheap to read or written already."""
+    spark, cols = df.sparkSession, [key, *order]
+    cuts = splitters(df, cols, num_partitions or shuffle_partitions(spark))
+    ranged = df.withColumn(RANGE, range_number(df, cols, cuts))
+    cut_keys = spark.createDataFrame([(k,) for k in {c[0] for c in cuts}], StructType([StructField("_k", df.schema[key].dataType)]))
+    sizes = df.select(*cols).withColumn(RANGE, range_number(df, cols, cuts)).join(
+        F.broadcast(cut_keys), F.col(key).eqNullSafe(F.col("_k")), "left_semi").groupBy(key, RANGE).count().collect()
+    before, found = [], {}
+    for k, r, n in sorted(sizes, key=lambda x: x[1]):
+        if found.get(k):
+            before.append((k, r, found[k]))
+        found[k] = found.get(k, 0) + n
+    shift = spark.createDataFrame(before, StructType([StructField("_k", df.schema[key].dataType), StructField("_r", IntegerType()),
+                                                      StructField("_before", LongType())]))
+    others = [F.col(f.name) for f in df.schema if f.name not in cols and not isinstance(f.dataType, (MapType, VariantType))]
+    same = [F.xxhash64(*others)] if others else []  # rows of one place keep their order in every plan that asks for it
+    rank = F.row_number().over(Window.partitionBy(key, RANGE).orderBy(*order, *same))
+    out = ranged.withColumn(pos, rank).join(F.broadcast(shift), F.col(key).eqNullSafe(F.col("_k")) & (F.col(RANGE) == F.col("_r")), "left")
+    return out.select(*df.columns, (F.col(pos) + F.coalesce("_before", F.lit(0))).cast("long").alias(pos))
 
 
 def ensure_position(df: DataFrame, key: str, order: list[str], pos: str = POS) -> DataFrame:
