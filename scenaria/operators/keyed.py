@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, MapType, StructField, StructType, VariantType
+from pyspark.sql.types import BinaryType, DateType, MapType, StringType, TimestampNTZType, TimestampType, VariantType
 
 from scenaria.session import shuffle_partitions
 
@@ -23,45 +23,70 @@ HALO = "_halo"
 DEFAULT_CHUNK_ROWS = 1 << 20
 
 
-def splitters(df: DataFrame, cols: list[str], parts: int, per_range: int = 20) -> list:
-    """At most ``parts - 1`` rows that cut ``df``, ordered by ``cols``, into ranges of about equal size: quantiles of a
-    sample by hash, of about ``per_range`` rows a range (all rows, if there are fewer).  A row's hash decides
-    whether it is in, so the sample is the same however the table is dealt.  Small samples are the rows of the
-    least hashes, found in one job; a large one, for thousands of ranges, takes the rows below a bound."""
-    want, some, h = per_range * parts, df.select(*cols), F.xxhash64(*cols)
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _comparable(df: DataFrame, c: str) -> str:
+    """SQL of a column as a value that orders alike and has a plain literal."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, TimestampType):
+        return f"unix_micros({_quoted(c)})"
+    if isinstance(kind, TimestampNTZType):
+        return f"unix_micros(cast({_quoted(c)} AS timestamp))"
+    return f"unix_date({_quoted(c)})" if isinstance(kind, DateType) else _quoted(c)
+
+
+def _literal(v, kind) -> str:
+    if v is None:
+        return f"cast(NULL AS {kind.simpleString()})"
+    if isinstance(kind, StringType):
+        return f"cast(X'{v.encode('utf-8', 'surrogatepass').hex()}' AS string)"
+    if isinstance(kind, BinaryType):
+        return f"X'{bytes(v).hex()}'"
+    return f"cast('{v!r}' AS {kind.simpleString()})" if isinstance(v, float) else f"cast('{v}' AS {kind.simpleString()})"
+
+
+def splitters(df: DataFrame, cols: list[str], parts: int, per_range: int = 20) -> tuple[list, list]:
+    """At most ``parts - 1`` rows that cut ``df``, ordered by ``cols``, into ranges of about equal size, and their types:
+    quantiles of a sample by hash, of about ``per_range`` rows a range (all rows, if there are fewer).  A row's
+    hash decides whether it is in, so the sample is the same however the table is dealt.  Small samples are the
+    rows of the least hashes, found in one job; a large one, for thousands of ranges, takes the rows below a
+    bound."""
+    want, some = per_range * parts, df.selectExpr(*[f"{_comparable(df, c)} AS c{i}" for i, c in enumerate(cols)])
+    names = some.columns
     if want <= 1 << 14:
-        some = some.orderBy(h).limit(want)
+        some = some.orderBy(F.xxhash64(*names)).limit(want)
     else:
         total = df.count()
         if total > want:
-            some = some.where(h < F.lit(int((2 * want / total - 1) * 2 ** 63)))
-    rows = some.orderBy(*cols).collect()
+            some = some.where(F.xxhash64(*names) < F.lit(int((2 * want / total - 1) * 2 ** 63)))
+    rows = some.orderBy(*names).collect()
     cuts = [rows[i * len(rows) // parts] for i in range(1, parts)] if rows else []
-    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
+    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]], [f.dataType for f in some.schema]
 
 
-def range_number(df: DataFrame, cols: list[str], cuts: list) -> Column:
+def range_number(df: DataFrame, cols: list[str], cuts: list, types: list) -> Column:
     """How many of ``cuts`` (ascending) are at most the row's ``cols``.  Up to 512 are compared in generated code,
-    halving each time; more are searched in an array."""
-    types = [df.schema[c].dataType for c in cols]
-    names = [f"c{i}" for i in range(len(cols))]
-    row = F.struct(*[F.col(c).alias(n) for c, n in zip(cols, names, strict=True)])
+    halving each time; more are searched in an array.  One SQL text, as thousands of column objects are slow to
+    make."""
+    def struct(values) -> str:
+        return "named_struct(" + ", ".join(f"'c{i}', {v}" for i, v in enumerate(values)) + ")"
 
-    def value(cut) -> Column:
-        return F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(cut, types, names, strict=True)])
+    row = struct([_comparable(df, c) for c in cols])
+    known = [struct([_literal(v, t) for v, t in zip(cut, types, strict=True)]) for cut in cuts]
 
-    def below(lo: int, hi: int) -> Column:
+    def below(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(row < value(cuts[mid]), below(lo, mid)).otherwise(below(mid + 1, hi))
+        return f"CASE WHEN {row} < {known[mid]} THEN {below(lo, mid)} ELSE {below(mid + 1, hi)} END"
 
     if len(cuts) <= 512:
-        return below(0, len(cuts))
-    known = F.array(*[value(c) for c in cuts])
-    steps = F.array(*[F.lit(1 << i) for i in range(len(cuts).bit_length() - 1, -1, -1)])
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-        (at + step <= len(cuts)) & (F.get(known, at + step - 1) <= row), at + step).otherwise(at))
+        return F.expr(below(0, len(cuts)))
+    steps = ", ".join(str(1 << i) for i in range(len(cuts).bit_length() - 1, -1, -1))
+    return F.expr(f"aggregate(array({steps}), 0, (at, step) -> CASE WHEN at + step <= {len(cuts)} AND "
+                  f"get(array({', '.join(known)}), at + step - 1) <= {row} THEN at + step ELSE at END)")
 
 
 def with_position(df: DataFrame, key: str, order: list[str], pos: str = POS,
@@ -70,27 +95,32 @@ def with_position(df: DataFrame, key: str, order: list[str], pos: str = POS,
 
     Rows get the number of their range, cut by explicit ``splitters`` of (key, order), and their rank inside (key,
     range) from one shuffle by both: a hot key lies in as many ranges as it fills.  Only keys that a splitter
-    belongs to lie in several ranges; those are counted by range, and what lies before is joined to them, at
-    most one row a range.  Nothing is written: ``df`` is read for its size, for the sample, for the counts (few
-    columns each) and for the rows, so it should be cheap to read or written already."""
-    spark, cols = df.sparkSession, [key, *order]
-    cuts = splitters(df, cols, num_partitions or shuffle_partitions(spark))
-    ranged = df.withColumn(RANGE, range_number(df, cols, cuts))
-    cut_keys = spark.createDataFrame([(k,) for k in {c[0] for c in cuts}], StructType([StructField("_k", df.schema[key].dataType)]))
-    sizes = df.select(*cols).withColumn(RANGE, range_number(df, cols, cuts)).join(
-        F.broadcast(cut_keys), F.col(key).eqNullSafe(F.col("_k")), "left_semi").groupBy(key, RANGE).count().collect()
-    before, found = [], {}
-    for k, r, n in sorted(sizes, key=lambda x: x[1]):
-        if found.get(k):
-            before.append((k, r, found[k]))
-        found[k] = found.get(k, 0) + n
-    shift = spark.createDataFrame(before, StructType([StructField("_k", df.schema[key].dataType), StructField("_r", IntegerType()),
-                                                      StructField("_before", LongType())]))
-    others = [F.col(f.name) for f in df.schema if f.name not in cols and not isinstance(f.dataType, (MapType, VariantType))]
+    belongs to lie in several ranges; those are counted by range, and what lies before is looked up by range, as
+    at most one key goes on from one range into the next.  Nothing is written: ``df`` is read for the sample, for
+    the counts (few columns each) and for the rows, so it should be cheap to read or written already."""
+    cols = [key, *order]
+    cuts, types = splitters(df, cols, num_partitions or shuffle_partitions(df.sparkSession))
+    number, mine = range_number(df, cols, cuts, types), _comparable(df, key)
+    of, before = ["NULL"] * (len(cuts) + 1), [0] * (len(cuts) + 1)
+    if cuts:
+        keys = sorted({"NULL" if c[0] is None else _literal(c[0], types[0]) for c in cuts})
+        several = f"{mine} IN ({', '.join(keys)})" + (f" OR {mine} IS NULL" if "NULL" in keys else "")
+        sizes = df.where(several).select(F.expr(mine).alias("k"), number.alias("r")).groupBy("k", "r").count().collect()
+        found: dict = {}
+        for k, r, n in sorted(sizes, key=lambda x: x[1]):
+            if found.get(k):  # the first key of its range, as ranges are contiguous
+                of[r], before[r] = _literal(k, types[0]), found[k]
+            found[k] = found.get(k, 0) + n
+    others = [f.name for f in df.schema if f.name not in cols and not isinstance(f.dataType, (MapType, VariantType))]
     same = [F.xxhash64(*others)] if others else []  # rows of one place keep their order in every plan that asks for it
     rank = F.row_number().over(Window.partitionBy(key, RANGE).orderBy(*order, *same))
-    out = ranged.withColumn(pos, rank).join(F.broadcast(shift), F.col(key).eqNullSafe(F.col("_k")) & (F.col(RANGE) == F.col("_r")), "left")
-    return out.select(*df.columns, (F.col(pos) + F.coalesce("_before", F.lit(0))).cast("long").alias(pos))
+    shift = f"CASE WHEN get(array({', '.join(of)}), {RANGE}) <=> {mine} THEN get(array({', '.join(f'{n}L' for n in before)}), {RANGE}) ELSE 0L END" \
+        if any(before) else "0L"
+    out = df.withColumn(RANGE, number)
+    if num_partitions:  # as many tasks as asked for; else AQE may join small ones
+        out = out.repartition(num_partitions, key, RANGE)
+    out = out.withColumn(pos, rank)
+    return out.select(*df.columns, F.expr(f"{_quoted(pos)} + {shift}").alias(pos))
 
 
 def ensure_position(df: DataFrame, key: str, order: list[str], pos: str = POS) -> DataFrame:

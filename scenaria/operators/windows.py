@@ -16,7 +16,7 @@ from scenaria.operators.keyed import CHUNK, HALO, POS
 from scenaria.roles import Roles
 
 EXP = "_e"
-EMA_CHUNK_ROWS = 2048   # (11/9)^(2048+183) ~ 1e194: running weights stay finite for |x| < 1e114
+EMA_CHUNK_ROWS = 2048   # (11/9)^2048 ~ 1e178: running weights stay finite for |x| < 1e130
 
 
 def ema_reach(span: int) -> int:
@@ -25,26 +25,42 @@ def ema_reach(span: int) -> int:
     return int(math.ceil(53 * math.log(2) / -math.log(beta)))
 
 
-def ema_carry(chunks: DataFrame, key: str, cols, span: int) -> DataFrame:
+def ema_carry(base: DataFrame, key: str, cols, span: int, chunk_rows: int) -> DataFrame:
     """(key, chunk, _ema_<c>): for each chunk of a series the state left by the last earlier one that has a value:
     struct(p, v, w), the position of that value, the mean there and the weights' sum beside its own 1.
 
-    The mean is the same at any distance behind its last value, so a gap of any length carries it unchanged.
-    The state at that value needs the values within ``ema_reach`` before it: the halo of its chunk."""
+    The mean is the same at any distance behind its last value, so a gap of any length carries it unchanged.  A
+    chunk's own state comes from its rows alone; chunks before it are added as far as they lie within
+    ``ema_reach`` of it (one chunk, unless chunks are tiny)."""
     beta = 1.0 - 2.0 / (span + 1.0)
-    wgt = F.pow(F.lit(beta), -F.col(EXP))
-    x = {c: F.col(c).cast("double") for c in cols}
+    own = base.withColumn(CHUNK, keyed.chunk_of(POS, chunk_rows))
+    e = (F.col(POS) - F.col(CHUNK) * chunk_rows).cast("double")
+    wgt = F.pow(F.lit(beta), -e)
     aggs = []
     for c in cols:
-        has = x[c].isNotNull()
-        aggs += [F.sum(F.when(has, wgt * x[c])).alias(f"_n_{c}"), F.sum(F.when(has, wgt)).alias(f"_d_{c}"),
-                 F.max(F.when(has & ~F.col(HALO), F.struct(F.col(POS).alias("p"), F.col(EXP).alias("e")))).alias(f"_l_{c}")]
-    ends = chunks.groupBy(key, CHUNK).agg(*aggs)
-    before = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    state = {c: F.when(F.col(f"_l_{c}").isNotNull(), F.struct(
-        F.col(f"_l_{c}.p").alias("p"), (F.col(f"_n_{c}") / F.col(f"_d_{c}")).alias("v"),
-        (F.col(f"_d_{c}") * F.pow(F.lit(beta), F.col(f"_l_{c}.e"))).alias("w"))) for c in cols}
-    return ends.select(key, CHUNK, *[F.last(state[c], True).over(before).alias(f"_ema_{c}") for c in cols])
+        x = F.col(c).cast("double")
+        aggs += [F.sum(wgt * x).alias(f"_n_{c}"), F.sum(F.when(x.isNotNull(), wgt)).alias(f"_d_{c}"),
+                 F.max(F.when(x.isNotNull(), F.col(POS))).alias(f"_l_{c}")]
+    ends = own.groupBy(key, CHUNK).agg(*aggs)
+    at = {c: F.when(F.col(f"_l_{c}").isNotNull(), F.struct(
+        F.col(f"_l_{c}").alias("p"), (F.col(f"_n_{c}") / F.col(f"_d_{c}")).alias("v"),
+        (F.col(f"_d_{c}") * F.pow(F.lit(beta), (F.col(f"_l_{c}") - F.col(CHUNK) * chunk_rows).cast("double"))).alias("w"))) for c in cols}
+    ends = ends.select(key, CHUNK, *[at[c].alias(f"_s_{c}") for c in cols])
+    order = Window.partitionBy(key).orderBy(CHUNK)
+    near = range(1, (ema_reach(span) - 1) // chunk_rows + 2)
+    ends = ends.select("*", *[F.lag(f"_s_{c}", j).over(order).alias(f"_s{j}_{c}") for c in cols for j in near])
+    state = {}
+    for c in cols:
+        mine = F.col(f"_s_{c}")
+        w, wv = mine["w"], mine["w"] * mine["v"]
+        for j in near:
+            old = F.col(f"_s{j}_{c}")
+            there = F.coalesce(old["w"] * F.pow(F.lit(beta), mine["p"] - old["p"]), F.lit(0.0))
+            w, wv = w + there, wv + there * F.coalesce(old["v"], F.lit(0.0))
+        state[c] = F.when(mine.isNotNull(), F.struct(mine["p"].alias("p"), (wv / w).alias("v"), w.alias("w")))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    return ends.select(key, CHUNK, *[state[c].alias(f"_t_{c}") for c in cols]) \
+        .select(key, CHUNK, *[F.last(f"_t_{c}", True).over(before).alias(f"_ema_{c}") for c in cols])
 
 
 def ema_expr(col: str, running, span: int) -> Column:
@@ -83,13 +99,14 @@ def feature_exprs(roles: Roles, w, window: int = D.WINDOW, span: int = D.EMA_SPA
 
 
 def series_stats(df: DataFrame, roles: Roles, ttf_label: str | None) -> DataFrame:
-    """One row per series: row count, min/max time and (max label, last time at it)."""
+    """One row per series: row count, min/max time and (max label, last time at it).  Rows are first aggregated by
+    (series, label), in a hash aggregate of plain numbers; only that small table meets the maximum of a struct."""
     aggs = [F.count(F.lit(1)).alias("_cnt"), F.min(roles.time).alias("_t0"), F.max(roles.time).alias("_t1")]
-    if ttf_label:
-        lbl = F.col(ttf_label)
-        aggs.append(F.max(F.when(lbl.isNotNull(), F.struct(lbl.alias("l"), F.col(roles.time).alias("t"))))
-                    .alias("_mx"))
-    return df.groupBy(roles.key).agg(*aggs)
+    if not ttf_label:
+        return df.groupBy(roles.key).agg(*aggs)
+    per = df.groupBy(roles.key, F.col(ttf_label).alias("_lab")).agg(*aggs)
+    return per.groupBy(roles.key).agg(F.sum("_cnt").alias("_cnt"), F.min("_t0").alias("_t0"), F.max("_t1").alias("_t1"),
+                                      F.max(F.when(F.col("_lab").isNotNull(), F.struct(F.col("_lab").alias("l"), F.col("_t1").alias("t")))).alias("_mx"))
 
 
 def engineer_features(df: DataFrame, roles: Roles, window: int = D.WINDOW, span: int = D.EMA_SPAN,
@@ -102,14 +119,14 @@ def engineer_features(df: DataFrame, roles: Roles, window: int = D.WINDOW, span:
     engineered columns as float (P2), halving their shuffle and snapshot bytes."""
     if roles.features and kinds:
         base = keyed.ensure_position(df, roles.key, roles.order)
-        halo = max(window - 1, ema_reach(span) if "ema" in kinds else 0, 1)
+        halo = max(window - 1, 1)
         if "ema" in kinds:
             chunk_rows = min(chunk_rows, EMA_CHUNK_ROWS)
         ch = keyed.chunked(base, POS, chunk_rows, halo)
         # exponent base: position of the chunk's first halo row
         ch = ch.withColumn(EXP, (F.col(POS) - (F.col(CHUNK) * chunk_rows - halo + 1)).cast("double"))
         if "ema" in kinds:
-            ch = ch.join(ema_carry(ch, roles.key, roles.features, span), [roles.key, CHUNK], "left")
+            ch = ch.join(ema_carry(base, roles.key, roles.features, span, chunk_rows), [roles.key, CHUNK], "left")
         feats = feature_exprs(roles, keyed.chunk_window(roles.key), window, span, kinds)
         out = ch.select(*base.columns, CHUNK, HALO, *feats).where(~F.col(HALO)).drop(HALO)
     else:

@@ -38,3 +38,29 @@ def test_hot_series_features_exact_across_chunks(spark):
     assert len(m) == 5000
     np.testing.assert_allclose(m["x_ema_10"], m["ema"], rtol=1e-9, atol=1e-12)
     np.testing.assert_allclose(m["x_rolling_std_10"], m["std"], rtol=1e-9, atol=1e-12)
+
+
+def test_positions_of_any_key_and_many_ranges(spark):
+    """Null keys and times, texts, timestamps, rows of equal order; few ranges and more than are compared one by one."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 9 != 0, F.concat(F.lit("k'"), F.col("id") % 5)).alias("k"),
+        F.when(F.col("id") % 17 != 0, F.timestamp_micros((F.xxhash64("id") % 700 + 10 ** 15 + F.col("id") % 3))).alias("t"),
+        F.to_date(F.lit("2020-01-01")).alias("d"), F.when(F.col("id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("id") % 31).alias("x"), "id")
+    order = ["t", "d", "x"]
+    from pyspark.sql import Window
+    w = Window.partitionBy("k").orderBy(*order)
+    want = df.withColumn("lo", F.rank().over(w)).withColumn("hi", F.rank().over(w) + F.count("id").over(
+        Window.partitionBy("k", *order)) - 1).select("id", "lo", "hi")
+    for parts in (1, 7, 600):
+        got = keyed.with_position(df, "k", order, num_partitions=parts)
+        both = got.join(want, "id")
+        assert both.count() == 4000 and both.where("_pos < lo or _pos > hi").count() == 0
+        assert got.groupBy("k", "_pos").count().where("count > 1").count() == 0
+
+
+def test_positions_write_nothing(spark, monkeypatch):
+    from scenaria import session
+    df, _ = skewed(spark, hot=300, cold=300, n_cold_keys=9)
+    monkeypatch.setattr(session, "cut_lineage", None)
+    pos = keyed.with_position(df, "sid", ["Time", "rid"])
+    assert "Checkpoint" not in pos._jdf.queryExecution().optimizedPlan().toString() and pos.count() == 600
