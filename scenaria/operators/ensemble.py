@@ -1,13 +1,13 @@
 """Two-model probability blending, weight search and model comparison.
 
 Probability tables are (row key..., label, y_true, p array<double>) per model.  Models are aligned
-by an equi-join on the row key and label (J3); the weight search evaluates every weight of the
-grid on each joined row in one pass (21 sums in one aggregate, no per-weight copy of the rows).
+by an equi-join on the row key and label (J3); the weight search turns each joined row into the interval
+of weights at which it is right and sweeps over the intervals' ends, for any grid or for none.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scenaria import defaults as D
@@ -15,6 +15,10 @@ from scenaria import defaults as D
 from scenaria.functions import argmax_cols, argmax_first, blend, blend_cols, renormalize
 
 
+#: Blends this close may be ordered by rounding: values up to 1 carry errors of a few 2^-53.
+TIE = 1e-13
+
+
 def predict(p: Column) -> Column:
     """Class of a probability vector of any length, the lowest class on ties."""
     return argmax_first(p)
@@ -56,28 +60,98 @@ def weight_grid(n_steps: int) -> list[float]:
     return [i / float(n_steps) for i in range(n_steps + 1)]
 
 
+def _lines(j: DataFrame, by, a: str, b: str, n: int) -> DataFrame:
+    """(by..., y, a, b, q<c>, d<c>): with weight w on the first model the truth's blend is above that of class c by
+    q<c> + w * d<c>; null for the truth itself and for classes that a vector lacks.  SQL text: the expressions are
+    unrolled over the classes, and thousands of column objects are slow to make."""
+    x = j.select(*by, F.col("y_true").cast("int").alias("y"), F.col(a).alias("a"), F.col(b).alias("b"))
+    x = x.selectExpr("*", "get(a, CASE WHEN y >= 0 THEN y END) AS ya", "get(b, CASE WHEN y >= 0 THEN y END) AS yb")
+    x = x.selectExpr("*", *[f"CASE WHEN y <> {c} THEN yb - get(b, {c}) END AS q{c}" for c in range(n)])
+    return x.selectExpr("*", *[f"ya - get(a, {c}) - q{c} AS d{c}" for c in range(n)])
+
+
+def _range(n: int, margin: float) -> tuple[str, str]:
+    """SQL of the weights in [0, 1] at which the truth is above every other class by ``margin`` or more (from, to)."""
+    m = f"{margin!r}D"
+    lo = [f"CASE WHEN d{c} > 0 THEN try_divide({m} - q{c}, d{c}) WHEN d{c} = 0 AND q{c} < {m} THEN double('infinity') ELSE 0D END" for c in range(n)]
+    hi = [f"CASE WHEN d{c} < 0 THEN try_divide({m} - q{c}, d{c}) ELSE 1D END" for c in range(n)]
+    return f"greatest(0D, {', '.join(lo)})", f"least(1D, {', '.join(hi)})"
+
+
 def grid_counts(j: DataFrame, n_steps: int = D.WEIGHT_STEPS, by=("label",), a: str = "p1", b: str = "p2",
                 n: int | None = None) -> DataFrame:
     """One row per label: rows (``_n``), hits of each model alone (``_first``, ``_second``) and hits of
-    the blend at every weight of the grid (``_c<i>`` for weight i / n_steps).  Each aligned row is
-    exploded into the grid's weights (a generator inside generated code), one small blend expression
-    is evaluated per (row, weight), and partial aggregation by (label, weight) collapses the copies
-    map-side.  The expression is unrolled over ``n`` classes, the longest vector if not given."""
-    ws = weight_grid(n_steps)
+    the blend at every weight of the grid (``_c<i>`` for weight i / n_steps).
+
+    A class's blend is a line in the weight, so a row is right on one interval of weights, where the truth's line is
+    on the upper envelope.  Rows are counted by the grid weights between which their interval lies (map-side, no
+    copy of a row is made); only the counts meet the grid.  Weights at which lines are so close that rounding may
+    decide (within ``TIE``) are evaluated as they are blended, so ties fall as they do there.  Expressions are
+    unrolled over ``n`` classes, the longest vector if not given."""
+    by = list(by)
+    n = max(1, n_classes(j, a, b) if n is None else n)
+    ranges = zip(("lo", "hi", "least", "most"), (*_range(n, TIE), *_range(n, -TIE)), strict=True)
+    odd = " OR ".join(f"coalesce(isnan(d{c}), false)" for c in range(n))
+    x = _lines(j, by, a, b, n).selectExpr("*", *[f"{v} AS r_{k}" for k, v in ranges], f"{odd} AS odd", "ya IS NOT NULL AND yb IS NOT NULL AS known")
+    x = x.selectExpr(
+        *by, "y", "a", "b",
+        f"CASE WHEN known AND NOT odd AND r_lo <= r_hi AND r_lo <= 1 THEN CASE WHEN r_lo > 0 THEN cast(ceil(r_lo * {n_steps} + 1e-9D) AS int) ELSE 0 END END AS lo",
+        f"CASE WHEN known AND NOT odd AND r_lo <= r_hi AND r_lo <= 1 THEN CASE WHEN r_hi < 1 THEN cast(floor(r_hi * {n_steps} - 1e-9D) AS int) ELSE {n_steps} END END AS hi",
+        f"CASE WHEN odd THEN 0 WHEN known AND r_least <= r_most THEN greatest(cast(ceil(least(r_least, 2D) * {n_steps} - 1e-9D) AS int), 0) END AS least",
+        f"CASE WHEN odd THEN {n_steps} WHEN known AND r_least <= r_most THEN least(cast(floor(r_most * {n_steps} + 1e-9D) AS int), {n_steps}) END AS most")
+    x = x.selectExpr(*by, "y", "a", "b", "least", "most", "CASE WHEN lo <= hi THEN lo END AS lo", "CASE WHEN lo <= hi THEN hi END AS hi")
+    alone = lambda c: F.coalesce(argmax_cols([F.get(c, F.lit(i)) for i in range(n)]) == F.col("y"), F.lit(False))
+    weights = F.array(*[F.lit(w) for w in weight_grid(n_steps)])
+    hit = lambda i: F.coalesce(argmax_cols(blend_cols(F.col("a"), F.col("b"), F.get(weights, i), n)) == F.col("y"), F.lit(False))
+    sure = lambda i: F.coalesce((i >= F.col("lo")) & (i <= F.col("hi")), F.lit(False))
+    tried = F.when(F.expr("least <= most AND NOT (least <=> lo AND most <=> hi)"),
+                   F.filter(F.sequence("least", "most"), lambda i: ~sure(i) & hit(i)))
+    x = x.select(*by, "lo", "hi", tried.alias("tried"), alone(F.col("a")).alias("f"), alone(F.col("b")).alias("s"))
+    x = x.groupBy(*by, "lo", "hi", "tried", "f", "s").agg(F.count(F.lit(1)).alias("k"))
+    on = [f"sum(CASE WHEN coalesce(lo <= {i} AND {i} <= hi, false) OR coalesce(array_contains(tried, {i}), false) THEN k ELSE 0L END) AS _c{i}"
+          for i in range(n_steps + 1)]
+    return x.groupBy(*by).agg(F.sum("k").alias("_n"), F.expr("sum(CASE WHEN f THEN k ELSE 0L END) AS _first"),
+                              F.expr("sum(CASE WHEN s THEN k ELSE 0L END) AS _second"), *[F.expr(e) for e in on])
+
+
+def exact_weight(j: DataFrame, by=("label",), a: str = "p1", b: str = "p2", n: int | None = None, default: float = D.DEFAULT_WEIGHT,
+                 pieces: int = 4096) -> DataFrame:
+    """M7 without a grid: (by..., weight, upto, hits, accuracy) of the first interval of weights in [0, 1] with the most
+    hits.  ``weight`` is its beginning, or its middle where it begins behind a weight of fewer hits; ``upto`` its end.
+
+    Every row enters at the lower end of its interval and leaves at the upper one; at an end where the truth ties
+    with a lower class it is not yet, or no longer, right.  Ends are collapsed to one row per distinct weight,
+    then swept in ``pieces`` of [0, 1] with the sums of the pieces before, so no label is one task."""
+    by = list(by)
     n = max(1, n_classes(j, a, b) if n is None else n)
-    alone = lambda c: argmax_cols([F.get(c, F.lit(i)) for i in range(n)])
-    x = j.select(*by, "y_true", a, b, F.posexplode(F.array(*[F.lit(w) for w in ws])).alias("_i", "_w"))
-    first_row = F.col("_i") == 0
-    hit = (argmax_cols(blend_cols(F.col(a), F.col(b), F.col("_w"), n)) == F.col("y_true")).cast("long")
-    h1 = F.when(first_row, (alone(F.col(a)) == F.col("y_true")).cast("long"))
-    h2 = F.when(first_row, (alone(F.col(b)) == F.col("y_true")).cast("long"))
-    long = x.groupBy(*by, "_i").agg(F.count(F.lit(1)).alias("_n"), F.sum(hit).alias("_h"),
-                                    F.sum(h1).alias("_f"), F.sum(h2).alias("_s"))
-    return long.groupBy(*by).agg(
-        F.max(F.when(F.col("_i") == 0, F.col("_n"))).alias("_n"),
-        F.max(F.when(F.col("_i") == 0, F.col("_f"))).alias("_first"),
-        F.max(F.when(F.col("_i") == 0, F.col("_s"))).alias("_second"),
-        *[F.max(F.when(F.col("_i") == i, F.col("_h"))).alias(f"_c{i}") for i in range(len(ws))])
+    lo, hi = _range(n, 0.0)
+    x = _lines(j, by, a, b, n).selectExpr("*", f"{lo} AS lo", f"{hi} AS hi")
+    open_lo, open_hi = (" OR ".join(f"coalesce(y > {c} AND d{c} {sign} 0 AND try_divide(-q{c}, d{c}) = {at}, false)" for c in range(n))
+                        for sign, at in ((">", "lo"), ("<", "hi")))
+    never = " OR ".join(f"coalesce(y > {c} AND d{c} = 0 AND q{c} = 0, false)" for c in range(n))
+    x = x.selectExpr(*by, "lo", "hi", f"cast({open_lo} AS int) AS ol", f"cast({open_hi} AS int) AS oh",
+                     f"ya IS NOT NULL AND yb IS NOT NULL AND NOT ({never}) AS ever")
+    right = "ever AND lo <= 1 AND (lo < hi OR (lo = hi AND ol + oh = 0))"
+    # rows that are never right leave through an empty array: a filter would be moved below all these expressions
+    ends = x.selectExpr(*by, f"explode(CASE WHEN {right} THEN array(named_struct('w', lo, 'side', ol, 'h', 1L), named_struct('w', hi, 'side', 1 - oh, 'h', -1L)) "
+                             "ELSE array(named_struct('w', cast(NULL AS double), 'side', 0, 'h', 0L)) END) AS e").select(*by, "e.*")
+    ends = ends.groupBy(*by, "w", "side").agg(F.sum("h").alias("h"), F.count(F.lit(1)).alias("k")).withColumn("piece", F.floor(F.col("w") * pieces))
+    rows = ends.groupBy(*by).agg(F.sum(F.expr("CASE WHEN w IS NULL THEN 2 * k ELSE k END")).alias("k2"))
+    ends = ends.where("w is not null")
+    sums = ends.groupBy(*by, "piece").agg(F.sum("h").alias("_s"), F.min("w").alias("_first"))
+    w = Window.partitionBy(*by).orderBy("piece")
+    sums = sums.select(*by, "piece", F.coalesce(F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                       F.lead("_first").over(w).alias("_after"))
+    inside = Window.partitionBy(*by, "piece").orderBy("w", "side")
+    swept = ends.join(sums, [*by, "piece"]).select(*by, "w", "side", (F.sum("h").over(inside) + F.col("_before")).alias("hits"),
+                                                   F.coalesce(F.lead("w").over(inside), F.col("_after"), F.lit(1.0)).alias("upto"))
+    best = swept.groupBy(*by).agg(F.min(F.struct((-F.col("hits")).alias("m"), F.col("w"), F.col("side"), F.col("upto"))).alias("_b"))
+    ok = F.coalesce(F.col("_b.m") < 0, F.lit(False))
+    start = F.when(F.col("_b.side") == 0, F.col("_b.w")).otherwise((F.col("_b.w") + F.col("_b.upto")) / 2)
+    return rows.join(best, by, "left").select(
+        *by, F.when(ok, start).otherwise(F.lit(default)).alias("weight"), F.when(ok, F.col("_b.upto")).otherwise(F.lit(default)).alias("upto"),
+        F.when(ok, -F.col("_b.m")).otherwise(F.lit(0)).cast("long").alias("hits"),
+        F.when(ok, -F.col("_b.m") / (F.col("k2") / 2)).otherwise(F.lit(0.0)).alias("accuracy"))
 
 
 def curve_from_counts(g: DataFrame, n_steps: int, grid_steps: int = 20, by=("label",)) -> DataFrame:

@@ -493,3 +493,26 @@ register("smote_equal_rows", """with e as (select vec_id, label, case when vec_i
 
 register("tree_flat", """
 select unnest(['label', 'odd']) as label, (select count(*) from embeddings) as n, 0::bigint as differing""")
+
+register("exact_weight", with_(SERIES, PROBS) + """
+, labs as (select 0 as shift, 'C_label' as label union all select 1, 'next'),
+p as (select label, event_id, (y + shift) % 6 as y, c, pt, ps from probs cross join labs),
+k as (select p.*, t.ps - p.ps as q, (t.pt - p.pt) - (t.ps - p.ps) as d from p join p t on t.label = p.label and t.event_id = p.event_id and t.c = p.y and p.c <> p.y),
+r as (select label, event_id, greatest(0.0::double, max(case when d > 0 then -q / d when d = 0 and q < 0 then 'infinity'::double else 0.0::double end)) as lo,
+             least(1.0::double, min(case when d < 0 then -q / d else 1.0::double end)) as hi from k group by all),
+s as (select r.label, r.event_id, lo, hi, max(case when y > c and d > 0 and -q / d = lo then 1 else 0 end) as ol,
+             max(case when y > c and d < 0 and -q / d = hi then 1 else 0 end) as oh, max(case when y > c and d = 0 and q = 0 then 1 else 0 end) as never
+      from r join k on k.label = r.label and k.event_id = r.event_id group by all),
+f as (select * from s where never = 0 and lo <= 1 and (lo < hi or (lo = hi and ol + oh = 0))),
+e as (select label, lo as w, ol as side, 1 as h from f union all select label, hi, 1 - oh, -1 from f),
+g as (select label, w, side, sum(h) as h from e group by all),
+z as (select label, w, side, sum(h) over (partition by label order by w, side) as hits, coalesce(lead(w) over (partition by label order by w, side), 1.0::double) as upto from g),
+b as (select *, row_number() over (partition by label order by hits desc, w, side) as rk from z)
+select label, round(case when side = 0 then w else (w + upto) / 2 end, 6) as weight, round(upto, 6) as upto, cast(hits as bigint) as hits,
+       round(hits::double / (select count(*) from probs where c = 0), 6) as accuracy from b where rk = 1""")
+
+register("accuracy_at", with_(SERIES, PROBS, curve(20)) + """
+, labs as (select 0 as shift, 'C_label' as label, (select weight from cv_best) as w union all select 1, 'next', 0.5::double),
+p as (select label, event_id, (y + shift) % 6 as y, c, row_number() over (partition by label, event_id order by w * pt + (1.0::double - w) * ps desc, c) as r
+      from probs cross join labs)
+select label, round(sum(case when c = y then 1 else 0 end)::double / count(*), 6) as accuracy from p where r = 1 group by label""")

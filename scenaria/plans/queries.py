@@ -713,3 +713,21 @@ def q_tree_flat(spark, sf_dir):
     differ = (~F.col("y_pred").eqNullSafe(F.col("y2"))) | (F.size("p") != F.size("p2")) | F.coalesce(far, F.lit(True))
     return flat.join(slow, ["row_id", "label"], "full").groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), F.sum(differ.cast("long")).alias("differing"))
+
+
+@query
+def q_exact_weight(spark, sf_dir):
+    """M7 without a grid: the best interval of weights per label, here one per label of the series."""
+    j = views.aligned_probs(spark, sf_dir)
+    j = j.unionByName(j.withColumn("label", F.lit("next")).withColumn("y_true", (F.col("y_true") + 1) % 6))
+    e = ensemble.exact_weight(j)
+    return e.select("label", r6("weight").alias("weight"), r6("upto").alias("upto"), "hits", r6("accuracy").alias("accuracy"))
+
+
+@query
+def q_accuracy_at(spark, sf_dir):
+    """The blend's accuracy at each label's searched weight, and at the default where a label has none."""
+    j = views.aligned_probs(spark, sf_dir)
+    weights = ensemble.best_weight(_curve(spark, sf_dir))
+    both = j.unionByName(j.withColumn("label", F.lit("next")).withColumn("y_true", (F.col("y_true") + 1) % 6))
+    return ensemble.accuracy_at(both, weights).select("label", r6("accuracy").alias("accuracy"))
