@@ -43,20 +43,28 @@ def strided(df: DataFrame, roles: Roles, seq_len: int = D.SEQ_LEN, step: int = D
 def even(df: DataFrame, roles: Roles, seq_len: int = D.SEQ_LEN, n_starts: int = D.EVAL_STARTS,
          max_per_series: int | None = None) -> DataFrame:
     """Up to ``n_starts`` evenly spaced starts trunc(linspace(0, m-1, min(m, n_starts))),
-    m = n - seq_len + 1 (a single start 0 when m = 1).  Each row explodes into the at most
-    ``n_starts`` candidate windows and keeps those that contain it; every start is a scalar
-    expression of (k, m), so the whole step stays in generated code."""
+    m = n - seq_len + 1 (a single start 0 when m = 1).  Starts rise with their number, so the windows that hold a
+    row are consecutive: their first and last number come from the inverse of the starts, moved by one where
+    rounding asks for it.  A row is copied into its own windows alone (at most ceil(seq_len / spacing) + 1)."""
     b = _with_length(df, roles).where(F.col("_n") >= seq_len)
-    i = F.col(POS) - 1
-    m = F.col("_n") - seq_len + 1
-    kn = F.least(m, F.lit(n_starts))
-    k = F.col("seq_id")
-    start = F.when(kn <= 1, F.lit(0)).when(k == kn - 1, m - 1) \
-        .otherwise(F.floor(k * ((m - 1).cast("double") / (kn - 1).cast("double")))).cast("long")
-    last_k = kn - 1 if max_per_series is None else F.least(kn, F.lit(max_per_series)) - 1   # W11 per series
-    out = b.withColumn("seq_id", F.explode(F.sequence(F.lit(0).cast("long"), last_k.cast("long"))))
-    out = out.withColumn("_s", start).where((F.col("_s") <= i) & (i < F.col("_s") + seq_len))
-    return out.select(*[c for c in b.columns if c != "_n"], "seq_id", (i - F.col("_s")).cast("long").alias("step"))
+    m = F.expr(f"_n - {seq_len} + 1L")
+    b = b.withColumn("_m", m).withColumn("_k", F.least("_m", F.lit(n_starts).cast("long"))).withColumn("_i", F.col(POS) - 1)
+    step = "(cast(_m - 1 AS double) / cast(_k - 1 AS double))"
+
+    def start(k: str) -> str:
+        return f"CASE WHEN _k <= 1 THEN 0L WHEN {k} = _k - 1 THEN _m - 1 ELSE cast(floor({k} * {step}) AS bigint) END"
+
+    b = b.withColumn("_g", F.expr(f"CASE WHEN _k <= 1 THEN 0L ELSE least(_k - 1, cast(floor(_i / {step}) AS bigint)) END"))
+    b = b.withColumn("_h", F.expr(f"CASE WHEN _k <= 1 OR _i < {seq_len} THEN 0L ELSE least(_k - 1, cast(ceil((_i - {seq_len} + 1) / {step}) AS bigint)) END"))
+    # the last start at most i is at _g - 1, _g or _g + 1; the first start behind i - seq_len is at _h - 1, _h or _h + 1
+    last = f"CASE WHEN _g + 1 < _k AND {start('(_g + 1)')} <= _i THEN _g + 1 WHEN {start('_g')} <= _i THEN _g ELSE _g - 1 END"
+    first = f"CASE WHEN _h > 0 AND {start('(_h - 1)')} > _i - {seq_len} THEN _h - 1 WHEN {start('_h')} > _i - {seq_len} THEN _h ELSE _h + 1 END"
+    if max_per_series is not None:   # W11 per series
+        last = f"least({last}, {max_per_series - 1}L)"
+    b = b.withColumn("_first", F.expr(first)).withColumn("_last", F.expr(last))
+    out = b.withColumn("seq_id", F.explode(F.expr("CASE WHEN _first <= _last THEN sequence(_first, _last) END")))
+    return out.select(*[c for c in b.columns if c not in ("_n", "_m", "_k", "_i", "_g", "_h", "_first", "_last")], "seq_id",
+                      F.expr(f"_i - ({start('seq_id')})").cast("long").alias("step"))
 
 
 def random_subset(df: DataFrame, roles: Roles, seq_len: int = D.SEQ_LEN, n_samples: int = D.RANDOM_SEQUENCES,

@@ -63,3 +63,20 @@ def test_cap_keeps_first_sequences(spark):
 def test_even_per_series_cap(spark):
     out = sequences.even(series(spark, 100), ROLES, 20, 10, max_per_series=3)
     assert sorted(r.seq_id for r in out.select("seq_id").distinct().collect()) == [0, 1, 2]
+
+
+def test_even_windows_of_every_length(spark):
+    """Series of 1 to 140 rows against NumPy, and no copy of a row beyond the windows that hold it."""
+    import numpy as np
+    from scenaria.operators import sequences
+    from scenaria.roles import Roles
+    lengths = list(range(1, 60)) + [99, 100, 101, 140]
+    df = spark.createDataFrame([(n, i) for n in lengths for i in range(n)], "sid int, t int")
+    for seq_len, n_starts in ((20, 10), (7, 25), (1, 3), (5, 1)):
+        got = {}
+        for r in sequences.even(df, Roles(key="sid", time="t"), seq_len, n_starts).collect():
+            got.setdefault(r.sid, set()).add((r.seq_id, r.step, r.t))
+        for n in lengths:
+            m = n - seq_len + 1
+            starts = [int(x) for x in np.linspace(0, m - 1, min(m, n_starts)).astype(int)] if m > 0 else []
+            assert got.get(n, set()) == {(k, s, a + s) for k, a in enumerate(starts) for s in range(seq_len)}, (n, seq_len, n_starts)
