@@ -124,17 +124,32 @@ def fit_per_label(train: DataFrame, features, labels, parallelism: int | None =
         x.unpersist()
 
 
+def hash_folds(df: DataFrame, id_col: str, folds: int = D.CV_FOLDS, seed: int = D.SEED, name: str = "fold") -> DataFrame:
+    """``df`` with the fold of every row, 0 to ``folds`` - 1, from a seeded hash of its id: the same in every run, however
+    the table is dealt, and for equal ids."""
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"))), 1, 8), 16, 10).cast("long")
+    return df.withColumn(name, F.pmod(h, F.lit(folds)).cast("int"))
+
+
+def fold_counts(df: DataFrame, label: str, name: str = "fold") -> DataFrame:
+    """(fold, class, n): what each fold holds out."""
+    return df.groupBy(name, F.col(label).cast("int").alias("class")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def cross_validate(train: DataFrame, features, label: str, depths=D.CV_DEPTHS, folds: int = D.CV_FOLDS,
-                   parallelism: int = D.CV_PARALLELISM, seed: int = D.SEED, **kw):
+                   parallelism: int = D.CV_PARALLELISM, seed: int = D.SEED, id_col: str | None = None, **kw):
     """M2: grid search over tree depth with k-fold CV on accuracy.  Returns (best model refitted on
-    all training rows, as a one-stage pipeline; table of (max_depth, accuracy))."""
+    all training rows, as a one-stage pipeline; table of (max_depth, accuracy)).  With ``id_col`` the folds are
+    those of ``hash_folds``; else rows are drawn into folds by Spark."""
     classes = label_classes(train, [label])[label]
-    x = indexed(features_vector(train, features).where(F.col(label).isNotNull()), label, classes).persist()
+    own = {"foldCol": "_fold"} if id_col else {}
+    rows = hash_folds(train, id_col, folds, seed, "_fold") if id_col else train
+    x = indexed(features_vector(rows, features).where(F.col(label).isNotNull()), label, classes).persist()
     clf = classifier(label, len(classes) <= 2, prefix=label, **kw)
     grid = ParamGridBuilder().addGrid(clf.maxDepth, list(depths)).build()
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol=f"{label}_pred", metricName="accuracy")
     cv = CrossValidator(estimator=clf, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=seed)
+                        parallelism=parallelism, seed=seed, **own)
     m = cv.fit(x)
     x.unpersist()
     spark = train.sparkSession

@@ -516,3 +516,79 @@ register("accuracy_at", with_(SERIES, PROBS, curve(20)) + """
 p as (select label, event_id, (y + shift) % 6 as y, c, row_number() over (partition by label, event_id order by w * pt + (1.0::double - w) * ps desc, c) as r
       from probs cross join labs)
 select label, round(sum(case when c = y then 1 else 0 end)::double / count(*), 6) as accuracy from p where r = 1 group by label""")
+
+EMB_SPLIT = """emb as (select vec_id, label, row_number() over (partition by label order by md5(concat('42', cast(vec_id as varchar))), vec_id) as rk,
+                       count(*) over (partition by label) as n from embeddings),
+emc as (select *, cast(floor(n * 0.7::double) as bigint) as ntr from emb),
+emd as (select *, cast(floor((n - ntr) * 0.5::double) as bigint) as nv from emc),
+ems as (select vec_id, label, case when rk <= ntr then 'train' when rk <= ntr + nv then 'val' else 'test' end as split from emd)"""
+
+register("snapshot_split", with_(EMB_SPLIT) + """
+select label, count(*) as n, min(vec_id) as first from ems where split = 'test' group by label""")
+
+register("sequence_snapshot", with_(SERIES, POSITIONED, STRIDED) + """
+select scenario_id, seq_id, count(*) as steps, round(max(case when step = 0 then cast(f2 as float) end)::double, 6) as first,
+       round(max(case when step = 19 then cast(f2 as float) end)::double, 6) as last, round(sum(coalesce(cast(f2 as float), 0)::double), 6) as total,
+       max(case when step = 19 then A_label end) as A_label, max(case when step = 19 then B_label end) as B_label,
+       max(case when step = 19 then C_label end) as C_label from strided group by scenario_id, seq_id""")
+
+register("roles_round_trip", "select count(*) as rows, 'f1,f2' as features, 'A_label,B_label,C_label' as labels from events")
+
+register("model_store", "select count(*) as rows, 0::bigint as differing, 'label' as labels from embeddings")
+
+register("importance_rows", """select 'label' as label, 64::bigint as features, 1::bigint as first, 64::bigint as last, 1.0::double as mass,
+       true as known, true as falling""")
+
+register("cv_folds", with_(EMB_SPLIT) + """
+select cast(('0x' || substr(md5(concat('42:', vec_id)), 1, 8))::bigint % 3 as int) as fold, label as class, count(*) as n
+from ems where split = 'train' group by all""")
+
+register("tree_cv_rows", with_(EMB_SPLIT) + """
+select cast(unnest([3, 5]) as int) as max_depth, true as valid, (select count(*) from ems where split = 'train') as rows""")
+
+register("capped_sequences", with_(SERIES, POSITIONED, STRIDED) + """
+, ids as (select distinct scenario_id, seq_id from strided order by scenario_id, seq_id limit 25)
+select scenario_id, seq_id, step, event_id, round(f2, 6) as f2 from strided join ids using (scenario_id, seq_id)""")
+
+register("no_sequences", ORACLE["sequences_strided"] + " where false")
+
+register("name_keys", with_(SERIES) + """
+select 'run' as first, concat('run.', scenario_id, '.v2') as stem, count(*) as n from series group by scenario_id""")
+
+register("epoch_mean", with_(SERIES) + """
+select cast(floor(Time / 60) as bigint) as epoch, round(avg(v), 6) as value
+from (select Time, unnest([f1, f2]) as v from series) group by 1""")
+
+register("scoring_time_rows", with_(EMB_SPLIT) + """
+select 'tree' as model, count(*) as rows, true as timed, true as formula from ems where split = 'test'""")
+
+
+def moves(labels: list[str], classes: int = 6) -> str:
+    """Secondary rebalancing, one CTE per (label, class): the first split without the class that has a donor with two or
+    more takes the donor's first scenario of the class, which goes to the end of its new list."""
+    out, k = [], 0
+    for label in labels:
+        for c in range(classes):
+            prev, k = f"rb{k}", k + 1
+            pairs = [(t, d) for t, ds in (("train", ("val", "test")), ("val", ("train", "test")), ("test", ("train", "val"))) for d in ds]
+            pick = " ".join(f"when n_{t} = 0 and n_{d} > 1 then '{t} {d}'" for t, d in pairs)
+            out.append(f"""cn{k} as (select count(*) filter (split = 'train') as n_train, count(*) filter (split = 'val') as n_val,
+                       count(*) filter (split = 'test') as n_test from {prev} where {label} = {c}),
+mv{k} as (select case {pick} end as p from cn{k}),
+on{k} as (select scenario_id as moved from {prev}, mv{k} where split = split_part(p, ' ', 2) and {label} = {c} order by place limit 1),
+rb{k} as materialized (select r.* replace (case when moved is null then split else split_part((select p from mv{k}), ' ', 1) end as split,
+                                           case when moved is null then place else 1000000 + {k} end as place)
+          from {prev} r left join on{k} on scenario_id = moved)""")
+    return ",\n".join(out) + f",\nrebalanced as (select scenario_id, split from rb{k})"
+
+
+register("split_rebalance", with_(SERIES, SPLIT, """rb0 as (select s.scenario_id, s.split, m.A_label, m.B_label, row_number() over (order by s.cls, s.rank) as place
+          from split s join modes m using (scenario_id))""", moves(["A_label", "B_label"])) + "select * from rebalanced")
+
+
+def rare(a: int, b: int, c: int) -> str:
+    return f"case when scenario_id % {a} = 0 then 1 when scenario_id % {b} = 0 then 2 when scenario_id % {c} = 0 then 3 else 0 end"
+
+
+register("rebalance_rare", with_(SERIES, SPLIT, f"""rb0 as (select scenario_id, split, {rare(61, 37, 23)} as R_label, {rare(29, 53, 41)} as S_label,
+          row_number() over (order by cls, rank) as place from split)""", moves(["R_label", "S_label"])) + "select * from rebalanced")

@@ -731,3 +731,134 @@ def q_accuracy_at(spark, sf_dir):
     weights = ensemble.best_weight(_curve(spark, sf_dir))
     both = j.unionByName(j.withColumn("label", F.lit("next")).withColumn("y_true", (F.col("y_true") + 1) % 6))
     return ensemble.accuracy_at(both, weights).select("label", r6("accuracy").alias("accuracy"))
+
+
+# ---- stores, folds, caps and invariants of fits ----------------------------------------------
+
+@query
+def q_snapshot_split(spark, sf_dir):
+    """A snapshot by split is written and one split read back: rows and classes."""
+    path = io.shared_scratch(spark, "snapshot")
+    io.write_snapshot(_emb_split(spark, sf_dir).select("vec_id", "label", "split"), path)
+    return io.read_snapshot(spark, path, "test").groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"))
+
+
+@query
+def q_sequence_snapshot(spark, sf_dir):
+    """Strided windows as arrays of steps, written and read back: their sizes, sums and labels."""
+    path = io.shared_scratch(spark, "sequences")
+    s = sequences.to_arrays(sequences.strided(views.series(spark, sf_dir), SERIES_ROLES, 20, 15), "scenario_id", ["f2"], LABELS, 20)
+    io.write_snapshot(s, path)
+    step = lambda i: F.element_at(F.element_at("X", i), 1).cast("double")
+    total = F.aggregate("X", F.lit(0.0), lambda a, x: a + F.coalesce(F.element_at(x, 1).cast("double"), F.lit(0.0)))
+    return io.read_snapshot(spark, path).select("scenario_id", "seq_id", F.size("X").cast("long").alias("steps"), r6(step(1)).alias("first"),
+                                                r6(step(20)).alias("last"), r6(total).alias("total"), *LABELS)
+
+
+@query
+def q_roles_round_trip(spark, sf_dir):
+    """Column roles through a Parquet round trip."""
+    path = io.shared_scratch(spark, "roles")
+    s = views.series(spark, sf_dir)
+    roles = [("feature", c) for c in SERIES_ROLES.features] + [("label", c) for c in SERIES_ROLES.labels]
+    for role, c in roles:
+        s = s.withMetadata(c, {"role": role})
+    s.write.parquet(path)
+    back = io.roles_from_metadata(spark.read.parquet(path))
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.select("rows", F.lit(",".join(back.features)).alias("features"), F.lit(",".join(back.labels)).alias("labels"))
+
+
+@query
+def q_model_store(spark, sf_dir):
+    """A stored and loaded model scores as the fitted one; a label without a stored model is absent."""
+    e = _emb_split(spark, sf_dir)
+    models = model.fit_per_label(e.where("split = 'train'"), ["embedding"], ["label"], max_depth=3, n_trees=10)
+    path = io.shared_scratch(spark, "models")
+    model.save(models, path)
+    loaded = model.load(path, ["label", "other"])
+    a = model.score(models, e, ["embedding"], "vec_id")
+    b = model.score(loaded, e, ["embedding"], "vec_id").select("row_id", F.col("y_pred").alias("y2"), F.col("p").alias("p2"))
+    same = F.col("y_pred").eqNullSafe(F.col("y2")) & F.col("p").eqNullSafe(F.col("p2"))
+    return a.join(b, "row_id", "full").agg(F.count(F.lit(1)).alias("rows"), F.sum((~same).cast("long")).alias("differing"),
+                                           F.lit(",".join(loaded)).alias("labels"))
+
+
+@query
+def q_importance_rows(spark, sf_dir):
+    """Importances of a fit: one row a feature, ranked without gaps, falling, summing to 1."""
+    e = _emb_split(spark, sf_dir)
+    models = model.fit_per_label(e.where("split = 'train'"), ["embedding"], ["label"], max_depth=5, n_trees=20)
+    names = [f"e{i}" for i in range(64)]
+    t = model.importances(models, names, 64)
+    from pyspark.sql import Window
+    fall = F.coalesce(F.lag("importance").over(Window.partitionBy("label").orderBy("rank")) >= F.col("importance"), F.lit(True))
+    return t.withColumn("fall", fall).groupBy("label").agg(
+        F.countDistinct("feature").alias("features"), F.min("rank").cast("long").alias("first"), F.max("rank").cast("long").alias("last"), r6(F.sum("importance")).alias("mass"),
+        F.bool_and(F.col("feature").isin(names)).alias("known"), F.bool_and("fall").alias("falling"))
+
+
+@query
+def q_cv_folds(spark, sf_dir):
+    """M2: rows of every fold and class."""
+    e = _emb_split(spark, sf_dir).where("split = 'train'")
+    return model.fold_counts(model.hash_folds(e, "vec_id", 3), "label")
+
+
+@query
+def q_tree_cv_rows(spark, sf_dir):
+    """M2: grid search over those folds: an accuracy per depth, and the best model's depth among them."""
+    e = _emb_split(spark, sf_dir).where("split = 'train'")
+    best, table = model.cross_validate(e, ["embedding"], "label", n_trees=10, id_col="vec_id")
+    scored = model.score({"label": best}, e, ["embedding"], "vec_id").agg(F.count(F.lit(1)).alias("rows"))
+    return table.crossJoin(scored).select("max_depth", F.col("accuracy").between(0, 1).alias("valid"), "rows")
+
+
+@query
+def q_capped_sequences(spark, sf_dir):
+    """The first 25 strided windows in (scenario, window) order."""
+    out = sequences.strided(views.series(spark, sf_dir), SERIES_ROLES, 20, 15, max_sequences=25)
+    return out.select(*SEQ_COLS, r6("f2").alias("f2"))
+
+
+@query
+def q_no_sequences(spark, sf_dir):
+    """No series is long enough: an empty result with the columns of any other."""
+    out = sequences.strided(views.series(spark, sf_dir), SERIES_ROLES, 1_000_000, 15)
+    return out.select(*SEQ_COLS, r6("f2").alias("f2"))
+
+
+@query
+def q_name_keys(spark, sf_dir):
+    """Series keys from file names, cut at the first dot and at the suffix."""
+    from scenaria.functions import first_dot_key, strip_csv
+    name = F.concat(F.lit("run."), F.col("scenario_id").cast("string"), F.lit(".v2.csv"))
+    s = views.series(spark, sf_dir).select("scenario_id", name.alias("file"))
+    return s.groupBy(first_dot_key(F.col("file")).alias("first"), strip_csv(F.col("file")).alias("stem")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def q_epoch_mean(spark, sf_dir):
+    """Mean over outputs per epoch, here over the two features per whole minute."""
+    s = views.series(spark, sf_dir).select(F.floor(F.col("Time") / 60).alias("epoch"), F.explode(F.array("f1", "f2")).alias("value"))
+    return metrics.epoch_mean(s).select("epoch", r6("value").alias("value"))
+
+
+@query
+def q_scoring_time_rows(spark, sf_dir):
+    """A timing row per model: rows scored, and milliseconds a row from the total."""
+    e = _emb_split(spark, sf_dir)
+    models = model.fit_per_label(e.where("split = 'train'"), ["embedding"], ["label"], max_depth=2, n_trees=5)
+    t = model.scoring_time({"tree": model.score(models, e.where("split = 'test'"), ["embedding"], "vec_id")})
+    ok = F.abs(F.col("ms_per_sample") - F.col("total_s") / F.col("rows") * 1000) < 1e-9
+    return t.select("model", "rows", (F.col("total_s") > 0).alias("timed"), ok.alias("formula"))
+
+
+@query
+def q_rebalance_rare(spark, sf_dir):
+    """X2 where it has much to do: labels so rare that splits lack them."""
+    s, sp = series_split(spark, sf_dir)
+    k = F.col("scenario_id")
+    rare = lambda a, b, c: F.when(k % a == 0, 1).when(k % b == 0, 2).when(k % c == 0, 3).otherwise(0).cast("int")
+    modes = stats.scenario_modes(s, "scenario_id", ["C_label"]).withColumn("R_label", rare(61, 37, 23)).withColumn("S_label", rare(29, 53, 41))
+    return splitting.rebalance(sp, modes, "scenario_id", ["C_label", "R_label", "S_label"], "C_label")[0]

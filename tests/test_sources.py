@@ -47,3 +47,22 @@ def test_roles_survive_parquet(spark, tmp_path):
     back = io.read_snapshot(spark, out, "train")
     r = io.roles_from_metadata(back)
     assert r.features == ("f1",) and r.labels == ("A_label",)
+
+
+def test_bucketed_tables_are_read_without_a_shuffle(spark, tmp_path):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from scenaria.sources import io
+    rows = spark.range(2000).select((F.col("id") % 23).alias("sid"), F.col("id").alias("t"), F.xxhash64("id").alias("x"))
+    try:
+        io.write_bucketed(rows, "bucketed_series", str(tmp_path / "b"), "sid", ["t"], 4)
+        back = spark.table("bucketed_series")
+        w = Window.partitionBy("sid").orderBy("t")
+        out = back.withColumn("d", F.col("x") - F.lag("x").over(w)).join(back.groupBy("sid").agg(F.count(F.lit(1)).alias("n")), "sid")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan
+        want = rows.withColumn("d", F.col("x") - F.lag("x").over(w)).agg(F.sum(F.hash("sid", "t", "d"))).first()[0]
+        assert out.agg(F.sum(F.hash("sid", "t", "d"))).first()[0] == want and out.count() == 2000
+    finally:
+        spark.sql("DROP TABLE IF EXISTS bucketed_series")
