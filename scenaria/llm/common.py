@@ -40,22 +40,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 #: While a scratch table is written: its shuffle files go when the write has ended, rather than when the driver
-#: happens to collect its garbage, and plans that hold constant tables are not spelled out in full.
-WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxPlanStringLength": "10000"}
+#: happens to collect its garbage; plans that hold constant tables are not spelled out in full; and tables that grow
+#: with the corpus are not broadcast while they happen to be small, so a job takes the same way at every size (tables
+#: of a proven bound are marked for it).
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxPlanStringLength": "10000",
+           "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back: later steps read
     one fixed copy, and a lost executor re-reads files instead of re-running what came before."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    before = {k: spark.conf.get(k) for k in WRITING}
+    before = {k: spark.conf.get(k, None) for k in WRITING}
     try:
         for k, v in WRITING.items():
             spark.conf.set(k, v)
         df.write.option("compression", "zstd").parquet(path)
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -85,6 +88,16 @@ def ranked(rows: DataFrame, order: list[Column], place: str) -> DataFrame:
     return cut.join(F.broadcast(shifts), part).withColumn(place, F.col(at) + F.col(place)).drop(at, part)
 
 
+def met(rows: DataFrame, table: DataFrame, key: str, times: str, total: int) -> DataFrame:
+    """``rows`` with the other columns of ``table``, which has every key once and how many of the ``total`` rows have it in
+    ``times``.  Keys of more than one row in 256, at most 256 of them, are sent to all tasks, so none is hot; the
+    others are joined by a shuffle.  ``rows`` is read twice: it should be written already."""
+    hot = table.where(F.col(times) > total / 256).drop(times)
+    few = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.where(F.col(times) <= total / 256).drop(times), key)
+    return few.unionByName(rest)
+
+
 def label_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str, per_label: int,
                  chars: int) -> tuple[list[tuple[str, int]], dict[int, int]]:
     """What a classifier may learn from: up to ``per_label`` (text, label) for either label, and the number of

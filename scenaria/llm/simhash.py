@@ -24,10 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BloomFilter, written
+from .common import BloomFilter, bit_table, free_names, met, mixed, written
 from .components import components
 
 HALF = 32
+#: Near variants met at once: four for each word of the filter.
+PER_ROUND = 1 << 24
+#: Bits, as a power of two, of the table that says which rows of a corpus are not simply kept.
+GONE_BITS = 22
 
 
 def text_fingerprint(text: str | None, shingle: int) -> int:
@@ -73,10 +77,34 @@ def masks() -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[np.uint64(0)], bit]), bit[a[same]] | bit[b[same]]
 
 
-def links(nodes: DataFrame, words: int = 22) -> DataFrame:
+def links(nodes: DataFrame, words: int = 22, per_round: int = PER_ROUND) -> DataFrame:
     """(a, b): links between the ``node`` ids of distinct fingerprints ``fp`` within distance 3 that keep
-    the components whole.  ``node`` is a long and neither it nor ``fp`` repeats."""
-    bloom = BloomFilter.of(nodes, "fp", words, lambda fp: fp.view(np.uint64)[:, None] ^ masks()[0][None, :])
+    the components whole.  ``node`` is a long and neither it nor ``fp`` repeats.
+
+    Variants are met in rounds, each of a share of all variants by their hash and of about ``per_round`` near ones, so
+    that what a round shuffles is bounded and the filter never gets full."""
+    rounds = max(1, -(-nodes.count() * masks()[0].size // per_round))
+    if rounds == 1:
+        return _met(nodes, words, 0, 1).distinct()
+    found = None
+    for r in range(rounds):
+        some = written(_met(nodes, words, r, rounds), f"links-{r}")
+        found = some if found is None else found.unionByName(some)
+    return found.distinct()
+
+
+def _met(nodes: DataFrame, words: int, turn: int, rounds: int) -> DataFrame:
+    """Links at the variants of one round; a link may come back at several variants."""
+    turns = np.uint64(rounds)
+
+    def mine(variant: np.ndarray) -> np.ndarray:
+        return (mixed(variant) >> np.uint64(20)) % turns == np.uint64(turn)
+
+    def near_values(fp: np.ndarray) -> np.ndarray:
+        v = (fp.view(np.uint64)[:, None] ^ masks()[0][None, :]).ravel()
+        return v[mine(v)] if rounds > 1 else v
+
+    bloom = BloomFilter.of(nodes, "fp", words, near_values)
 
     def emit(batches):
         near, far = masks()
@@ -87,9 +115,12 @@ def links(nodes: DataFrame, words: int = 22) -> DataFrame:
             for a in range(0, len(fps), 512):
                 fp, node = fps[a:a + 512], ids[a:a + 512]
                 variant = fp[:, None] ^ near[None, :]
-                yield _rows(variant.ravel(), np.repeat(node, near.size), np.tile(np.arange(near.size), fp.size))
+                i, k = np.nonzero(mine(variant))
+                yield _rows(variant[i, k], node[i], k)
                 variant = fp[:, None] ^ far[None, :]
-                i, k = np.nonzero(test(variant))
+                i, k = np.nonzero(mine(variant) if rounds > 1 else np.ones(variant.shape, bool))
+                some = test(variant[i, k])
+                i, k = i[some], k[some]
                 yield _rows(variant[i, k], node[i], near.size + k)
 
     def meet(batches):
@@ -120,9 +151,9 @@ def links(nodes: DataFrame, words: int = 22) -> DataFrame:
             pair = np.unique(np.stack([a[close], b[close]]), axis=1) if close.any() else np.zeros((2, 0), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
 
-    met = (nodes.select("fp", "node").mapInArrow(emit, "variant long, node long, kind int")
+    rows = (nodes.select("fp", "node").mapInArrow(emit, "variant long, node long, kind int")
            .repartition("variant").sortWithinPartitions("variant", F.col("kind") >= masks()[0].size, "node"))
-    return met.mapInArrow(meet, "a long, b long").distinct()
+    return rows.mapInArrow(meet, "a long, b long")
 
 
 def _then_none(batches):
@@ -143,39 +174,51 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
     ids alone has a null component.  Equal texts share a fingerprint, so copies are never expanded into
     pairs.  Empty and null texts all have fingerprint 0.  An empty table gives an empty result."""
     fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    classes = written(fps.groupBy("fp").agg(F.min("id").alias("first")), "classes")
+    classes = written(fps.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")), "classes")
     # links run between fingerprints, so that classes whose ids are all null take part as well
     nodes = classes.select("fp", F.col("fp").alias("node"))
     comp = components(links(nodes, words), "a", "b")
     named = classes.join(comp, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("root"))
+        "fp", "first", "rows", F.coalesce("component", "fp").alias("root"))
     named = written(named, "named")
-    least = named.groupBy("root").agg(F.min("first").alias("component"))
-    label = named.join(least, "root").select(F.col("fp").alias("_fp"), "component", "root")
-    return fps.join(label, F.col("fp") == F.col("_fp")).select("id", "fp", "component", "root")
+    least = named.groupBy("root").agg(F.min("first").alias("component"), F.count(F.lit(1)).alias("n"))
+    label = written(met(named, least, "root", "n", named.count()).select("fp", "component", "root", "rows"), "labelled")
+    total = label.agg(F.sum("rows")).first()[0] or 0
+    return met(fps, label, "fp", "rows", total).select("id", "fp", "component", "root")
 
 
 def keep_first(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
     """One row of ``docs`` for each group of near duplicates: that of the smallest id.  Where the id repeats, or
-    all ids of a group are null, the row of the group whose fingerprint, then text hash, is the smallest stays."""
+    all ids of a group are null, the row of the group whose fingerprint, then text hash, is the smallest stays;
+    of equal rows one.  Columns may have any names.  Rows that a fixed bit table says are not to be dropped stay
+    where they are; only the others meet the decisions."""
     near = written(near_duplicates(docs, id_col, text_col, shingle), "groups")
     first = near.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("f"))
-    often = near.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 or id is null").select(F.col("id").alias("_id"))
-    chosen = written(first.select("f.id", "f.fp").join(often, F.col("id").eqNullSafe(F.col("_id")), "left")
-                     .withColumn("again", F.col("id").isNull() | F.col("_id").isNotNull()).drop("_id"), "chosen")
-    once = chosen.where("not again").select(F.col("id").alias("__first"))
-    out = docs.join(once, F.col(id_col) == F.col("__first")).drop("__first")
-    again = chosen.where("again").select(F.col("id").alias("__first"), F.col("fp").alias("__fp"))
-    if again.isEmpty():
+    ids = near.groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    chosen = written(first.select("f.id", "f.fp"), "chosen")
+    keep = chosen.select(F.col("id").alias("kept_id")).distinct()
+    # ids that need a decision: of one row that goes, or of several rows
+    odd = written(ids.join(keep, F.col("id").eqNullSafe(F.col("kept_id")), "left").where("rows > 1 or id is null or kept_id is null")
+                  .select("id", (F.col("id").isNull() | (F.col("rows") > 1)).alias("several")), "odd")
+    test = bit_table(odd.select("id"), "id", GONE_BITS)
+    odd_id, several = free_names(docs.columns, "odd_id", "several")
+    maybe = F.col(id_col).isNull() | test(F.col(id_col))
+    asked = docs.where(maybe).join(odd.select(F.col("id").alias(odd_id), F.col("several").alias(several)), F.col(id_col).eqNullSafe(F.col(odd_id)), "left")
+    out = docs.where(~maybe).unionByName(asked.where(F.col(several).isNull()).select(*docs.columns))
+    if odd.where("several").isEmpty():
         return out
     # rows of these ids are told apart by their texts
-    ids = again.select("__first").distinct()
-    rows = docs.join(ids, F.col(id_col).eqNullSafe(F.col("__first"))).withColumn("__text", F.xxhash64(text_col))
-    prints = fingerprints(rows.withColumn("__key", F.struct("__first", "__text")), "__key", text_col, shingle)
-    texts = (prints.select(F.col("id.__first").alias("__id"), "id.__text", "fp")
-             .join(again, F.col("__id").eqNullSafe(F.col("__first")) & (F.col("fp") == F.col("__fp")))
-             .groupBy("__id", "__fp").agg(F.min("__text").alias("__least")).drop("__fp"))
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    kept = (rows.join(texts, F.col("__first").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__least")))
-            .groupBy("__first", "__text").agg(F.min(whole).alias("__row")))
-    return out.unionByName(kept.select("__row.*"))
+    rows = asked.where(several).select(F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias("row"), F.col(_quoted(id_col)).alias("id"),
+                                       F.xxhash64(_quoted(text_col)).alias("hash"), F.col(_quoted(text_col)).alias("text"))
+    prints = fingerprints(rows.select(F.struct("id", "hash").alias("key"), "text"), "key", "text", shingle)
+    texts = prints.select("id.id", "id.hash", "fp").withColumnsRenamed({"id": "i", "fp": "f"})
+    mine = chosen.join(odd.where("several").select(F.col("id").alias("o")), F.col("id").eqNullSafe(F.col("o")))
+    least = (texts.join(mine, F.col("i").eqNullSafe(F.col("id")) & (F.col("f") == F.col("fp")))
+             .groupBy("i", "f").agg(F.min("hash").alias("least")).select("i", "least").distinct())
+    kept = (rows.join(least, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("least")))
+            .groupBy("id", "hash").agg(F.min("row").alias("row")))
+    return out.unionByName(kept.select("row.*"))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -102,3 +102,21 @@ def test_one_row_of_each_group_stays_where_ids_repeat(spark):
     out = keep_first(docs_frame(spark, rows, extra=True), "doc_id", "text").collect()
     got = sorted((r.doc_id or 0, r.text) for r in out)
     assert got == sorted([(1, texts[0]), (1, texts[1]), (3, texts[2]), (3, texts[3]), (0, texts[4]), (9, ""), (0, texts[5]), (4, "alone")])
+
+
+def test_rounds_give_the_links_of_one(spark):
+    rng = random.Random(8)
+    fps = list({f ^ sum(1 << b for b in rng.sample(range(64), d)) for f in (rng.getrandbits(64) for _ in range(30)) for d in (0, 1, 2, 3)})
+    nodes = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, i) for i, f in enumerate(fps)], "fp long, node long")
+    one, many = ({(r.a, r.b) for r in links(nodes, words=8, per_round=n).collect()} for n in (1 << 24, 3000))
+    assert one == many
+
+
+def test_clashing_column_names_are_carried(spark):
+    rows = [(1, "a b c d", "s"), (2, "a b c d", "t"), (3, "other words in here", "s"), (3, "other words in here", "s"), (None, "null id", "s")]
+    names = ["__first", "__fp", "__text", "__row", "__key", "odd_id", "several", "hash", "i", "f", "least", "kept_id", "o"]
+    docs = docs_frame(spark, rows, extra=True).selectExpr("*", *[f"'x' AS `{c}`" for c in names])
+    out = keep_first(docs, "doc_id", "text")
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert sorted((r.doc_id or 0, r.source) for r in got) == [(0, "s"), (1, "s"), (3, "s")] and all(r[c] == "x" for r in got for c in names)
