@@ -98,14 +98,13 @@ def met(rows: DataFrame, table: DataFrame, key: str, times: str, total: int) ->
     return few.unionByName(rest)
 
 
-def label_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str, per_label: int,
-                 chars: int) -> tuple[list[tuple[str, int]], dict[int, int]]:
-    """What a classifier may learn from: up to ``per_label`` (text, label) for either label, and the number of
+def label_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str, per_label: int) -> tuple[list[tuple[str, int]], dict[int, int]]:
+    """What a classifier may learn from: up to ``per_label`` whole (text, label) rows for either label, and the number of
     usable labels of each kind.
 
     A label is usable if crc32 of its id as text, mod 4, is not 2 and it is 0 or 1; an id with both counts as
-    1.  Ids are drawn by seeded hash, so at most 2 * per_label rows are broadcast and come to the driver, each
-    cut to ``chars`` characters.  Rows without a text are left out; an id's repeated rows count once."""
+    1.  Ids are drawn by seeded hash, so at most 2 * per_label rows are broadcast and come to the driver.  Rows
+    without a text are left out; an id's repeated rows count once."""
     lab = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
            .where("id is not null and label in (0, 1)").where(~held_out(F.col("id")))
            .groupBy("id").agg(F.max("label").alias("label")))
@@ -114,7 +113,7 @@ def label_sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str
     for k in (0, 1):
         some = lab.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(per_label)
         drawn = some if drawn is None else drawn.unionByName(some)
-    rows = (docs.select(F.col(id_col).alias("id"), F.left(F.col(text_col), F.lit(chars)).alias("text")).where("text is not null")
+    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
             .join(F.broadcast(drawn), "id").groupBy("id", "label").agg(F.min("text").alias("text")).collect())
     rows.sort(key=lambda r: (zlib.crc32(str(r.id).encode()), r.id))
     return [(r.text, r.label) for r in rows], counts

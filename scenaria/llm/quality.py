@@ -38,7 +38,7 @@ def blocks(text: str | None) -> list[bytes]:
 
 def dictionary(texts: list[str], size: int) -> tuple[bytes, bool]:
     """A trained dictionary, or plain content where there are too few samples to train one."""
-    samples = [b for t in texts for b in blocks(t)[:8]]
+    samples = [b for t in texts for b in blocks(t)]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes(), True
     except zstandard.ZstdError:
@@ -63,10 +63,9 @@ def features(text: str | None, good, bad) -> list[float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", text_col: str = "text",
-        per_label: int = 4000, chars: int = 20_000, size: int = 112_640) -> Model:
-    """Learn from at most ``per_label`` texts of either label, the first ``chars`` characters of each (of the
-    sample only: scoring reads whole texts).  Without labels of both kinds the model is their share."""
-    rows, counts = label_sample(docs, labels, id_col, label_col, text_col, per_label, chars)
+        per_label: int = 4000, size: int = 112_640) -> Model:
+    """Learn from at most ``per_label`` whole texts of either label, drawn by a hash of their ids.  Without labels of both kinds the model is their share."""
+    rows, counts = label_sample(docs, labels, id_col, label_col, text_col, per_label)
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.5
     by = {k: [t for t, y in rows if y == k] for k in (0, 1)}

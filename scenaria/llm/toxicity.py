@@ -3,7 +3,7 @@
 Documents carry the labels, the chain needs labelled words: a greedy cover finds the words and word
 beginnings that explain the toxic documents of a bounded sample and that clean ones hardly use, and a word
 is labelled toxic if it is, or begins with, one of them.  The chain (two states) is then trained on
-sentences of those documents, with the word, its beginnings and ends and its shape as features, by
+those documents, with the word, its beginnings and ends and its shape as features, by
 gradient ascent on the exact likelihood.  Forward-backward gives every word its marginal; a logistic model
 over a document's strongest marginals gives its score, and words over one half its offending offsets.
 """
@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame
 
 from .common import label_sample, logistic, scored
 
-CHAIN = 256  # longer texts are chains of this many words, one after the other
+CHAIN = 256  # words of a longer text that are computed together, with what lies around them
+NEAR = 1e-12  # how far the surroundings' own ends may move a marginal
 BITS = 18
+STEMS = (3, 4, 5, 6, 7, 8)
 EDGE = re.compile(r"^\W+|\W+$")
 SPANS = "spans array<struct<start: int, end: int>>"
 
@@ -41,14 +43,14 @@ def core(word: str) -> str:
 
 
 def keys(word: str) -> list[str]:
-    """What may mark a word as toxic: itself and its beginnings of four to six letters."""
+    """What may mark a word as toxic: itself and its beginnings of three to eight letters."""
     w = core(word)
-    return ["=" + w, *["^" + w[:n] for n in (4, 5, 6) if len(w) > n]] if w else []
+    return ["=" + w, *["^" + w[:n] for n in STEMS if len(w) > n]] if w else []
 
 
 def features(word: str) -> list[int]:
     w = core(word)
-    names = ["=" + w, *["^" + w[:n] for n in (3, 4, 5, 6)], *["$" + w[-n:] for n in (2, 3)],
+    names = ["=" + w, *["^" + w[:n] for n in STEMS], *["$" + w[-n:] for n in (2, 3)],
              f"shape {word.isupper():d}{any(c.isdigit() for c in word):d}{w != word.lower():d}{min(len(w), 8)}"]
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) >> (32 - BITS) for x in dict.fromkeys(names)]
 
@@ -57,9 +59,22 @@ def text_keys(text: str) -> set[str]:
     return {k for w in set(text.split()) for k in keys(w)}
 
 
-def one_of_copies(texts: list[str]) -> list[str]:
-    """One text of most groups of near copies: those with the same least word hash."""
-    return list({min((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in set(t.split())), default=0): t for t in texts}.values())
+def one_of_copies(texts: list[str], share: float = 0.5, hashes: int = 64) -> list[str]:
+    """The texts that do not share their words, to about ``share`` or more (Jaccard, by ``hashes`` min-hashes of the
+    distinct words), with one kept before."""
+    odd = np.array([zlib.crc32(b"%d" % i) << 32 | zlib.crc32(b"-%d" % i) | 1 for i in range(hashes)], np.uint64)
+    kept, prints, n = [], np.zeros((len(texts), hashes), np.uint64), 0
+    for t in texts:
+        words = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) + 1 for w in set(t.split())] or [0], np.uint64)
+        print_ = np.full(hashes, np.iinfo(np.uint64).max, np.uint64)
+        for i in range(0, len(words), 4096):
+            h = words[i:i + 4096, None] * odd[None, :]
+            print_ = np.minimum(print_, ((h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)).min(axis=0))
+        if not n or (prints[:n] == print_).mean(axis=1).max() < share:
+            prints[n] = print_
+            kept.append(t)
+            n += 1
+    return kept
 
 
 def lexicon(toxic: list[str], clean: list[str], most_clean: float = 0.02, least: int = 3, common: float = 0.02) -> set[str]:
@@ -124,8 +139,21 @@ def halves(r: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves) -> tup
     return ahead, back
 
 
-def cut(n: int) -> list[int]:
-    return [min(CHAIN, n - a) for a in range(0, n, CHAIN)]
+def reach(moves) -> int:
+    """Words after which what lies beyond changes the odds by less than ``NEAR``: a step along the chain brings any two
+    odds nearer, by Birkhoff's factor at least, whatever the words say."""
+    t00, t01, t10, t11 = np.exp(np.asarray(moves[:4], dtype=float))
+    spread = math.sqrt(max(t00 * t11 / (t01 * t10), t01 * t10 / (t00 * t11)))
+    factor = (spread - 1) / (spread + 1)
+    return 1 if factor <= NEAR else min(1 << 20, math.ceil(math.log(NEAR / 200) / math.log(factor)))
+
+
+def cut(n: int, more: int) -> list[tuple[int, int, int, int]]:
+    """(from, to, first, past) of the pieces that a text of ``n`` words is computed in: words ``first`` to ``past`` are
+    asked for, ``from`` to ``to`` are computed."""
+    if n <= CHAIN + 2 * more:
+        return [(0, n, 0, n)] if n else []
+    return [(max(0, a - more), min(n, a + CHAIN + more), a, min(n, a + CHAIN)) for a in range(0, n, CHAIN)]
 
 
 def train(chains: list[list[str]], tags: list[np.ndarray], rounds: int = 60, ridge: float = 1e-4) -> tuple[dict[int, float], list[float]]:
@@ -184,13 +212,22 @@ class Odds(dict):
 def marginals(words: list[list[str]], model: Model, memory: Odds) -> list[np.ndarray]:
     """The probability of the toxic state for every word of every text."""
     own = [np.fromiter(map(memory.__getitem__, ws), dtype=float, count=len(ws)) for ws in words]
-    lengths = [n for ws in words for n in cut(len(ws))]
-    r = np.concatenate(own) if own else np.zeros(0)
-    lengths = np.array(lengths, dtype=np.int64)
-    ahead, back = halves(r, np.cumsum(lengths) - lengths, lengths, model.moves)
+    if not own:
+        return []
+    r, begin, more = np.concatenate(own), np.cumsum([0] + [len(x) for x in own]), reach(model.moves)
+    pieces = np.array([(at + f, at + t, at + a, at + b, f > 0) for at, x in zip(begin, own, strict=False) for f, t, a, b in cut(len(x), more)],
+                      dtype=np.int64).reshape(-1, 5)
+    lengths = pieces[:, 1] - pieces[:, 0]
+    starts = np.cumsum(lengths) - lengths
+    wide = r[np.arange(lengths.sum()) + np.repeat(pieces[:, 0] - starts, lengths)]
+    ahead, back = halves(wide, starts, lengths, model.moves)
     p = ahead * back
     p /= 1 + p
-    return np.split(p, np.cumsum([len(x) for x in own])[:-1]) if own else []
+    size = pieces[:, 3] - pieces[:, 2]
+    out = np.empty(len(r))
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(pieces[:, 2], size) + inside] = p[np.repeat(starts + pieces[:, 2] - pieces[:, 0], size) + inside]
+    return np.split(out, begin[1:-1])
 
 
 def summary(p: np.ndarray) -> list[float]:
@@ -200,11 +237,12 @@ def summary(p: np.ndarray) -> list[float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", text_col: str = "text",
-        per_label: int = 2500, chars: int = 20_000, chains_per_label: int = 6000) -> Model:
-    """Learn from at most ``per_label`` texts of either label, the first ``chars`` characters of each (of the
-    sample only), and at most ``chains_per_label`` sentences with and without a toxic word.  Without labels
-    of both kinds, or without any word that tells them apart, the model is the share of toxic ones."""
-    rows, counts = label_sample(docs, labels, id_col, label_col, text_col, per_label, chars)
+        per_label: int = 2500) -> Model:
+    """Learn from at most ``per_label`` whole texts of either label, drawn by a hash of their ids; texts of the same words
+    count once.  The chains are the whole texts, as in scoring; the words of long ones are learned in pieces of
+    ``CHAIN``.  Without labels of both kinds, or without any word that tells them apart, the model is the share of
+    toxic ones."""
+    rows, counts = label_sample(docs, labels, id_col, label_col, text_col, per_label)
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.5
     rows = list(dict.fromkeys(rows))  # copies count once
@@ -212,22 +250,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     bad = lexicon(by[1], by[0])
     if not bad or not by[0]:
         return Model({}, [0.0] * 5, None, prior)
-    chains: dict[bool, list] = {True: [], False: []}
-    room = {True: chains_per_label, False: 2 * chains_per_label}
+    toxic: dict[str, bool] = {}
+    used = []
     for k in (1, 0):
         for t in by[k]:
-            if k == 0 and len(chains[False]) >= room[False]:
-                break
             ws = t.split()
-            tags = [k == 1 and not bad.isdisjoint(keys(w)) for w in ws]
-            at = 0
-            for i, w in enumerate(ws):
-                if w[-1] in ".!?" or i - at == 39 or i == len(ws) - 1:
-                    kind = any(tags[at:i + 1])
-                    if len(chains[kind]) < room[kind]:
-                        chains[kind].append((ws[at:i + 1], np.array(tags[at:i + 1])))
-                    at = i + 1
-    used = chains[True] + chains[False]
+            tags = np.zeros(len(ws), bool)
+            if k:
+                tags[:] = [toxic[w] if w in toxic else toxic.setdefault(w, not bad.isdisjoint(keys(w))) for w in ws]
+            used += [(ws[i:i + CHAIN], tags[i:i + CHAIN]) for i in range(0, len(ws), CHAIN)]
     emit, moves = train([c for c, _ in used], [t for _, t in used])
     model = Model(emit, moves, None, prior)
     memory = Odds(emit)

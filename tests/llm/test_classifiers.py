@@ -110,3 +110,30 @@ def test_marginals_against_all_taggings():
             for t, y in enumerate(tags):
                 mass[t, y] += w
         assert np.allclose(odds[s:s + n], mass[:, 1] / mass[:, 0])
+
+
+def test_pieces_give_the_marginals_of_the_whole_chain(monkeypatch):
+    """A long text's marginals, computed in pieces with their surroundings, are those of one unbroken chain."""
+    import numpy as np
+
+    from scenaria.llm import toxicity
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(40)]
+    for moves in ([1.1, -1.2, -1.1, -0.8, -3.0], [2.5, -2.0, -2.0, 2.5, -1.0], [0.0, 0.0, 0.0, 0.0, -1.0]):
+        emit = {f: float(rng.normal(scale=2)) for w in words for f in toxicity.features(w)}
+        model = toxicity.Model(emit, moves, [1.0, 1.0, 0.0], 0.5)
+        texts = [list(rng.choice(words, n)) for n in (3000, 0, 1, 17, 700, 255, 256, 257)]
+        got = toxicity.marginals(texts, model, toxicity.Odds(emit))
+        monkeypatch.setattr(toxicity, "CHAIN", 10 ** 9)
+        want = toxicity.marginals(texts, model, toxicity.Odds(emit))
+        monkeypatch.undo()
+        assert [len(x) for x in got] == [len(x) for x in texts]
+        assert all(np.allclose(a, b, rtol=0, atol=1e-11) for a, b in zip(got, want, strict=True))
+
+
+def test_copies_are_texts_that_share_their_words():
+    from scenaria.llm.toxicity import one_of_copies
+    base = [f"word{i}" for i in range(60)]
+    other = [f"thing{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join(base[:55] + other[:4]), " ".join(reversed(base)), " ".join(other), " ".join(base[:10] + other[10:50]), "", ""]
+    assert one_of_copies(texts) == [texts[0], texts[3], ""]
