@@ -10,6 +10,7 @@ over a document's strongest marginals gives its score, and words over one half i
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import zlib
@@ -156,42 +157,49 @@ def cut(n: int, more: int) -> list[tuple[int, int, int, int]]:
     return [(max(0, a - more), min(n, a + CHAIN + more), a, min(n, a + CHAIN)) for a in range(0, n, CHAIN)]
 
 
-def train(chains: list[list[str]], tags: list[np.ndarray], rounds: int = 60, ridge: float = 1e-4) -> tuple[dict[int, float], list[float]]:
-    """Feature weights and moves by Adam on the mean log-likelihood of the labelled chains."""
-    vocabulary: dict[str, int] = {}
-    ids = np.array([vocabulary.setdefault(w, len(vocabulary)) for c in chains for w in c])
-    y = np.concatenate(tags).astype(float)
-    lengths = np.array([len(c) for c in chains])
-    starts = np.r_[0, np.cumsum(lengths)[:-1]]
+def train(chains: list[np.ndarray], tags: list[np.ndarray], vocabulary: list[str], rounds: int = 60, ridge: float = 1e-4,
+          together: int = 200_000) -> tuple[dict[int, float], list[float]]:
+    """Feature weights and moves by Adam on the mean log-likelihood of the labelled chains, given as word numbers; the
+    slopes are summed over groups of chains of about ``together`` words, so memory does not grow with the chains."""
     feats = [features(w) for w in vocabulary]
-    flat = np.array([f for x in feats for f in x])
-    of = np.repeat(np.arange(len(feats)), [len(x) for x in feats])
-    first = np.zeros(len(ids), bool)
-    first[starts] = True
-    pairs = np.flatnonzero(~first)
-    seen = np.array([((1 - y[pairs - 1]) * (1 - y[pairs])).sum(), ((1 - y[pairs - 1]) * y[pairs]).sum(),
-                     (y[pairs - 1] * (1 - y[pairs])).sum(), (y[pairs - 1] * y[pairs]).sum(), y[starts].sum()])
+    flat = np.array([f for x in feats for f in x], dtype=np.int32)
+    of = np.repeat(np.arange(len(feats), dtype=np.int32), [len(x) for x in feats])
+    groups, at, size = [], 0, 0
+    for i, c in enumerate(chains):
+        size += len(c)
+        if size >= together or i == len(chains) - 1:
+            groups.append((at, i + 1))
+            at, size = i + 1, 0
     w, moves = np.zeros(1 << BITS), np.zeros(5)
     moves[4] = -3.0
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (w, moves)]
     for step in range(1, rounds + 1):
-        score = np.bincount(of, weights=w[flat], minlength=len(feats))
-        r = np.exp(np.clip(score, -30, 30))[ids]
-        ahead, back = halves(r, starts, lengths, moves)
-        o = ahead * back
-        p = o / (1 + o)
-        # marginals of neighbouring pairs
+        odds = np.exp(np.clip(np.bincount(of, weights=w[flat], minlength=len(feats)), -30, 30))
         t = np.exp(moves)
-        a, b = ahead[pairs - 1], (r * back)[pairs]
-        cells = np.stack([t[0] * np.ones_like(a), t[1] * b, a * t[2], a * t[3] * b])
-        cells /= cells.sum(axis=0)
-        slope_moves = (seen - np.r_[cells.sum(axis=1), p[starts].sum()]) / len(chains)
-        rest = np.bincount(ids, weights=y - p, minlength=len(feats)) / len(chains)
+        slope_moves, rest = np.zeros(5), np.zeros(len(feats))
+        for a, b in groups:
+            ids, y = np.concatenate(chains[a:b]), np.concatenate(tags[a:b]).astype(float)
+            lengths = np.array([len(c) for c in chains[a:b]])
+            starts = np.r_[0, np.cumsum(lengths)[:-1]]
+            follows = np.ones(len(ids), bool)
+            follows[starts] = False
+            pairs = np.flatnonzero(follows)
+            r = odds[ids]
+            ahead, back = halves(r, starts, lengths, moves)
+            p = ahead * back
+            p /= 1 + p
+            x, z = ahead[pairs - 1], (r * back)[pairs]  # marginals of neighbouring pairs
+            whole = t[0] + t[1] * z + x * t[2] + x * t[3] * z
+            before, now = y[pairs - 1], y[pairs]
+            slope_moves += [((1 - before) * (1 - now) - t[0] / whole).sum(), ((1 - before) * now - t[1] * z / whole).sum(),
+                            (before * (1 - now) - x * t[2] / whole).sum(), (before * now - x * t[3] * z / whole).sum(), (y[starts] - p[starts]).sum()]
+            rest += np.bincount(ids, weights=y - p, minlength=len(feats))
+        rest /= len(chains)
         slope = np.bincount(flat, weights=rest[of], minlength=len(w)) - ridge * w
-        for x, g, (m, v) in zip((w, moves), (slope, slope_moves), state, strict=True):
+        for v, g, (m, q) in zip((w, moves), (slope, slope_moves / len(chains)), state, strict=True):
             m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            x += 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
+            q += 0.01 * (g * g - q)
+            v += 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(q / (1 - 0.99 ** step)) + 1e-6)
     return {int(k): float(w[k]) for k in np.flatnonzero(np.abs(w) > 1e-6)}, moves.tolist()
 
 
@@ -250,16 +258,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     bad = lexicon(by[1], by[0])
     if not bad or not by[0]:
         return Model({}, [0.0] * 5, None, prior)
-    toxic: dict[str, bool] = {}
-    used = []
+    number: dict[str, int] = {}  # words by number: their texts are kept once
+    toxic: list[bool] = []
+    chains, tags = [], []
     for k in (1, 0):
         for t in by[k]:
-            ws = t.split()
-            tags = np.zeros(len(ws), bool)
-            if k:
-                tags[:] = [toxic[w] if w in toxic else toxic.setdefault(w, not bad.isdisjoint(keys(w))) for w in ws]
-            used += [(ws[i:i + CHAIN], tags[i:i + CHAIN]) for i in range(0, len(ws), CHAIN)]
-    emit, moves = train([c for c, _ in used], [t for _, t in used])
+            ids = np.fromiter((number.setdefault(w, len(number)) for w in t.split()), np.int32)
+            toxic += [not bad.isdisjoint(keys(w)) for w in itertools.islice(number, len(toxic), None)]
+            mine = np.fromiter((toxic[i] for i in ids.tolist()), bool, len(ids)) if k else np.zeros(len(ids), bool)
+            for i in range(0, len(ids), CHAIN):
+                chains.append(ids[i:i + CHAIN]), tags.append(mine[i:i + CHAIN])
+    if not chains:
+        return Model({}, [0.0] * 5, None, prior)
+    emit, moves = train(chains, tags, list(number))
+    del chains, tags
     model = Model(emit, moves, None, prior)
     memory = Odds(emit)
     x = np.array([summary(p) for k in (0, 1) for t in by[k] for p in marginals([t.split()], model, memory)])
