@@ -49,11 +49,30 @@ def keys(word: str) -> list[str]:
     return ["=" + w, *["^" + w[:n] for n in STEMS if len(w) > n]] if w else []
 
 
+_WORD, _BEGIN, _END, _SHAPE = (zlib.crc32(x) for x in (b"=", b"^", b"$", b"shape"))
+
+
 def features(word: str) -> list[int]:
+    """Hashed features of a word: itself, its beginnings and ends, its shape.  A beginning's crc goes on from that of
+    the one before it."""
     w = core(word)
-    names = ["=" + w, *["^" + w[:n] for n in STEMS], *["$" + w[-n:] for n in (2, 3)],
-             f"shape {word.isupper():d}{any(c.isdigit() for c in word):d}{w != word.lower():d}{min(len(w), 8)}"]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) >> (32 - BITS) for x in dict.fromkeys(names)]
+    shift, crc, n = 32 - BITS, zlib.crc32, len(w)
+    plain = word.isalpha()
+    shape = word.isupper() * 32 + (not plain and any(map(str.isdigit, word))) * 16 + (w != (word if plain and word.islower() else word.lower())) * 8
+    out = [crc(b"%d" % (shape + min(n, 7)), _SHAPE) >> shift]
+    if not n:
+        return out
+    data = w.encode("utf-8", "surrogatepass")
+    out.append(crc(data, _WORD) >> shift)
+    at, h, ascii_ = 0, _BEGIN, len(data) == n
+    for stem in STEMS:
+        if at < n:
+            h = crc(data[at:stem] if ascii_ else w[at:stem].encode("utf-8", "surrogatepass"), h)
+            out.append(h >> shift)
+            at = stem
+    for size in (2, 3) if n > 2 else (2,):
+        out.append(crc(data[-size:] if ascii_ else w[-size:].encode("utf-8", "surrogatepass"), _END) >> shift)
+    return out
 
 
 def text_keys(text: str) -> set[str]:
@@ -210,10 +229,12 @@ class Odds(dict):
         self.emit = emit
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 200_000:
+        if len(self) > 500_000:
             self.clear()
-        get = self.emit.get
-        self[word] = x = math.exp(max(-30.0, min(30.0, sum(get(f, 0.0) for f in features(word)))))
+        get, total = self.emit.get, 0.0
+        for f in features(word):
+            total += get(f, 0.0)
+        self[word] = x = math.exp(max(-30.0, min(30.0, total)))
         return x
 
 
