@@ -30,8 +30,6 @@ from .components import components
 HALF = 32
 #: Near variants met at once: four for each word of the filter.
 PER_ROUND = 1 << 24
-#: Bits, as a power of two, of the table that says which rows of a corpus are not simply kept.
-GONE_BITS = 22
 
 
 def text_fingerprint(text: str | None, shingle: int) -> int:
@@ -200,7 +198,7 @@ def keep_first(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) ->
     # ids that need a decision: of one row that goes, or of several rows
     odd = written(ids.join(keep, F.col("id").eqNullSafe(F.col("kept_id")), "left").where("rows > 1 or id is null or kept_id is null")
                   .select("id", (F.col("id").isNull() | (F.col("rows") > 1)).alias("several")), "odd")
-    test = bit_table(odd.select("id"), "id", GONE_BITS)
+    test = bit_table(odd.select("id"), "id")
     odd_id, several = free_names(docs.columns, "odd_id", "several")
     maybe = F.col(id_col).isNull() | test(F.col(id_col))
     asked = docs.where(maybe).join(odd.select(F.col("id").alias(odd_id), F.col("several").alias(several)), F.col(id_col).eqNullSafe(F.col(odd_id)), "left")
