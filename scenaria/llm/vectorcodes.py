@@ -60,8 +60,7 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def blocks(rows: DataFrame, width: int, parts: int, scale: int) -> DataFrame:
-    """(ids, labels, part, block): for every part of about ``BLOCK`` rows, its points and their tree; ids and labels
-    come with part 0's row ... that of all parts, one after another, in one row."""
+    """(ids, labels, data): one row for about ``BLOCK`` rows as they are read, with the points and the tree of every part."""
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("id", "label")}
     step = width // parts
 
