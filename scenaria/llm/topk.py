@@ -27,13 +27,17 @@ SHARD_ROWS = 4096
 BATCH = 2048
 PACK = 1024
 PIVOTS = 32
-FOUND = "query_id long, vec_id long, score long"
+#: Components are held at this size, scores at LIMIT.
+WIDEST = 2.0 ** 62
+LIMIT = 2 ** 63 - 1
+FOUND = "query long, query_id long, vec_id long, copies long, score long"
 
 
 def whole(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 64) -> DataFrame:
-    """(vec_id, dim, v): floor(scale * component) as little-endian numbers, 4 bytes each where they fit, else 8.
-    A row whose id or vector is null, or that holds a null or a value that is not finite, is left out; of rows
-    of equal id one counts, the shortest and then the first in byte order.  Shorter vectors count as filled up with zeros."""
+    """(vec_id, dim, v, copies): floor(scale * component) as little-endian numbers, 4 bytes each where they fit, else 8.
+    A row whose id or vector is null, or that holds a null or a value that is not finite, is left out; rows of equal
+    id and numbers come as one with their count.  Numbers beyond 2^62 are held there.  Shorter vectors count as
+    filled up with zeros."""
     src = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where(
         "vec_id is not null and v is not null")
 
@@ -47,16 +51,15 @@ def whole(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 64) ->
                 x = flat[a:e]  # nulls read as NaN
                 if not np.isfinite(x).all():
                     continue
-                y = np.floor(scale * x)
-                if len(y) and np.abs(y).max() >= 2.0 ** 62:
-                    raise ValueError("a component is too large for a 64-bit number")
+                with np.errstate(over="ignore"):
+                    y = np.clip(np.floor(scale * x), -WIDEST, WIDEST)
                 small = not len(y) or np.abs(y).max() < 2 ** 31
                 keep.append(i), dims.append(e - a), out.append(y.astype("<i4" if small else "<i8").tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), pa.array(dims, pa.int32()),
                                               pa.array(out, pa.binary())], names=["vec_id", "dim", "v"])
 
     rows = src.mapInArrow(run, "vec_id long, dim int, v binary")
-    return rows.groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("x")).select("vec_id", "x.dim", "x.v")
+    return rows.groupBy("vec_id", "dim", "v").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def matrix(dims: list[int], vectors: list[bytes], width: int | None = None) -> np.ndarray:
@@ -71,26 +74,34 @@ def matrix(dims: list[int], vectors: list[bytes], width: int | None = None) -> n
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b.T of whole numbers, exactly: in floating point while no sum can pass 2**53, else in Python's."""
+    """a @ b.T of whole numbers, exactly: in floating point while no sum can pass 2**52, else in Python's."""
     n = min(a.shape[1], b.shape[1])
     a, b = a[:, :n], b[:, :n]
-    if a.dtype != object and b.dtype != object and n and a.size and b.size and np.abs(a).max() * np.abs(b).max() * n >= 2.0 ** 53:
-        a, b = a.astype(np.int64).astype(object), b.astype(np.int64).astype(object)
+    wide = a.dtype == object or b.dtype == object
+    if wide or n and a.size and b.size and np.abs(a).max() * np.abs(b).max() * n >= 2.0 ** 52:
+        a, b = (x if x.dtype == object else x.astype(np.int64).astype(object) for x in (a, b))
     return a @ b.T
 
 
+def held(scores: np.ndarray) -> np.ndarray:
+    """Scores that pass a 64-bit number are held at its end; order is kept, so bounds stay bounds."""
+    return np.minimum(np.maximum(scores, -LIMIT), LIMIT) if scores.dtype == object else scores
+
+
 def bounds(q: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
     """Summed term maxima; what a range lacks of the query's dimensions, or the query of the range's, is 0."""
-    return product(np.maximum(q, 0), high) + product(np.minimum(q, 0), low)
+    return held(product(np.maximum(q, 0), high) + product(np.minimum(q, 0), low))
 
 
-def search(q, q_ids, d, d_ids, high, low, k, least, past):
-    """(query position, vec_id, score) of each query's k best in one shard that beat ``least``, or reach it with an
-    id below ``past``, ties to the smaller id, without the query's own id."""
+def search(q, own, d, d_ids, high, low, k, least, past, d_rows=None):
+    """(query position, vec_id, score, position in the shard) of each query's k best in one shard that beat ``least``,
+    or reach it with an id below ``past``, ties to the smaller id, without the row that is the query's own (``own``,
+    a number of ``d_rows``, or of the ids where these are not given)."""
+    d_rows = d_ids if d_rows is None else d_rows
     u = bounds(q, high, low)
     order = np.argsort(-u, axis=1, kind="stable")
     kth = least.copy()
-    found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, u.dtype))
+    found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, u.dtype), np.zeros(0, np.int64))
     at, width, n = 0, 1, u.shape[1]
     while at < n:
         act = np.flatnonzero(u[np.arange(len(q)), order[:, at]] >= kth)
@@ -103,10 +114,10 @@ def search(q, q_ids, d, d_ids, high, low, k, least, past):
         new = [found]
         for part in np.split(by, np.flatnonzero(np.diff(b[by])) + 1):
             g, rows = qi[part], slice(b[part[0]] * BLOCK, (b[part[0]] + 1) * BLOCK)
-            s = product(q[g], d[rows])
+            s = held(product(q[g], d[rows]))
             better = (s > least[g][:, None]) | (s == least[g][:, None]) & (d_ids[rows][None, :] < past[g][:, None])
-            i, j = np.nonzero((s >= kth[g][:, None]) & better & (d_ids[rows][None, :] != q_ids[g][:, None]))
-            new.append((g[i], d_ids[rows][j], s[i, j]))
+            i, j = np.nonzero((s >= kth[g][:, None]) & better & (d_rows[rows][None, :] != own[g][:, None]))
+            new.append((g[i], d_ids[rows][j], s[i, j], rows.start + j))
         found = tuple(np.concatenate(x) for x in zip(*new, strict=True))
         by = np.lexsort((found[1], -found[2], found[0]))
         found = tuple(x[by] for x in found)
@@ -117,6 +128,8 @@ def search(q, q_ids, d, d_ids, high, low, k, least, past):
         if last.size:
             full = np.flatnonzero(np.bincount(found[0], minlength=len(q)) == k)
             ends = np.searchsorted(found[0], full, side="right") - 1
+            if found[2].dtype == object:  # a float would round the k-th score
+                kth = kth.astype(object)
             kth[full] = np.maximum(kth[full], found[2][ends])
         at, width = at + width, min(2 * width, 32)
     return found
@@ -132,17 +145,17 @@ def _order(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
             s = x[:, :n] @ pivots[:, :n].T
             two = np.argsort(-s, axis=1, kind="stable")[:, :2]
             code = two @ np.array([PIVOTS, 1])[:two.shape[1]]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(code.astype(np.int32))], names=["vec_id", "dim", "v", "code"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(code.astype(np.int32))], names=["vec_id", "dim", "v", "row", "copies", "code"])
 
-    return rows.mapInArrow(run, "vec_id long, dim int, v binary, code int")
+    return rows.select("vec_id", "dim", "v", "row", "copies").mapInArrow(run, "vec_id long, dim int, v binary, row long, copies long, code int")
 
 
 def _cut(rows: DataFrame, most: int, parts: int, name: str) -> DataFrame:
-    """One row for every run of at most ``most`` vectors in code order: its number, ids, vectors and, of each
-    block, the largest and smallest value per dimension."""
+    """One row for every run of at most ``most`` vectors in code order: its number, ids, row numbers, copies, vectors
+    and, of each block, the largest and smallest value per dimension."""
 
     def run(batches):
-        no, ids, dims, vectors = TaskContext.get().partitionId() << 32, [], [], []
+        no, ids, dims, vectors, numbers, copies = TaskContext.get().partitionId() << 32, [], [], [], [], []
 
         def row():
             width = max(dims)
@@ -152,23 +165,25 @@ def _cut(rows: DataFrame, most: int, parts: int, name: str) -> DataFrame:
             if x.dtype == object:
                 high, low, x = (z.astype(np.int64) for z in (high, low, x))
             pack = lambda z: z.astype("<i8" if z.size and np.abs(z).max() >= 2 ** 31 else "<i4").tobytes()
-            return pa.RecordBatch.from_pydict({"no": [no], "dim": [width], "ids": [np.array(ids, "<i8").tobytes()], "v": [pack(x)],
+            return pa.RecordBatch.from_pydict({"no": [no], "dim": [width], "ids": [np.array(ids, "<i8").tobytes()],
+                                               "rows": [np.array(numbers, "<i8").tobytes()], "copies": [np.array(copies, "<i8").tobytes()], "v": [pack(x)],
                                                "high": [pack(high)], "low": [pack(low)], "top": [pack(high.max(axis=0))],
                                                "bottom": [pack(low.min(axis=0))]}, schema=RUN)
         for b in batches:
-            for i, n, v in zip(*(c.to_pylist() for c in b.columns[:3]), strict=True):
-                ids.append(i), dims.append(n), vectors.append(v)
+            for i, n, v, r, c in zip(*(c.to_pylist() for c in b.columns[:5]), strict=True):
+                ids.append(i), dims.append(n), vectors.append(v), numbers.append(r), copies.append(c)
                 if len(ids) == most:
                     yield row()
-                    no, ids, dims, vectors = no + 1, [], [], []
+                    no, ids, dims, vectors, numbers, copies = no + 1, [], [], [], [], []
         if ids:
             yield row()
 
     dealt = rows.repartitionByRange(parts, "code", "vec_id").sortWithinPartitions("code", "vec_id")
-    return written(dealt.mapInArrow(run, "no long, dim int, ids binary, v binary, high binary, low binary, top binary, bottom binary"), name)
+    return written(dealt.mapInArrow(run, "no long, dim int, ids binary, rows binary, copies binary, v binary, high binary, low binary, "
+                                    "top binary, bottom binary"), name)
 
 
-RUN = pa.schema([("no", pa.int64()), ("dim", pa.int32()), *((n, pa.binary()) for n in ("ids", "v", "high", "low", "top", "bottom"))])
+RUN = pa.schema([("no", pa.int64()), ("dim", pa.int32()), *((n, pa.binary()) for n in ("ids", "rows", "copies", "v", "high", "low", "top", "bottom"))])
 
 
 def _rows(data: bytes, dim: int, count: int) -> np.ndarray:
@@ -182,23 +197,24 @@ def _visit(pairs: DataFrame, k: int) -> DataFrame:
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                q_ids, d_ids = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["ids"], "<i8")
+                q_ids, q_rows, d_ids, d_rows, copies = (np.frombuffer(r[c], "<i8") for c in ("q_ids", "q_rows", "ids", "rows", "copies"))
                 q = _rows(r["q_v"], r["q_dim"], len(q_ids))
                 at = np.frombuffer(r["at"], "<i4")
                 n = -(-len(d_ids) // BLOCK)
                 least, past = np.frombuffer(r["least"], "<f8"), np.frombuffer(r["past"], "<i8")
-                i, vec, score = search(q[at], q_ids[at], _rows(r["v"], r["dim"], len(d_ids)), d_ids, _rows(r["high"], r["dim"], n),
-                                       _rows(r["low"], r["dim"], n), k, least, past)
-                if any(abs(int(s)) >= 2 ** 63 for s in (score.max(initial=0), score.min(initial=0))):
-                    raise ValueError("a score is too large for a 64-bit number")
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[at][i]), pa.array(vec), pa.array(score.astype(np.int64))],
-                                                 names=["query_id", "vec_id", "score"])
+                # copies of the query's own row are other rows
+                others = np.where(copies > 1, np.iinfo(np.int64).min, d_rows)
+                i, vec, score, j = search(q[at], q_rows[at], _rows(r["v"], r["dim"], len(d_ids)), d_ids, _rows(r["high"], r["dim"], n),
+                                          _rows(r["low"], r["dim"], n), k, least, past, others)
+                asking = q_rows[at][i]
+                yield pa.RecordBatch.from_arrays([pa.array(asking), pa.array(q_ids[at][i]), pa.array(vec), pa.array(copies[j] - (d_rows[j] == asking)),
+                                                  pa.array(score.astype(np.int64))], names=["query", "query_id", "vec_id", "copies", "score"])
 
-    return pairs.select("at", "least", "past", "q_ids", "q_dim", "q_v", "ids", "dim", "v", "high", "low").mapInArrow(run, FOUND)
+    return pairs.select("at", "least", "past", "q_ids", "q_rows", "q_dim", "q_v", "ids", "rows", "copies", "dim", "v", "high", "low").mapInArrow(run, FOUND)
 
 
 def _meet(which: DataFrame, queries: DataFrame, shards: DataFrame) -> DataFrame:
-    q = queries.select(F.col("no").alias("batch"), F.col("ids").alias("q_ids"), F.col("dim").alias("q_dim"), F.col("v").alias("q_v"))
+    q = queries.select(F.col("no").alias("batch"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("dim").alias("q_dim"), F.col("v").alias("q_v"))
     return which.join(shards.withColumnRenamed("no", "shard"), "shard").join(q, "batch")
 
 
@@ -253,16 +269,16 @@ def _gather(aims: DataFrame) -> DataFrame:
 
 
 def _positions(batches: DataFrame) -> DataFrame:
-    """(batch, at, query_id) of every query."""
+    """(batch, at, query) of every query."""
 
     def run(parts):
         for b in parts:
             for no, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 q = np.frombuffer(ids, "<i8")
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(q), no)), pa.array(np.arange(len(q), dtype=np.int32)), pa.array(q)],
-                                                 names=["batch", "at", "query_id"])
+                                                 names=["batch", "at", "query"])
 
-    return batches.select("no", "ids").mapInArrow(run, "batch long, at int, query_id long")
+    return batches.select("no", "rows").mapInArrow(run, "batch long, at int, query long")
 
 
 def _flat(least: DataFrame) -> DataFrame:
@@ -279,12 +295,19 @@ def _flat(least: DataFrame) -> DataFrame:
 
 def top_k(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str, k: int = K, scale: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` (columns as in ``vectors``) the k rows of
-    ``vectors`` with another id and the highest inner product of floor(scale * component), ties to the smaller
-    id; all of them if there are fewer.  Rows that cannot take part (see ``whole``) are left out on either
-    side.  Empty tables give an empty result."""
+    ``vectors`` but its own with the highest inner product of floor(scale * component), ties to the smaller
+    id; all of them if there are fewer.
+
+    A query's own row is one row of its id and numbers; more rows of that id are candidates like others, and every
+    repeated row counts for itself.  Query rows of equal id and numbers are one query; those that share an id alone
+    are answered each.  Rows that cannot take part (see ``whole``) are left out on either side.  A score beyond a
+    64-bit number is held at its end.  Empty tables give an empty result."""
     spark = vectors.sparkSession
-    data, ask = (written(whole(x, id_col, vector_col, scale), n) for x, n in ((vectors, "vectors"), (queries, "queries")))
-    drawn = data.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PIVOTS).collect()
+    data = written(whole(vectors, id_col, vector_col, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    ask = written(whole(queries, id_col, vector_col, scale).withColumn("other", -1 - F.monotonically_increasing_id()), "asked")
+    ask = ask.drop("copies").join(data.select("vec_id", "dim", "v", "row"), ["vec_id", "dim", "v"], "left")
+    ask = written(ask.select("vec_id", "dim", "v", F.coalesce("row", "other").alias("row"), F.lit(1).cast("long").alias("copies")), "queries")
+    drawn = data.orderBy(F.xxhash64("vec_id"), "vec_id", "dim", "v").limit(PIVOTS).collect()
     n, m = data.count(), ask.count()
     if not n or not m:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -301,13 +324,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str, vector_col: str,
             .agg(F.max(F.struct("bound", "shard")).alias("b")).select("batch", "at", F.col("b.shard").alias("shard"))
             .withColumn("least", F.lit(None).cast("double")).withColumn("past", F.lit(None).cast("long")))
     first = written(_visit(_meet(_gather(best), asked, shards), k), "first")
-    kth = (first.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-           .where(F.col("r") == k).select("query_id", F.col("score").cast("double").alias("least"), F.col("vec_id").alias("past")))
-    least = written(_positions(asked).join(kth, "query_id", "left").select("batch", "at", "least", "past"), "least")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    near = F.col("score").cast("double")
+    below = F.when(F.abs(near) >= 2.0 ** 53, near - F.abs(near) * 2.0 ** -52).otherwise(near)  # never above the exact score
+    kth = (first.withColumn("r", F.row_number().over(order)).where(F.col("r") == k)
+           .select("query", below.alias("least"), F.col("vec_id").alias("past")))
+    least = written(_positions(asked).join(kth, "query", "left").select("batch", "at", "least", "past"), "least")
     known = asked.join(_flat(least), "no")
     seen = best.select("batch", "at", "shard")
     aims = _aims(_grid(known, packs, n_packs), False).join(seen, ["batch", "at", "shard"], "left_anti").join(least, ["batch", "at"])
     more = _visit(_meet(_gather(aims), asked, shards), k)
-    every = first.unionByName(more)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return every.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = first.unionByName(more).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
+    upto = F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    best = best.withColumn("upto", upto).withColumn("from", F.col("upto") - F.col("copies") + 1).where(F.col("from") <= k)
+    rank = F.explode(F.sequence(F.col("from"), F.least("upto", F.lit(k).cast("long"))))
+    return best.select("query_id", rank.alias("rank"), "vec_id", "score").withColumn("rank", F.col("rank").cast("int"))

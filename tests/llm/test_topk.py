@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -10,31 +11,24 @@ VECTORS = "vec_id long, embedding array<float>, label int, v string, code string
 
 
 def brute(rows, k=20):
-    ok = {}
+    """Every row but the query's own is a candidate; query rows equal in id and numbers are one query."""
+    ok = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            w = tuple(math.floor(64 * float(np.float32(x))) for x in v)
-            ok.setdefault(i, []).append((len(w), np.array(w, "<i4").tobytes(), w))
-    ok = {(i, min(vs)[2]) for i, vs in ok.items()}
-    out = set()
-    for i, v in ok:
-        if i % 20:
-            continue
-        best = {}
-        for j, w in ok:
-            if i != j:
-                s = sum(a * b for a, b in zip(v, w, strict=False))
-                best[j] = max(best.get(j, s), s)
-        for r, (s, j) in enumerate(sorted((-s, j) for j, s in best.items())[:k], 1):
-            out.add((i, r, j, -s))
+            ok.append((i, tuple(max(min(math.floor(64 * float(np.float32(x))), 2 ** 62), -2 ** 62) for x in v)))
+    out = Counter()
+    for q in {r for r in ok if r[0] % 20 == 0}:
+        others = list(ok)
+        others.remove(q)
+        found = [(sum(a * b for a, b in zip(q[1], w, strict=False)), j) for j, w in others]
+        found = sorted((-max(min(s, 2 ** 63 - 1), 1 - 2 ** 63), j) for s, j in found)
+        out.update((q[0], r, j, -s) for r, (s, j) in enumerate(found[:k], 1))
     return out
 
 
 def run(spark, rows):
     df = spark.createDataFrame([(i, v, 0, "x", "y", "z") for i, v in rows], VECTORS)
-    got = top_k(df, df.where("vec_id % 20 = 0"), "vec_id", "embedding").collect()
-    assert len(got) == len({tuple(r) for r in got})
-    return {tuple(r) for r in got}
+    return Counter(tuple(r) for r in top_k(df, df.where("vec_id % 20 = 0"), "vec_id", "embedding").collect())
 
 
 def test_against_all_pairs(spark, monkeypatch):
@@ -56,10 +50,28 @@ def test_large_values_are_exact(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_large_values_over_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 40)
+    monkeypatch.setattr(topk, "BATCH", 3)
+    rng = np.random.default_rng(8)
+    middle = rng.normal(size=(4, 5))
+    rows = [(i, [float(np.float32(x)) for x in (middle[i % 4] + rng.normal(scale=1e-4, size=5)) * 1e7]) for i in range(300)]
+    rows += [(400 + i, [1e18, 1.0]) for i in range(30)] + [(440, [-1e30] * 3), (441, [3e38]), (460, [1e16, -1e16]), (461, [-3e38])]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_every_row_is_a_candidate(spark):
+    rows = [(20, [1.0, 2.0]), (1, [1.0, 1.0]), (1, [3.0, 1.0]), (20, [0.5, 0.5]), (2, [1.0, 2.0])]
+    got = run(spark, rows)
+    assert got[(20, 1, 1, 20480)] == got[(20, 3, 1, 12288)] == 1 and got == brute(rows)
+    rows += [(20, [1.0, 2.0])] * 3 + [(5, [2.0, 2.0])] * 50 + [(40, [9.0, 9.0])] * 30
+    assert run(spark, rows) == brute(rows)
+
+
 def test_few_rows_and_empty(spark):
-    assert run(spark, []) == set()
-    assert run(spark, [(0, [1.0])]) == set()
-    assert run(spark, [(1, [1.0])]) == set()
+    assert run(spark, []) == Counter()
+    assert run(spark, [(0, [1.0])]) == Counter()
+    assert run(spark, [(1, [1.0])]) == Counter()
     rows = [(i, [0.25, -1.0]) for i in range(0, 60, 4)]
     assert run(spark, rows) == brute(rows)
 
