@@ -69,10 +69,7 @@ def route(capacity: dict[tuple[str, ...], int], quota: dict[str, int], most: int
                     if q not in seen:
                         seen.add(q)
                         todo.append(q)
-        if len(group) == 1 and len(start) == 1:  # a source of its own: rounds fill in order of cost
-            taken[start] = min(quota[start[0]], most * capacity[start])
-        else:
-            taken.update(_flow(sorted(group), capacity, quota, most))
+        taken.update(_flow(sorted(group), capacity, quota, most))
     return taken
 
 
@@ -124,12 +121,13 @@ def _flow(patterns, capacity, quota, most):
 
 
 def _keyed(docs: DataFrame, id_col: str, size, sources, seed: int) -> DataFrame:
-    """``docs`` with __pattern (sorted distinct sources, null as ~), __size, __id and __h, its place in the order."""
+    """The rows of ``docs`` as __doc, with __pattern (sorted distinct sources, null as ~), __size, __id and __h, the
+    place in the order."""
     key = F.array_sort(F.array_distinct(F.transform(
         F.coalesce(sources, F.array().cast("array<string>")),
         lambda s: F.when(s.isNull(), F.lit("~")).otherwise(F.concat(F.lit("s"), s)))))
-    return docs.withColumns({"__pattern": key, "__size": F.coalesce(size, F.lit(0)).cast("long"), "__id": F.col(id_col),
-                             "__h": F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 1)})
+    return docs.select(F.struct("*").alias("__doc"), key.alias("__pattern"), F.coalesce(size, F.lit(0)).cast("long").alias("__size"),
+                       F.col(id_col).alias("__id"), F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 1).alias("__h"))
 
 
 def _plan(sized: DataFrame, weights, max_repeats: int, max_patterns: int) -> tuple[DataFrame, list[tuple[str, int, float]]]:
@@ -265,8 +263,11 @@ def mix_sources(docs: DataFrame, id_col: str, size, sources, weights: tuple[floa
 
 def mixed_documents(docs: DataFrame, id_col: str, size, sources, weights: tuple[float, ...] = (5, 2, 1),
                     max_repeats: int = 3, seed: int = 42, max_patterns: int = 100_000) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix of ``mix_sources`` takes it; whole rows are not shuffled."""
+    """The rows of ``docs``, each as often as the mix of ``mix_sources`` takes it; whole rows are not shuffled.
+
+    Nulls, repeated rows and empty tables are as there: a row without words or without a source is never taken.
+    Columns keep their names, order and types, whatever they are called."""
     keyed = _keyed(docs, id_col, size, sources, seed)
     decided, _ = _plan(written(_sized(keyed), "sized"), weights, max_repeats, max_patterns)
-    taken = _times(keyed, decided).where("__times > 0").select(*[F.col(f"`{c}`") for c in docs.columns], "__times")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).drop("__times", "__copy")
+    taken = _times(keyed, decided).where("__times > 0").select("__doc", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return taken.select("__doc.*")

@@ -3,7 +3,8 @@ import re
 from pyspark.sql import functions as F
 
 from conftest_llm import docs_frame
-from scenaria.llm.mixing import mix_sources, route, share, word_count
+from scenaria.llm import mixing
+from scenaria.llm.mixing import mix_sources, mixed_documents, route, share, word_count
 
 
 def words(t):
@@ -78,3 +79,25 @@ def test_long_documents_alone_and_repeated_ids(spark):
     assert abs(sum(r.taken for r in a) - a[0].target[0]) <= 300
     assert len({r.taken for r in b if r.id == 7}) == 1 and all(r.taken <= 3 * r.size for r in out)
     assert abs(sum(r.taken for r in b) - b[0].target[0]) <= 100
+
+
+def test_columns_of_any_name_come_back(spark):
+    names = ["__doc", "__pattern", "__size", "__id", "__h", "__times", "__copy", "__plan", "__rounds", "__rest", "__Steps", "a.b", "col", "pattern", "id", "h"]
+    df = docs_frame(spark, [(i, "w " * (i % 9), f"s{i % 3}") for i in range(60)])
+    more = df.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    take = lambda d: mixed_documents(d, "doc_id", word_count("text"), F.array("source"))
+    out = take(more)
+    assert out.schema == more.schema
+    rows = out.collect()
+    assert all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names)
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in take(df).collect())
+    assert take(more.limit(0)).columns == more.columns
+
+
+def test_every_pattern_goes_through_the_flow(spark, monkeypatch):
+    seen, real = [], mixing._flow
+    monkeypatch.setattr(mixing, "_flow", lambda patterns, *rest: seen.extend(patterns) or real(patterns, *rest))
+    df = docs_frame(spark, [(i, "w " * (1 + i % 9), f"s{i % 4}" if i % 5 else None) for i in range(200)])
+    mix_sources(df, "doc_id", word_count("text"), F.array("source")).count()
+    assert sorted(seen) == [("ss0",), ("ss1",), ("ss2",), ("ss3",), ("~",)]
+    assert route({("a",): 10, ("b",): 0}, {"a": 25, "b": 0}, 3) == {("a",): 25, ("b",): 0}
