@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_table, small_number, written
+from .common import bit_table, free_names, small_number, written
 
 SPACES = " \t\n\x0b\x0c\r"
 COUNT_BITS = 17
@@ -192,21 +192,23 @@ def dedup_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float =
     word = F.expr("line div 64").alias("word")
     bits = F.bit_or(F.expr("shiftleft(1L, line % 64)")).alias("bits")
     gone = (gone.groupBy("id", "text_hash", word).agg(bits).groupBy("id", "text_hash")
-            .agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("__ld_gone")))
+            .agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("gone")))
     gone = written(gone, "gone")
     test = bit_table(gone.select("text_hash"), "text_hash")
-    every = docs.withColumn("__ld_hash", F.xxhash64(F.col(text_col)))
+    own_hash, hit_id, hit_hash, lines_gone, rest = free_names(docs.columns, "own_hash", "hit_id", "hit_hash", "lines_gone", "rest")
+    every = docs.withColumn(own_hash, F.xxhash64(F.col(text_col)))
     split = F.split(F.col(text_col), "\n")
     has_word = lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0
     out = every.withColumn("n_lines", F.coalesce(F.size(F.filter(split, has_word)), F.lit(0)).cast("long"))
-    hit = F.col(text_col).isNotNull() & test(F.col("__ld_hash"))
+    hit = F.col(text_col).isNotNull() & test(F.col(own_hash))
     same = out.where(~hit).withColumn("n_removed", F.lit(0).cast("long"))
-    keep = lambda x, i: F.coalesce(F.getbit(F.element_at("__ld_gone", F.floor(i / 64).cast("bigint")), F.pmod(i, F.lit(64))) == 0, F.lit(True))
-    names = gone.withColumnRenamed("id", "__ld_id").withColumnRenamed("text_hash", "__ld_text_hash")
-    cut = out.where(hit).join(names, F.col(id_col).eqNullSafe(F.col("__ld_id")) & (F.col("__ld_hash") == F.col("__ld_text_hash")), "left")
+    keep = lambda x, i: F.coalesce(F.getbit(F.element_at(lines_gone, F.floor(i / 64).cast("bigint")), F.pmod(i, F.lit(64))) == 0, F.lit(True))
+    marks = gone.select(F.col("id").alias(hit_id), F.col("text_hash").alias(hit_hash), F.col("gone").alias(lines_gone))
+    cut = out.where(hit).join(marks, F.col(id_col).eqNullSafe(F.col(hit_id)) & (F.col(own_hash) == F.col(hit_hash)), "left")
     left = F.filter(split, keep)
-    cut = (cut.withColumn("__ld_left", F.when(F.col("__ld_gone").isNotNull(), left).otherwise(split))
-           .withColumn("n_removed", (F.size(split) - F.size("__ld_left")).cast("long"))
-           .withColumn(text_col, F.array_join("__ld_left", "\n")))
-    columns = [*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed"]
+    cut = (cut.withColumn(rest, F.when(F.col(lines_gone).isNotNull(), left).otherwise(split))
+           .withColumn("n_removed", (F.size(split) - F.size(rest)).cast("long"))
+           .withColumn(text_col, F.array_join(rest, "\n")))
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    columns = [*[F.col("`{}`".format(c.replace("`", "``"))) for c in kept], "n_lines", "n_removed"]
     return same.select(*columns).unionByName(cut.select(*columns))

@@ -202,7 +202,7 @@ def keep_first(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) ->
     odd_id, several = free_names(docs.columns, "odd_id", "several")
     maybe = F.col(id_col).isNull() | test(F.col(id_col))
     asked = docs.where(maybe).join(odd.select(F.col("id").alias(odd_id), F.col("several").alias(several)), F.col(id_col).eqNullSafe(F.col(odd_id)), "left")
-    out = docs.where(~maybe).unionByName(asked.where(F.col(several).isNull()).select(*docs.columns))
+    out = docs.where(~maybe).unionByName(asked.where(F.col(several).isNull()).select(*[F.col(_quoted(c)) for c in docs.columns]))
     if odd.where("several").isEmpty():
         return out
     # rows of these ids are told apart by their texts

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from conftest_llm import docs_frame
 from scenaria.llm import linededup
 from scenaria.llm.linededup import dedup_lines
@@ -92,3 +94,15 @@ def test_empty_tables(spark):
 def test_no_python_in_the_plan(spark):
     text = dedup_lines(docs_frame(spark, [(1, "a b\nc d", "s"), (2, "a b", "s")]), "doc_id", "text")._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def test_columns_of_any_name_come_back(spark):
+    names = ["own_hash", "hit_id", "Hit_Hash", "lines_gone", "rest", "_rest", "__ld_hash", "gone", "id", "text_hash", "line", "place", "a.b"]
+    df = docs_frame(spark, corpus(3))
+    more = df.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    out = dedup_lines(more, "doc_id", "text")
+    assert out.columns == [*more.columns, "n_lines", "n_removed"]
+    rows = out.collect()
+    assert all(r[n] == (None if r.doc_id is None else f"{n} {r.doc_id}") for r in rows for n in names)
+    plain = dedup_lines(df, "doc_id", "text").select("doc_id", "text", "n_lines", "n_removed").collect()
+    assert sorted(map(str, plain)) == sorted(str(r) for r in out.select("doc_id", "text", "n_lines", "n_removed").collect())
