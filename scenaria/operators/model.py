@@ -9,8 +9,10 @@ y_true, y_pred, p).
 
 from __future__ import annotations
 
+import math
 import re
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -20,7 +22,7 @@ from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassi
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,12 @@ from scenaria.functions import argmax_first, finite_or_zero, renormalize
 from scenaria.operators import forest
 
 
+#: Rows of a partition in a tree fit, from which its counts by node are no longer the larger part of its work.
+FIT_ROWS = 1 << 16
+#: Partitions of a small table in a tree fit.
+FIT_PARTS = 4
+
+
 def features_vector(df: DataFrame, features, out: str = "features") -> DataFrame:
     """Numeric columns or one array column -> ML vector."""
     features = list(features)
@@ -79,6 +87,14 @@ def classifier(label: str, binary: bool, max_depth: int = max(D.CV_DEPTHS), n_tr
     return clf
 
 
+def few_parts(x: DataFrame, rows: int = FIT_ROWS, least: int = FIT_PARTS) -> DataFrame:
+    """``x``, persisted, with no more partitions than ``rows`` rows each ask for, or ``least``.  At every node a
+    partition sends counts by feature, bin and class, however few its rows are: what a tree fit shuffles is that
+    size by the partitions."""
+    n = max(least, math.ceil(x.count() / rows))
+    return x.coalesce(n) if x.rdd.getNumPartitions() > n else x
+
+
 def boost_each_class(known: DataFrame, label: str, classes: list[int], **kw) -> PipelineModel:
     """One booster per class, that class against the others; scoring normalises their probabilities.  A class
     costs as much as a binary label, so this is for few classes or few trees."""
@@ -105,19 +121,18 @@ def fit_per_label(train: DataFrame, features, labels, parallelism: int | None =
     ``boosted`` fits one booster per class of a multi-class label instead of a random forest.
     The label fits are independent Spark jobs submitted from ``parallelism`` driver threads, as
     ``CrossValidator(parallelism=...)`` does."""
-    from concurrent.futures import ThreadPoolExecutor
     labels = list(labels)
-    classes = label_classes(train, labels)
     x = features_vector(train, features).persist()  # read by every label's fit
 
     def fit(lab):
-        known = indexed(x.where(F.col(lab).isNotNull()), lab, classes[lab])
+        known = indexed(few.where(F.col(lab).isNotNull()), lab, classes[lab])
         if boosted and len(classes[lab]) > 2:
             return lab, boost_each_class(known, lab, classes[lab], **kw)
         clf = classifier(lab, len(classes[lab]) <= 2, prefix=lab, **kw)
         return lab, with_classes(clf.fit(known), lab, classes[lab])
 
     try:
+        classes, few = label_classes(x, labels), few_parts(x)
         with ThreadPoolExecutor(max_workers=max(1, parallelism or len(labels))) as pool:
             return dict(pool.map(fit, labels))
     finally:
@@ -140,22 +155,34 @@ def cross_validate(train: DataFrame, features, label: str, depths=D.CV_DEPTHS, f
                    parallelism: int = D.CV_PARALLELISM, seed: int = D.SEED, id_col: str | None = None, **kw):
     """M2: grid search over tree depth with k-fold CV on accuracy.  Returns (best model refitted on
     all training rows, as a one-stage pipeline; table of (max_depth, accuracy)).  With ``id_col`` the folds are
-    those of ``hash_folds``; else rows are drawn into folds by Spark."""
+    those of ``hash_folds``; else rows are drawn into folds by Spark.  All folds are fitted at once, each by
+    ``parallelism`` workers: a single fit of few rows leaves most of a cluster idle."""
     classes = label_classes(train, [label])[label]
-    own = {"foldCol": "_fold"} if id_col else {}
     rows = hash_folds(train, id_col, folds, seed, "_fold") if id_col else train
-    x = indexed(features_vector(rows, features).where(F.col(label).isNotNull()), label, classes).persist()
+    x = indexed(features_vector(rows, features).where(F.col(label).isNotNull()), label, classes)
+    x = (x if id_col else x.withColumn("_fold", F.floor(F.rand(seed) * folds))).persist()
+    few = few_parts(x)
+    if id_col:
+        held = {r["_fold"]: r["count"] for r in few.groupBy("_fold").count().collect()}
+        if len(held) < max(2, folds):
+            raise ValueError(f"some of the {folds} folds have no rows: {sorted(held)} have")
     clf = classifier(label, len(classes) <= 2, prefix=label, **kw)
     grid = ParamGridBuilder().addGrid(clf.maxDepth, list(depths)).build()
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol=f"{label}_pred", metricName="accuracy")
-    cv = CrossValidator(estimator=clf, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=seed, **own)
-    m = cv.fit(x)
+
+    def accuracy(trial):
+        fold, params = trial
+        return ev.evaluate(clf.fit(few.where(F.col("_fold") != fold), params).transform(few.where(F.col("_fold") == fold)))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism * folds)) as pool:
+        found = list(pool.map(accuracy, [(fold, params) for params in grid for fold in range(folds)]))
+    means = [sum(found[i * folds:(i + 1) * folds]) / folds for i in range(len(grid))]
+    best = clf.fit(few, grid[max(range(len(grid)), key=means.__getitem__)])
     x.unpersist()
     spark = train.sparkSession
-    table = spark.createDataFrame([(int(pm[clf.maxDepth]), float(a)) for pm, a in zip(grid, m.avgMetrics)],
+    table = spark.createDataFrame([(int(pm[clf.maxDepth]), float(a)) for pm, a in zip(grid, means)],
                                   "max_depth int, accuracy double")
-    return with_classes(m.bestModel, label, classes), table
+    return with_classes(best, label, classes), table
 
 
 def score(models: dict, df: DataFrame, features, row_id, model_name: str = "tree", flat: bool = True) -> DataFrame:
