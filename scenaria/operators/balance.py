@@ -1,20 +1,19 @@
 """Class balancing by synthetic neighbours (X5-X7, A15) and exact k nearest neighbours inside a class.
 
-k-NN without all pairs: every row is projected on a few seeded random unit directions.  A
-projection never exceeds the true distance, so (1) the 2k neighbours in projection order give
-an upper bound r on each row's k-th neighbour distance, and (2) every true neighbour lies
-within r on every projection.  Rows are bucketed on the first projection; each query row
-visits only the buckets its band [t - r, t + r] covers (an equi-join on (class, bucket)), the
-other projections prune further, and exact squared distances rank the survivors.  The result
-is exact; the work is the band, not the class squared, when the geometry lets a projection prune.
-In high dimensions with unclustered data a projection captures little of the distance and the band
-holds most same-class rows; that work is inherent to exact k-NN, and salted sub-buckets plus a
-two-level top-k keep every join task and every window group bounded.
+k-NN by blocks: every class is ordered by a projection on a seeded random unit direction and cut into blocks of
+bounded size.  A block's rows first meet each other; the k-th distance found there bounds the row's k-th distance
+overall.  A projection never exceeds the true distance, so every nearer row lies in the band of that bound around
+the row's own projection: only blocks that the band reaches are visited.  Where projections prune little (many
+dimensions, no clusters) that is all blocks of the class: exact k-NN is quadratic there.
+
+Two blocks meet in one task, by one matrix product; it says which pairs may be among the k nearest, within the
+product's rounding, and the distances of those few are computed anew, term by term.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,14 +22,13 @@ from scenaria import defaults as D
 from scenaria.operators import keyed
 from scenaria.session import cut_lineage
 
-N_PROJ = 4
+BLOCK = 8192
+STEP = 512
 
 
-def _directions(dim: int, seed: int, n: int = N_PROJ) -> list[list[float]]:
-    rng = np.random.default_rng(seed)
-    v = rng.standard_normal((n, dim))
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    return v.tolist()
+def _direction(dim: int, seed: int) -> list[float]:
+    v = np.random.default_rng(seed).standard_normal(dim)
+    return (v / np.linalg.norm(v)).tolist()
 
 
 def _dot(vec: Column, u: list[float]) -> Column:
@@ -42,61 +40,156 @@ def sq_dist(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _codes(queries: pa.Array, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Both id columns as numbers that order alike."""
+    both = np.concatenate([queries.to_numpy(zero_copy_only=False), ids.to_numpy(zero_copy_only=False)])
+    code = np.unique(both, return_inverse=True)[1]
+    return code[:len(queries)], code[len(queries):]
+
+
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def _of_use(w: np.ndarray, nbr: np.ndarray, k: int) -> np.ndarray:
+    """Places of the rows that can be among the k nearest of any row: of equal vectors, k rows of an id and 2k of all
+    ids, the smallest ids first, for a row may be neighbour to none of one id."""
+    order = np.lexsort((nbr, np.unique(w, axis=0, return_inverse=True)[1].ravel()))
+    for most, same in ((k, lambda o: (w[o[1:]] == w[o[:-1]]).all(axis=1) & (nbr[o[1:]] == nbr[o[:-1]])),
+                       (2 * k, lambda o: (w[o[1:]] == w[o[:-1]]).all(axis=1))):
+        begin = np.concatenate([[True], ~same(order)]) if len(order) else np.zeros(0, bool)
+        at = np.arange(len(order))
+        order = order[at - np.maximum.accumulate(np.where(begin, at, 0)) < most] if len(order) else order
+    return order
+
+
+def _nearest(v: np.ndarray, own: np.ndarray, bound: np.ndarray, w: np.ndarray, nbr: np.ndarray, k: int) -> tuple:
+    """(row of v, row of w, squared distance) of the k nearest rows of w to each row of v that have another id and
+    may lie within ``bound``; in order of v, distance (NaN last), id."""
+    use = _of_use(w, nbr, k)
+    w, nbr = w[use], nbr[use]
+    vv, ww = np.einsum("ij,ij->i", v, v), np.einsum("ij,ij->i", w, w)
+    by_id = np.argsort(nbr, kind="stable")
+    first, last = (np.searchsorted(nbr[by_id], own, side=s) for s in ("left", "right"))
+    found: list[tuple] = []
+    for a in range(0, len(v) if len(w) else 0, STEP):
+        x = v[a:a + STEP]
+        d = vv[a:a + STEP, None] + ww - 2.0 * (x @ w.T)
+        d[~np.isfinite(d)] = np.inf
+        for i in np.flatnonzero(last[a:a + STEP] > first[a:a + STEP]):
+            d[i, by_id[first[a + i]:last[a + i]]] = np.inf
+        kth = bound[a:a + STEP]
+        if not np.isfinite(kth).all() or (d <= kth[:, None]).sum() > 8 * k * len(x):
+            kth = np.fmin(kth, np.partition(d, k - 1, axis=1)[:, k - 1] if len(w) > k else np.inf)
+        slack = 8.0 * (w.shape[1] + 16) * np.finfo(float).eps * (vv[a:a + STEP] + ww.max())
+        near = np.where(np.isfinite(kth + slack), kth + slack, np.inf)
+        rows, places = np.nonzero((d <= near[:, None]) | np.isinf(d))
+        other = own[a + rows] != nbr[places]
+        rows, places = rows[other], places[other]
+        exact = np.zeros(len(rows))
+        for j in range(w.shape[1]):  # term by term, as ``sq_dist`` adds
+            t = x[rows, j] - w[places, j]
+            exact += t * t
+        order = np.lexsort((nbr[places], exact, rows))
+        rows, places, exact = rows[order], places[order], exact[order]
+        at = np.arange(len(rows))
+        begin = np.maximum.accumulate(np.where(np.concatenate([[True], rows[1:] != rows[:-1]]), at, 0)) if len(rows) else at
+        keep = at - begin < k
+        found.append((a + rows[keep], use[places[keep]], exact[keep]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _inside(k: int, dim: int):
+    """Task: the k nearest of each row of a block inside the block.  A row's first line of the result also has its
+    vector, its bound (the k-th squared distance, infinite if there are fewer) and its band; a row without
+    neighbours has that line alone."""
+    def run(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        column = lambda c: block.column(c).combine_chunks()
+        w = _matrix(column("v"), dim)
+        asks = np.flatnonzero(column("asks").to_numpy(zero_copy_only=False))
+        own, nbr = _codes(column("id").take(pa.array(asks)), column("id"))
+        v, t = w[asks], column("t").to_numpy(zero_copy_only=False)[asks]
+        with np.errstate(all="ignore"):
+            rows, places, d2 = _nearest(v, own, np.full(len(v), np.inf), w, nbr, k)
+            n = np.bincount(rows, minlength=len(v))
+            bound = np.full(len(v), np.inf)
+            bound[n >= k] = d2[(np.cumsum(n) - 1)[n >= k]]
+            r = np.sqrt(bound)
+            r = r + 1e-9 * (r + np.sqrt(np.einsum("ij,ij->i", v, v))) + 1e-12
+            known = np.isfinite(r) & np.isfinite(t)
+            lo, hi = np.where(known, t - r, -np.inf), np.where(known, t + r, np.inf)
+        bound[~known] = np.inf
+        row = np.concatenate([rows, np.flatnonzero(n == 0)])
+        place = np.concatenate([places, np.zeros((n == 0).sum(), np.int64)])
+        d2 = np.concatenate([d2, np.zeros((n == 0).sum())])
+        none = np.arange(len(row)) >= len(rows)
+        head = np.concatenate([[True], row[1:] != row[:-1]]) if len(row) else np.zeros(0, bool)
+        head |= none
+        return pa.table({
+            "cls": column("cls").take(pa.array(asks[row])), "blk": column("blk").take(pa.array(asks[row])),
+            "id": column("id").take(pa.array(asks[row])), "nbr_id": column("id").take(pa.array(place, mask=none)),
+            "d2": pa.array(d2, mask=none), "v": column("v").take(pa.array(asks[row], mask=~head)),
+            "bound": pa.array(bound[row], mask=~head), "lo": pa.array(lo[row], mask=~head), "hi": pa.array(hi[row], mask=~head)})
+    return run
+
+
+def _across(k: int, dim: int):
+    """Task: the k nearest of each asking row among the rows of another block, within the row's bound."""
+    def run(asking: pa.Table, block: pa.Table) -> pa.Table:
+        asking, block = asking.combine_chunks(), block.combine_chunks()
+        ids, others = asking.column("id").combine_chunks(), block.column("id").combine_chunks()
+        own, nbr = _codes(ids, others)
+        with np.errstate(all="ignore"):
+            rows, places, d2 = _nearest(_matrix(asking.column("v").combine_chunks(), dim), own, asking.column("bound").to_numpy(),
+                                        _matrix(block.column("v").combine_chunks(), dim), nbr, k)
+        return pa.table({"id": ids.take(pa.array(rows)), "nbr_id": others.take(pa.array(places)), "d2": pa.array(d2)})
+    return run
+
+
 def knn_in_class(df: DataFrame, id_col: str, vec: str, cls: str, k: int = D.SMOTE_K, seed: int = D.SEED,
-                 dim: int | None = None, query_ids: DataFrame | None = None, salt_rows: int = 4096) -> DataFrame:
+                 dim: int | None = None, query_ids: DataFrame | None = None, block_rows: int = BLOCK) -> DataFrame:
     """For every row (or only the rows in ``query_ids``) its k nearest rows of the same class by
-    squared Euclidean distance (double), ties by id.  Returns (id, rank, nbr_id, d2)."""
+    squared Euclidean distance (double), ties by id.  Returns (id, rank, nbr_id, d2).  Rows without an id, a class or
+    a vector of ``dim`` values take no part."""
     if dim is None:
         dim = len(df.select(vec).where(F.col(vec).isNotNull()).first()[0])
-    dirs = _directions(dim, seed)
     v = F.transform(F.col(vec), lambda x: x.cast("double"))
-    pts = df.select(F.col(id_col).alias("id"), F.col(cls).alias("cls"), v.alias("v"),
-                    *[_dot(v, u).alias(f"t{i}") for i, u in enumerate(dirs)])
-    # (1) upper bound from the 2k neighbours in projection order (equi-join on shifted positions)
-    pos = keyed.with_position(pts, "cls", ["t0", "id"], pos="p")
-    offs = F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])
-    qids = None if query_ids is None else query_ids.select(F.col(id_col).alias("id")).distinct()
-    qpos = pos if qids is None else pos.join(qids, "id", "left_semi")
-    q = qpos.select("cls", "id", "p", "v", F.explode(offs).alias("o")).withColumn("pp", F.col("p") + F.col("o"))
-    c = pos.select("cls", F.col("p").alias("pp"), F.col("v").alias("w"))
-    near = q.join(c, ["cls", "pp"]).select("cls", "id", sq_dist(F.col("v"), F.col("w")).alias("d2"))
-    rk = Window.partitionBy("id").orderBy("d2")
-    bound = near.withColumn("r", F.row_number().over(rk)).where(F.col("r") <= k) \
-        .groupBy("id").agg(F.max("d2").alias("b2"), F.count(F.lit(1)).alias("nb"))
-    sizes = pts.groupBy("cls").agg(F.count(F.lit(1)).alias("csize"), F.min("t0").alias("lo"), F.max("t0").alias("hi"))
-    pb = pts.join(bound, "id", "left").join(sizes, "cls", "left")
-    # rows whose class has <= k other rows take every other row: unbounded band
-    r = F.when(F.col("nb") >= F.least(F.lit(k), F.col("csize") - 1), F.sqrt("b2")).otherwise(F.lit(float("inf")))
-    pb = pb.withColumn("r", r)
-    # (2) bucket width: median band radius per class keeps a typical band to about three buckets; where
-    # many rows are equal that radius is 0, and a class gets no more buckets than it has rows
-    width = pb.where(~F.isnan("r") & (F.col("r") < float("inf"))).groupBy("cls") \
-        .agg(F.greatest(F.percentile_approx("r", 0.5), F.max((F.col("hi") - F.col("lo")) / F.col("csize"))).alias("width"))
-    pb = pb.join(width, "cls", "left").withColumn("width", F.when(F.col("width") > 0, F.col("width")).otherwise(F.lit(1.0)))
-    # both sides of the band join read the same per-row table: write it once (and cut the lineage)
-    pb = cut_lineage(pb)
-    bucket = F.floor((F.col("t0") - F.col("lo")) / F.col("width")).cast("long")
-    lo_b = F.floor((F.greatest(F.col("t0") - F.col("r"), F.col("lo")) - F.col("lo")) / F.col("width")).cast("long")
-    hi_b = F.floor((F.least(F.col("t0") + F.col("r"), F.col("hi")) - F.col("lo")) / F.col("width")).cast("long")
-    # (3) salting: a bucket of n rows is split into ceil(n / salt_rows) sub-buckets; a query row joins
-    # every sub-bucket of every bucket its band covers, so no join task holds a whole wide bucket
-    data = pb.select("cls", bucket.alias("bk"), F.col("id").alias("nbr_id"), F.col("v").alias("w"),
-                     *[F.col(f"t{i}").alias(f"s{i}") for i in range(len(dirs))])
-    salts = data.groupBy("cls", "bk").agg(F.ceil(F.count(F.lit(1)) / F.lit(salt_rows)).cast("long").alias("ns"))
-    data = data.join(salts, ["cls", "bk"]).withColumn("salt", F.pmod(F.xxhash64("nbr_id"), F.col("ns"))).drop("ns")
-    qry = (pb if qids is None else pb.join(qids, "id", "left_semi")).select(
-        "cls", "id", "v", "r", *[f"t{i}" for i in range(len(dirs))], F.explode(F.sequence(lo_b, hi_b)).alias("bk"))
-    qry = qry.join(salts, ["cls", "bk"]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ns") - 1))) \
-        .drop("ns")
-    cand = qry.join(data, ["cls", "bk", "salt"]).where(F.col("id") != F.col("nbr_id"))
-    for i in range(len(dirs)):
-        cand = cand.where(F.abs(F.col(f"t{i}") - F.col(f"s{i}")) <= F.col("r") * (1 + 1e-9) + 1e-12)
-    cand = cand.select("id", "bk", "salt", "nbr_id", sq_dist(F.col("v"), F.col("w")).alias("d2"))
-    # (4) two-level top-k: per (query, bucket, salt) group, then per query over at most k x groups
-    part = Window.partitionBy("id", "bk", "salt").orderBy("d2", "nbr_id")
-    cand = cand.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= k)
+    pts = df.select(F.col(id_col).alias("id"), F.col(cls).alias("cls"), v.alias("v")) \
+        .where(F.col("id").isNotNull() & F.col("cls").isNotNull() & (F.size("v") == dim) & ~F.exists("v", lambda x: x.isNull())) \
+        .withColumn("t", _dot(F.col("v"), _direction(dim, seed)))
+    # (1) blocks of about equal size along the projection, inside a class
+    sizes = pts.groupBy("cls").agg(F.count(F.lit(1)).alias("n"))
+    pos = keyed.with_position(pts, "cls", ["t", "id"], pos="p").join(sizes, "cls")
+    n_blocks = F.ceil(F.col("n") / F.lit(block_rows))
+    pos = pos.withColumn("blk", F.floor((F.col("p") - 1) * n_blocks / F.col("n")).cast("long")).drop("p", "n")
+    if query_ids is None:
+        pos = pos.withColumn("asks", F.lit(True))
+    else:
+        asked = query_ids.select(F.col(id_col).alias("id")).distinct().withColumn("asks", F.lit(True))
+        pos = pos.join(asked, "id", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+    pos = cut_lineage(pos)   # read by both passes
+    types = {c: pos.schema[c].dataType.simpleString() for c in ("id", "cls")}
+    # (2) every block by itself
+    own = pos.groupBy("cls", "blk").applyInArrow(_inside(k, dim), schema=(
+        f"cls {types['cls']}, blk long, id {types['id']}, nbr_id {types['id']}, d2 double, v array<double>, bound double, lo double, hi double"))
+    own = cut_lineage(own)
+    # (3) the other blocks that a row's band reaches: a span per block, one task per two blocks
+    span = pos.groupBy("cls", "blk").agg(F.min(F.nanvl("t", F.lit(float("-inf")))).alias("from"), F.max("t").alias("to"))
+    span = span.select("cls", F.col("blk").alias("other"), "from", "to")
+    reach = (F.col("from") <= F.col("hi")) & (F.col("to") >= F.col("lo")) & (F.col("other") != F.col("blk"))
+    asking = own.where("v is not null").select("cls", "blk", "id", "v", "bound", "lo", "hi")
+    bands = asking.groupBy("cls", "blk").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    pairs = bands.join(span, "cls").where(reach).select("cls", F.col("blk").alias("of"), "other")
+    asking = asking.join(F.broadcast(span), "cls").where(reach).select("cls", F.col("blk").alias("of"), "other", "id", "v", "bound")
+    data = pos.select("cls", F.col("blk").alias("other"), "id", "v").join(F.broadcast(pairs), ["cls", "other"])
+    far = asking.groupBy("cls", "of", "other").cogroup(data.groupBy("cls", "of", "other")).applyInArrow(
+        _across(k, dim), schema=f"id {types['id']}, nbr_id {types['id']}, d2 double")
+    near = own.where("nbr_id is not null").select("id", "nbr_id", "d2").unionByName(far)
     w = Window.partitionBy("id").orderBy("d2", "nbr_id")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
+    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
         .select(F.col("id").alias(id_col), "rank", F.col("nbr_id"), "d2")
 
 

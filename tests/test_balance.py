@@ -1,3 +1,5 @@
+from functools import reduce
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -59,3 +61,37 @@ def test_smote_deterministic(spark):
     a = sorted(tuple(r.v) for r in balance.smote(df, "id", "v", "c")[0].where("synthetic").collect())
     b = sorted(tuple(r.v) for r in balance.smote(df, "id", "v", "c")[0].where("synthetic").collect())
     assert a == b and len(a) == 24
+
+
+def near_pairs(rows, k):
+    """(id, rank, nbr_id, d2) of every row, term by term; a row that comes twice asks and answers twice."""
+    found = {}
+    for i, c, v in rows:
+        for j, e, w in rows:
+            if None not in (i, j, c, e, v, w) and c == e and i != j and None not in v and None not in w:
+                found.setdefault(i, []).append((reduce(lambda a, t: a + (t[0] - t[1]) * (t[0] - t[1]), zip(v, w), 0.0), j))
+    order = lambda t: (np.isnan(t[0]), 0 if np.isnan(t[0]) else t[0], t[1])
+    return sorted((i, r + 1, j, "nan" if np.isnan(d) else d) for i, t in found.items() for r, (d, j) in enumerate(sorted(t, key=order)[:k]))
+
+
+@pytest.mark.parametrize("block", [7, 40, 8192])
+def test_knn_blocks_equal_all_pairs(spark, block):
+    """Blocks of any size; copies of vectors, equal distances, rows that come twice, missing and infinite values."""
+    _, rows = emb(spark, 90, dim=3)
+    grid = [(200 + i, 5, [float(i % 4), float(i // 4 % 3), 1e6]) for i in range(40)]
+    copies = [(300 + i, 6, [1.0, 2.0, 3.0 + i // 30]) for i in range(40)]
+    odd = [(400, 0, [float("nan"), 1.0, 1.0]), (401, 0, [float("inf"), 1.0, 1.0]), (402, 0, None), (403, 0, [None, 1.0, 1.0]),
+           (404, None, [1.0, 1.0, 1.0]), (None, 0, [1.0, 1.0, 1.0]), (405, 7, [1.0, 1.0, 1.0])]
+    rows = rows + rows[:5] + [rows[9]] * 7 + grid + copies + copies[:3] + odd
+    df = spark.createDataFrame(rows, "id long, c int, v array<double>")
+    got = balance.knn_in_class(df, "id", "v", "c", k=5, dim=3, block_rows=block).collect()
+    assert sorted((r.id, r["rank"], r.nbr_id, "nan" if np.isnan(r.d2) else r.d2) for r in got) == near_pairs(rows, 5)
+
+
+def test_knn_of_some_rows_and_text_ids(spark):
+    df, rows = emb(spark, 90, dim=4)
+    some = df.where("id % 7 = 0").select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("id"))
+    text = df.withColumn("id", F.concat(F.lit("n"), F.col("id").cast("string")))
+    got = balance.knn_in_class(text, "id", "v", "c", k=3, query_ids=some, block_rows=10).collect()
+    want = near_pairs([(f"n{i}", c, v) for i, c, v in rows], 3)
+    assert sorted((r.id, r["rank"], r.nbr_id, r.d2) for r in got) == [t for t in want if int(t[0][1:]) % 7 == 0]
