@@ -24,6 +24,7 @@ from scenaria.session import cut_lineage
 
 BLOCK = 8192
 STEP = 512
+VECTOR = pa.list_(pa.field("element", pa.float64()))
 
 
 def _direction(dim: int, seed: int) -> list[float]:
@@ -131,7 +132,7 @@ def _inside(k: int, dim: int):
         return pa.table({
             "cls": column("cls").take(pa.array(asks[row])), "blk": column("blk").take(pa.array(asks[row])),
             "id": column("id").take(pa.array(asks[row])), "nbr_id": column("id").take(pa.array(place, mask=none)),
-            "d2": pa.array(d2, mask=none), "v": column("v").take(pa.array(asks[row], mask=~head)),
+            "d2": pa.array(d2, mask=none), "v": column("v").take(pa.array(asks[row], mask=~head)).cast(VECTOR),
             "bound": pa.array(bound[row], mask=~head), "lo": pa.array(lo[row], mask=~head), "hi": pa.array(hi[row], mask=~head)})
     return run
 

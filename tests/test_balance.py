@@ -95,3 +95,10 @@ def test_knn_of_some_rows_and_text_ids(spark):
     got = balance.knn_in_class(text, "id", "v", "c", k=3, query_ids=some, block_rows=10).collect()
     want = near_pairs([(f"n{i}", c, v) for i, c, v in rows], 3)
     assert sorted((r.id, r["rank"], r.nbr_id, r.d2) for r in got) == [t for t in want if int(t[0][1:]) % 7 == 0]
+
+
+def test_knn_of_vectors_that_cannot_hold_nulls(spark):
+    df = spark.range(20).select("id", F.lit(1).alias("c"), F.array(F.coalesce(F.col("id").cast("double"), F.lit(0.0)), F.lit(1.0)).alias("v"))
+    assert not df.schema["v"].dataType.containsNull
+    got = {(r.id, r["rank"]): r.nbr_id for r in balance.knn_in_class(df, "id", "v", "c", k=2, block_rows=6).collect()}
+    assert got == {(i, r): j for i in range(20) for r, j in ((1, i - 1 if i else 1), (2, 2 if i == 0 else i + 1 if i < 19 else 17))}
