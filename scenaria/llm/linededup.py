@@ -28,61 +28,67 @@ COUNT_BITS = 17
 LIST = 64
 LIST_SHARE = 6000
 SPREAD = 16
+#: Up to so many long lists' words (an int each) are sent to all tasks; more are joined.
+SENT = 100_000
+#: Sets of more words have a second sketch.
+WIDE = 64
 
 
-def words(text: Column) -> Column:
-    """The words of a text; white space becomes blanks first, as Spark splits at a single plain character
+def blanks(text: Column) -> Column:
+    """The text with blanks for white space other than line feeds, as Spark splits at a single plain character
     without a regular expression.  Few texts have any but line feeds and blanks."""
-    plain = F.replace(text, F.lit("\n"), F.lit(" "))
-    other = plain
+    other = text
     for c in "\t\x0b\x0c\r":
         other = F.replace(other, F.lit(c), F.lit(" "))
-    return F.array_remove(F.split(F.when(text.rlike(r"[\t\x0B\x0C\r]"), other).otherwise(plain), " "), "")
+    return F.when(text.rlike(r"[\t\x0B\x0C\r]"), other).otherwise(text)
 
 
 def rarity(docs: DataFrame, text_col: str) -> Column:
-    """Constant table: by the low bits of a word's hash, four times the logarithm of the count, a byte from 0 to 127."""
+    """Constant table: by the low bits of a word's hash, four times the logarithm of the count, less 64, as the low 7
+    bits of a signed number."""
     slot = F.xxhash64("word").bitwiseAND(F.lit((1 << COUNT_BITS) - 1)).cast("int")
-    counts = docs.select(F.explode(words(F.col(text_col))).alias("word")).groupBy(slot.alias("slot")).count()
+    parts = F.split(F.replace(blanks(F.col(text_col)), F.lit("\n"), F.lit(" ")), " ")
+    counts = docs.select(F.explode(parts).alias("word")).where("word <> ''").groupBy(slot.alias("slot")).count()
     line = counts.agg(F.concat_ws(",", F.collect_list(F.concat_ws(":", "slot", "count")))).first()[0]  # at most 2**COUNT_BITS
-    table = bytearray(1 << COUNT_BITS)
+    table = bytearray([64]) * (1 << COUNT_BITS)
     for pair in line.split(",") if line else []:
         slot, count = pair.split(":")
-        table[int(slot)] = min(127, int(4 * math.log2(int(count))))
+        table[max(int(slot) - 1, 0)] = min(127, int(4 * math.log2(int(count)))) ^ 64
     return F.lit(bytes(table))
 
 
-def lines_of(lines: DataFrame, table: Column) -> DataFrame:
-    """(id, text_hash, line, n, set1, set2, x, y, keys) of each line; ``keys`` are its distinct words as numbers
-    whose order is by rarity: 7 bits of rarity above 57 bits of the word's hash; x and y are a parity sketch."""
+def keys_of(lines: DataFrame, table: Column) -> DataFrame:
+    """``lines`` with ``keys`` for ``text``: its distinct words as numbers whose order is by rarity, 7 bits of rarity
+    above 57 bits of the word's hash."""
     mask = F.lit((1 << COUNT_BITS) - 1)
 
     def key(h):
-        rare = small_number(table, h.bitwiseAND(mask).cast("int")).cast("bigint") - 64
+        at = h.bitwiseAND(mask).cast("int")  # substring counts from 1 and takes 0 for 1: two slots are one
+        rare = F.ascii(F.substring(table, at, F.lit(1)).cast("string")).cast("bigint")
         return F.shiftleft(rare, 57).bitwiseOR(F.shiftrightunsigned(h, 7))
 
-    hashes = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
-    return (lines.select("id", "text_hash", "line", F.sort_array(F.array_distinct(F.transform(hashes, key))).alias("keys"))
-            .select("id", "text_hash", "line", F.size("keys").alias("n"), F.xxhash64("keys").alias("set1"),
-                    F.xxhash64("keys", F.lit(1)).alias("set2"),
-                    parity("keys", 0, 1).alias("x"), parity("keys", 1, 1).alias("y"), "keys"))
+    hashes = F.transform(F.array_remove(F.split("text", " "), ""), lambda w: F.xxhash64(w))
+    return lines.withColumn("keys", F.sort_array(F.transform(F.array_distinct(hashes), key))).drop("text")
 
 
-def parity(keys, word: int, bits: int) -> Column:
-    """One 64-bit word of a parity sketch of 2**bits words: every key flips one bit of one word, so the sketches of
-    two sets differ in no more bits than the sets in keys."""
+def _hashes() -> list[Column]:
+    return [F.xxhash64("keys").alias("set1"), F.xxhash64("keys", F.lit(1)).alias("set2")]
+
+
+def parity(keys: str, half: bool = False) -> Column:
+    """A 64-bit parity sketch: every key flips one bit, so the sketches of two sets differ in no more bits than the
+    sets in keys; with ``half`` only the keys do that have an odd number above the 6 bits that choose the bit."""
     def flip(sketch, k):
-        mine = F.shiftright(k, 6).bitwiseAND(F.lit((1 << bits) - 1)) == word
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(F.lit(63)).cast("int"))
-        return F.when(mine, sketch.bitwiseXOR(bit)).otherwise(sketch)
+        one = F.shiftright(k, 6).bitwiseAND(F.lit(1)) if half else F.lit(1).cast("bigint")
+        return sketch.bitwiseXOR(F.call_function("shiftleft", one, k.bitwiseAND(F.lit(63)).cast("int")))
     return F.aggregate(keys, F.lit(0).cast("bigint"), flip)
 
 
 def with_words(docs: DataFrame) -> DataFrame:
-    """(id, text_hash, line, text) of every line that has a word."""
-    hashed = docs.select("id", F.xxhash64("text").alias("text_hash"), F.col("text").alias("whole"))  # once a text, not once a line
-    lines = hashed.select("id", "text_hash", F.posexplode(F.split("whole", "\n")).alias("line", "text"))
-    return lines.where(F.length(F.btrim("text", F.lit(SPACES))) > 0)
+    """``docs`` (with ``whole``, a text after ``blanks``) as rows (line, text) of every line that has a word."""
+    others = [c for c in docs.columns if c != "whole"]
+    lines = docs.select(*others, F.posexplode(F.split("whole", "\n")).alias("line", "text"))
+    return lines.where(F.length(F.btrim("text")) > 0)
 
 
 def _doc(id_col: Column) -> Column:
@@ -91,43 +97,45 @@ def _doc(id_col: Column) -> Column:
 
 
 def _close(t: float) -> Column:
-    """Can rows a and b of a posting list be similar?  Sizes, places in the list of words, parity sketches."""
+    """Can rows a and b of a posting list be similar?  Sizes, places in the list of words, parity sketches; first, as
+    most pairs fail it, what one sketch says of the sizes alone."""
     need = F.ceil(F.lit(t / (1 + t)) * (F.col("a.n") + F.col("b.n")) - 1e-9)
     tail = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
-    apart = sum((F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in "xy"), F.lit(0))
-    return ((F.col("a.n") >= F.lit(t) * F.col("b.n") - 1e-9) & (F.col("b.n") >= F.lit(t) * F.col("a.n") - 1e-9)
+    x, y = (F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}")) for w in "xy")
+    apart = F.when((F.col("a.n") > WIDE) & (F.col("b.n") > WIDE), F.bit_count(x.bitwiseXOR(y)) + F.bit_count(y)).otherwise(F.bit_count(x))
+    return ((F.bit_count(x) <= (F.col("a.n") + F.col("b.n")) * F.lit((1 - t) / (1 + t) + 1e-9) + 1e-6)
+            & (F.col("a.n") >= F.lit(t) * F.col("b.n") - 1e-9) & (F.col("b.n") >= F.lit(t) * F.col("a.n") - 1e-9)
             & (tail >= need) & (apart <= F.col("a.n") + F.col("b.n") - 2 * need))
 
 
 def _candidates(a: DataFrame, b: DataFrame, t: float) -> DataFrame:
     """(a, b): distinct pairs of a posting list that pass the filters, the earlier line first."""
-    met = a.alias("a").join(b.alias("b"), (F.col("a.tok") == F.col("b.tok")) & (F.col("a.rid") < F.col("b.rid")) & _close(t))
+    met = a.alias("a").join(b.alias("b"), (F.col("a.tok") == F.col("b.tok")) & _close(t) & (F.col("a.rid") < F.col("b.rid")))
     return met.select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct()
 
 
 def _whole_sets(rids: DataFrame, sets: DataFrame, docs: DataFrame, table: Column) -> DataFrame:
-    """(rid, n, keys, wide) of the given sets, from the lines they first occur in; ``wide`` is a parity sketch of
-    256 bits."""
+    """(rid, keys) of the given sets, from the lines they first occur in.  Bit tables of documents and of lines leave
+    out what they can; the lines left meet the wanted ones before their words are looked at."""
     doc = F.floor(F.col("place") / F.lit(4294967296))
     ends = sets.join(rids.distinct(), "rid", "left_semi").withColumn("doc", doc.cast("decimal(20,0)")).select(
-        "rid", "set1", "set2", "doc", (F.col("place") - F.col("doc") * F.lit(4294967296)).cast("int").alias("line"))
-    at = F.xxhash64("doc", "line")
-    test = bit_table(ends.select(at.alias("at")), "at")
-    some = with_words(docs).withColumn("doc", _doc(F.col("id"))).where(test(at)).drop("doc")
-    some = lines_of(some, table).select(_doc(F.col("id")).alias("doc"), "line", "set1", "set2", "keys")
-    full = ends.join(some, ["doc", "line", "set1", "set2"]).dropDuplicates(["rid"])
-    return written(full.select("rid", F.size("keys").alias("n"), "keys", *[parity("keys", w, 2).alias(f"w{w}") for w in range(4)]), "whole-sets")
+        "rid", "set1", "set2", F.xxhash64("doc").alias("doc"), (F.col("place") - F.col("doc") * F.lit(4294967296)).cast("int").alias("line"))
+    at = F.xxhash64("doc", "line").alias("at")
+    ends = written(ends.select("rid", "set1", "set2", "doc", at), "ends")
+    in_doc, in_line = bit_table(ends, "doc"), bit_table(ends, "at")
+    whole = docs.select(F.xxhash64(_doc(F.col("id"))).alias("doc"), F.col("text").alias("whole")).where(in_doc(F.col("doc")))
+    some = with_words(whole.select("doc", blanks(F.col("whole")).alias("whole"))).select("text", at).where(in_line(F.col("at")))
+    # the sets' hashes decide, in a join, as a filter on them would be moved below and work the keys out once more;
+    # places that share a hash do no harm
+    some = keys_of(some.join(ends.select("at").distinct(), "at", "left_semi"), table)
+    full = some.select("at", *_hashes(), "keys").join(ends.select("rid", "at", "set1", "set2"), ["at", "set1", "set2"])
+    return written(full.select("rid", "keys").dropDuplicates(["rid"]), "whole-sets")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, table: Column, t: float) -> DataFrame:
     """(rid): lines b of the pairs whose line a is similar.  Each first meets its earliest partner; only those
     that are not similar to it meet the others."""
     whole = _whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("rid")), sets, docs, table)
-    sketch = ["n", "w0", "w1", "w2", "w3"]
-    side = lambda x: whole.select(F.col("rid").alias(x), F.struct(*sketch).alias(f"s{x}"))
-    need = F.ceil(F.lit(t / (1 + t)) * (F.col("sa.n") + F.col("sb.n")) - 1e-9)
-    apart = sum((F.bit_count(F.col(f"sa.{w}").bitwiseXOR(F.col(f"sb.{w}"))) for w in sketch[2:]), F.bit_count(F.col("sa.w0").bitwiseXOR(F.col("sb.w0"))))
-    pairs = written(pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= F.col("sa.n") + F.col("sb.n") - 2 * need).select("a", "b"), "close-pairs")
     a, b = whole.select(F.col("rid").alias("a"), F.col("keys").alias("x")), whole.select(F.col("rid").alias("b"), F.col("keys").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
 
@@ -151,6 +159,8 @@ def similar_lines(lines: DataFrame, docs: DataFrame, table: Column, t: float) ->
     # posting lists grow with the number of sets, and so does what counts as a long one, up to a bound
     most = max(LIST, min(64 * LIST, sets.count() // LIST_SHARE))
     heavy = written(posts.groupBy("tok").count().where(F.col("count") > most).select("tok"), "heavy")
+    if heavy.count() <= SENT:
+        heavy = F.broadcast(heavy)
     light = posts.join(heavy, "tok", "left_anti")
     long = written(posts.join(heavy, "tok", "left_semi"), "long-lists")
     met = _candidates(light, light, t)
@@ -181,8 +191,11 @@ def dedup_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float =
     first = F.greatest(F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1, F.lit(1)).cast("int")
     least = math.ceil(threshold / (1 - threshold) - 1e-9)  # smaller sets are similar only if equal
     prefix = F.when(F.col("n") >= least, F.transform(F.slice("keys", F.lit(1), first), lambda k: F.xxhash64(k).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")))
-    lines = written(lines_of(with_words(src), table).select("id", "text_hash", "line", "n", "set1", "set2", "x", "y", prefix.alias("prefix"),
-                                                (_doc(F.col("id")) * 4294967296 + F.col("line")).alias("place")), "lines")
+    whole = src.select("id", F.xxhash64("text").alias("text_hash"), blanks(F.col("text")).alias("whole"))  # once a text, not once a line
+    lines = keys_of(with_words(whole), table).withColumn("n", F.size("keys"))
+    lines = written(lines.select("id", "text_hash", "line", "n", *_hashes(), parity("keys").alias("x"),
+                                 F.when(F.col("n") > WIDE, parity("keys", half=True)).otherwise(F.lit(0).cast("bigint")).alias("y"),
+                                 prefix.alias("prefix"), (_doc(F.col("id")) * 4294967296 + F.col("line")).alias("place")), "lines")
     sets, near = similar_lines(lines, src, table, threshold)
     drop = (sets.where("copies > 1").select("set1", "set2", "place", "rid").join(near, "rid", "left_anti")
             .select("set1", "set2", F.col("place").alias("stays")))

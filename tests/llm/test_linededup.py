@@ -106,3 +106,52 @@ def test_columns_of_any_name_come_back(spark):
     assert all(r[n] == (None if r.doc_id is None else f"{n} {r.doc_id}") for r in rows for n in names)
     plain = dedup_lines(df, "doc_id", "text").select("doc_id", "text", "n_lines", "n_removed").collect()
     assert sorted(map(str, plain)) == sorted(str(r) for r in out.select("doc_id", "text", "n_lines", "n_removed").collect())
+
+
+def wide_corpus(seed):
+    """Near copies of about 64 words, where sets get a second sketch, and of many more."""
+    rng = random.Random(seed)
+    words = ["v%d" % i for i in range(400)]
+    rows = []
+    for k, n in enumerate([54, 60, 62, 64, 65, 66, 70, 80, 130, 200]):
+        base = rng.sample(words, n)
+        for i in range(8):
+            x = list(base)
+            for _ in range(rng.randint(0, n // 8)):
+                if rng.random() < 0.5:
+                    x.pop(rng.randrange(len(x)))
+                else:
+                    x.append(rng.choice(words))
+            rng.shuffle(x)
+            rows.append((100 * k + i, "\r\n".join([" ".join(x), "\t".join(rng.sample(words, 5))]), "s"))
+    return rows
+
+
+def test_sets_about_the_size_of_a_second_sketch(spark):
+    rows = wide_corpus(5)
+    assert got(spark, rows) == brute(rows)
+
+
+def test_only_wanted_lines_have_their_words_looked_at_again(spark, monkeypatch):
+    """However full the bit tables are: a large corpus fills them."""
+    seen, keys_of = [], linededup.keys_of
+
+    def counted(lines, table):
+        seen.append(lines.count())
+        return keys_of(lines, table)
+
+    monkeypatch.setattr(linededup, "keys_of", counted)
+    monkeypatch.setattr(linededup, "bit_table", lambda *a, **b: lambda c: F.lit(True))
+    rng = random.Random(6)
+    near = "one line of several words that has a copy with a word more"
+    rows = [(i, "\n".join(" ".join(rng.choices(["u%d" % k for k in range(9999)], k=9)) for _ in range(10)), "s") for i in range(30)]
+    rows += [(100, near, "s"), (101, near + " here", "s")]
+    assert got(spark, rows) == brute(rows)
+    assert seen[0] == 302 and max(seen[1:]) == 2
+
+
+def test_long_lists_joined_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "LIST", 3)
+    monkeypatch.setattr(linededup, "SENT", 0)
+    rows = corpus(4, 60)
+    assert got(spark, rows) == brute(rows)
