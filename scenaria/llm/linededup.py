@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_table, free_names, small_number, written
+from .common import bit_table, free_names, written
 
 SPACES = " \t\n\x0b\x0c\r"
 COUNT_BITS = 17
